@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,76 +39,86 @@ def source_date(text: Column | str) -> Column:
 _EXTENDED = r"\d{4}-\d{2}-\d{2}"
 _BASIC = r"\d{8}"
 _WEEK = r"\d{4}-W\d{2}(?:-\d)?|\d{4}W\d{2}\d?"
-_CLOCK = (
-    r"(?:\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d+)?)?)?|\d{4}(?:\d{2}(?:[.,]\d+)?)?)"
-)
+_CLOCK = r"\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d+)?)?)?|\d{4}(?:\d{2}(?:[.,]\d+)?)?"
 _ZONE = r"[+-](?:\d{2}(?::\d{2}(?::\d{2}(?:\.\d+)?)?)?|\d{4}(?:\d{2}(?:\.\d+)?)?)"
-_DATE_ONLY = rf"^(?:{_EXTENDED}|{_BASIC}|{_WEEK})$"
 _MOMENT = rf"(?s)^({_EXTENDED}|{_BASIC}|{_WEEK})(?:.({_CLOCK})({_ZONE})?)?$"
+_USUAL_MOMENT = rf"^{_EXTENDED}(?:[T ]\d{{2}}:\d{{2}}:\d{{2}}(?:\.\d{{1,6}})?(?:Z|[+-]\d{{2}}:\d{{2}})?)?$"
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over a value that is computed once, for rarely taken branches."""
+    return F.transform(F.array(value), body)[0]
 
 
 def iso_date(text: Column | str) -> Column:
     """Date from extended, basic or week-date ISO text; null if it is not one."""
     text = _col(text)
+    usual = F.when(text.rlike(rf"^{_EXTENDED}$") & ~text.startswith("0000"), text.try_cast("date"))
+    other = F.when(text.rlike(rf"^(?:{_BASIC}|{_WEEK})$"), _let(text, _unusual_date))
+    return F.coalesce(usual, other)
+
+
+def _unusual_date(text: Column) -> Column:
     year = F.substring(text, 1, 4)
-    plain = F.when(text.rlike(rf"^{_EXTENDED}$"), text).when(
-        text.rlike(rf"^{_BASIC}$"),
-        F.concat_ws("-", year, F.substring(text, 5, 2), F.substring(text, 7, 2)),
-    )
-    digits = F.regexp_replace(text, "[-W]", "")
-    week = F.substring(digits, 5, 2).try_cast("int")
-    weekday = F.coalesce(F.nullif(F.substring(digits, 7, 1), F.lit("")), F.lit("1")).try_cast("int")
-    january_fourth = F.concat(year, F.lit("-01-04")).try_cast("date")
-    monday = F.date_add(F.trunc(january_fourth, "week"), (week - 1) * 7)
-    # A week belongs to the year its Thursday falls in, which also rules out week 53 of a short year.
-    by_week = F.when(
-        text.rlike(rf"^(?:{_WEEK})$")
-        & (week >= 1)
-        & weekday.between(1, 7)
-        & (F.year(F.date_add(monday, 3)) == year.try_cast("int")),
-        F.date_add(monday, weekday - 1),
+    basic = F.concat_ws("-", year, F.substring(text, 5, 2), F.substring(text, 7, 2)).try_cast("date")
+    by_week = _let(
+        F.struct(
+            F.concat(year, F.lit("-01-04")).try_cast("date").alias("january_fourth"),
+            F.regexp_extract(text, r"W(\d{2})", 1).try_cast("int").alias("week"),
+            F.coalesce(F.regexp_extract(text, r"W\d{2}-?(\d)$", 1).try_cast("int"), F.lit(1)).alias("day"),
+            year.try_cast("int").alias("year"),
+        ),
+        _week_date,
     )
-    return F.when(year != "0000", F.coalesce(plain.try_cast("date"), by_week))
+    return F.when(year != "0000", F.when(text.contains("W"), by_week).otherwise(basic))
 
 
-def is_iso_date(text: Column | str) -> Column:
-    return F.coalesce(_col(text).rlike(_DATE_ONLY) & iso_date(text).isNotNull(), F.lit(False))
+def _week_date(part: Column) -> Column:
+    """A week belongs to the year its Thursday falls in, which rules out week 53 of a short year."""
+    monday = F.date_add(F.trunc(part["january_fourth"], "week"), (part["week"] - 1) * 7)
+    exists = (part["week"] >= 1) & (F.year(F.date_add(monday, 3)) == part["year"])
+    return F.when(exists & part["day"].between(1, 7), F.date_add(monday, part["day"] - 1))
 
 
 def iso_instant(text: Column | str) -> Column:
     """Instant from ISO text with any separator; without an offset it is taken as UTC."""
-    text = F.regexp_replace(_col(text), "Z", "+00:00")
-    day = iso_date(F.regexp_extract(text, _MOMENT, 1))
+    text = _col(text)
+    usual = F.when(text.rlike(_USUAL_MOMENT) & ~text.startswith("0000"), text.try_cast("timestamp"))
+    other = F.when(text.isNotNull(), _let(F.regexp_replace(text, "Z", "+00:00"), _unusual_instant))
+    return F.coalesce(usual, other)
+
+
+def _unusual_instant(text: Column) -> Column:
     digits = F.regexp_replace(F.regexp_extract(text, _MOMENT, 2), ":", "")
-    zone = F.regexp_replace(F.regexp_extract(text, _MOMENT, 3), "[:+-]", "")
+    zone = F.regexp_extract(text, _MOMENT, 3)
+    parts = F.struct(
+        iso_date(F.regexp_extract(text, _MOMENT, 1)).alias("day"),
+        digits.alias("clock"),
+        F.regexp_replace(zone, "[:+-]", "").alias("zone"),
+        F.when(zone.startswith("-"), F.lit(-1)).otherwise(F.lit(1)).alias("sign"),
+        F.rpad(F.regexp_extract(digits, r"[.,](\d+)", 1), 6, "0").cast("bigint").alias("fraction"),
+    )
+    return F.when(text.rlike(_MOMENT), _let(parts, _assemble))
 
+
+def _assemble(part: Column) -> Column:
     def two(source: Column, at: int) -> Column:
         return F.coalesce(F.substring(source, at, 2).try_cast("int"), F.lit(0))
 
-    fraction = F.rpad(F.regexp_extract(digits, r"[.,](\d+)", 1), 6, "0").try_cast("bigint")
-    hour, minute, second = two(digits, 1), two(digits, 3), two(digits, 5)
-    zone_hour, zone_minute, zone_second = two(zone, 1), two(zone, 3), two(zone, 5)
-    valid = (
-        text.rlike(_MOMENT)
-        & (hour < 24)
-        & (minute < 60)
-        & (second < 60)
-        & (zone_hour < 24)
-        & (zone_minute < 60)
-        & (zone_second < 60)
-    )
-    clock = hour * 3600 + minute * 60 + second
-    offset = zone_hour * 3600 + zone_minute * 60 + zone_second
-    sign = F.when(F.regexp_extract(text, _MOMENT, 3).startswith("-"), F.lit(-1)).otherwise(F.lit(1))
-    micros = (
-        F.unix_date(day).cast("bigint") * 86_400_000_000
-        + (clock - sign * offset).cast("bigint") * 1_000_000
-        + F.coalesce(fraction, F.lit(0))
-    )
-    return F.when(valid, F.timestamp_micros(micros))
+    clock = [two(part["clock"], at) for at in (1, 3, 5)]
+    zone = [two(part["zone"], at) for at in (1, 3, 5)]
+    valid = F.lit(True)
+    for hour, minute, second in (clock, zone):
+        valid = valid & (hour < 24) & (minute < 60) & (second < 60)
+
+    def seconds(hour: Column, minute: Column, second: Column) -> Column:
+        return hour * 3600 + minute * 60 + second
+
+    whole = F.unix_date(part["day"]).cast("bigint") * 86_400 + seconds(*clock) - part["sign"] * seconds(*zone)
+    return F.when(valid, F.timestamp_micros(whole * 1_000_000 + part["fraction"]))
 
 
 def aware_instant(text: Column | str) -> Column:
     """Instant from text that names its zone; null for naive text, which must be rejected."""
     text = _col(text)
-    return F.when(text.rlike(r"(?:Z|[+-]\d{2}(?::?\d{2})?(?::?\d{2}(?:\.\d+)?)?)$") & text.rlike(r"\d[T ]\d"), iso_instant(text))
+    return F.when(text.rlike(rf"\d[T ](?:{_CLOCK})(?:Z|{_ZONE})$"), iso_instant(text))

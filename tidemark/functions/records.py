@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Iterable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import periods
@@ -10,87 +13,123 @@ from tidemark.functions import periods
 # Fixed patterns: number text accepted for decimal fields and for float comparisons.
 _DECIMAL_TEXT = r"(?i)^[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|inf(?:inity)?|s?nan\d*)$"
 _FLOAT_TEXT = (
-    r"(?i)^[+-]?(?:(?:\d+(?:_\d+)*\.?(?:\d+(?:_\d+)*)?|\.\d+(?:_\d+)*)(?:e[+-]?\d+(?:_\d+)*)?"
-    r"|inf(?:inity)?|nan)$"
+    r"(?i)^\s*[+-]?(?:(?:\d+(?:_\d+)*\.?(?:\d+(?:_\d+)*)?|\.\d+(?:_\d+)*)(?:e[+-]?\d+(?:_\d+)*)?"
+    r"|inf(?:inity)?|nan)\s*$"
 )
 
 
+TYPE, TEXT = "_type_", "_text_"
+
+
+@dataclass(frozen=True)
+class Field:
+    """One unpacked field: its variant type name (null when absent) and its value as text."""
+
+    type: Column
+    text: Column
+
+    @property
+    def present(self) -> Column:
+        return self.type.isNotNull()
+
+    @property
+    def is_text(self) -> Column:
+        return self.type == "STRING"
+
+    @property
+    def is_number(self) -> Column:
+        return self.type.rlike("^(?:BIGINT|DOUBLE|FLOAT|DECIMAL)")
+
+    @property
+    def is_timestamp(self) -> Column:
+        return self.type.startswith("TIMESTAMP")
+
+    def as_float(self) -> Column:
+        return F.when(self.is_text | self.is_number, float_of_text(self.text)).when(
+            self.type == "BOOLEAN", F.when(self.text == "true", 1.0).otherwise(0.0)
+        )
+
+    def as_instant(self) -> Column:
+        """Instant of a text or native timestamp; a native date is not an instant."""
+        return F.when(self.is_text, periods.iso_instant(self.text)).when(
+            self.is_timestamp, self.text.try_cast("timestamp")
+        )
+
+    def identity(self) -> Column:
+        """Comparable form of the raw value: its type class and text, so 1 and "1" stay distinct."""
+        number = F.coalesce(self.text.try_cast("double").cast("string"), self.text)
+        return (
+            F.when(self.is_text, F.concat(F.lit("text:"), self.text))
+            .when(self.is_number, F.concat(F.lit("number:"), number))
+            .when(self.type != "VOID", F.concat(self.type, F.lit(":"), self.text))
+        )
+
+    def matches(self, spec: str) -> Column:
+        """Does the value fit a contract type? Null never fits; an unknown type always does."""
+        spec = spec.strip().lower()
+        if spec == "string":
+            fits = self.is_text
+        elif spec.startswith("decimal"):
+            fits = self.is_number | (self.is_text & is_decimal_text(self.text))
+        elif spec == "date":
+            fits = (self.type == "DATE") | (self.is_text & periods.iso_date(self.text).isNotNull())
+        elif spec == "timestamp_utc":
+            fits = self.is_timestamp | (self.is_text & periods.iso_instant(self.text).isNotNull())
+        else:
+            fits = self.type != "VOID"
+        return F.coalesce(fits, F.lit(False))
+
+
 def path(name: str) -> str:
     return f'$["{name}"]'
 
 
-def field_kind(record: Column, name: str) -> Column:
-    """Type class of a field: string, number, boolean, null, date, timestamp, other; absent is null."""
-    kind = F.schema_of_variant(F.variant_get(record, path(name), "variant"))
-    return (
-        F.when(kind.isNull(), F.lit(None).cast("string"))
-        .when(kind == "STRING", "string")
-        .when(kind == "VOID", "null")
-        .when(kind == "BOOLEAN", "boolean")
-        .when(kind == "DATE", "date")
-        .when(kind.startswith("TIMESTAMP"), "timestamp")
-        .when(kind.rlike("^(?:BIGINT|DOUBLE|FLOAT|DECIMAL)"), "number")
-        .otherwise("other")
-    )
+def unpack(records: DataFrame, names: Iterable[str], record: str = "record") -> DataFrame:
+    """Adds type and text columns of the named fields.
 
+    They are columns of a projection of their own, so rules that use one several times do not
+    read the variant several times.
+    """
+    added = {}
+    for name in dict.fromkeys(names):
+        added[TYPE + name] = F.schema_of_variant(F.variant_get(record, path(name), "variant"))
+        added[TEXT + name] = F.try_variant_get(record, path(name), "string")
+    return records.withColumns(added)
 
-def field_text(record: Column, name: str) -> Column:
-    return F.try_variant_get(record, path(name), "string")
 
+def field(name: str) -> Field:
+    """A field of an unpacked record set."""
+    return Field(F.col(f"`{TYPE}{name}`"), F.col(f"`{TEXT}{name}`"))
 
-def field_names(record: Column) -> Column:
-    return F.map_keys(record.cast("map<string,variant>"))
+
+def keep(df: DataFrame, condition: Column) -> DataFrame:
+    """Filter on computed columns, evaluated where it stands.
+
+    A plain filter would be pushed below the projections that compute its columns, and the
+    optimiser would copy their expressions into it: every record would be parsed twice.
+    """
+    return df.select(F.inline(F.when(condition, F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns])))))
 
 
-def matches_type(spec: str, kind: Column, text: Column) -> Column:
-    """Does a present field fit a contract type? Null never fits; an unknown type always does."""
-    spec = spec.strip().lower()
-    is_text = kind == "string"
-    if spec == "string":
-        fits = is_text
-    elif spec.startswith("decimal"):
-        fits = (kind == "number") | (is_text & is_decimal_text(text))
-    elif spec == "date":
-        fits = (kind == "date") | (is_text & periods.is_iso_date(text))
-    elif spec == "timestamp_utc":
-        fits = (kind == "timestamp") | (is_text & periods.iso_instant(text).isNotNull())
-    else:
-        fits = kind != "null"
-    return F.coalesce(fits, F.lit(False))
+def without_nulls(items: list[Column]) -> Column:
+    """Array of the non-null items (distinct), free of the lambda that would stop code generation."""
+    return F.array_except(F.array(*items), F.array(F.lit(None).cast("string")))
+
+
+def field_text(record: Column | str, name: str) -> Column:
+    return F.try_variant_get(record, path(name), "string")
+
+
+def field_names(record: Column | str) -> Column:
+    record = F.col(record) if isinstance(record, str) else record
+    return F.map_keys(record.cast("map<string,variant>"))
 
 
 def is_decimal_text(text: Column) -> Column:
-    bare = F.regexp_replace(F.regexp_replace(text, r"^\s+|\s+$", ""), "_", "")
+    bare = F.regexp_replace(text, r"^\s+|\s+$|_", "")
     return F.coalesce(bare.rlike(_DECIMAL_TEXT), F.lit(False))
 
 
 def float_of_text(text: Column) -> Column:
     """Double from number text, null for anything else (Spark alone would accept '1d')."""
-    bare = F.regexp_replace(text, r"^\s+|\s+$", "")
-    return F.when(bare.rlike(_FLOAT_TEXT), F.regexp_replace(bare, "_", "").try_cast("double"))
-
-
-def field_float(record: Column, name: str) -> Column:
-    kind, text = field_kind(record, name), field_text(record, name)
-    return (
-        F.when(kind.isin("string", "number"), float_of_text(text))
-        .when(kind == "boolean", F.when(text == "true", 1.0).otherwise(0.0))
-    )
-
-
-def field_instant(record: Column, name: str) -> Column:
-    """Instant of a text or native timestamp field; a native date is not an instant."""
-    kind, text = field_kind(record, name), field_text(record, name)
-    return F.when(kind == "string", periods.iso_instant(text)).when(
-        kind == "timestamp", F.try_variant_get(record, path(name), "timestamp")
-    )
-
-
-def field_identity(record: Column, name: str) -> Column:
-    """Comparable form of a raw value: type class plus text, so 1 and \"1\" stay distinct."""
-    kind, text = field_kind(record, name), field_text(record, name)
-    number = F.coalesce(float_of_text(text).cast("string"), text)
-    return F.when(
-        kind.isNotNull() & (kind != "null"),
-        F.concat(kind, F.lit(":"), F.when(kind == "number", number).otherwise(text)),
-    )
+    return F.when(text.rlike(_FLOAT_TEXT), F.regexp_replace(text, r"[\s_]", "").try_cast("double"))

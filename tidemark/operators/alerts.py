@@ -87,7 +87,7 @@ def quality_failures(results: DataFrame) -> DataFrame:
     return (
         results.where("status = 'fail'")
         .groupBy("table_name")
-        .agg(F.array_sort(F.collect_set("test_id")).alias("failing_test_ids"))
+        .agg(F.sort_array(F.collect_set("test_id")).alias("failing_test_ids"))
     )
 
 

@@ -52,32 +52,36 @@ def from_observations(parsed: DataFrame, series_id: Column) -> DataFrame:
     )
 
 
-def schema_findings(contract: DataContract, record: Column) -> dict[str, Column]:
+def schema_findings(contract: DataContract) -> dict[str, Column]:
     """Missing and extra field names, and present fields whose value does not fit, each sorted."""
     declared = F.array(*[F.lit(n) for n in sorted(contract.schema)])
-    present = R.field_names(record)
+    present = R.field_names("record")
     misfits = [
-        F.when(
-            R.field_kind(record, name).isNotNull()
-            & ~R.matches_type(spec, R.field_kind(record, name), R.field_text(record, name)),
-            F.lit(name),
-        )
+        F.when(R.field(name).present & ~R.field(name).matches(spec), F.lit(name))
         for name, spec in sorted(contract.schema.items())
     ]
     return {
         "missing": F.array_except(declared, present),
-        "extra": F.array_sort(F.array_except(present, declared)),
-        "type_errors": F.array_compact(F.array(*misfits)),
+        "extra": F.sort_array(F.array_except(present, declared)),
+        "type_errors": R.without_nulls(misfits),
     }
 
 
 def check_schema(records: DataFrame, contract: DataContract) -> DataFrame:
-    """Adds the three findings and ``schema_bad``."""
-    found = records.withColumns(schema_findings(contract, F.col("record")))
+    """Adds the three findings and ``schema_bad`` (and the unpacked fields they rest on)."""
+    found = R.unpack(records, contract.schema).withColumns(schema_findings(contract))
     bad = (F.size("missing") > 0) | (F.size("extra") > 0) | (F.size("type_errors") > 0)
     return found.withColumn("schema_bad", bad)
 
 
+def schema_violations(records: DataFrame, contract: DataContract) -> DataFrame:
+    """Records outside the contract with what is wrong about each."""
+    found = check_schema(records, contract)
+    return R.keep(
+        found.select("batch_id", "record", "missing", "extra", "type_errors", "schema_bad"), F.col("schema_bad")
+    ).drop("schema_bad")
+
+
 def value_violation(value: Column) -> Column:
     """Not a number counts as no violation: every comparison with it is false."""
     return F.coalesce((value <= 0) & ~F.isnan(value), F.lit(False))
@@ -98,21 +102,21 @@ def volume_violation(volume: Column) -> Column:
     return F.coalesce((volume < 0) & ~F.isnan(volume), F.lit(False))
 
 
-def range_flags(contract: DataContract, record: Column) -> dict[str, Column]:
-    """Range rules a contract declares; rules it does not declare are absent from the result."""
+def range_flags(contract: DataContract) -> dict[str, Column]:
+    """Range rules a contract declares, over unpacked records; others are absent from the result."""
     flags: dict[str, Column] = {}
     if contract.checks_positive_value:
-        flags["value_bad"] = value_violation(R.field_float(record, "value"))
+        flags["value_bad"] = value_violation(R.field("value").as_float())
     if contract.checks_ohlc:
-        flags["ohlc_bad"] = ohlc_violation(*[R.field_float(record, n) for n in OHLC])
+        flags["ohlc_bad"] = ohlc_violation(*[R.field(n).as_float() for n in OHLC])
     if contract.checks_volume:
-        flags["volume_bad"] = volume_violation(R.field_float(record, "volume"))
+        flags["volume_bad"] = volume_violation(R.field("volume").as_float())
     return flags
 
 
 def row_flags(records: DataFrame, contract: DataContract) -> DataFrame:
     """All row-level rules in one pass."""
-    return check_schema(records, contract).withColumns(range_flags(contract, F.col("record")))
+    return check_schema(records, contract).withColumns(range_flags(contract))
 
 
 def quality_status(bad: Sequence[Column], flagged: Sequence[Column]) -> Column:

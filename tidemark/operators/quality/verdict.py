@@ -84,15 +84,16 @@ def evaluate(
 
 
 def _scan(records: DataFrame, contract: DataContract) -> DataFrame:
-    flagged = rows.row_flags(records, contract)
+    names = [*contract.primary_key, "observed_at"]
+    flagged = rows.row_flags(R.unpack(records, [n for n in names if n not in contract.schema]), contract)
     flags = [c for c in ("value_bad", "ohlc_bad", "volume_bad") if c in flagged.columns]
     range_rows = sum((F.col(c).cast("int") for c in flags), F.lit(0))
     keyed = flagged.select(
         "batch_id",
-        *[R.field_identity(F.col("record"), name).alias(f"_k{i}") for i, name in enumerate(contract.primary_key)],
+        *[R.field(name).identity().alias(f"_k{i}") for i, name in enumerate(contract.primary_key)],
         F.col("schema_bad").cast("bigint").alias("_schema"),
         range_rows.cast("bigint").alias("_range"),
-        R.field_instant(F.col("record"), "observed_at").alias("_at"),
+        R.field("observed_at").as_instant().alias("_at"),
     )
     per_key = keyed.groupBy("batch_id", *[f"_k{i}" for i in range(len(contract.primary_key))]).agg(
         F.count("*").alias("_n"),
@@ -111,7 +112,7 @@ def _scan(records: DataFrame, contract: DataContract) -> DataFrame:
 
 def _completeness(expected: DataFrame, records: DataFrame, key_field: str) -> DataFrame:
     actual = records.select(
-        "batch_id", R.field_text(F.col("record"), key_field).alias("expected_key")
+        "batch_id", R.field_text("record", key_field).alias("expected_key")
     )
     calendar = expected.select("batch_id", "expected_key").distinct()
     missing = sets.missing_keys(calendar, actual, ["batch_id", "expected_key"])
@@ -127,13 +128,13 @@ def _referential(records: DataFrame, known_keys: Mapping[str, DataFrame]) -> Dat
         *[
             F.struct(
                 F.lit(name).alias("field"),
-                R.field_kind(F.col("record"), name).alias("kind"),
-                R.field_text(F.col("record"), name).alias("key"),
+                R.field(name).type.alias("kind"),
+                R.field(name).text.alias("key"),
             )
             for name in known_keys
         ]
     )
-    present = records.select("batch_id", F.inline(fields)).where("kind is not null")
+    present = R.unpack(records, known_keys).select("batch_id", F.inline(fields)).where("kind is not null")
     per_key = present.groupBy("batch_id", "field", "key").agg(F.count("*").alias("n"))
     known = None
     for name, frame in known_keys.items():
@@ -150,17 +151,18 @@ def _referential(records: DataFrame, known_keys: Mapping[str, DataFrame]) -> Dat
 
 def _outliers(records: DataFrame, contract: DataContract, threshold_pct: float) -> DataFrame:
     series = [f"_s{i}" for i in range(len(contract.series_key()))]
-    shaped = records.select(
+    shaped = R.unpack(records, [*contract.series_key(), "observed_at", "value"]).select(
         "batch_id",
         *[
-            R.field_identity(F.col("record"), name).alias(alias)
+            R.field(name).identity().alias(alias)
             for alias, name in zip(series, contract.series_key(), strict=True)
         ],
-        R.field_instant(F.col("record"), "observed_at").alias("_ts"),
-        R.field_float(F.col("record"), "value").alias("_v"),
+        R.field("observed_at").as_instant().alias("_ts"),
+        R.field("value").as_float().alias("_v"),
     )
+    readable = R.keep(shaped, F.col("_ts").isNotNull() & F.col("_v").isNotNull())
     moves = adjacency.extreme_moves(
-        shaped, ["batch_id", *series], F.col("_ts"), F.col("_v"), ["_v"], threshold_pct
+        readable, ["batch_id", *series], F.col("_ts"), F.col("_v"), ["_v"], threshold_pct
     )
     return moves.groupBy("batch_id").agg(F.count("*").alias("outlier_rows"))
 
@@ -260,7 +262,7 @@ def verdicts(results: DataFrame) -> DataFrame:
     """
 
     def having(status: str) -> Column:
-        return F.array_sort(F.collect_list(F.when(F.col("status") == status, F.col("rule_id"))))
+        return F.sort_array(F.collect_list(F.when(F.col("status") == status, F.col("rule_id"))))
 
     grouped = results.groupBy("batch_id").agg(
         having("failed").alias("failed_rules"), having("flagged").alias("flagged_rules")

@@ -30,11 +30,11 @@ def _event_records(star: Star) -> DataFrame:
 from records where lacks_start or has_note or bad_value group by 1, 2, 3, 4, 5""",
 )
 def dq_schema(star: Star) -> DataFrame:
-    found = rows.check_schema(_event_records(star), S.EVENT_CONTRACT).where("schema_bad")
+    found = rows.schema_violations(_event_records(star), S.EVENT_CONTRACT)
     return (
         found.select(
             "batch_id",
-            R.field_text(F.col("record"), "series_id").alias("series_id"),
+            R.field_text("record", "series_id").alias("series_id"),
             *[F.array_join(c, ",").alias(c) for c in ("missing", "extra", "type_errors")],
         )
         .groupBy("batch_id", "series_id", "missing", "extra", "type_errors")
@@ -71,12 +71,12 @@ def dq_type_matching(star: Star) -> DataFrame:
             "moment": F.date_format("o_orderdate", "yyyy-MM-dd'T'HHmmss'Z'"),
         },
     )
-    record = F.col("record")
+    fields = R.unpack(packed, ["status", "day", "compact", "short", "week", "price", "grouped", "moment"])
 
     def fits(field: str, spec: str):
-        return R.matches_type(spec, R.field_kind(record, field), R.field_text(record, field))
+        return R.field(field).matches(spec)
 
-    return packed.select(
+    return fields.select(
         F.col("batch_id").cast("bigint").alias("o_orderkey"),
         fits("status", "date").alias("string_fits_date"),
         fits("day", "date").alias("day_fits_date"),
@@ -86,7 +86,7 @@ def dq_type_matching(star: Star) -> DataFrame:
         fits("status", "decimal(20,8)").alias("text_fits_decimal"),
         fits("price", "decimal(20,8)").alias("price_fits_decimal"),
         fits("grouped", "decimal(20,8)").alias("grouped_fits_decimal"),
-        R.field_instant(record, "moment").alias("instant"),
+        R.field("moment").as_instant().alias("instant"),
         fits("price", "string").alias("price_fits_string"),
     )
 
@@ -402,7 +402,7 @@ def dq_routing(star: Star) -> DataFrame:
     good, bad = verdict.route(_event_records(star), verdict.verdicts(_results(star)))
 
     def counted(records: DataFrame, outcome: str) -> DataFrame:
-        series = R.field_text(F.col("record"), "series_id").alias("series_id")
+        series = R.field_text("record", "series_id").alias("series_id")
         return (
             records.groupBy("batch_id", series)
             .agg(F.count("*").alias("n"))
@@ -461,9 +461,9 @@ def dq_volume(star: Star) -> DataFrame:
     """Quantity net of discount points as a volume, which must not be negative."""
     net = F.col("l_quantity") - F.col("l_discount") * 100
     packed = rows.from_columns(star.lineitem, F.col("l_partkey").cast("string"), {"volume": net})
-    flagged = packed.withColumns(rows.range_flags(_BAR_CONTRACT, F.col("record")))
+    flagged = R.unpack(packed, ["volume"]).withColumns(rows.range_flags(_BAR_CONTRACT))
     return (
-        flagged.where("volume_bad")
+        R.keep(flagged, F.col("volume_bad"))
         .groupBy(F.col("batch_id").cast("bigint").alias("l_partkey"))
         .agg(F.count("*").alias("violations"))
     )

@@ -415,10 +415,9 @@ def record_shaping(star: Star) -> DataFrame:
     parsed = silver.parse(stored, S.SALES_PARSERS)
     shaped = rows.from_observations(parsed, F.col("dataset_id"))
     checked = rows.check_schema(shaped, S.EVENT_CONTRACT)
-    record = F.col("record")
     return checked.select(
-        R.field_text(record, "series_id").alias("dataset_id"),
-        *[R.field_text(record, n).alias(n) for n in ("observed_at", "value", "source_id", "realtime_start")],
+        R.field_text("record", "series_id").alias("dataset_id"),
+        *[R.field_text("record", n).alias(n) for n in ("observed_at", "value", "source_id", "realtime_start")],
         (~F.col("schema_bad")).alias("fits_contract"),
     )
 

@@ -1 +1,134 @@
+"""Streaming operators over the given tables, run until what is available has been processed.
 
+Each run works in a fresh place under the shared folder, so runs do not see each other's state.
+"""
+
+from __future__ import annotations
+
+from datetime import timedelta
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidemark import schemas
+from tidemark.plans.checks import _RESULTS, _VERDICTS
+from tidemark.plans.layers import _OBJECTS
+from tidemark.plans.operations import _STREAKS
+from tidemark.plans.pipeline import Layout
+from tidemark.plans.registry import query
+from tidemark.session import scratch_path
+from tidemark.sources import landing, star as S, tables
+from tidemark.sources.star import Star
+from tidemark.streaming import alerts, ingest, validate
+
+
+class _Streamed(Star):
+    """The same tables as streams, so that adapters apply to them unchanged."""
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_"):
+            raise AttributeError(name)
+        schema = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet").schema
+        reader = self.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+        return reader.parquet(self.sf_dir)
+
+
+def _finish(query_) -> None:
+    query_.awaitTermination()
+
+
+@query(
+    "STR-01 SRC-02 BRZ-02",
+    f"""with {_OBJECTS} select sha256(raw_object_key) as bronze_id, raw_object_key, min(raw_sha256) as raw_sha256,
+  min(retrieved_at) as retrieved_at from objects group by raw_object_key""",
+)
+def stream_ingest(star: Star) -> DataFrame:
+    """Documents land once in a landing table and are streamed from it into Bronze."""
+    layout = Layout(scratch_path(star.spark, "ingest"))
+    objects = S.document_objects(star).drop("doc_id")
+    landing.land_table(objects, objects.where(F.lit(False)), layout.path("landed"))
+    schema = star.spark.read.parquet(layout.path("landed")).schema
+    stream = ingest.object_table(star.spark, layout.path("landed"), schema)
+    _finish(
+        ingest.to_bronze(
+            stream, layout.path("bronze"), layout.path("rejected"), S.CODE_VERSION, layout.path("checkpoint"), "ingest"
+        )
+    )
+    stored = tables.read_table(star.spark, layout.path("bronze"), schemas.BRONZE)
+    return stored.select("bronze_id", "raw_object_key", "raw_sha256", "retrieved_at")
+
+
+@query("STR-02", "select distinct user_id, event_type from events")
+def stream_deduplicate(star: Star) -> DataFrame:
+    """One row per user and event type out of a stream; the delay spans the month."""
+    layout = Layout(scratch_path(star.spark, "dedupe"))
+    stream = _Streamed(star.spark, star.sf_dir).events.select("user_id", "event_type", "ts")
+    kept = ingest.deduplicate(stream, ["user_id", "event_type"], "ts", "40 days")
+    _finish(alerts.append_windows(kept, layout.path("kept"), layout.path("checkpoint"), "dedupe"))
+    return star.spark.read.schema(kept.schema).parquet(layout.path("kept")).select("user_id", "event_type")
+
+
+@query(
+    "STR-03 DLQ-01",
+    f"""with {_RESULTS}, judged as (
+  select * from results where rule_id in ('FR-QUAL-001', 'FR-QUAL-003', 'FR-QUAL-004', 'FR-QUAL-005', 'FR-QUAL-009')),
+{_VERDICTS.replace("from results", "from judged")}
+select batch_id, case when failed_rules is null then 'raw_data.validated' else 'raw_data.quarantined' end
+    as event_type, case when failed_rules is not null
+      then 'data-quality rule(s) failed: ' || replace(failed_rules, ',', ', ') end as failure_reason
+from verdicts""",
+)
+def stream_validate(star: Star) -> DataFrame:
+    """Daily event batches judged as a stream: outcome events and dead-letter reasons."""
+    layout = Layout(scratch_path(star.spark, "validate"))
+    lines = S.event_json(_Streamed(star.spark, star.sf_dir)).select("batch_id", "line")
+    _finish(
+        validate.validate_and_route(
+            lines,
+            S.EVENT_CONTRACT,
+            layout,
+            layout.path("checkpoint"),
+            "validate",
+            now=S.NOW,
+            max_lag=timedelta(days=10),
+        )
+    )
+    log = tables.read_table(star.spark, layout.path("event_log"), schemas.EVENT)
+    dead = tables.read_table(star.spark, layout.path("dlq"), schemas.DLQ).select("event_id", "failure_reason")
+    return log.join(dead, "event_id", "left").select(
+        F.col("correlation_id").alias("batch_id"), "event_type", "failure_reason"
+    )
+
+
+@query(
+    "STR-04 OPS-05 OPS-08",
+    f"""with {_STREAKS} select dataset_id,
+  sha256('consecutive_failures|' || dataset_id || '|' || latest_run_id) as alert_id,
+  dataset_id || ' failed ' || consecutive_failures || ' times in a row' as message
+from streaks where consecutive_failures >= 2""",
+)
+def stream_failure_streaks(star: Star) -> DataFrame:
+    layout = Layout(scratch_path(star.spark, "streaks"))
+    stream = S.runs(_Streamed(star.spark, star.sf_dir))
+    _finish(
+        alerts.failure_streaks(
+            stream, layout.path("state"), layout.path("alerts"), layout.path("checkpoint"), "streaks"
+        )
+    )
+    found = alerts.read_alerts(star.spark, layout.path("alerts"))
+    return found.select("dataset_id", "alert_id", "message")
+
+
+@query(
+    "STR-05 EVT-02",
+    """with closed as (select max(ts) - interval 10 minute as watermark from events)
+select date_trunc('hour', ts) as window_start, date_trunc('hour', ts) + interval 1 hour as window_end,
+  event_type, count(*) as events from events, closed
+where date_trunc('hour', ts) + interval 1 hour <= watermark group by 1, 2, 3""",
+)
+def stream_event_counts(star: Star) -> DataFrame:
+    layout = Layout(scratch_path(star.spark, "counts"))
+    stream = _Streamed(star.spark, star.sf_dir).events
+    counts = alerts.event_counts(stream, "ts", ["event_type"], "1 hour", "10 minutes")
+    _finish(alerts.append_windows(counts, layout.path("windows"), layout.path("checkpoint"), "counts"))
+    return star.spark.read.schema(counts.schema).parquet(layout.path("windows"))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.fs as pafs
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import keys
+from tidemark.sources import tables
 
 
 def read_landed(
@@ -83,3 +85,42 @@ def missing_objects(manifest: DataFrame, landed: DataFrame) -> DataFrame:
 
 def object_at(objects: DataFrame, key: str | Column) -> DataFrame:
     return objects.where(F.col("raw_object_key") == key)
+
+
+OBJECT_COLUMNS = (
+    "raw_object_key",
+    "source_id",
+    "dataset_id",
+    "raw_sha256",
+    "retrieved_at",
+    "payload",
+)
+
+
+def land_table(objects: DataFrame, landed: DataFrame, path: str) -> None:
+    """Append new objects to a Parquet landing table, for payloads too small to be files each."""
+    fresh = new_objects(objects.select(*OBJECT_COLUMNS), landed).select(*OBJECT_COLUMNS)
+    tables.append(fresh, path, ("source_id", "dataset_id"))
+
+
+def land_files(objects: DataFrame, root: str) -> None:
+    """Write each payload to its key under ``root`` unless it is there.
+
+    Runs in the executors. A file appears under its name only when complete and its name is its
+    content, so a repeated task writes nothing new.
+    """
+
+    def put(rows: Iterator[Row]) -> None:
+        filesystem, base = pafs.FileSystem.from_uri(root)
+        for row in rows:
+            target = f"{base.rstrip('/')}/{row.raw_object_key}"
+            if filesystem.get_file_info(target).type != pafs.FileType.NotFound:
+                continue
+            folder, _, name = target.rpartition("/")
+            filesystem.create_dir(folder, recursive=True)
+            partial = f"{folder}/.{name}.partial"
+            with filesystem.open_output_stream(partial) as out:
+                out.write(row.payload)
+            filesystem.move(partial, target)
+
+    objects.select("raw_object_key", "payload").foreachPartition(put)

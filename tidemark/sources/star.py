@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.contracts import DataContract
 from tidemark.functions import keys, periods
+from tidemark.functions.records import without_nulls
 from tidemark.operators import bronze, events, serve, silver
 from tidemark.session import tune
 from tidemark.sources import landing
@@ -96,7 +97,7 @@ def sales_objects(star: Star) -> DataFrame:
     payloads = (
         monthly_sales(star)
         .groupBy("indicator_id", "geo_code", "digit")
-        .agg(F.array_sort(F.collect_list(item)).alias("observations"))
+        .agg(F.sort_array(F.collect_list(item)).alias("observations"))
         .select(
             F.lit(SALES_SOURCE).alias("source_id"),
             dataset_id("sales").alias("dataset_id"),
@@ -125,7 +126,7 @@ def shipment_objects(star: Star) -> DataFrame:
     )
     payloads = (
         monthly.groupBy("flag")
-        .agg(F.array_sort(F.collect_list(item)).alias("series"))
+        .agg(F.sort_array(F.collect_list(item)).alias("series"))
         .select(
             F.lit(SHIPMENTS_SOURCE).alias("source_id"),
             F.concat(F.lit("shipments_"), F.lower("flag")).alias("dataset_id"),
@@ -269,8 +270,8 @@ ENVELOPE_TYPES = {
 def envelopes(star: Star) -> DataFrame:
     """Events as envelopes. A quarantined one names the rules its value and ``k`` break, if any."""
     kind = F.coalesce(*[F.when(F.col("event_type") == k, v) for k, v in ENVELOPE_TYPES.items()])
-    broken = F.array_compact(
-        F.array(F.when(prop_k() > 50, "FR-QUAL-001"), F.when(F.col("value") > 100, "FR-QUAL-005"))
+    broken = without_nulls(
+        [F.when(prop_k() > 50, "FR-QUAL-001"), F.when(F.col("value") > 100, "FR-QUAL-005")]
     )
     rules = F.to_json(F.struct(broken.alias("failed_rules")))
     return star.events.select(

@@ -52,10 +52,13 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Write one micro-batch into its own slice; a retry of the batch replaces the same slice."""
+def write_batch(df: DataFrame, path: str, query: str, batch_id: int) -> None:
+    """Write one micro-batch into its own slice; a retry of the batch replaces the same slice.
+
+    ``query`` names the streaming query (one name per checkpoint), so queries do not share slices.
+    """
     (
-        df.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint"))
+        df.withColumn(BATCH_COLUMN, F.lit(slice_name(query, batch_id)))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BATCH_COLUMN)
@@ -63,6 +66,21 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     )
 
 
+def slice_name(query: str, batch_id: int) -> str:
+    return f"{query}-{batch_id:012d}"
+
+
+def other_batches(
+    spark: SparkSession, path: str, schema: T.StructType, query: str, batch_id: int
+) -> DataFrame:
+    """The table without the slice a batch is about to write: what was stored before it."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    sliced = T.StructType([*schema.fields, T.StructField(BATCH_COLUMN, T.StringType())])
+    rows = spark.read.schema(sliced).parquet(path)
+    return rows.where(F.col(BATCH_COLUMN) != slice_name(query, batch_id)).drop(BATCH_COLUMN)
+
+
 def latest_by_key(log: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Last write wins: the greatest row per key in ``order``; the rest of the row breaks ties."""
     return _one_per_key(log, key, order, F.max)
