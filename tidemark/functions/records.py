@@ -87,14 +87,15 @@ def path(name: str) -> str:
 def unpack(records: DataFrame, names: Iterable[str], record: str = "record") -> DataFrame:
     """Adds type and text columns of the named fields.
 
-    They are columns of a projection of their own, so rules that use one several times do not
-    read the variant several times.
+    All fields come out of the variant in one go, into a projection of their own, so rules that
+    use a field several times do not read the variant several times.
     """
-    added = {}
-    for name in dict.fromkeys(names):
-        added[TYPE + name] = F.schema_of_variant(F.variant_get(record, path(name), "variant"))
-        added[TEXT + name] = F.try_variant_get(record, path(name), "string")
-    return records.withColumns(added)
+    names = list(dict.fromkeys(names))
+    shape = "struct<" + ", ".join(f"`{n}`: variant" for n in names) + ">"
+    opened = records.withColumn("_fields", F.try_variant_get(record, "$", shape))
+    types = {TYPE + n: F.schema_of_variant(F.col("_fields").getField(n)) for n in names}
+    texts = {TEXT + n: F.col("_fields").getField(n).try_cast("string") for n in names}
+    return opened.withColumns({**types, **texts}).drop("_fields")
 
 
 def field(name: str) -> Field:

@@ -35,7 +35,7 @@ def extreme_moves(
     Result: the series columns, ``from_at``, ``to_at``, ``from_value``, ``to_value``,
     ``pct_change`` and the tie-break columns of the later row.
     """
-    key = F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in series])
+    key = F.concat_ws("\u0001", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\u0000")) for c in series])
     rows = df.select(
         *series, *tiebreak, key.alias("_key"), F.unix_micros(at).alias("_at"), value.alias("_value")
     ).where(F.col("_at").isNotNull() & F.col("_value").isNotNull())

@@ -18,11 +18,10 @@ OHLC = ("open", "high", "low", "close")
 
 def from_json_text(df: DataFrame, batch_id: str, text: str) -> DataFrame:
     """Records from JSON text; text that is no JSON object becomes an empty record."""
-    parsed = F.try_parse_json(text)
-    is_object = F.coalesce(F.schema_of_variant(parsed).startswith("OBJECT"), F.lit(False))
+    parsed = F.when(F.col(text).rlike(r"^\s*\{"), F.try_parse_json(text))
     return df.select(
         F.col(batch_id).alias("batch_id"),
-        F.when(is_object, parsed).otherwise(F.parse_json(F.lit("{}"))).alias("record"),
+        F.coalesce(parsed, F.parse_json(F.lit("{}"))).alias("record"),
     )
 
 

@@ -7,7 +7,7 @@ Everything after that is batch-sized.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -34,6 +34,9 @@ ALL_RULES = (
 )
 
 
+Stage = Callable[[DataFrame], DataFrame]
+
+
 def evaluate(
     batches: DataFrame,
     records: DataFrame,
@@ -46,6 +49,7 @@ def evaluate(
     known_keys: Mapping[str, DataFrame] | None = None,
     source_control: DataFrame | None = None,
     threshold_pct: float = 1000.0,
+    stage: Stage | None = None,
 ) -> DataFrame:
     """One row per batch and rule: ``batch_id, rule_id, status, failed_rows, message``.
 
@@ -54,21 +58,27 @@ def evaluate(
     ``known_keys`` maps a field to a one-column frame of valid values. ``source_control`` has
     ``batch_id, source_count, source_checksum, local_checksum``. Context that is not given leaves
     its rule skipped, never passed.
+
+    ``stage`` stores the parsed form of the records between parsing and the rules (for example
+    ``tables.staged``); without it each rule that needs its own grouping parses them again.
     """
+    shaped = _shape(records, contract, key_field, list(known_keys or ()))
+    if stage is not None:
+        shaped = stage(shaped)
     wide = (
         batches.select("batch_id")
         .distinct()
-        .join(_scan(records, contract), "batch_id", "left")
+        .join(_scan(shaped, contract), "batch_id", "left")
         .withColumn("records", F.coalesce("records", F.lit(0)))
     )
     if expected is not None:
-        wide = wide.join(_completeness(expected, records, key_field), "batch_id", "left")
+        wide = wide.join(_completeness(expected, shaped), "batch_id", "left")
     if known_keys:
-        wide = wide.join(_referential(records, known_keys), "batch_id", "left")
+        wide = wide.join(_referential(shaped, known_keys), "batch_id", "left")
     if source_control is not None:
         wide = wide.join(source_control, "batch_id", "left")
     if "value" in contract.schema:
-        wide = wide.join(_outliers(records, contract, threshold_pct), "batch_id", "left")
+        wide = wide.join(_outliers(shaped, contract, threshold_pct), "batch_id", "left")
     results = F.array(
         _schema_result(),
         _completeness_result(expected is not None),
@@ -83,23 +93,34 @@ def evaluate(
     return wide.select("batch_id", F.inline(results))
 
 
-def _scan(records: DataFrame, contract: DataContract) -> DataFrame:
-    names = [*contract.primary_key, "observed_at"]
-    flagged = rows.row_flags(R.unpack(records, [n for n in names if n not in contract.schema]), contract)
-    flags = [c for c in ("value_bad", "ohlc_bad", "volume_bad") if c in flagged.columns]
-    range_rows = sum((F.col(c).cast("int") for c in flags), F.lit(0))
-    keyed = flagged.select(
+def _shape(records: DataFrame, contract: DataContract, key_field: str, known: list[str]) -> DataFrame:
+    """What the rules need of each record, in narrow typed columns; the record itself stays behind."""
+    names = [*contract.schema, *contract.primary_key, "observed_at", "value", key_field, *known]
+    fields = R.unpack(records, names)
+    findings = rows.schema_findings(contract)
+    flags = rows.range_flags(contract)
+    return fields.select(
         "batch_id",
-        *[R.field(name).identity().alias(f"_k{i}") for i, name in enumerate(contract.primary_key)],
-        F.col("schema_bad").cast("bigint").alias("_schema"),
-        range_rows.cast("bigint").alias("_range"),
-        R.field("observed_at").as_instant().alias("_at"),
+        *[R.field(n).identity().alias(f"key_{n}") for n in contract.primary_key],
+        *[F.struct(R.field(n).present.alias("present"), R.field(n).text.alias("text")).alias(f"fk_{n}") for n in known],
+        R.field(key_field).text.alias("expected_key"),
+        R.field("observed_at").as_instant().alias("at"),
+        R.field("value").as_float().alias("value"),
+        *[flag.alias(name) for name, flag in flags.items()],
+        *[(F.size(found) > 0).alias(f"has_{name}") for name, found in findings.items()],
     )
-    per_key = keyed.groupBy("batch_id", *[f"_k{i}" for i in range(len(contract.primary_key))]).agg(
+
+
+def _scan(shaped: DataFrame, contract: DataContract) -> DataFrame:
+    key = [f"`key_{n}`" for n in contract.primary_key]
+    flags = [c for c in ("value_bad", "ohlc_bad", "volume_bad") if c in shaped.columns]
+    bad_range = sum((F.count_if(F.col(c)) for c in flags), F.lit(0))
+    bad_schema = F.col("has_missing") | F.col("has_extra") | F.col("has_type_errors")
+    per_key = shaped.groupBy("batch_id", *key).agg(
         F.count("*").alias("_n"),
-        F.sum("_schema").alias("_schema"),
-        F.sum("_range").alias("_range"),
-        F.max("_at").alias("_at"),
+        F.count_if(bad_schema).alias("_schema"),
+        bad_range.cast("bigint").alias("_range"),
+        F.max("at").alias("_at"),
     )
     return per_key.groupBy("batch_id").agg(
         F.sum("_n").alias("records"),
@@ -110,31 +131,40 @@ def _scan(records: DataFrame, contract: DataContract) -> DataFrame:
     )
 
 
-def _completeness(expected: DataFrame, records: DataFrame, key_field: str) -> DataFrame:
-    actual = records.select(
-        "batch_id", R.field_text("record", key_field).alias("expected_key")
+def _completeness(expected: DataFrame, shaped: DataFrame) -> DataFrame:
+    """Expected keys start as misses, records as hits; one aggregate per key settles both.
+
+    Records collapse to one row per key on the map side, and no join is needed.
+    """
+    wanted = expected.select("batch_id", "expected_key", F.lit(1).alias("wanted"), F.lit(0).alias("seen"))
+    found = shaped.select("batch_id", "expected_key", F.lit(0).alias("wanted"), F.lit(1).alias("seen"))
+    per_key = (
+        wanted.unionByName(found)
+        .groupBy("batch_id", "expected_key")
+        .agg(F.max("wanted").alias("wanted"), F.max("seen").alias("seen"))
     )
-    calendar = expected.select("batch_id", "expected_key").distinct()
-    missing = sets.missing_keys(calendar, actual, ["batch_id", "expected_key"])
-    counted = missing.groupBy("batch_id").agg(F.count("*").alias("missing_rows"))
-    return calendar.select("batch_id").distinct().join(counted, "batch_id", "left").select(
-        "batch_id", F.coalesce("missing_rows", F.lit(0)).alias("missing_rows")
+    gap = (F.col("wanted") == 1) & (F.col("seen") == 0)
+    return (
+        per_key.groupBy("batch_id")
+        .agg(F.max("wanted").alias("wanted"), F.count_if(gap).alias("missing_rows"))
+        .select("batch_id", F.when(F.col("wanted") == 1, F.col("missing_rows")).alias("missing_rows"))
     )
 
 
-def _referential(records: DataFrame, known_keys: Mapping[str, DataFrame]) -> DataFrame:
-    """Fields are unfolded in place, so all foreign keys share one scan and one anti join."""
+def _referential(shaped: DataFrame, known_keys: Mapping[str, DataFrame]) -> DataFrame:
+    """Fields are unfolded in place, so all foreign keys share one scan and one anti join, which
+    sees one row per (batch, field, key)."""
     fields = F.array(
         *[
             F.struct(
                 F.lit(name).alias("field"),
-                R.field(name).type.alias("kind"),
-                R.field(name).text.alias("key"),
+                F.col(f"`fk_{name}`.present").alias("present"),
+                F.col(f"`fk_{name}`.text").alias("key"),
             )
             for name in known_keys
         ]
     )
-    present = R.unpack(records, known_keys).select("batch_id", F.inline(fields)).where("kind is not null")
+    present = shaped.select("batch_id", F.inline(fields)).where("present")
     per_key = present.groupBy("batch_id", "field", "key").agg(F.count("*").alias("n"))
     known = None
     for name, frame in known_keys.items():
@@ -149,20 +179,12 @@ def _referential(records: DataFrame, known_keys: Mapping[str, DataFrame]) -> Dat
     )
 
 
-def _outliers(records: DataFrame, contract: DataContract, threshold_pct: float) -> DataFrame:
-    series = [f"_s{i}" for i in range(len(contract.series_key()))]
-    shaped = R.unpack(records, [*contract.series_key(), "observed_at", "value"]).select(
-        "batch_id",
-        *[
-            R.field(name).identity().alias(alias)
-            for alias, name in zip(series, contract.series_key(), strict=True)
-        ],
-        R.field("observed_at").as_instant().alias("_ts"),
-        R.field("value").as_float().alias("_v"),
-    )
-    readable = R.keep(shaped, F.col("_ts").isNotNull() & F.col("_v").isNotNull())
+def _outliers(shaped: DataFrame, contract: DataContract, threshold_pct: float) -> DataFrame:
+    series = [f"key_{n}" for n in contract.series_key()]
+    narrow = shaped.select("batch_id", *[f"`{c}`" for c in series], "at", "value")
+    readable = R.keep(narrow, F.col("at").isNotNull() & F.col("value").isNotNull())
     moves = adjacency.extreme_moves(
-        readable, ["batch_id", *series], F.col("_ts"), F.col("_v"), ["_v"], threshold_pct
+        readable, ["batch_id", *series], F.col("at"), F.col("value"), ["value"], threshold_pct
     )
     return moves.groupBy("batch_id").agg(F.count("*").alias("outlier_rows"))
 

@@ -37,18 +37,13 @@ def json_parser(array: str, date: str, value: str, vintage: str) -> Parser:
 
     def parse(bronze: DataFrame) -> DataFrame:
         text = F.decode("payload", "UTF-8")
+        carried = [c for c in bronze.columns if c != "payload"]
         exploded = bronze.select(
-            "bronze_id",
-            "source_id",
-            "dataset_id",
-            "retrieved_at",
+            *carried,
             F.explode(F.from_json(text, schema).getField(array)).alias("item"),
         )
         return exploded.select(
-            "bronze_id",
-            "source_id",
-            "dataset_id",
-            "retrieved_at",
+            *carried,
             F.col("item").getField(date).alias("date_text"),
             F.col("item").getField(value).alias("value_text"),
             F.col("item").getField(vintage).alias("vintage_text"),
@@ -76,8 +71,12 @@ def parse(bronze: DataFrame, parsers: Mapping[str, Parser]) -> DataFrame:
 
 
 def mapped_only(bronze: DataFrame, dataset_map: DataFrame) -> DataFrame:
-    """Drop payloads of unmapped datasets before any of them is decoded."""
-    return bronze.join(dataset_map.select("dataset_id"), "dataset_id", "left_semi")
+    """Payloads of mapped datasets with their indicator and geography.
+
+    Joined before the payloads are decoded: unmapped ones are never parsed, and the join handles
+    one row per payload rather than one per observation.
+    """
+    return bronze.join(dataset_map.select("dataset_id", "indicator_id", "geo_code"), "dataset_id")
 
 
 def type_records(records: DataFrame) -> DataFrame:
@@ -107,14 +106,21 @@ def newest_retrieval(typed: DataFrame) -> DataFrame:
 
     ``max`` of a struct instead of a window: every task reduces each key to one row before the
     shuffle, so a key with very many copies costs no more than any other. The period is carried
-    as its first day, from which label and end follow.
+    as its first day, from which label and end follow, and the id as bytes, half its text.
     """
-    newest = F.max(F.struct("retrieved_at", "bronze_id", "value")).alias("newest")
+    key = ["indicator_id", "geo_code", "period_start", "vintage_date"]
+    packed_id = F.unhex("bronze_id").alias("packed_id")
+    newest = F.max(F.struct("retrieved_at", packed_id, "value")).alias("newest")
     return (
         typed.withColumn("period_start", periods.period_start("observed_date"))
-        .groupBy("indicator_id", "geo_code", "period_start", "vintage_date")
+        .groupBy(*key)
         .agg(newest)
-        .select("indicator_id", "geo_code", "period_start", "vintage_date", "newest.*")
+        .select(
+            *key,
+            "newest.retrieved_at",
+            "newest.value",
+            F.lower(F.hex("newest.packed_id")).alias("bronze_id"),
+        )
     )
 
 
@@ -127,19 +133,17 @@ def conform(
 ) -> Conformed:
     """Bronze payloads to observations.
 
-    The map and the indicator dimension are joined to each other first, so the large side meets
-    one small relation for routing; unit and adjustment are attached after the reduction.
+    Payloads are routed by the map before parsing; unit and adjustment are attached after the
+    reduction, which also drops indicators the dimension does not know. Both are equi joins with a
+    reference table, broadcast by Spark when its size allows.
     """
-    routes = dataset_map.join(
-        dim_indicator.select("indicator_id"), "indicator_id", "left_semi"
-    ).select("dataset_id", "indicator_id", "geo_code")
-    typed = type_records(parse(mapped_only(bronze, routes), parsers))
+    typed = type_records(parse(mapped_only(bronze, dataset_map), parsers))
     usable = typed.where(
         F.col("observed_date").isNotNull()
         & F.col("vintage_date").isNotNull()
         & F.col("value").isNotNull()
     )
-    reduced = newest_retrieval(usable.join(routes, "dataset_id"))
+    reduced = newest_retrieval(usable)
     described = reduced.join(
         dim_indicator.select("indicator_id", "unit", "seasonal_adjustment"), "indicator_id"
     )

@@ -13,7 +13,8 @@ from tidemark.functions import records as R
 from tidemark.operators import adjacency, runs
 from tidemark.operators.quality import metadata, rows, sets, verdict
 from tidemark.plans.registry import RECORDS, query
-from tidemark.sources import star as S
+from tidemark.session import scratch_path
+from tidemark.sources import star as S, tables
 from tidemark.sources.star import Star
 
 
@@ -312,6 +313,7 @@ def _results(star: Star) -> DataFrame:
         known_keys={"source_id": sources},
         source_control=control,
         threshold_pct=100.0,
+        stage=lambda shaped: tables.staged(shaped, scratch_path(star.spark, "records")),
     )
 
 

@@ -33,7 +33,9 @@ class Star:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        setattr(self, name, table)  # opened once: every open reads a footer in a job of its own
+        return table
 
 
 def vintage_digit() -> Column:

@@ -46,6 +46,16 @@ def _rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
 
 
+def staged(df: DataFrame, path: str) -> DataFrame:
+    """Write an intermediate result to shared storage and go on from there.
+
+    Used where several steps start from one expensive projection: it is computed once, and a lost
+    executor costs a re-read of the stored columns instead of the whole computation.
+    """
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Audit append: one row per attempt, never keyed by content."""
     writer = _rebalanced(df, partition_by).write.mode("append")

@@ -57,10 +57,8 @@ def validate_and_route(
         batch = batch.persist()
         try:
             records = rows.from_json_text(batch, "batch_id", "line")
-            found = verdict.verdicts(
-                verdict.evaluate(batch.select("batch_id"), records, contract, **context)
-            )
-            judged = found.persist()
+            results = verdict.evaluate(batch.select("batch_id"), records, contract, **context)
+            judged = verdict.verdicts(results).persist()
             for outcome in ("validated", "quarantined"):
                 chosen = judged.where(F.col("outcome") == outcome).select("batch_id")
                 routed = batch.join(chosen, "batch_id", "left_semi")
