@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,89 +34,68 @@ def source_date(text: Column | str) -> Column:
 
 
 # Fixed patterns: ISO-8601 dates and times as accepted for contract types.
-_EXTENDED = r"\d{4}-\d{2}-\d{2}"
-_BASIC = r"\d{8}"
-_WEEK = r"\d{4}-W\d{2}(?:-\d)?|\d{4}W\d{2}\d?"
-_CLOCK = r"\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d+)?)?)?|\d{4}(?:\d{2}(?:[.,]\d+)?)?"
-_ZONE = r"[+-](?:\d{2}(?::\d{2}(?::\d{2}(?:\.\d+)?)?)?|\d{4}(?:\d{2}(?:\.\d+)?)?)"
-_MOMENT = rf"(?s)^({_EXTENDED}|{_BASIC}|{_WEEK})(?:.({_CLOCK})({_ZONE})?)?$"
+_EXTENDED = r"(?!0000)\d{4}-\d{2}-\d{2}"
+_BASIC = r"(?!0000)\d{8}"
+_WEEK = r"(?!0000)(?:\d{4}-W\d{2}(?:-\d)?|\d{4}W\d{2}\d?)"
+_CLOCK = r"(?:\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d+)?)?)?|\d{4}(?:\d{2}(?:[.,]\d+)?)?)"
+_ZONE = r"(?:Z|[+-](?:\d{2}(?::\d{2}(?::\d{2})?)?|\d{4}(?:\d{2})?))"
 _USUAL_MOMENT = rf"^{_EXTENDED}(?:[T ]\d{{2}}:\d{{2}}:\d{{2}}(?:\.\d{{1,6}})?(?:Z|[+-]\d{{2}}:\d{{2}})?)?$"
-
-
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` over a value that is computed once, for rarely taken branches."""
-    return F.transform(F.array(value), body)[0]
+_MOMENT = rf"(?s)^(?:{_EXTENDED}|{_BASIC}|{_WEEK})(?:.{_CLOCK}(?:[:.,]?{_ZONE})?)?$"
+
+# Rewrites that bring any accepted form to the one Spark casts: day, blank, full clock, +hh:mm.
+_DAY = r"(?s)^(\d{4}-\d{2}-\d{2})"
+_TO_USUAL = (
+    (r"[:.,](?=[+-])", ""),
+    (r"^(\d{4})(\d{2})(\d{2})(?!\d)", "$1-$2-$3"),
+    (_DAY + r".(\d{2})(?=$|[+-])", "$1 $2:00:00"),
+    (_DAY + r".(\d{2}):?(\d{2})(?=$|[+-])", "$1 $2:$3:00"),
+    (_DAY + r".(\d{2})(\d{2})(\d{2})(?=$|[.,+-])", "$1 $2:$3:$4"),
+    (_DAY + r".(\d{2}:\d{2}:\d{2})", "$1 $2"),
+    (r"(:\d{2})[.,](\d{1,6})\d*", "$1.$2"),
+    (r"( \S+[+-]\d{2})(\d{2})(\d{2})?$", "$1:$2:$3"),
+    (r"( \S+[+-]\d{2}:\d{2}):(?:00)?$", "$1"),
+    (r"( \S+[+-]\d{2})$", "$1:00"),
+)
 
 
 def iso_date(text: Column | str) -> Column:
     """Date from extended, basic or week-date ISO text; null if it is not one."""
     text = _col(text)
-    usual = F.when(text.rlike(rf"^{_EXTENDED}$") & ~text.startswith("0000"), text.try_cast("date"))
-    other = F.when(text.rlike(rf"^(?:{_BASIC}|{_WEEK})$"), _let(text, _unusual_date))
-    return F.coalesce(usual, other)
-
-
-def _unusual_date(text: Column) -> Column:
-    year = F.substring(text, 1, 4)
-    basic = F.concat_ws("-", year, F.substring(text, 5, 2), F.substring(text, 7, 2)).try_cast("date")
-    by_week = _let(
-        F.struct(
-            F.concat(year, F.lit("-01-04")).try_cast("date").alias("january_fourth"),
-            F.regexp_extract(text, r"W(\d{2})", 1).try_cast("int").alias("week"),
-            F.coalesce(F.regexp_extract(text, r"W\d{2}-?(\d)$", 1).try_cast("int"), F.lit(1)).alias("day"),
-            year.try_cast("int").alias("year"),
-        ),
-        _week_date,
+    dashed = F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
+    return F.when(text.rlike(rf"^(?:{_EXTENDED}|{_BASIC})$"), dashed.try_cast("date")).when(
+        text.rlike(rf"^{_WEEK}$"), _week_date(text)
     )
-    return F.when(year != "0000", F.when(text.contains("W"), by_week).otherwise(basic))
 
 
-def _week_date(part: Column) -> Column:
+def _week_date(text: Column) -> Column:
     """A week belongs to the year its Thursday falls in, which rules out week 53 of a short year."""
-    monday = F.date_add(F.trunc(part["january_fourth"], "week"), (part["week"] - 1) * 7)
-    exists = (part["week"] >= 1) & (F.year(F.date_add(monday, 3)) == part["year"])
-    return F.when(exists & part["day"].between(1, 7), F.date_add(monday, part["day"] - 1))
+    year = F.substring(text, 1, 4)
+    week = F.regexp_extract(text, r"W(\d{2})", 1).try_cast("int")
+    day = F.coalesce(F.regexp_extract(text, r"W\d{2}-?([1-9])", 1).try_cast("int"), F.lit(1))
+    weekday_fits = ~text.rlike(r"W\d{2}-?[089]")
+    first_monday = F.trunc(F.concat(year, F.lit("-01-04")).try_cast("date"), "week")
+    thursday = F.date_add(first_monday, (week - 1) * 7 + 3)
+    fits = (week >= 1) & (F.year(thursday) == year.try_cast("int")) & weekday_fits
+    return F.when(fits, F.date_add(first_monday, (week - 1) * 7 + day - 1))
 
 
 def iso_instant(text: Column | str) -> Column:
-    """Instant from ISO text with any separator; without an offset it is taken as UTC."""
-    text = _col(text)
-    usual = F.when(text.rlike(_USUAL_MOMENT) & ~text.startswith("0000"), text.try_cast("timestamp"))
-    other = F.when(text.isNotNull(), _let(F.regexp_replace(text, "Z", "+00:00"), _unusual_instant))
-    return F.coalesce(usual, other)
-
-
-def _unusual_instant(text: Column) -> Column:
-    digits = F.regexp_replace(F.regexp_extract(text, _MOMENT, 2), ":", "")
-    zone = F.regexp_extract(text, _MOMENT, 3)
-    parts = F.struct(
-        iso_date(F.regexp_extract(text, _MOMENT, 1)).alias("day"),
-        digits.alias("clock"),
-        F.regexp_replace(zone, "[:+-]", "").alias("zone"),
-        F.when(zone.startswith("-"), F.lit(-1)).otherwise(F.lit(1)).alias("sign"),
-        F.rpad(F.regexp_extract(digits, r"[.,](\d+)", 1), 6, "0").cast("bigint").alias("fraction"),
+    """Instant from ISO text with any separator; without an offset it is taken as UTC.
+
+    The usual form is cast as it is; other forms are rewritten to it first. Offsets reach 18 hours.
+    """
+    given = _col(text)
+    text = F.regexp_replace(given, "Z", "+00:00")
+    after_week = F.regexp_replace(text, rf"^{_WEEK}", "")
+    usual = F.when(text.rlike(rf"^{_WEEK}"), F.concat(_week_date(text).cast("string"), after_week)).otherwise(text)
+    for pattern, replacement in _TO_USUAL:
+        usual = F.regexp_replace(usual, pattern, replacement)
+    return F.when(given.rlike(_USUAL_MOMENT), given.try_cast("timestamp")).when(
+        text.rlike(_MOMENT), usual.try_cast("timestamp")
     )
-    return F.when(text.rlike(_MOMENT), _let(parts, _assemble))
-
-
-def _assemble(part: Column) -> Column:
-    def two(source: Column, at: int) -> Column:
-        return F.coalesce(F.substring(source, at, 2).try_cast("int"), F.lit(0))
-
-    clock = [two(part["clock"], at) for at in (1, 3, 5)]
-    zone = [two(part["zone"], at) for at in (1, 3, 5)]
-    valid = F.lit(True)
-    for hour, minute, second in (clock, zone):
-        valid = valid & (hour < 24) & (minute < 60) & (second < 60)
-
-    def seconds(hour: Column, minute: Column, second: Column) -> Column:
-        return hour * 3600 + minute * 60 + second
-
-    whole = F.unix_date(part["day"]).cast("bigint") * 86_400 + seconds(*clock) - part["sign"] * seconds(*zone)
-    return F.when(valid, F.timestamp_micros(whole * 1_000_000 + part["fraction"]))
 
 
 def aware_instant(text: Column | str) -> Column:
     """Instant from text that names its zone; null for naive text, which must be rejected."""
     text = _col(text)
-    return F.when(text.rlike(rf"\d[T ](?:{_CLOCK})(?:Z|{_ZONE})$"), iso_instant(text))
+    return F.when(text.rlike(rf"\d[T ]{_CLOCK}{_ZONE}$"), iso_instant(text))

@@ -10,10 +10,13 @@ from pyspark.sql import SparkSession
 # Runtime SQL settings only, so that they can be applied to a session somebody else built.
 # UTC: every timestamp in the model is an instant in UTC.
 # inferTimestampNTZ: zone-less Parquet timestamps load as such instants too.
+# hugeMethodLimit: the JIT leaves methods above 8000 bytes of bytecode uncompiled, so a stage whose
+# generated loop is larger runs faster as split per-operator code.
 # forceOptimizeSkewedJoin: AQE may split a hot join key even when that costs a later exchange.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "false",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
