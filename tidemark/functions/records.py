@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 from tidemark.functions import periods
 
 # Fixed patterns: number text accepted for decimal fields and for float comparisons.
-_DECIMAL_TEXT = r"(?i)^[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|inf(?:inity)?|s?nan\d*)$"
+_BLANK = r"[\s\x85\p{Z}]"
+_DECIMAL_BLANK = r"[\s\x1c-\x1f\x85\p{Z}]"
+_DECIMAL_TEXT = rf"(?i)^{_DECIMAL_BLANK}*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|inf(?:inity)?|s?nan\d*){_DECIMAL_BLANK}*$"
+_DIGITS = r"\d+(?:_\d+)*"
 _FLOAT_TEXT = (
-    r"(?i)^\s*[+-]?(?:(?:\d+(?:_\d+)*\.?(?:\d+(?:_\d+)*)?|\.\d+(?:_\d+)*)(?:e[+-]?\d+(?:_\d+)*)?"
-    r"|inf(?:inity)?|nan)\s*$"
+    rf"(?i)^{_BLANK}*[+-]?(?:(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:e[+-]?{_DIGITS})?"
+    rf"|inf(?:inity)?|nan){_BLANK}*$"
 )
 
 
@@ -127,10 +130,9 @@ def field_names(record: Column | str) -> Column:
 
 
 def is_decimal_text(text: Column) -> Column:
-    bare = F.regexp_replace(text, r"^\s+|\s+$|_", "")
-    return F.coalesce(bare.rlike(_DECIMAL_TEXT), F.lit(False))
+    return F.coalesce(F.regexp_replace(text, "_", "").rlike(_DECIMAL_TEXT), F.lit(False))
 
 
 def float_of_text(text: Column) -> Column:
     """Double from number text, null for anything else (Spark alone would accept '1d')."""
-    return F.when(text.rlike(_FLOAT_TEXT), F.regexp_replace(text, r"[\s_]", "").try_cast("double"))
+    return F.when(text.rlike(_FLOAT_TEXT), F.regexp_replace(text, rf"{_BLANK}|_", "").try_cast("double"))
