@@ -214,6 +214,33 @@ def test_stored_run_is_repeatable(spark, dims, tmp_path):
     assert traced.count() == 3
 
 
+def test_incremental_run_rebuilds_only_what_changed(spark, dims, tmp_path):
+    other = dims.dataset_map.withColumns({"dataset_id": F.lit("other"), "indicator_id": F.lit("x")})
+    wide = pipeline.Dimensions(
+        dims.dataset_map.unionByName(other),
+        dims.indicators.unionByName(dims.indicators.withColumn("indicator_id", F.lit("x"))),
+    )
+    root, layout = (tmp_path / "in").as_uri(), pipeline.Layout(str(tmp_path / "tables"))
+    first = objects(spark, (INITIAL, "2024-02-01T09:00"))
+    landing.land_files(first, root)
+    landing.land_files(landing.address(first.withColumn("dataset_id", F.lit("other"))), root)
+
+    def run(day, incremental):
+        when = datetime(2030, 1, day, tzinfo=timezone.utc)
+        pipeline.run(spark, str(tmp_path / "in"), layout, wide, when, "1", incremental=incremental)
+        rows = pipeline.read_observations(spark, layout).collect()
+        return {(r.indicator_id, r.processed_at.day) for r in rows}, len(rows)
+
+    assert run(1, False) == ({("cpi_us", 1), ("x", 1)}, 6)
+    landing.land_files(objects(spark, (REVISION, "2024-03-01T09:00")), root)
+    assert run(2, True) == ({("cpi_us", 2), ("x", 1)}, 7)
+    assert pipeline.read_kpis(spark, layout).count() == 6
+    narrow = pipeline.Dimensions(dims.dataset_map, wide.indicators)
+    pipeline.run(spark, str(tmp_path / "in"), layout, narrow, RUN_AT, "1")
+    assert pipeline.read_observations(spark, layout).where("indicator_id = 'x'").count() == 0
+    assert gold.at_period(pipeline.read_kpis(spark, layout), "2023-11").where("value = 307.9").count() == 1
+
+
 def test_stored_run_dead_letters_and_replay(spark, dims, tmp_path):
     key = "raw/fred/fred_cpiaucsl/date=2024-02-01/" + "0" * 64 + ".json"
     target = tmp_path / "in" / key

@@ -1,14 +1,14 @@
 """Comparing neighbours in very long series without one task per series.
 
 A window over a series puts the whole series into one task. Here rows are range-partitioned on
-(series, time, tie-break), so a series of any length spreads over as many tasks as it needs,
-and each task compares the neighbours inside its range. Every task also emits its first and
-last row; the pairs that straddle two tasks are found among those, at most two rows per task.
+(series, order), so a series of any length spreads over as many tasks as it needs, and each task
+compares the neighbours inside its range. Every task also emits its first and last row; the pairs
+that straddle two tasks are found among those, at most two rows per task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -19,105 +19,145 @@ from pyspark.sql import types as T
 
 INSIDE, FIRST, LAST = 0, 1, 2
 SALTS = 64
+PREV = "_prev_"
 
+ArrowTest = Callable[[pa.Table, pa.Table], np.ndarray]
 
-def extreme_moves(
+
+def neighbours(
     df: DataFrame,
     series: Sequence[str],
-    at: Column,
-    value: Column,
-    tiebreak: Sequence[str] = (),
-    threshold_pct: float = 1000.0,
+    order: Sequence[str],
+    carried: Sequence[str],
+    arrow_test: ArrowTest,
+    column_test: Column,
 ) -> DataFrame:
-    """Adjacent pairs whose absolute change exceeds ``threshold_pct`` percent of the earlier value.
+    """Rows that pass a test against the row before them in their series, with ``_prev_`` columns
+    of the carried ones.
 
-    Rows without a time or value take no part; a pair whose earlier value is zero is passed over.
-    Result: the series columns, ``from_at``, ``to_at``, ``from_value``, ``to_value``,
-    ``pct_change`` and the tie-break columns of the later row.
+    The test comes twice: ``arrow_test`` over (rows, rows before) inside a range and
+    ``column_test`` over a column and its ``_prev_`` column for pairs across ranges.
     """
-    key = F.concat_ws("\u0001", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\u0000")) for c in series])
-    rows = df.select(
-        *series, *tiebreak, key.alias("_key"), F.unix_micros(at).alias("_at"), value.alias("_value")
-    ).where(F.col("_at").isNotNull() & F.col("_value").isNotNull())
-    order = ["_key", "_at", *tiebreak]
-    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    schema = T.StructType(
-        [
-            *ordered.schema.fields,
-            T.StructField("_prev_at", T.LongType()),
-            T.StructField("_prev_value", T.DoubleType()),
-            T.StructField("_edge", T.IntegerType()),
-        ]
-    )
-    found = ordered.mapInArrow(_scanner(threshold_pct), schema)
+    parts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\u0000")) for c in series]
+    keyed = df.withColumn("_key", F.concat_ws("\u0001", *parts))
+    ordered = keyed.repartitionByRange("_key", *order).sortWithinPartitions("_key", *order)
+    before = [T.StructField(PREV + c, keyed.schema[c].dataType) for c in carried]
+    schema = T.StructType([*keyed.schema.fields, *before, T.StructField("_edge", T.IntegerType())])
+    found = ordered.mapInArrow(_scanner(list(carried), arrow_test), schema)
 
     # Pairs inside a range are already decided and only need to stay out of the way of the edges.
-    lane = F.when(F.col("_edge") == INSIDE, 1 + F.pmod(F.hash("_at", *tiebreak), F.lit(SALTS))).otherwise(0)
-    edges = Window.partitionBy("_key", lane).orderBy("_at", *tiebreak, "_edge")
+    inside = F.col("_edge") == INSIDE
+    lane = F.when(inside, 1 + F.pmod(F.hash(*order), F.lit(SALTS))).otherwise(0)
+    edges = Window.partitionBy("_key", lane).orderBy(*order, "_edge")
     paired = found.withColumns(
         {
-            "_prev_at": F.when(F.col("_edge") == INSIDE, F.col("_prev_at")).otherwise(
-                F.lag("_at").over(edges)
-            ),
-            "_prev_value": F.when(F.col("_edge") == INSIDE, F.col("_prev_value")).otherwise(
-                F.lag("_value").over(edges)
-            ),
+            **{
+                PREV + c: F.when(inside, F.col(PREV + c)).otherwise(F.lag(c).over(edges)) for c in carried
+            },
+            "_has_prev": inside | F.lag("_edge").over(edges).isNotNull(),
         }
-    ).where(F.col("_edge") != LAST)
-    change = F.abs((F.col("_value") - F.col("_prev_value")) / F.nullif("_prev_value", F.lit(0.0))) * 100
-    moves = paired.withColumn("pct_change", change)
-    return moves.where((F.col("pct_change") > threshold_pct) & ~F.isnan("pct_change")).select(
-        *series,
-        *tiebreak,
-        F.timestamp_micros("_prev_at").alias("from_at"),
-        F.timestamp_micros("_at").alias("to_at"),
-        F.col("_prev_value").alias("from_value"),
-        F.col("_value").alias("to_value"),
-        "pct_change",
     )
+    straddling = (F.col("_edge") == FIRST) & F.col("_has_prev") & column_test
+    return paired.where(inside | straddling).drop("_key", "_edge", "_has_prev")
 
 
-def _scanner(threshold_pct: float):
+def _scanner(carried: list[str], test: ArrowTest):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carry: pa.Table | None = None
         seen = 0
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            current = pa.Table.from_batches([batch])
+            rows = pa.Table.from_batches([batch])
             if carry is None:
-                yield from _mark(current.slice(0, 1), None, None, FIRST)
-                joined = current
+                yield from _marked(rows.slice(0, 1), None, carried, FIRST)
             else:
-                joined = pa.concat_tables([carry, current])
+                rows = pa.concat_tables([carry, rows])
             seen += batch.num_rows
-            yield from _inside(joined, threshold_pct)
-            carry = joined.slice(joined.num_rows - 1, 1)
+            if rows.num_rows > 1:
+                later, earlier = rows.slice(1), rows.slice(0, rows.num_rows - 1)
+                same = pc.equal(later.column("_key"), earlier.column("_key")).to_numpy()
+                hit = pa.array(np.flatnonzero(same & test(later, earlier)))
+                if len(hit):
+                    yield from _marked(later.take(hit), earlier.take(hit), carried, INSIDE)
+            carry = rows.slice(rows.num_rows - 1, 1)
         if carry is not None and seen > 1:
-            yield from _mark(carry, None, None, LAST)
+            yield from _marked(carry, None, carried, LAST)
 
     return scan
 
 
-def _inside(rows: pa.Table, threshold_pct: float) -> Iterator[pa.RecordBatch]:
-    if rows.num_rows < 2:
-        return
-    key = rows.column("_key").combine_chunks()
-    same = pc.equal(key.slice(1), key.slice(0, len(key) - 1)).to_numpy(zero_copy_only=False)
-    value = rows.column("_value").to_numpy()
-    at = rows.column("_at").to_numpy()
-    with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
-        change = np.abs((value[1:] - value[:-1]) / value[:-1]) * 100
-    hit = np.flatnonzero(same & (value[:-1] != 0) & (change > threshold_pct))
-    if hit.size:
-        yield from _mark(rows.take(pa.array(hit + 1)), at[hit], value[hit], INSIDE)
-
-
-def _mark(rows: pa.Table, prev_at, prev_value, edge: int) -> Iterator[pa.RecordBatch]:
-    n = rows.num_rows
-    rows = rows.append_column("_prev_at", pa.nulls(n, pa.int64()) if prev_at is None else pa.array(prev_at, pa.int64()))
-    rows = rows.append_column(
-        "_prev_value", pa.nulls(n, pa.float64()) if prev_value is None else pa.array(prev_value, pa.float64())
-    )
-    rows = rows.append_column("_edge", pa.array(np.full(n, edge, dtype=np.int32)))
+def _marked(rows: pa.Table, before: pa.Table | None, carried: list[str], edge: int) -> Iterator[pa.RecordBatch]:
+    for name in carried:
+        kind = rows.schema.field(name).type
+        prev = pa.nulls(rows.num_rows, kind) if before is None else before.column(name)
+        rows = rows.append_column(PREV + name, prev)
+    rows = rows.append_column("_edge", pa.array(np.full(rows.num_rows, edge, dtype=np.int32)))
     yield from rows.combine_chunks().to_batches()
+
+
+def extreme_moves(
+    df: DataFrame,
+    series: Sequence[str],
+    at: Column,
+    value: Column,
+    tiebreak: Sequence[str] = (),
+    threshold_pct: float = 1000.0,
+) -> DataFrame:
+    """Adjacent pairs whose absolute change exceeds ``threshold_pct`` percent of the earlier value.
+
+    Rows without a time or value take no part; a pair whose earlier value is zero is passed over.
+    Result: the series columns, ``from_at``, ``to_at``, ``from_value``, ``to_value``,
+    ``pct_change`` and the tie-break columns of the later row.
+    """
+    rows = df.select(*series, *tiebreak, F.unix_micros(at).alias("_at"), value.alias("_value")).where(
+        F.col("_at").isNotNull() & F.col("_value").isNotNull()
+    )
+    now, before = F.col("_value"), F.col(PREV + "_value")
+    change = F.abs((now - before) / F.nullif(before, F.lit(0.0))) * 100
+    moves = neighbours(
+        rows,
+        series,
+        ["_at", *tiebreak],
+        ["_at", "_value"],
+        _moves_more_than(threshold_pct),
+        (change > threshold_pct) & ~F.isnan(change),
+    )
+    return moves.select(
+        *series,
+        *tiebreak,
+        F.timestamp_micros(PREV + "_at").alias("from_at"),
+        F.timestamp_micros("_at").alias("to_at"),
+        before.alias("from_value"),
+        now.alias("to_value"),
+        change.alias("pct_change"),
+    )
+
+
+def _moves_more_than(threshold_pct: float) -> ArrowTest:
+    def test(later: pa.Table, earlier: pa.Table) -> np.ndarray:
+        now, before = later.column("_value").to_numpy(), earlier.column("_value").to_numpy()
+        with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
+            return (before != 0) & (np.abs((now - before) / before) * 100 > threshold_pct)
+
+    return test
+
+
+def changes(df: DataFrame, series: Sequence[str], order: Sequence[str], fields: Sequence[str]) -> DataFrame:
+    """Rows that differ from the row before them in any of ``fields``; null equals null."""
+    differs = F.lit(False)
+    for name in fields:
+        differs = differs | ~F.col(name).eqNullSafe(F.col(PREV + name))
+    return neighbours(df, series, order, fields, _differ_in(list(fields)), differs)
+
+
+def _differ_in(fields: list[str]) -> ArrowTest:
+    def test(later: pa.Table, earlier: pa.Table) -> np.ndarray:
+        out = np.zeros(later.num_rows, dtype=bool)
+        for name in fields:
+            a, b = later.column(name), earlier.column(name)
+            one_null = pc.xor(pc.is_null(a), pc.is_null(b))
+            out |= pc.or_(pc.fill_null(pc.not_equal(a, b), False), one_null).to_numpy()
+        return out
+
+    return test

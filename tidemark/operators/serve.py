@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions import periods
 from tidemark.functions.records import without_nulls
+from tidemark.operators import adjacency
 from tidemark.operators.gold import SERIES
 from tidemark.sources import tables
 
@@ -268,13 +269,9 @@ def revisions(observations: DataFrame) -> DataFrame:
 
 def metadata_changes(snapshots: DataFrame, key: str, at: str, fields: Sequence[str]) -> DataFrame:
     """Snapshots whose metadata differs from the one before, with the names of changed fields."""
-    before = Window.partitionBy(key).orderBy(at)
-    prior = {f"_p_{f}": F.lag(F.struct(f)).over(before) for f in fields}
-    changed = without_nulls(
-        [F.when(~F.col(f).eqNullSafe(F.col(f"_p_{f}")[f]), F.lit(f)) for f in fields]
-    )
-    compared = snapshots.withColumns(prior).where(F.col(f"_p_{fields[0]}").isNotNull())
-    return compared.withColumn("changed_fields", changed).where(F.size("changed_fields") > 0).drop(*prior)
+    compared = adjacency.changes(snapshots, [key], [at], fields)
+    names = [F.when(~F.col(f).eqNullSafe(F.col(adjacency.PREV + f)), F.lit(f)) for f in fields]
+    return compared.withColumn("changed_fields", without_nulls(names))
 
 
 def period_columns(df: DataFrame, day: str) -> DataFrame:

@@ -67,12 +67,16 @@ def run(
     code_version: str,
     parsers: Mapping[str, silver.Parser] = silver.DEFAULT_PARSERS,
     dates: list[str] | None = None,
+    incremental: bool = False,
 ) -> None:
     """Stored form of the flow. Each stage is written before the next reads it, which cuts the
     lineage at a durable table: losing executors repeats a stage's tasks, never the whole flow.
 
     Bronze grows by the new objects; Silver and Gold are rebuilt from it. A failed run can simply
     be run again: Bronze skips what it holds and the rebuilds replace their slices.
+    With ``incremental`` only the indicators the new objects feed are rebuilt, each of them whole;
+    the others keep their slices. Use it while map and indicator dimension stay as they were, and
+    follow a failed incremental run by a full one.
     """
     bronze_path, silver_path = layout.path("bronze_raw_records"), layout.path("fact_economic_observation")
     existing = tables.read_table(spark, bronze_path, schemas.BRONZE)
@@ -95,20 +99,32 @@ def run(
     append_dead_letters(spark, rejected_entries(loaded.rejected, run_at), layout)
 
     all_bronze = tables.read_table(spark, bronze_path, schemas.BRONZE)
-    conformed = silver.conform(
-        all_bronze, dimensions.dataset_map, dimensions.indicators, run_at, parsers
-    )
-    tables.rebuild(conformed.rows, silver_path, ("indicator_id",))
-    tables.rebuild(conformed.quarantined, layout.path("silver_quarantine"))
+    dataset_map = dimensions.dataset_map
+    if incremental:
+        dataset_map = fed_by(dataset_map, new_rows)
+    conformed = silver.conform(all_bronze, dataset_map, dimensions.indicators, run_at, parsers)
+    tables.rebuild(conformed.rows, silver_path, ("indicator_id",), incremental)
+    tables.rebuild(conformed.quarantined, layout.path("silver_quarantine"), ("dataset_id",), incremental)
     stored = read_observations(spark, layout)
+    if incremental:
+        stored = stored.join(dataset_map.select("indicator_id").distinct(), "indicator_id", "left_semi")
     append_events(stage_events(stored, "silver_data.transformed", "silver", run_at), layout)
 
-    tables.rebuild(gold.kpi(gold.latest_vintage(stored)), layout.path("fact_economic_kpi"), ("indicator_id",))
+    kpi_path = layout.path("fact_economic_kpi")
+    tables.rebuild(gold.kpi(gold.latest_vintage(stored)), kpi_path, ("indicator_id",), incremental)
     kpis = read_kpis(spark, layout)
+    if incremental:
+        kpis = kpis.join(dataset_map.select("indicator_id").distinct(), "indicator_id", "left_semi")
     append_events(stage_events(kpis, "gold_data.published", "gold", run_at), layout)
     append_events(stage_events(kpis, "data_product.ready", "gold", run_at), layout)
 
 
+def fed_by(dataset_map: DataFrame, new_rows: DataFrame) -> DataFrame:
+    """Map rows of every indicator that at least one new object feeds, with all its datasets."""
+    touched = dataset_map.join(new_rows.select("dataset_id").distinct(), "dataset_id", "left_semi")
+    return dataset_map.join(touched.select("indicator_id").distinct(), "indicator_id", "left_semi")
+
+
 def read_observations(spark: SparkSession, layout: Layout) -> DataFrame:
     path = layout.path("fact_economic_observation")
     return tables.read_table(spark, path, schemas.STORED_OBSERVATION)

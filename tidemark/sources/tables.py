@@ -30,16 +30,15 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path)
 
 
-def rebuild(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Full rebuild of a table.
+def rebuild(df: DataFrame, path: str, partition_by: Sequence[str] = (), slices_only: bool = False) -> None:
+    """Full rebuild of a table, or with ``slices_only`` of just the slices present in ``df``.
 
     With ``partition_by``, a rebalance exchange gathers each slice into few files and splits a
-    slice that is too large for one task. Only slices present in ``df`` are replaced.
+    slice that is too large for one task.
     """
-    writer = _rebalanced(df, partition_by).write.mode("overwrite")
-    if partition_by:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
-    writer.parquet(path)
+    mode = "dynamic" if slices_only else "static"
+    writer = _rebalanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", mode)
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
 def _rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -145,4 +144,4 @@ def compact(
     rows = rows.withColumns(
         {"year": F.year(moment), "month": F.month(moment), "day": F.dayofmonth(moment)}
     )
-    rebuild(rows, target, ("year", "month", "day"))
+    rebuild(rows, target, ("year", "month", "day"), slices_only=True)
