@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.contracts import DataContract
 from tidemark.functions import keys
 from tidemark.functions import records as R
-from tidemark.operators import adjacency, runs
+from tidemark.operators import adjacency, runs, serve
 from tidemark.operators.quality import metadata, rows, sets, verdict
 from tidemark.plans.registry import RECORDS, query
 from tidemark.session import scratch_path
@@ -530,8 +530,6 @@ from (select distinct user_id from events) u cross join days d
 left join bars b on b.user_id = u.user_id and b.day = cast(d.day as date)""",
 )
 def gap_marker(star: Star) -> DataFrame:
-    from tidemark.operators import serve
-
     start, stop = (F.lit(d).cast("date") for d in ("2024-01-01", "2024-01-30"))
     expected = sets.calendar(star.events, ["user_id"], start, stop, "1 day", "day")
     bars = star.events.groupBy("user_id", F.to_date("ts").alias("day")).agg(

@@ -5,18 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark import schemas
+from tidemark.contracts import DataContract, typed_record
 from tidemark.functions import keys, periods
+from tidemark.functions import records as R
 from tidemark.operators import bronze, gold, serve, silver
 from tidemark.operators.quality import assertions, rows
 from tidemark.plans import pipeline
 from tidemark.plans.registry import KPI_SELECT, MONTHLY, OBSERVATIONS, query
-from tidemark.sources import landing, star as S, tables
+from tidemark.session import scratch_path
+from tidemark.sources import landing, seeds, star as S, tables
 from tidemark.sources.star import Star
 
 
 def _empty_bronze(star: Star) -> DataFrame:
-    from tidemark import schemas
-
     return star.spark.createDataFrame([], schemas.BRONZE)
 
 
@@ -409,8 +411,6 @@ from observations""",
 )
 def record_shaping(star: Star) -> DataFrame:
     """Raw payloads as contract-shaped records, checked against the contract."""
-    from tidemark.functions import records as R
-
     stored = S.bronze_rows(S.sales_objects(star))
     parsed = silver.parse(stored, S.SALES_PARSERS)
     shaped = rows.from_observations(parsed, F.col("dataset_id"))
@@ -537,3 +537,76 @@ def time_fields_test(star: Star) -> DataFrame:
         F.col("o_orderdate").alias("retrieved_at"),
     )
     return assertions.time_fields_test(rows_)
+
+
+@query(
+    "SRC-07",
+    """select lower('sales_' || c_mktsegment || '_' || replace(r_name, ' ', '-') || '_' || digit) as dataset_id,
+  'orders_feed' as source_id, c_mktsegment as indicator_id, r_name as geo_code, 'monthly' as frequency
+from (select distinct c_mktsegment, r_name from customer join nation on c_nationkey = n_nationkey
+  join region on n_regionkey = r_regionkey) p cross join (select unnest(range(1, 6)) as digit) d""",
+)
+def seed_scan(star: Star) -> DataFrame:
+    """The dataset map written as a seed file and read back with its fixed schema."""
+    path = scratch_path(star.spark, "seed")
+    seed = S.sales_map(star).select(
+        "dataset_id",
+        F.lit(S.SALES_SOURCE).alias("source_id"),
+        "indicator_id",
+        "geo_code",
+        F.lit("monthly").alias("frequency"),
+    )
+    seed.write.option("header", True).csv(path)
+    return seeds.read_dataset_map(star.spark, path)
+
+
+@query(
+    "SNK-01 SRC-08",
+    f"""with {OBSERVATIONS} select indicator_id, geo_code, period, vintage_date, value from observations
+where indicator_id = 'BUILDING' and vintage_date <= date '1998-06-30'""",
+)
+def stored_observations(star: Star) -> DataFrame:
+    """The observation table rebuilt by indicator, then read in place with pruned slices."""
+    path = scratch_path(star.spark, "observations")
+    tables.rebuild(S.observations(star), path, ("indicator_id",))
+    stored = tables.read_table(star.spark, path, schemas.OBSERVATION)
+    return stored.where("indicator_id = 'BUILDING' and vintage_date <= date '1998-06-30'").select(
+        "indicator_id", "geo_code", "period", "vintage_date", "value"
+    )
+
+
+_ORDER_CONTRACT = DataContract.from_mapping(
+    {
+        "dataset": "order_values",
+        "owner": "orders",
+        "source": "orders",
+        "version": 1,
+        "primary_key": ["order_id", "observed_at"],
+        "schema": {
+            "order_id": "string",
+            "observed_at": "timestamp_utc",
+            "booked_on": "date",
+            "value": "decimal(20,8)",
+        },
+    }
+)
+
+
+@query(
+    "SRC-09 DQ-00",
+    """select cast(o_orderkey as varchar) as order_id, o_orderdate as observed_at,
+  cast(o_orderdate as date) as booked_on, cast(o_totalprice as decimal(20,8)) as value from orders""",
+)
+def contract_types(star: Star) -> DataFrame:
+    """Text records brought into the types their contract declares."""
+    packed = rows.from_columns(
+        star.orders,
+        F.lit("orders"),
+        {
+            "order_id": F.col("o_orderkey").cast("string"),
+            "observed_at": F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+            "booked_on": F.date_format("o_orderdate", "yyyy-MM-dd"),
+            "value": F.col("o_totalprice").cast("decimal(20,2)").cast("string"),
+        },
+    )
+    return packed.select(*typed_record(_ORDER_CONTRACT))

@@ -28,7 +28,7 @@ class _Streamed(Star):
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        schema = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet").schema
+        schema = getattr(Star(self.spark, self.sf_dir), name).schema
         reader = self.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
         return reader.parquet(self.sf_dir)
 

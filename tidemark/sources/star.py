@@ -9,6 +9,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.contracts import DataContract
@@ -25,6 +26,9 @@ SALES_SOURCE = "orders_feed"
 SHIPMENTS_SOURCE = "shipments_feed"
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 class Star:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = tune(spark)
@@ -33,8 +37,12 @@ class Star:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        table = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        setattr(self, name, table)  # opened once: every open reads a footer in a job of its own
+        path = f"{self.sf_dir}/{name}.parquet"
+        # A table is opened once and its schema inferred once: inference is a job of its own.
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        table = self.spark.read.schema(_SCHEMAS[path]).parquet(path)
+        setattr(self, name, table)
         return table
 
 
