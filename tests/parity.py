@@ -1,6 +1,6 @@
 """Run registered queries beside their SQL and compare rows.
 
-    python -m tests.parity [--sf 0.01] [name ...]
+    python -m tests.parity [--sf 0.01] [--no-broadcast] [name ...]
 """
 
 from __future__ import annotations
@@ -68,10 +68,14 @@ def compare(spark, con, name: str, sf_dir: str) -> tuple[bool, str]:
 def main() -> int:
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="0.01")
+    parser.add_argument("--no-broadcast", action="store_true", help="force shuffled joins")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
     sf_dir = f"/root/testdata/sf{args.sf}"
     spark, con = local_session(), duck(sf_dir)
+    if args.no_broadcast:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", -1)
     bad = 0
     for name in args.names or entry.queries():
         began = time.time()
