@@ -8,15 +8,21 @@ that straddle two tasks are found among those, at most two rows per task.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The functions below run in Python workers; shipped by value they work on executors where the
+# package is not installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 INSIDE, FIRST, LAST = 0, 1, 2
 SALTS = 64
 PREV = "_prev_"

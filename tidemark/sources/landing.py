@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Iterator
 
 import pyarrow.fs as pafs
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import keys
 from tidemark.sources import tables
 
+# ``land_files`` writes from Python workers, where the package need not be installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def read_landed(
     spark: SparkSession,
