@@ -262,7 +262,7 @@ def revisions(observations: DataFrame) -> DataFrame:
         "period",
         "vintage_date",
         "value",
-        F.row_number().over(vintages).alias("revision"),
+        F.row_number().over(vintages).cast("bigint").alias("revision"),
         F.lag("value").over(vintages).alias("previous_value"),
     ).withColumn("change", F.col("value") - F.col("previous_value"))
 
