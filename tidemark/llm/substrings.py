@@ -7,7 +7,7 @@ indexed:
 1. minimizers that occur in one document only are dropped. Their occurrences are reduced per task, dealt
    by leading hash bits, and leave one bit each in a filter of fixed size;
 2. consecutive windows with one minimizer form a *segment*. A segment that occurs unchanged in an earlier
-   document is settled by the smallest document id of its content;
+   document is settled by the smallest document id of its content. Segments are known by their hash here;
 3. different segments under one minimizer (edges of repeats, edited copies) go to shards. Each shard
    holds an FM-index over a wavelet matrix of its segments; backward search extends the match of each
    segment leftwards word by word, and intervals that reach ``WINDOW`` words give the smallest document
@@ -37,7 +37,8 @@ TOGETHER = 2_000
 #: Segments a shard is meant to hold.
 SHARD_SEGMENTS = 20_000
 
-_SEGMENTS = "m long, seg long, doc_id long, start int, n int, content binary"
+_SEGMENTS = "m long, seg long, doc_id long, start int, n int"
+_CONTENTS = _SEGMENTS + ", content binary"
 
 
 # --- windows and their minimizers -------------------------------------------------------------
@@ -120,11 +121,8 @@ def _filter_slice(blobs: pa.Table, bits: int) -> pa.Table:
     return pa.table({"bucket": blobs["bucket"][:1], "marks": pa.array([np.packbits(marks).tobytes()], pa.binary())})
 
 
-def repeated_filter(docs: DataFrame) -> np.ndarray:
-    """Packed bits by leading ``FILTER_BITS`` bits of a minimizer; always 2**FILTER_BITS of them."""
-    bits = min(max(5, (frames.width(docs.sparkSession) - 1).bit_length()), 14)
-    blobs = docs.mapInArrow(lambda b: _minimizer_blobs(b, bits), "bucket int, keys binary, docs binary")
-    slices = blobs.groupBy("bucket").applyInArrow(lambda t: _filter_slice(t, bits), "bucket int, marks binary")
+def _gathered(slices: DataFrame, bits: int) -> np.ndarray:
+    """The slices of all buckets joined: always 2**FILTER_BITS packed bits."""
     size = 1 << (FILTER_BITS - bits - 3)
     packed = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
     for row in slices.toLocalIterator():
@@ -132,10 +130,47 @@ def repeated_filter(docs: DataFrame) -> np.ndarray:
     return packed
 
 
+def _bucket_bits(docs: DataFrame) -> int:
+    return min(max(5, (frames.width(docs.sparkSession) - 1).bit_length()), 14)
+
+
+def repeated_filter(docs: DataFrame) -> np.ndarray:
+    """Filter by leading bits of the minimizers that occur in two documents."""
+    bits = _bucket_bits(docs)
+    blobs = docs.mapInArrow(lambda b: _minimizer_blobs(b, bits), "bucket int, keys binary, docs binary")
+    slices = blobs.groupBy("bucket").applyInArrow(lambda t: _filter_slice(t, bits), "bucket int, marks binary")
+    return _gathered(slices, bits)
+
+
+def _prefix_slice(rows: pa.Table, bits: int) -> pa.Table:
+    low = rows["prefix"].to_numpy() & ((1 << (FILTER_BITS - bits)) - 1)
+    marks = np.zeros(1 << (FILTER_BITS - bits), bool)
+    marks[low] = True
+    return pa.table({"bucket": rows["bucket"][:1], "marks": pa.array([np.packbits(marks).tobytes()], pa.binary())})
+
+
+def hash_filter(hashes: DataFrame) -> np.ndarray:
+    """Filter by leading bits of a column of hashes."""
+    bits = _bucket_bits(hashes)
+    prefix = F.shiftrightunsigned(hashes[hashes.columns[0]], 64 - FILTER_BITS)
+    rows = hashes.select(prefix.alias("prefix")).distinct()
+    rows = rows.withColumn("bucket", F.shiftright("prefix", FILTER_BITS - bits).cast("int"))
+    slices = rows.groupBy("bucket").applyInArrow(lambda t: _prefix_slice(t, bits), "bucket int, marks binary")
+    return _gathered(slices, bits)
+
+
+def _passes(packed: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    place = (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+    return (packed[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
+
+
 # --- step 2: segments -------------------------------------------------------------------------
 
 
-def _segments(batches: Iterator[pa.RecordBatch], packed: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _segments(
+    batches: Iterator[pa.RecordBatch], repeated: np.ndarray, wanted: np.ndarray | None = None
+) -> Iterator[pa.RecordBatch]:
+    """Segments under repeated minimizers; with ``wanted``, only those it passes, with their word hashes."""
     for batch in batches:
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
         for begin, end, data, offsets in words.chunks(batch.column("text")):
@@ -143,24 +178,24 @@ def _segments(batches: Iterator[pa.RecordBatch], packed: np.ndarray) -> Iterator
             first, minimizer, owner = windows(found)
             runs = _runs(minimizer, owner, first)
             size = np.diff(np.append(runs, len(first)))
-            place = (minimizer[runs] >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-            passed = (packed[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
+            passed = _passes(repeated, minimizer[runs])
             runs, size = runs[passed], size[passed]
             start, stop = first[runs], first[runs] + size + WINDOW - 1
-            raw = memoryview(found.hashes.astype("<u8").tobytes())
-            content = [raw[8 * a : 8 * b] for a, b in zip(start, stop, strict=True)]
-            seg = [int.from_bytes(hashlib.blake2b(c, digest_size=8).digest(), "little", signed=True) for c in content]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(minimizer[runs].view(np.int64)),
-                    pa.array(seg, pa.int64()),
-                    pa.array(ids[begin:end][owner[runs]]),
-                    pa.array((start - found.bounds[owner[runs]]).astype(np.int32)),
-                    pa.array(size.astype(np.int32)),
-                    pa.array(content, pa.binary()),
-                ],
-                ["m", "seg", "doc_id", "start", "n", "content"],
-            )
+            seg = words.spans(found.hashes, start, stop)
+            if wanted is not None:
+                passed = _passes(wanted, seg)
+                runs, size, start, stop, seg = (x[passed] for x in (runs, size, start, stop, seg))
+            columns = {
+                "m": pa.array(minimizer[runs].view(np.int64)),
+                "seg": pa.array(seg.view(np.int64)),
+                "doc_id": pa.array(ids[begin:end][owner[runs]]),
+                "start": pa.array((start - found.bounds[owner[runs]]).astype(np.int32)),
+                "n": pa.array(size.astype(np.int32)),
+            }
+            if wanted is not None:
+                raw = found.hashes.astype("<u8").tobytes()
+                columns["content"] = pa.array([raw[8 * a : 8 * b] for a, b in zip(start, stop, strict=True)], pa.binary())
+            yield pa.RecordBatch.from_pydict(columns)
 
 
 # --- step 3: FM-index of a shard --------------------------------------------------------------
@@ -286,18 +321,19 @@ def _search_shard(rows: pa.Table) -> pa.Table:
 def _covered(docs: DataFrame) -> DataFrame:
     """(doc_id, start, stop): word ranges covered by windows that start in an earlier document."""
     spark = docs.sparkSession
-    bitmap = spark.sparkContext.broadcast(repeated_filter(docs))
-    seen = frames.stored(docs.mapInArrow(lambda b: _segments(b, bitmap.value), _SEGMENTS), "segments")
+    share = spark.sparkContext.broadcast
+    repeated = share(repeated_filter(docs))
+    seen = frames.stored(docs.mapInArrow(lambda b: _segments(b, repeated.value), _SEGMENTS), "segments")
     owned = frames.stored(
         seen.groupBy("m", "seg").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")), "segment-owners"
     )
     several = owned.groupBy("m").agg(F.count("*").alias("k")).filter("k > 1")
     compared = frames.stored(owned.join(several, "m").select("m", "seg", "lo", "k"), "segment-compared")
-    n_compared = compared.count()
-    shards = max(1, -(-n_compared // SHARD_SEGMENTS))
-    owners = compared.withColumnRenamed("lo", "doc_id")
+    shards = max(1, -(-compared.count() // SHARD_SEGMENTS))
+    wanted = share(hash_filter(compared.select("seg")))
+    contents = docs.mapInArrow(lambda b: _segments(b, repeated.value, wanted.value), _CONTENTS)
     whole = (
-        seen.join(owners, ["m", "seg", "doc_id"])
+        contents.join(compared.withColumnRenamed("lo", "doc_id"), ["m", "seg", "doc_id"])
         .groupBy("m", "seg", "k", "n", F.col("doc_id").alias("lo"))
         .agg(F.first("content").alias("content"))
     )

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -104,3 +104,10 @@ def grams(hashes: np.ndarray, size: int) -> np.ndarray:
     for k in range(1, size):
         out = out * _BASE + hashes[k : k + count]
     return mix(out)
+
+
+def spans(hashes: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Hash of each word sequence hashes[start:stop]."""
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(mix(hashes) * _powers(_BASE, len(hashes)), out=sums[1:])
+    return mix((sums[stop] - sums[start]) * _powers(_INVERSE, len(hashes) + 1)[start])
