@@ -17,22 +17,46 @@ from tidemark.llm.words import process_tables
 
 VOCABULARY = "byte_bpe_50k.json"
 END = 0
-#: Parts a worker remembers; the memory is emptied when full.
-REMEMBERED = 300_000
-_LINE = re.compile(r"(?<=\S)\n(?=\S)")
-_BLANK = re.compile(r" (?!\S)")
+#: Parts a worker remembers at least; twice as many at most.
+REMEMBERED = 400_000
+_BREAK = re.compile(r"(?<=\S)\n(?=\S)")
 _WORD = re.compile(r" (?=\S)")
+_SIGNS = ".,;:!?"
+_LAST_PLAIN = "\u024f"  # up to here every version of Unicode agrees on what a letter is
+
+
+def _byte_letters() -> dict[int, str]:
+    """Fixed values of byte-level BPE: the letter that stands for each byte."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
 class _Parts(dict):
+    """Ids of parts of texts; those not used since the last change of generation are forgotten."""
+
     def __init__(self, tokenizer: Tokenizer, before: str) -> None:
-        self.tokenizer, self.before = tokenizer, before
+        self.tokenizer, self.before, self.model = tokenizer, before, tokenizer.model
+        self.letters, self.older = _byte_letters(), {}
+        self.signs = {sign: self._encoded(sign) for sign in _SIGNS}
+
+    def _encoded(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __missing__(self, part: str) -> bytes:
-        ids = self.tokenizer.encode(self.before + part, add_special_tokens=False).ids
+        made = self.older.pop(part, None)
+        if made is None:
+            if part.isalpha() and max(part) <= _LAST_PLAIN:  # one word: the model alone
+                spelled = (self.before + part).encode().decode("latin-1").translate(self.letters)
+                made = np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
+            elif part[-1:] in self.signs and part[:-1].isalpha() and max(part) <= _LAST_PLAIN:
+                made = self[part[:-1]] + self.signs[part[-1]]
+            else:
+                made = self._encoded(self.before + part)
         if len(self) >= REMEMBERED:
+            self.older = dict(self)
             self.clear()
-        self[part] = made = np.array(ids, "<u4").tobytes()
+        self[part] = made
         return made
 
 
@@ -45,12 +69,16 @@ class Encoder:
         self.first, self.rest = _Parts(tokenizer, ""), _Parts(tokenizer, " ")
 
     def __call__(self, text: str) -> bytes:
-        first, rest = self.first.__getitem__, self.rest.__getitem__
-        lines = []
-        for line in _LINE.split(text):
-            parts = _WORD.split(line) if _BLANK.search(line) else line.split(" ")
-            lines.append(first(parts[0]) + b"".join(map(rest, parts[1:])))
-        return first("\n").join(lines)
+        lines = text.split("\n")
+        if not all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
+            lines = _BREAK.split(text)
+        first, rest, out = self.first.__getitem__, self.rest.__getitem__, []
+        for line in lines:
+            parts = line.split()
+            if " ".join(parts) != line:
+                parts = _WORD.split(line)
+            out.append(first(parts[0]) + b"".join(map(rest, parts[1:])))
+        return first("\n").join(out)
 
 
 def encoder(vocabulary: str = VOCABULARY) -> Encoder:
