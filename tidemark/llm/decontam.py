@@ -5,9 +5,9 @@ exchanged keeps its template. Windows of the template are joined by hash with th
 values behind the placeholders must then agree: along one alignment, equal values of the item stand against
 equal values in the document. Built from SQL functions only.
 
-Few documents get as far as windows: each benchmark window has a pair of neighbouring literal words (more
-than half of its words are literal, so two are neighbours), and documents without any such pair are left out
-by a join on pair hashes.
+Few documents get as far as windows: each benchmark window has pairs of neighbouring literal words (more
+than half of its words are literal, so two are neighbours). One pass over the texts finds the documents of
+all these pairs; then only documents that hold the rarest pair of some window are cut into windows.
 """
 
 from __future__ import annotations
@@ -80,20 +80,14 @@ def _windows(texts: DataFrame, key: list[str], lengths: list[int]) -> DataFrame:
 
 
 def _pairs_of_windows(windows: DataFrame) -> DataFrame:
-    """One pair of neighbours for each benchmark window: the longest, literal where the template is specific."""
+    """(hash, pair): pairs of neighbours of each benchmark window, literal where the template is specific."""
     places = F.sequence(F.lit(0), F.col("n") - 2)
     usable = F.filter(
         places,
         lambda k: ~F.col("specific") | (~_is_slot(F.get("t", k)) & ~_is_slot(F.get("t", k + 1))),
     )
-    ranked = F.transform(
-        usable,
-        lambda k: F.struct(
-            (F.length(F.get("v", k)) + F.length(F.get("v", k + 1))).alias("size"),
-            _pair(F.get("v", k), F.get("v", k + 1)).alias("pair"),
-        ),
-    )
-    return windows.select(F.array_max(ranked)["pair"].alias("pair")).distinct()
+    pairs = F.transform(usable, lambda k: _pair(F.get("v", k), F.get("v", k + 1)))
+    return windows.select("hash", F.explode(pairs).alias("pair")).distinct()
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -116,14 +110,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     known = frames.stored(items_windows, "benchmark-windows")
     pairs = frames.stored(_pairs_of_windows(known), "benchmark-pairs")
 
-    lowered = docs.select("doc_id", "text", _words(F.lower("text")).alias("w"))
-    hashed = lowered.select(
-        "doc_id",
-        F.explode(
-            F.transform(F.slice("w", 2, F.greatest(F.size("w"), F.lit(1))), lambda x, k: F.xxhash64(F.get("w", k), x))
-        ).alias("pair"),
+    lowered = docs.select("doc_id", _words(F.lower("text")).alias("w"))
+    neighbours = F.transform(
+        F.slice("w", 2, F.greatest(F.size("w"), F.lit(1))), lambda x, k: F.xxhash64(F.get("w", k), x)
     )
-    holders = frames.stored(hashed.join(frames.small(pairs), "pair", "left_semi").select("doc_id").distinct(), "holders")
+    hashed = lowered.select("doc_id", F.explode(F.array_distinct(neighbours)).alias("pair"))
+    hits = frames.stored(hashed.join(frames.small(pairs.select("pair").distinct()), "pair", "left_semi"), "pair-hits")
+    spread = hits.groupBy("pair").agg(F.count("*").alias("docs"))
+    rarest = F.min(F.struct(F.coalesce("docs", F.lit(0)), "pair"))
+    chosen = pairs.join(spread, "pair", "left").groupBy("hash").agg(rarest.alias("r")).select("r.pair").distinct()
+    chosen = frames.stored(chosen, "rarest-pairs")
+    holders = frames.stored(hits.join(frames.small(chosen), "pair", "left_semi").select("doc_id").distinct(), "holders")
     same = docs.select("doc_id", "text").join(
         frames.small(holders.withColumnRenamed("doc_id", "of")), F.col("doc_id").eqNullSafe(F.col("of")), "left_semi"
     )
