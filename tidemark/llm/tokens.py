@@ -75,7 +75,7 @@ class Encoder:
         first, rest, out = self.first.__getitem__, self.rest.__getitem__, []
         for line in lines:
             parts = line.split()
-            if " ".join(parts) != line:
+            if not parts or " ".join(parts) != line:
                 parts = _WORD.split(line)
             out.append(first(parts[0]) + b"".join(map(rest, parts[1:])))
         return first("\n").join(out)
