@@ -193,9 +193,13 @@ def sequences(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     pieces = docs.select("doc_id", "text").mapInArrow(lambda b: _pieces(b, capacity, True), _PIECE + ", ids binary")
     key = ["doc_id", "piece", "ids_crc32"]
     placed = pack(docs, capacity).select(*key, "sequence_id", "offset")
+    pieces = pieces.select(*(F.col(k).alias(f"piece_{k}") for k in key), "ids").dropDuplicates([f"piece_{k}" for k in key])
+    same = F.lit(True)
+    for k in key:
+        same = same & F.col(k).eqNullSafe(F.col(f"piece_{k}"))
     ordered = F.array_sort(F.collect_list(F.struct("offset", "doc_id", "ids")))  # at most ``capacity`` pieces
     return (
-        placed.join(pieces.select(*key, "ids").dropDuplicates(key), key)
+        placed.join(pieces, same)
         .groupBy("sequence_id")
         .agg(ordered.alias("p"))
         .select(

@@ -186,9 +186,10 @@ def classify(
         "evidence",
     )
     good = 1 / (1 + F.exp(-F.col("logit")))
-    exact = F.sum(F.round(good, 9).cast("decimal(20,9)"))  # the same sum whatever the order of rows
+    # Texts without words say nothing about their site. Decimals: the same sum whatever the order of rows.
+    exact = F.sum(F.when(F.col("n_words") > 0, F.round(good, 9).cast("decimal(20,9)")).otherwise(0))
     paths = frames.stored(
-        scored.groupBy("host", "path").agg(F.count("*").alias("n"), exact.cast("double").alias("good")), "paths"
+        scored.groupBy("host", "path").agg(F.count_if(F.col("n_words") > 0).alias("n"), exact.cast("double").alias("good")), "paths"
     )
     hosts = frames.stored(paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("good").alias("good")), "hosts")
     total = hosts.agg(F.sum("n").alias("n"), F.sum("good").alias("good")).first()
@@ -208,5 +209,5 @@ def classify(
     )
     return out.withColumn("score", F.col("logit") + shift).select(
         "doc_id", "copy", "host", "path", "n_words", F.col("logit").alias("evidence"), "site_share", "score",
-        ((F.col("score") >= 0) & (F.col("n_words") > 0)).alias("kept"),
+        ((F.col("score") > -1e-9) & (F.col("n_words") > 0)).alias("kept"),
     )
