@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from tests.test_operations import run_rows
 from tests.test_quality import BASE, CONTRACT
+from tests.conftest import SF
+from tidemark.plans import catalogue
 from tidemark import schemas
 from tidemark.operators import alerts as batch_alerts
 from tidemark.plans.pipeline import Layout
@@ -131,3 +133,15 @@ def test_windows_and_dedupe(spark, tmp_path):
     assert go("dedupe").count() == 3
     counts = {(r.window_start.hour, r.kind): r.events for r in go("counts").collect()}
     assert counts == {(0, "a"): 2, (0, "b"): 2}
+
+
+def test_streamed_tables_of_many_files_read_whole(spark, tmp_path):
+    """A table given as one file or as a directory of part files gives the same rows."""
+    source = spark.read.parquet(f"{SF}/events.parquet")
+    source.repartition(5).write.parquet(str(tmp_path / "events.parquet"))
+    for name in ("stream_event_counts", "stream_deduplicate"):
+        one, many = (catalogue.ENTRIES[name](spark, d) for d in (SF, str(tmp_path)))
+        assert one.count() > 0
+        assert sorted(map(str, one.collect())) == sorted(map(str, many.collect()))
+    counted = catalogue.ENTRIES["stream_event_counts"](spark, str(tmp_path)).agg(F.sum("events")).first()[0]
+    assert counted == source.count()

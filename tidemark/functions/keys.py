@@ -66,8 +66,13 @@ def request_hash(
 
 
 def row_fingerprint(*columns: Column | str) -> Column:
-    """First 15 hex digits of the row's md5 as a bigint, cast so that sums cannot overflow."""
-    text = F.concat_ws("|", *[_col(c).cast("string") for c in columns])
+    """First 15 hex digits of the row's md5 as a bigint, cast so that sums cannot overflow.
+
+    Each value is written after its length, and null as a sign of its own, so that neither separators in
+    the data nor nulls make different rows look alike.
+    """
+    texts = [_col(c).cast("string") for c in columns]
+    text = F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts])
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(38,0)")
 
 

@@ -24,7 +24,6 @@ from pyspark.sql import types as T
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 INSIDE, FIRST, LAST = 0, 1, 2
-SALTS = 64
 PREV = "_prev_"
 
 ArrowTest = Callable[[pa.Table, pa.Table], np.ndarray]
@@ -51,10 +50,11 @@ def neighbours(
     schema = T.StructType([*keyed.schema.fields, *before, T.StructField("_edge", T.IntegerType())])
     found = ordered.mapInArrow(_scanner(list(carried), arrow_test), schema)
 
-    # Pairs inside a range are already decided and only need to stay out of the way of the edges.
+    # Pairs inside a range are already decided and only need to stay out of the way of the edges: each
+    # task's pairs are a lane of their own.
     inside = F.col("_edge") == INSIDE
-    lane = F.when(inside, 1 + F.pmod(F.hash(*order), F.lit(SALTS))).otherwise(0)
-    edges = Window.partitionBy("_key", lane).orderBy(*order, "_edge")
+    found = found.withColumn("_lane", F.when(inside, 1 + F.spark_partition_id()).otherwise(0))
+    edges = Window.partitionBy("_key", "_lane").orderBy(*order, "_edge")
     paired = found.withColumns(
         {
             **{
@@ -64,7 +64,7 @@ def neighbours(
         }
     )
     straddling = (F.col("_edge") == FIRST) & F.col("_has_prev") & column_test
-    return paired.where(inside | straddling).drop("_key", "_edge", "_has_prev")
+    return paired.where(inside | straddling).drop("_key", "_edge", "_lane", "_has_prev")
 
 
 def _scanner(carried: list[str], test: ArrowTest):
@@ -116,7 +116,7 @@ def extreme_moves(
     Result: the series columns, ``from_at``, ``to_at``, ``from_value``, ``to_value``,
     ``pct_change`` and the tie-break columns of the later row.
     """
-    rows = df.select(*series, *tiebreak, F.unix_micros(at).alias("_at"), value.alias("_value")).where(
+    rows = df.select(*series, *tiebreak, F.unix_micros(at).alias("_at"), value.cast("double").alias("_value")).where(
         F.col("_at").isNotNull() & F.col("_value").isNotNull()
     )
     now, before = F.col("_value"), F.col(PREV + "_value")
@@ -150,7 +150,7 @@ def _moves_more_than(threshold_pct: float) -> ArrowTest:
 
 
 def changes(df: DataFrame, series: Sequence[str], order: Sequence[str], fields: Sequence[str]) -> DataFrame:
-    """Rows that differ from the row before them in any of ``fields``; null equals null."""
+    """Rows that differ from the row before them in any of ``fields``; null equals null and NaN NaN."""
     differs = F.lit(False)
     for name in fields:
         differs = differs | ~F.col(name).eqNullSafe(F.col(PREV + name))
@@ -163,7 +163,10 @@ def _differ_in(fields: list[str]) -> ArrowTest:
         for name in fields:
             a, b = later.column(name), earlier.column(name)
             one_null = pc.xor(pc.is_null(a), pc.is_null(b))
-            out |= pc.or_(pc.fill_null(pc.not_equal(a, b), False), one_null).to_numpy()
+            unequal = pc.fill_null(pc.not_equal(a, b), False)
+            if pa.types.is_floating(a.type):  # NaN equals NaN, as between ranges
+                unequal = pc.and_not(unequal, pc.fill_null(pc.and_(pc.is_nan(a), pc.is_nan(b)), False))
+            out |= pc.or_(unequal, one_null).to_numpy()
         return out
 
     return test

@@ -334,6 +334,6 @@ def quality_results(results: DataFrame, table_name: str, run_id: str, evaluated_
         F.lit(table_name).alias("table_name"),
         F.lit(run_id).alias("run_id"),
         F.when(F.col("failed"), "fail").when(F.col("flagged"), "warn").otherwise("pass").alias("status"),
-        F.least("failed_rows", F.lit(2**31 - 1)).cast("int").alias("failed_rows"),
+        F.col("failed_rows").cast("bigint").alias("failed_rows"),
         F.lit(evaluated_at).cast("timestamp").alias("evaluated_at"),
     )

@@ -15,9 +15,6 @@ from tidemark.operators import adjacency
 from tidemark.operators.gold import SERIES
 from tidemark.sources import tables
 
-# Page size of the bar query.
-DEFAULT_LIMIT, MAX_LIMIT = 100, 1000
-
 
 def as_of(observations: DataFrame, day: date) -> DataFrame:
     """Newest vintage not later than ``day`` per (indicator, geo, period), all columns."""
@@ -133,11 +130,15 @@ def bars(
     interval: str,
     start: datetime | None = None,
     stop: datetime | None = None,
-    limit: int = DEFAULT_LIMIT,
+    limit: int | None = None,
 ) -> DataFrame:
-    """A page of bars of one instrument in time order (a top-k, at most ``MAX_LIMIT`` rows)."""
-    if not 1 <= limit <= MAX_LIMIT:
-        raise ValueError(f"limit must be between 1 and {MAX_LIMIT}")
+    """Bars of one instrument in time order: all of them, or the first ``limit`` as a page.
+
+    The next page starts after the last ``observed_at`` of a full one; asking for one row more than is
+    shown tells whether there is a next page.
+    """
+    if limit is not None and limit < 1:
+        raise ValueError("limit must be positive")
     if interval not in schemas.BAR_INTERVALS:
         raise ValueError(f"unsupported interval {interval!r}")
     wanted = dim_instrument.where(
@@ -148,13 +149,14 @@ def bars(
         rows = rows.where(F.col("observed_at") >= F.lit(start).cast("timestamp"))
     if stop is not None:
         rows = rows.where(F.col("observed_at") <= F.lit(stop).cast("timestamp"))
-    return rows.join(wanted, "instrument_id", "left_semi").orderBy("observed_at", "instrument_id").limit(limit)
+    ordered = rows.join(wanted, "instrument_id", "left_semi").orderBy("observed_at", "instrument_id")
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def newest_bars(ohlcv: DataFrame, n: int, key: Sequence[str] = ("instrument_id",)) -> DataFrame:
     """The ``n`` newest bars of every instrument; ranks are limited before the shuffle as well."""
-    if not 1 <= n <= MAX_LIMIT:
-        raise ValueError(f"n must be between 1 and {MAX_LIMIT}")
+    if n < 1:
+        raise ValueError("n must be positive")
     rank = F.row_number().over(Window.partitionBy(*key).orderBy(F.col("observed_at").desc()))
     return ohlcv.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 

@@ -180,7 +180,9 @@ def dq_referential_counts(star: Star) -> DataFrame:
     return sets.dangling_counts(star.lineitem, ["l_returnflag"], "l_suppkey", known, "s_suppkey")
 
 
-_FINGERPRINT = "cast(('0x' || substr(md5(event_id || '|' || props), 1, 15)) as bigint)"
+_FINGERPRINT = """cast(('0x' || substr(md5(
+  coalesce(length(event_id::varchar) || ':' || event_id, '-') || coalesce(length(props) || ':' || props, '-')
+), 1, 15)) as bigint)"""
 
 
 @query(
@@ -418,7 +420,7 @@ def dq_routing(star: Star) -> DataFrame:
     "DQ-19",
     f"""with {_RESULTS} select rule_id as test_id, 'events' as table_name, 'run-1' as run_id,
   case when bool_or(status = 'failed') then 'fail' when bool_or(status = 'flagged') then 'warn' else 'pass' end
-    as status, cast(sum(failed_rows) as integer) as failed_rows, timestamp '2024-01-31' as evaluated_at
+    as status, cast(sum(failed_rows) as bigint) as failed_rows, timestamp '2024-01-31' as evaluated_at
 from results where status <> 'skipped' group by rule_id""",
 )
 def dq_results_stored(star: Star) -> DataFrame:

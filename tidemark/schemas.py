@@ -152,7 +152,7 @@ QUALITY_RESULT = _table(
     ("table_name", S),
     ("run_id", S),
     ("status", S),
-    ("failed_rows", I),
+    ("failed_rows", T.LongType()),
     ("evaluated_at", TS),
 )
 

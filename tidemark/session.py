@@ -52,9 +52,14 @@ def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "8g")
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Shared folder the cluster names in ``spark.checkpoint.dir``; a fresh local one if unset."""
+    """Shared folder the cluster names in ``spark.checkpoint.dir``; a fresh local one on a local master.
+
+    Elsewhere an unset folder is an error: executors would each write to a disk of their own.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", configured)
     return configured.rstrip("/")

@@ -108,7 +108,7 @@ def read_alerts(spark, alerts_path: str) -> DataFrame:
 
 
 def event_counts(stream: DataFrame, at: str, by: list[str], width: str, delay: str) -> DataFrame:
-    """Events per type and window; a window is emitted once, when the watermark passes its end."""
+    """Events per type and window, open windows included once written by ``keep_windows``."""
     return (
         stream.withWatermark(at, delay)
         .groupBy(F.window(at, width), *by)
@@ -127,3 +127,25 @@ def append_windows(counts: DataFrame, path: str, checkpoint: str, name: str) ->
         .trigger(availableNow=True)
         .start()
     )
+
+
+def keep_windows(counts: DataFrame, path: str, checkpoint: str, name: str) -> StreamingQuery:
+    """Write the counts that each micro-batch changes, those of windows still open too."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        tables.write_batch(batch, path, name, batch_id)
+
+    return (
+        counts.writeStream.queryName(name)
+        .outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .foreachBatch(write)
+        .start()
+    )
+
+
+def read_windows(spark, path: str, schema) -> DataFrame:
+    """Latest count of every window. Counts only grow, so the latest is the greatest."""
+    keys = [f.name for f in schema if f.name != "events"]
+    return tables.read_table(spark, path, schema).groupBy(*keys).agg(F.max("events").alias("events"))
