@@ -102,8 +102,11 @@ worded as (
     cast(length(regexp_replace(t, '[^\p{Lu}]+', '', 'g')) as bigint) as n_upper,
     list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
   from texts),
-placed as (select doc_id, w, unnest(range(1, len(w) - 3)) as i from worded),
-grams as (select doc_id, i, count(*) over (partition by doc_id, w[i:i+4]) as k from placed),
+placed as (
+  select doc_id, unnest(range(1, len(w) - 3)) as i,
+    unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) as g
+  from worded),
+grams as (select doc_id, i, count(*) over (partition by doc_id, g) as k from placed),
 covered as (
   select doc_id, count(distinct p) as n from (
     select doc_id, unnest(range(i, i + 5)) as p from grams where k > 1) group by doc_id),
