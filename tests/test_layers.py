@@ -105,9 +105,40 @@ def test_values_that_are_not_numbers(spark, dims, empty):
     }
 
 
-@pytest.mark.parametrize("body", [b"{}", b"not json", b"[]", b'{"observations": null}', b""])
-def test_payload_without_observations(spark, dims, empty, body):
-    assert build(spark, dims, empty, (body, "2024-02-01T09:00")).silver.count() == 0
+@pytest.mark.parametrize(
+    ("body", "reason"),
+    [
+        (b"{}", "payload has no array observations"),
+        (b"not json", "payload is not JSON"),
+        (b"[]", "payload has no array observations"),
+        (b'{"observations": null}', "payload has no array observations"),
+        (b"", "payload is not JSON"),
+        (b'{"observations": []}', None),
+    ],
+)
+def test_payload_without_observations(spark, dims, empty, body, reason):
+    built = build(spark, dims, empty, (body, "2024-02-01T09:00"))
+    assert built.silver.count() == 0
+    assert [r.reason for r in built.quarantined.collect()] == ([reason] if reason else [])
+
+
+def test_sources_without_parser_are_held_back(spark, dims, empty):
+    held = build(spark, dims, empty, (INITIAL, "2024-02-01T09:00"), parsers={"other": silver.OBSERVATIONS_PARSER})
+    assert held.silver.count() == 0
+    assert [r.reason for r in held.quarantined.collect()] == ["no parser for source fred"]
+
+
+def test_events_lost_in_a_crash_are_made_up_for(spark, dims, tmp_path):
+    landing.land_files(objects(spark, (INITIAL, "2024-02-01T09:00")), (tmp_path / "in").as_uri())
+    layout = pipeline.Layout(str(tmp_path / "tables"))
+    fresh = bronze.load(
+        landing.read_landed(spark, str(tmp_path / "in")), spark.createDataFrame([], schemas.BRONZE), "1", RUN_AT
+    )
+    tables.append(fresh.rows, layout.path("bronze_raw_records"), ("source_id", "dataset_id"))  # died before logging
+    for day in (1, 2):
+        pipeline.run(spark, str(tmp_path / "in"), layout, dims, datetime(2030, 1, day, tzinfo=timezone.utc), "1")
+    log = tables.read_table(spark, layout.path("event_log"), schemas.EVENT)
+    assert log.where("event_type = 'bronze_data.written'").count() == 1
 
 
 def test_numbers_and_text_read_alike(spark, dims, empty):
@@ -250,7 +281,7 @@ def test_stored_run_dead_letters_and_replay(spark, dims, tmp_path):
     for day in (1, 2):
         pipeline.run(spark, str(tmp_path / "in"), layout, dims, datetime(2030, 1, day, tzinfo=timezone.utc), "1")
     entries = pipeline.read_dlq(spark, layout)
-    assert entries.select("payload_reference", "status").distinct().collect() == [(key, "pending")]
+    assert entries.select("payload_reference", "status").collect() == [(key, "pending")]
     assert entries.first().failure_reason.startswith("IntegrityError: Checksum mismatch")
     for _ in range(2):
         pipeline.replay_pending(spark, layout, RUN_AT)

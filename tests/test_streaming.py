@@ -81,14 +81,43 @@ def test_streaks_across_batches(spark, tmp_path, snapshot_every):
         for r in alerts.read_alerts(spark, layout.path("alerts")).collect()
     }
     assert found == {("run-2", "two", 2), ("run-2", "healed", 2), ("run-3", "long", 2), ("run-4", "long", 3)}
-    state = tables.latest_by_key(
-        spark.read.schema(alerts.STREAK).parquet(layout.path("state")), ("dataset_id",), ("batch_number",)
-    )
-    streaks = {r.dataset_id: r.consecutive_failures for r in state.collect() if r.consecutive_failures}
+    streaks = {r.dataset_id: r.consecutive_failures for r in alerts.read_streaks(spark, layout.path("state")).collect()}
     want = {r.dataset_id: r.consecutive_failures for r in batch_alerts.failure_streaks(runs).collect()}
     assert streaks == want
 
 
+def test_streaks_in_any_order_and_delivered_twice(spark, tmp_path):
+    runs = run_rows(spark, two="FF", healed="FFSF", long="SFFF", apart="FSFS", late="SSSF")
+    source, layout = str(tmp_path / "runs"), Layout(str(tmp_path / "out"))
+    for n in (3, 1, 4, 3, 2, 1):
+        runs.where(F.col("run_id") == f"run-{n}").write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schemas.INGESTION_RUN).parquet(source)
+        alerts.failure_streaks(
+            stream, layout.path("state"), layout.path("alerts"), layout.path("c"), "s", snapshot_every=2
+        ).awaitTermination()
+    want = sorted(map(tuple, batch_alerts.failure_streaks(runs).collect()))
+    assert sorted(map(tuple, alerts.read_streaks(spark, layout.path("state")).collect())) == want
+    standing = alerts.standing_alerts(spark, layout.path("state"), layout.path("alerts")).collect()
+    assert sorted(r.message for r in standing) == ["long failed 3 times in a row", "two failed 2 times in a row"]
+
+
+def test_batches_split_over_triggers_are_judged_whole(spark, tmp_path):
+    """A key repeated in another trigger, and one file or several per trigger, give the same verdicts."""
+    schema = "batch_id string, line string"
+    parts = [("twice", BASE), ("once", BASE), ("twice", BASE), ("twice", {**BASE, "series_id": "other"})]
+    found = []
+    for label, max_files in (("one", 1), ("all", 100)):
+        source, layout = str(tmp_path / label), Layout(str(tmp_path / f"{label}-out"))
+        for batch, record in parts:
+            spark.createDataFrame([(batch, json.dumps(record))], schema).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(source)
+        validate.validate_and_route(stream, CONTRACT, layout, layout.path("c"), "v").awaitTermination()
+        found.append(sorted((r.correlation_id, r.event_type) for r in validate.read_outcomes(spark, layout).collect()))
+        assert [r.correlation_id for r in validate.read_quarantined(spark, layout).collect()] == ["twice"]
+        assert validate.read_routed(spark, layout, stream.schema, "quarantined").count() == 3
+    assert found[0] == found[1] == [("once", "raw_data.validated"), ("twice", "raw_data.quarantined")]
+
+
 def test_validate_and_route(spark, tmp_path):
     source, layout = str(tmp_path / "lines"), Layout(str(tmp_path / "out"))
     schema = "batch_id string, line string"
@@ -96,8 +125,8 @@ def test_validate_and_route(spark, tmp_path):
         spark.createDataFrame([(batch, json.dumps(record))], schema).write.mode("append").parquet(source)
         stream = spark.readStream.schema(schema).parquet(source)
         validate.validate_and_route(stream, CONTRACT, layout, layout.path("c"), "v").awaitTermination()
-    ok = spark.read.parquet(layout.path("validated"))
-    bad = spark.read.parquet(layout.path("quarantined"))
+    ok = validate.read_routed(spark, layout, stream.schema, "validated")
+    bad = validate.read_routed(spark, layout, stream.schema, "quarantined")
     assert [r.batch_id for r in ok.collect()] == ["good"]
     assert sorted(r.batch_id for r in bad.collect()) == ["bad", "odd"]
     dead = tables.read_table(spark, layout.path("dlq"), schemas.DLQ)

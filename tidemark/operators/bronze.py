@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -69,17 +70,20 @@ def load(
     code_version: str,
     ingested_at: datetime,
     manifest: DataFrame | None = None,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> BronzeLoad:
-    """Idempotent load: verify, skip what Bronze already holds, keep one row per key.
+    """Idempotent load: skip what Bronze already holds, verify the rest, keep one row per key.
 
-    The checksum test is narrow and runs first; the skip compares 64-character ids only.
+    The skip compares 64-character ids only, and a key that is loaded is not judged again.
+    ``stage`` stores the verified objects, so that rows and rejects come out of one reading.
     """
-    checked = verify_checksum(objects)
+    held = existing.select(F.col("bronze_id").alias("held_id"))
+    fresh = objects.join(held, keys.bronze_id("raw_object_key") == F.col("held_id"), "left_anti")
+    checked = verify_checksum(fresh)
+    if stage is not None:
+        checked = stage(checked)
     good = checked.where("checksum_ok").drop("actual_sha256", "checksum_ok")
-    fresh = lineage(good, code_version, ingested_at).join(
-        existing.select("bronze_id"), "bronze_id", "left_anti"
-    )
-    rows = landing.first_copy(fresh).select(*existing_columns())
+    rows = landing.first_copy(lineage(good, code_version, ingested_at)).select(*existing_columns())
     rejected = checksum_rejects(checked)
     if manifest is not None:
         rejected = rejected.unionByName(missing_rejects(manifest, objects))

@@ -124,8 +124,17 @@ def fan_out(
 
     A handler splits its events into handled rows and failed rows (event columns plus
     ``failure_reason``). Failed rows go to the dead-letter table; other consumers never see them.
+    A handler that raises fails all its events, with the error as the reason, and no other consumer's.
     """
     return {
-        name: handler(events.where(F.col("event_type") == event_type))
+        name: _isolated(handler, events.where(F.col("event_type") == event_type))
         for name, (event_type, handler) in consumers.items()
     }
+
+
+def _isolated(handler: Handler, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+    try:
+        return handler(batch)
+    except Exception as error:  # whatever a consumer does wrong is its own failure
+        reason = F.lit(f"{type(error).__name__}: {error}")
+        return batch.where(F.lit(False)), batch.withColumn("failure_reason", reason)

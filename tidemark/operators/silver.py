@@ -17,6 +17,7 @@ Parser = Callable[[DataFrame], DataFrame]
 
 VALUE_TYPE = "decimal(28,8)"
 MISSING_MARKER = "."  # fixed value: how the source writes a missing observation
+NOT_JSON, NO_ARRAY, NO_PARSER = "payload is not JSON", "payload has no array", "no parser for source"
 
 
 @dataclass(frozen=True)
@@ -31,22 +32,32 @@ def json_parser(array: str, date: str, value: str, vintage: str) -> Parser:
     """Parser for payloads whose root object holds an array of observation objects.
 
     Only the three named fields enter the schema, all as text, so numbers and strings read alike.
-    Payloads that are not JSON or have no such array contribute no rows.
+    A payload that is not JSON or has no such array gives one row that names its ``problem``; an
+    empty array gives none.
     """
-    schema = f"struct<`{array}`: array<struct<`{date}`: string, `{value}`: string, `{vintage}`: string>>>"
+    items_type = f"array<struct<`{date}`: string, `{value}`: string, `{vintage}`: string>>"
+    schema = f"struct<`{array}`: {items_type}>"
 
     def parse(bronze: DataFrame) -> DataFrame:
         text = F.decode("payload", "UTF-8")
         carried = [c for c in bronze.columns if c != "payload"]
-        exploded = bronze.select(
+        items = bronze.select(*carried, "payload", F.from_json(text, schema).getField(array).alias("items"))
+        problem = F.when(
+            F.col("items").isNull(),
+            F.when(F.try_parse_json(text).isNull(), NOT_JSON).otherwise(f"{NO_ARRAY} {array}"),
+        )
+        blank = F.array(F.lit(None)).cast(items_type)
+        exploded = items.select(
             *carried,
-            F.explode(F.from_json(text, schema).getField(array)).alias("item"),
+            problem.alias("problem"),
+            F.explode(F.coalesce("items", blank)).alias("item"),
         )
         return exploded.select(
             *carried,
             F.col("item").getField(date).alias("date_text"),
             F.col("item").getField(value).alias("value_text"),
             F.col("item").getField(vintage).alias("vintage_text"),
+            "problem",
         )
 
     return parse
@@ -67,7 +78,7 @@ def observation_count(payload: Column | str, array: str = "observations") -> Col
 def parse(bronze: DataFrame, parsers: Mapping[str, Parser]) -> DataFrame:
     """One branch per source; Bronze is partitioned by source, so each branch reads its own slice."""
     branches = [fn(bronze.where(F.col("source_id") == source)) for source, fn in parsers.items()]
-    return reduce(DataFrame.unionByName, branches)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), branches)
 
 
 def mapped_only(bronze: DataFrame, dataset_map: DataFrame) -> DataFrame:
@@ -101,6 +112,30 @@ def undated(typed: DataFrame) -> DataFrame:
     )
 
 
+def unreadable(parsed: DataFrame) -> DataFrame:
+    """Payloads that gave no records because of what they hold, with the reason."""
+    if "problem" not in parsed.columns:
+        parsed = parsed.withColumn("problem", F.lit(None).cast("string"))
+    return parsed.where("problem is not null").select(
+        "bronze_id", "dataset_id", "date_text", "vintage_text", "value_text", F.col("problem").alias("reason")
+    )
+
+
+def unparsed(mapped: DataFrame, parsers: Mapping[str, Parser]) -> DataFrame:
+    """Payloads of sources that no parser is registered for."""
+    text = F.lit(None).cast("string")
+    known = F.coalesce(F.col("source_id").isin(*parsers), F.lit(False))
+    reason = F.concat_ws(" ", F.lit(NO_PARSER), F.coalesce("source_id", F.lit("null")))
+    return mapped.where(~known).select(
+        "bronze_id",
+        "dataset_id",
+        text.alias("date_text"),
+        text.alias("vintage_text"),
+        text.alias("value_text"),
+        reason.alias("reason"),
+    )
+
+
 def newest_retrieval(typed: DataFrame) -> DataFrame:
     """One row per (indicator, geo, period, vintage): the newest retrieval, then the greatest id.
 
@@ -137,7 +172,9 @@ def conform(
     reduction, which also drops indicators the dimension does not know. Both are equi joins with a
     reference table, broadcast by Spark when its size allows.
     """
-    typed = type_records(parse(mapped_only(bronze, dataset_map), parsers))
+    mapped = mapped_only(bronze, dataset_map)
+    parsed = parse(mapped, parsers)
+    typed = type_records(parsed)
     usable = typed.where(
         F.col("observed_date").isNotNull()
         & F.col("vintage_date").isNotNull()
@@ -162,7 +199,8 @@ def conform(
         F.lit(run_at).cast("timestamp").alias("processed_at"),
         "bronze_id",
     )
-    return Conformed(rows, undated(typed))
+    held = undated(typed).unionByName(unreadable(parsed)).unionByName(unparsed(mapped, parsers))
+    return Conformed(rows, held)
 
 
 def observation_columns() -> list[str]:

@@ -150,6 +150,22 @@ def silver_quarantine(star: Star) -> DataFrame:
     )
 
 
+@query(
+    "SLV-04 SLV-19",
+    """select cast(doc_id as varchar) as record_id, case when json_valid(text)
+  then 'payload has no array observations' else 'payload is not JSON' end as reason from documents
+union all
+select cast(event_id as varchar), 'payload has no array observations' from events""",
+)
+def silver_unreadable(star: Star) -> DataFrame:
+    """Texts and event properties taken for observation payloads: each is held back with its reason."""
+    texts = star.documents.select(F.col("doc_id").cast("string").alias("bronze_id"), F.col("text").alias("body"))
+    bodies = texts.unionByName(star.events.select(F.col("event_id").cast("string").alias("bronze_id"), F.col("props").alias("body")))
+    payloads = bodies.select("bronze_id", F.lit("d").alias("dataset_id"), F.encode("body", "UTF-8").alias("payload"))
+    held = silver.unreadable(silver.OBSERVATIONS_PARSER(payloads))
+    return held.select(F.col("bronze_id").alias("record_id"), "reason")
+
+
 @query(
     "SLV-19 SLV-06",
     f"""with {OBSERVATIONS}, shipped as (

@@ -236,10 +236,13 @@ def event_history(star: Star) -> DataFrame:
   cast(null as varchar) as failure_reason from envelopes where event_type = 'gold_data.published'
 union all
 select cast(event_id as varchar), 'publisher', case when value > 150 then 'failed' else 'handled' end,
-  case when value > 150 then 'ValueError: value too large' end from events where event_type = 'purchase'""",
+  case when value > 150 then 'ValueError: value too large' end from events where event_type = 'purchase'
+union all
+select correlation_id, 'broken', 'failed', 'RuntimeError: not configured' from envelopes
+where event_type = 'gold_data.published'""",
 )
 def event_fan_out(star: Star) -> DataFrame:
-    """Two consumers of one event type; the failures of one do not reach the other."""
+    """Three consumers of one event type, one of which raises; the failures of one do not reach the others."""
     values = star.events.select(F.col("event_id").cast("string").alias("correlation_id"), "value")
 
     def publish(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -251,10 +254,11 @@ def event_fan_out(star: Star) -> DataFrame:
     def count(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
         return batch, batch.where(F.lit(False)).withColumn("failure_reason", F.lit(None).cast("string"))
 
-    out = events.fan_out(
-        S.envelopes(star),
-        {"publisher": ("gold_data.published", publish), "counter": ("gold_data.published", count)},
-    )
+    def broken(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+        raise RuntimeError("not configured")
+
+    handlers = {"publisher": publish, "counter": count, "broken": broken}
+    out = events.fan_out(S.envelopes(star), {name: ("gold_data.published", h) for name, h in handlers.items()})
     rows = None
     for name, (handled, failed) in out.items():
         part = handled.select(

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.functions import keys
 from tidemark.operators import bronze, dlq, events, gold, silver
 from tidemark.sources import landing, tables
 
@@ -81,24 +82,18 @@ def run(
     bronze_path, silver_path = layout.path("bronze_raw_records"), layout.path("fact_economic_observation")
     existing = tables.read_table(spark, bronze_path, schemas.BRONZE)
     loaded = bronze.load(
-        landing.read_landed(spark, raw_root, dates=dates), existing, code_version, run_at
-    )
-    new_path = layout.path(f"bronze_new/run={run_at:%Y%m%dT%H%M%S}")
-    loaded.rows.write.mode("overwrite").parquet(new_path)
-    new_rows = spark.read.schema(schemas.BRONZE).parquet(new_path)
-    tables.append(new_rows, bronze_path, ("source_id", "dataset_id"))
-    written = events.emit(
-        new_rows,
-        "bronze_data.written",
-        "bronze",
+        landing.read_landed(spark, raw_root, dates=dates),
+        existing,
+        code_version,
         run_at,
-        payload_reference=F.col("raw_object_key"),
-        metadata=F.struct("bronze_id"),
+        stage=lambda checked: tables.staged(checked, layout.path("bronze_checked")),
     )
-    append_events(written, layout)
+    new_rows = loaded.rows
+    tables.append(new_rows, bronze_path, ("source_id", "dataset_id"))
+    all_bronze = tables.read_table(spark, bronze_path, schemas.BRONZE)
+    append_events(unlogged(spark, written_events(all_bronze, run_at), layout), layout)
     append_dead_letters(spark, rejected_entries(loaded.rejected, run_at), layout)
 
-    all_bronze = tables.read_table(spark, bronze_path, schemas.BRONZE)
     dataset_map = dimensions.dataset_map
     if incremental:
         dataset_map = fed_by(dataset_map, new_rows)
@@ -146,8 +141,27 @@ def append_events(new: DataFrame, layout: Layout) -> None:
     tables.append(new, layout.path("event_log"))
 
 
+def written_events(rows: DataFrame, run_at: datetime) -> DataFrame:
+    """One event per Bronze row; its id follows from the row, not from the run."""
+    return events.emit(
+        rows,
+        "bronze_data.written",
+        "bronze",
+        run_at,
+        payload_reference=F.col("raw_object_key"),
+        metadata=F.struct("bronze_id"),
+        event_id=keys.derived_id(F.lit("bronze_data.written"), "bronze_id"),
+    )
+
+
+def unlogged(spark: SparkSession, new: DataFrame, layout: Layout) -> DataFrame:
+    """Events that the log does not hold yet, so a run that died before logging is made up for."""
+    log = tables.read_table(spark, layout.path("event_log"), schemas.EVENT)
+    return new.join(log.select("event_id"), "event_id", "left_anti").select(*events.COLUMNS)
+
+
 def rejected_entries(rejected: DataFrame, run_at: datetime) -> DataFrame:
-    """Dead-letter entries of objects that failed the checksum gate."""
+    """Dead-letter entries of objects that failed the checksum gate, one per object and reason."""
     failed = events.emit(
         rejected,
         "raw_data.received",
@@ -155,6 +169,7 @@ def rejected_entries(rejected: DataFrame, run_at: datetime) -> DataFrame:
         run_at,
         payload_reference=F.col("raw_object_key"),
         metadata=F.struct("reason"),
+        event_id=keys.derived_id(F.lit("raw_data.received"), "raw_object_key", "reason"),
     )
     reason = F.from_json("metadata", "struct<reason: string>").reason
     return dlq.from_failures(failed, F.lit("IntegrityError"), reason)

@@ -93,9 +93,8 @@ def stream_validate(star: Star) -> DataFrame:
             max_lag=timedelta(days=10),
         )
     )
-    log = tables.read_table(star.spark, layout.path("event_log"), schemas.EVENT)
-    dead = tables.read_table(star.spark, layout.path("dlq"), schemas.DLQ).select("event_id", "failure_reason")
-    return log.join(dead, "event_id", "left").select(
+    dead = validate.read_quarantined(star.spark, layout).select("event_id", "failure_reason")
+    return validate.read_outcomes(star.spark, layout).join(dead, "event_id", "left").select(
         F.col("correlation_id").alias("batch_id"), "event_type", "failure_reason"
     )
 
@@ -115,7 +114,7 @@ def stream_failure_streaks(star: Star) -> DataFrame:
             stream, layout.path("state"), layout.path("alerts"), layout.path("checkpoint"), "streaks"
         )
     )
-    found = alerts.read_alerts(star.spark, layout.path("alerts"))
+    found = alerts.standing_alerts(star.spark, layout.path("state"), layout.path("alerts"))
     return found.select("dataset_id", "alert_id", "message")
 
 

@@ -12,43 +12,31 @@ from tidemark.operators import alerts
 from tidemark.sources import tables
 from tidemark.streaming.ingest import run_batches
 
-STREAK = T.StructType(
+#: Runs that decide the streaks: the newest that did not fail and the failures after it.
+STATE = T.StructType(
     [
         T.StructField("dataset_id", T.StringType()),
-        T.StructField("consecutive_failures", T.LongType()),
-        T.StructField("latest_run_id", T.StringType()),
-        T.StructField("latest_error", T.StringType()),
-        T.StructField("batch_number", T.LongType()),
+        T.StructField("run_id", T.StringType()),
+        T.StructField("started_at", T.TimestampType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("error", T.StringType()),
     ]
 )
 SNAPSHOT_EVERY = 100
 
 
-def fold_streaks(before: DataFrame, batch: DataFrame) -> DataFrame:
-    """Streaks after a micro-batch of runs, for the datasets in it.
+def deciding_runs(runs: DataFrame) -> DataFrame:
+    """Per dataset the newest run that did not fail and the failed runs after it, each once.
 
-    The batch is reduced to one row per dataset first: its trailing failures and whether any run
-    did not fail. A dataset with such a run starts over; otherwise the streak before goes on.
-    So a dataset with very many runs never sits in one task, and the state join is one row each.
+    Reducing parts and then their union gives the same as reducing everything, so order of arrival
+    and repeated delivery make no difference.
     """
-    seen = batch.groupBy("dataset_id").agg(
-        F.bool_or(F.col("status") != "failed").alias("interrupted")
-    )
-    trailing = alerts.failure_streaks(batch)
-    old = before.select(
-        "dataset_id",
-        F.col("consecutive_failures").alias("_before"),
-        F.col("latest_run_id").alias("_run"),
-        F.col("latest_error").alias("_error"),
-    )
-    joined = seen.join(trailing, "dataset_id", "left").join(old, "dataset_id", "left")
-    carried = F.when(F.col("interrupted"), 0).otherwise(F.coalesce("_before", F.lit(0)))
-    return joined.select(
-        "dataset_id",
-        (F.coalesce("consecutive_failures", F.lit(0)) + carried).cast("bigint").alias("consecutive_failures"),
-        "latest_run_id",
-        "latest_error",
-    )
+    key = ["dataset_id", "run_id", "started_at", "status"]
+    once = runs.where("status is not null").groupBy(*key).agg(F.max("error").alias("error"))
+    place = F.struct("started_at", "run_id")
+    newest = once.groupBy("dataset_id").agg(F.max(F.when(F.col("status") != "failed", place)).alias("newest"))
+    decides = F.col("newest").isNull() | (place > F.col("newest")) | ((place == F.col("newest")) & (F.col("status") != "failed"))
+    return once.join(newest, "dataset_id").where(decides).select(*STATE.fieldNames())
 
 
 def failure_streaks(
@@ -62,51 +50,66 @@ def failure_streaks(
 ) -> StreamingQuery:
     """Alert when a dataset's trailing failures reach the threshold, across micro-batches.
 
-    State is a table of streaks, one slice per micro-batch holding the datasets it touched. Every
-    ``snapshot_every`` batches the slice holds all datasets, and older slices are no longer read.
-    Runs of a dataset must arrive in order across micro-batches; within one any order is fine.
+    State is a log of the runs that decide the streaks, one slice per micro-batch. Every
+    ``snapshot_every`` batches the slice holds what decides all datasets, and older slices, told
+    by their names, are no longer read. Runs may arrive late, in any order and more than once.
     """
     spark = runs.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            oldest = max(batch_id - 1, 0) // snapshot_every * snapshot_every
-            slices = tables.other_batches(spark, state_path, STREAK, name, batch_id)
-            known = tables.latest_by_key(
-                slices.where((F.col("batch_number") >= oldest) & (F.col("batch_number") < batch_id)),
-                ("dataset_id",),
-                ("batch_number",),
-            ).drop("batch_number")
-            touched = fold_streaks(known, batch)
-            state = touched
-            if batch_id % snapshot_every == 0:
-                state = touched.unionByName(known.join(touched, "dataset_id", "left_anti"))
-            numbered = state.withColumn("batch_number", F.lit(batch_id).cast("bigint"))
-            tables.write_batch(numbered, state_path, name, batch_id)
-            reached = touched.where(F.col("consecutive_failures") >= threshold)
-            message = F.format_string("%s failed %d times in a row", "dataset_id", "consecutive_failures")
-            found = alerts.as_alerts(
-                reached,
-                alerts.CONSECUTIVE_FAILURES,
-                "dataset_id",
-                message,
-                ["consecutive_failures", "latest_run_id", "latest_error"],
-                ["latest_run_id"],
-            )
-            tables.write_batch(found, alerts_path, name, batch_id)
-        finally:
-            batch.unpersist()
+        oldest = max(batch_id - 1, 0) // snapshot_every * snapshot_every
+        known = _state_slices(spark, state_path, tables.slice_name(name, oldest), tables.slice_name(name, batch_id))
+        arrived = batch.select(*STATE.fieldNames())
+        whole = batch_id % snapshot_every == 0
+        tables.write_batch(deciding_runs(known.unionByName(arrived) if whole else arrived), state_path, name, batch_id)
+        touched = known.join(arrived.select("dataset_id").distinct(), "dataset_id", "left_semi")
+        reached = alerts.consecutive_failures(deciding_runs(touched.unionByName(arrived)), threshold)
+        tables.write_batch(_as_alerts(reached), alerts_path, name, batch_id)
 
     return run_batches(runs, write, checkpoint, name)
 
 
+def _state_slices(spark, path: str, first: str, end: str) -> DataFrame:
+    """State written from slice ``first`` on and before slice ``end``: a filter on the partition column."""
+    if not tables.exists(spark, path):
+        return spark.createDataFrame([], STATE)
+    sliced = T.StructType([*STATE.fields, T.StructField(tables.BATCH_COLUMN, T.StringType())])
+    place = F.col(tables.BATCH_COLUMN)
+    return spark.read.schema(sliced).parquet(path).where((place >= first) & (place < end)).drop(tables.BATCH_COLUMN)
+
+
+def _as_alerts(streaks: DataFrame) -> DataFrame:
+    return alerts.as_alerts(
+        streaks,
+        alerts.CONSECUTIVE_FAILURES,
+        "dataset_id",
+        F.format_string("%s failed %d times in a row", "dataset_id", "consecutive_failures"),
+        ["consecutive_failures", "latest_run_id", "latest_error"],
+        ["latest_run_id"],
+    )
+
+
 def read_alerts(spark, alerts_path: str) -> DataFrame:
+    """Every alert that was raised, once."""
     return tables.first_by_key(
         tables.read_table(spark, alerts_path, schemas.ALERT), ("alert_id",), ("message",)
     )
 
 
+def read_streaks(spark, state_path: str) -> DataFrame:
+    """Streaks as they stand."""
+    return alerts.failure_streaks(deciding_runs(tables.read_table(spark, state_path, STATE)))
+
+
+def standing_alerts(
+    spark, state_path: str, alerts_path: str, threshold: int = alerts.FAILURE_THRESHOLD
+) -> DataFrame:
+    """Raised alerts whose streak still stands, with its present length."""
+    raised = tables.read_table(spark, alerts_path, schemas.ALERT).select("alert_id").distinct()
+    stands = read_streaks(spark, state_path).where(F.col("consecutive_failures") >= threshold)
+    return _as_alerts(stands).join(raised, "alert_id", "left_semi")
+
+
 def event_counts(stream: DataFrame, at: str, by: list[str], width: str, delay: str) -> DataFrame:
     """Events per type and window, open windows included once written by ``keep_windows``."""
     return (
