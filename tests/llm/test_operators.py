@@ -308,6 +308,15 @@ def test_large_groups_split_and_compared_by_blocks(spark, monkeypatch):
     assert classes(jaccard.similarity_classes(docs)) == brute_classes(rows)
 
 
+def test_dense_buckets_are_not_split_further(spark, monkeypatch):
+    """Equal sketches never part: each stays in its first buckets instead of walking all levels."""
+    monkeypatch.setattr(jaccard, "LEAF", 8)
+    rows = [(k, list(range(jaccard.COORDS))) for k in range(40)]
+    runs = jaccard.runs_for(0.999, 2)
+    leaves = jaccard._leaves(spark.createDataFrame(rows, "id long, sketch array<int>"), runs)
+    assert leaves.count() == 40 * len(jaccard._at_root(runs))
+
+
 def test_runs_reach_the_target():
     assert jaccard.runs_for(0.999, 2) > jaccard.runs_for(0.9, 2) >= 1
     assert jaccard.runs_for(0.9, 3) >= jaccard.runs_for(0.9, 1)

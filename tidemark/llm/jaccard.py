@@ -6,7 +6,9 @@ Two texts are linked when the Jaccard similarity of their sets of five-word shin
 * A set is embedded as ``COORDS`` minimum hashes. A run starts with all sets in one bucket; in a bucket
   (a path) each coordinate is chosen with probability 1 / (LAMBDA * COORDS) by a hash of the path, and the
   bucket is split on the values of each chosen coordinate. Splitting goes on while a bucket holds more than
-  ``LEAF`` sets, for at most ``DEPTH`` levels. ``runs_for`` gives the runs that reach the target recall.
+  ``LEAF`` sets, for at most ``DEPTH`` levels. A *dense* bucket, which kept ``LAMBDA`` of the sets above it, is
+  a leaf at any size: its sets are alike on average, so splitting repeats the same pairs on more paths.
+  ``runs_for`` gives the runs that reach the target recall.
 * A leaf compares its sketches by brute force and leaves a star for each group it finds; a leaf too large
   for one task is compared block by block.
 * Stars are joined to candidate clusters. Inside a cluster *all* pairs are compared exactly, again block
@@ -130,20 +132,21 @@ def _chosen() -> F.Column:
 def _leaves(sets: DataFrame, runs: int) -> DataFrame:
     """(path, id, n): the leaf buckets of all runs that hold two sets or more."""
     first = [F.xxhash64(F.lit(run), F.lit(k), F.col("sketch")[k]) for run, k in _at_root(runs)]
-    rows = sets.select("id", F.explode(F.array(*first)).alias("path"))
+    rows = sets.select("id", F.lit(sets.count()).alias("above"), F.explode(F.array(*first)).alias("path"))
     done = None
     for level in range(DEPTH):
         rows = frames.stored(rows, "paths")
         held = rows.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1")
         rows = frames.stored(rows.join(held, "path"), "buckets")
         last = level + 1 == DEPTH
-        leaf = rows.filter(F.lit(last) | (F.col("n") <= LEAF)).select("path", "id", "n")
+        ends = F.lit(last) | (F.col("n") <= LEAF) | (F.col("n") >= LAMBDA * F.col("above"))
+        leaf = rows.filter(ends).select("path", "id", "n")
         done = leaf if done is None else done.unionByName(leaf)
-        rows = rows.filter(F.col("n") > LEAF)
+        rows = rows.filter(~ends)
         if last or rows.isEmpty():
             return done
-        rows = rows.select("id", "path").join(sets.select("id", "sketch"), "id")
-        rows = rows.select("id", F.explode(_chosen()).alias("path"))
+        rows = rows.select("id", "path", F.col("n").alias("above")).join(sets.select("id", "sketch"), "id")
+        rows = rows.select("id", "above", F.explode(_chosen()).alias("path"))
 
 
 def _in_blocks(rows: DataFrame, size: int) -> DataFrame:
