@@ -415,6 +415,37 @@ def test_scores(messy, none, documents):
     assert lm.score_documents(none).count() == 0
 
 
+def test_network_learns_from_all_of_a_long_text(spark):
+    """Two corpora of equal counts and equal first 20,000 characters; only one has an order in what follows."""
+    head = sentence(8, 5_000)
+    assert len(head) > 20_000
+    tail = ["left", "right"] * 1_500
+    mixed = random.Random(9).sample(tail, len(tail))
+    out = next(k for k in range(100) if lm.held_out([k])[0])
+    train = [k for k in range(100) if not lm.held_out([k])[0]][:3]
+    scores = []
+    for words_ in (tail, mixed):
+        rows = [*((k, f"{head} {' '.join(words_)}") for k in train), (out, " ".join(tail[:200]))]
+        got = lm.score_documents(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+        scores.append(got.filter(f"doc_id = {out}").first())
+    assert scores[0].base_score == scores[1].base_score
+    assert scores[0].score > scores[1].score + 1
+
+
+def test_windows_hold_every_token_after_the_one_before():
+    pick = np.random.Generator(np.random.PCG64(5))
+    texts = [pick.integers(1, 1024, n) for n in (1, 40, 0, 16, 17, 300, 5, 33)]
+    seen = []
+    last: dict[int, int] = {}
+    for lane, fresh, before, target, live in lm._windows(iter(texts), 3):
+        for column, k in enumerate(lane):
+            for t in np.flatnonzero(live[:, column]):
+                assert before[t, column] == (lm._END if fresh[column] and t == 0 else last[k])
+                last[k] = target[t, column]
+                seen.append(int(target[t, column]))
+    assert sorted(seen) == sorted(np.concatenate(texts).tolist())
+
+
 def test_gru_gradients_and_probabilities():
     model = lm.Gru(np.ones(lm.CLASSES * lm.PER_CLASS))
     model.p = {k: v.astype(np.float64) for k, v in model.p.items()}

@@ -2,9 +2,10 @@
 
 Counts cover every training document. The most frequent words form the model's vocabulary; a GRU predicts
 the next of them, or that another word follows, through a softmax factored into classes. Other words are
-weighed by their corpus counts. The network is trained with truncated backpropagation in NumPy on a bounded
-sample; its output biases start from the counts of the whole corpus. When a document is scored, the state is
-carried from window to window, so the whole text counts.
+weighed by their corpus counts. The network is trained with truncated backpropagation in NumPy on the whole
+texts of all training documents: in each pass every task trains on its partition from the same weights, and
+their weights are averaged by the tokens they saw. The output biases start from the counts of the corpus. In
+training and in scoring the state is carried from window to window, so the whole text counts.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,8 +28,10 @@ HIDDEN, EMBEDDED = 24, 16
 STEPS = 16
 #: Words whose counts every task knows; the rest are joined with the counts.
 FREQUENT = 1 << 18
-#: Training documents (those of smallest hash), characters of each and passes for the network's weights.
-SAMPLE_DOCS, SAMPLE_CHARS, PASSES = 1_500, 20_000, 3
+#: Passes over the training documents, and documents that a task trains on side by side.
+PASSES, LANES = 3, 256
+#: Weights in one row of those that tasks hand over.
+CHUNK = 1_024
 SMOOTH = 0.1
 FOLDS = 10
 END_WORD = np.int64(-1)  # hash of the end token; words with this hash would be taken for it
@@ -144,51 +147,34 @@ class Gru:
             ahead = d * keep + d_rec @ p["wh"].T + passed
         flat, which = d_inputs.reshape(-1, 3 * h), ids.ravel()
         grads["bx"] = flat.sum(0)
-        grads["wx"] = p["emb"][which].T @ flat
-        np.add.at(grads["emb"], which, flat @ p["wx"].T)
+        order = np.argsort(which, kind="stable")
+        used, at = np.unique(which[order], return_index=True)
+        by_id = np.add.reduceat(flat[order], at)
+        grads["wx"] = p["emb"][used].T @ by_id
+        grads["emb"][used] = by_id @ p["wx"].T
         return loss, len(rows), grads, state
 
-    def train(self, texts: list[np.ndarray], passes: int, lanes: int = 64, rate: float = 0.01) -> list[float]:
-        """Adam over documents laid in lanes; a lane's state restarts with each document. Mean losses by pass."""
-        texts = [t for t in texts if len(t)]
-        if not texts:
-            return []
-        order = np.argsort([-len(t) for t in texts], kind="stable")
-        filled: list[list[np.ndarray]] = [[] for _ in range(min(lanes, len(texts)))]
-        sizes = np.zeros(len(filled), int)
-        for k in order:
-            lane = int(np.argmin(sizes))
-            filled[lane].append(texts[k])
-            sizes[lane] += len(texts[k])
-        width = int(sizes.max())
-        target = np.zeros((width, len(filled)), np.int64)
-        before = np.full((width, len(filled)), _END, np.int64)
-        live = np.zeros((width, len(filled)), bool)
-        begins = np.zeros((width, len(filled)), bool)
-        for lane, parts in enumerate(filled):
-            row = np.concatenate(parts)
-            target[: len(row), lane], live[: len(row), lane] = row, True
-            before[1 : len(row), lane] = row[:-1]
-            begins[np.cumsum([0, *map(len, parts)])[:-1], lane] = True
+    def train(self, texts: Iterator[np.ndarray], updates: float = 0, lanes: int = LANES, rate: float = 0.01) -> tuple[float, int, int]:
+        """Adam over the windows of a stream of documents; ``updates`` were made before. Loss, tokens, updates.
+
+        A window moves the weights by its share of the tokens of a full one.
+        """
         first = {k: np.zeros_like(v) for k, v in self.p.items()}
         second = {k: np.zeros_like(v) for k, v in self.p.items()}
-        losses, n = [], 0
-        for _ in range(passes):
-            state, total, seen = np.zeros((len(filled), HIDDEN), np.float32), 0.0, 0
-            for t in range(0, width, STEPS):
-                cut = slice(t, t + STEPS)
-                state = np.where(begins[cut].any(0)[:, None], 0, state).astype(np.float32)
-                loss, rows, grads, state = self.gradients(before[cut], target[cut], live[cut], state)
-                total, seen, n = total + float(loss), seen + rows, n + 1
-                norm = math.sqrt(sum(float((g * g).sum()) for g in grads.values()))
-                for k, g in grads.items():
-                    g = g * min(1.0, 1.0 / (norm + 1e-9))
-                    first[k] = 0.9 * first[k] + 0.1 * g
-                    second[k] = 0.999 * second[k] + 0.001 * g * g
-                    step = rate / math.sqrt(1 + n / 300) * first[k] / (1 - 0.9**n)
-                    self.p[k] = (self.p[k] - step / (np.sqrt(second[k] / (1 - 0.999**n)) + 1e-6)).astype(np.float32)
-            losses.append(total / max(seen, 1))
-        return losses
+        states, total, seen, n, full = np.zeros((lanes, HIDDEN), np.float32), 0.0, 0, 0, 1
+        for lane, fresh, before, target, live in _windows(texts, lanes):
+            state = np.where(fresh[:, None], np.float32(0), states[lane])
+            loss, rows, grads, states[lane] = self.gradients(before, target, live, state)
+            total, seen, n, full = total + float(loss), seen + rows, n + 1, max(full, rows)
+            norm = math.sqrt(sum(float((g * g).sum()) for g in grads.values()))
+            pace = rate * rows / full / math.sqrt(1 + (updates + n) / 300) / (1 - 0.9**n)
+            for k, g in grads.items():
+                g = g * min(1.0, 1.0 / (norm + 1e-9))
+                first[k] = 0.9 * first[k] + 0.1 * g
+                second[k] = 0.999 * second[k] + 0.001 * g * g
+                step = pace * first[k] / (np.sqrt(second[k] / (1 - 0.999**n)) + 1e-6)
+                self.p[k] = (self.p[k] - step).astype(np.float32)
+        return total, seen, n
 
     def score(self, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Natural log probability of each document ids[bounds[k]:bounds[k+1]], none of them empty.
@@ -219,6 +205,33 @@ class Gru:
         return scores
 
 
+def _windows(texts: Iterator[np.ndarray], lanes: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Lanes in use, which of them begin a document, and ids before, targets and presence by (step, lane).
+
+    A lane goes through one document after the other, each of them from the begin of a window to its end.
+    """
+    texts = (t for t in texts if len(t))
+    docs, at = [np.zeros(0, np.int64)] * lanes, [0] * lanes
+    while True:
+        target, before = np.zeros((lanes, STEPS), np.int64), np.full((lanes, STEPS), _END, np.int64)
+        sizes, fresh = np.zeros(lanes, np.int64), np.zeros(lanes, bool)
+        for k in range(lanes):
+            if at[k] >= len(docs[k]):
+                docs[k], at[k] = next(texts, docs[k][:0]), 0
+                fresh[k] = True
+            part = docs[k][at[k] : at[k] + STEPS]
+            sizes[k] = len(part)
+            target[k, : len(part)], before[k, 1 : len(part)] = part, part[:-1]
+            if at[k]:
+                before[k, 0] = docs[k][at[k] - 1]
+            at[k] += STEPS
+        lane = np.flatnonzero(sizes)
+        if not len(lane):
+            return
+        live = np.arange(STEPS)[:, None] < sizes[lane]
+        yield lane, fresh[lane], before[lane].T, target[lane].T, live
+
+
 # --- counting ---------------------------------------------------------------------------------
 
 
@@ -302,16 +315,70 @@ def _model_ids(corpus: Corpus, found: words.Words) -> tuple[np.ndarray, np.ndarr
     return ids, found.bounds + np.arange(len(found.bounds)), place, frequent
 
 
-def _train(corpus: Corpus, docs: DataFrame) -> None:
-    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS
-    picked = docs.select("doc_id").filter((fold != 0) & F.col("doc_id").isNotNull()).distinct()
-    picked = picked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-    sample = docs.join(F.broadcast(picked), "doc_id").select(F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-    texts = []
-    for _, _, data, offsets in words.chunks(pa.array(sorted(r.text or "" for r in sample.limit(4 * SAMPLE_DOCS).collect()))):
-        ids, bounds, _, _ = _model_ids(corpus, words.split(data, offsets, lower=True))
-        texts += [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-    corpus.model.train(texts, PASSES)
+# --- training ---------------------------------------------------------------------------------
+
+_PART = "chunk int, task int, tokens long, updates long, weights binary"
+_MEAN = "chunk int, updates double, weights binary"
+
+
+def _encoded(batches: Iterator[pa.RecordBatch], corpus: Corpus) -> Iterator[pa.RecordBatch]:
+    """Model ids of each training document, two bytes each."""
+    for batch in batches:
+        batch = batch.filter(pa.array(~held_out(batch.column("doc_id").to_pylist())))
+        for _, _, data, offsets in words.chunks(batch.column("text")):
+            ids, bounds, _, _ = _model_ids(corpus, words.split(data, offsets, lower=True))
+            raw = ids.astype("<u2").tobytes()
+            rows = [raw[2 * a : 2 * b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["ids"])
+
+
+def _trained(batches: Iterator[pa.RecordBatch], weights: dict[str, np.ndarray], updates: float) -> Iterator[pa.RecordBatch]:
+    """The weights after the documents of a task, in rows of ``CHUNK``."""
+    model = Gru.__new__(Gru)
+    model.p = dict(weights)
+    texts = (np.frombuffer(x.as_py(), "<u2").astype(np.int64) for batch in batches for x in batch.column("ids"))
+    _, tokens, n = model.train(texts, updates)
+    if not tokens:
+        return
+    raw = np.concatenate([model.p[k].ravel() for k in sorted(model.p)]).astype("<f4").tobytes()
+    parts = [raw[k : k + 4 * CHUNK] for k in range(0, len(raw), 4 * CHUNK)]
+    size, task = len(parts), TaskContext.get().partitionId()
+    columns = [range(size), [task] * size, [tokens] * size, [n] * size, parts]
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [x.split()[0] for x in _PART.split(", ")]
+    )
+
+
+def _averaged(rows: pa.Table) -> pa.Table:
+    """One chunk of weights, and the updates behind it, averaged over the tasks by their tokens."""
+    rows = rows.sort_by("task")  # the order of a sum shows in its last digits
+    tokens = rows["tokens"].to_numpy().astype(float)
+    weights = np.stack([np.frombuffer(x, "<f4") for x in rows["weights"].to_pylist()])
+    mean = np.average(weights, axis=0, weights=tokens).astype("<f4").tobytes()
+    updates = float(np.average(rows["updates"].to_numpy(), weights=tokens))
+    return pa.table(
+        {"chunk": rows["chunk"][:1], "updates": pa.array([updates]), "weights": pa.array([mean], pa.binary())}
+    )
+
+
+def _train(corpus: Corpus, docs: DataFrame, shared: Broadcast) -> None:
+    share = docs.sparkSession.sparkContext.broadcast
+    ids = frames.stored(docs.mapInArrow(lambda b: _encoded(b, Corpus.of(shared.value)), "ids binary"), "training-ids")
+    updates = 0.0
+    for _ in range(PASSES):
+        start = share((corpus.model.p, updates))
+        parts = ids.mapInArrow(lambda b, start=start: _trained(b, *start.value), _PART)
+        mean = frames.stored(parts.groupBy("chunk").applyInArrow(_averaged, _MEAN), "weights").collect()
+        if not mean:
+            return
+        flat = np.frombuffer(b"".join(bytes(r.weights) for r in sorted(mean, key=lambda r: r.chunk)), "<f4")
+        names = sorted(corpus.model.p)
+        cuts = np.cumsum([corpus.model.p[k].size for k in names])[:-1]
+        corpus.model.p = {
+            k: x.reshape(corpus.model.p[k].shape) for k, x in zip(names, np.split(flat, cuts), strict=True)
+        }
+        updates += mean[0].updates
 
 
 # --- scoring ----------------------------------------------------------------------------------
@@ -387,9 +454,10 @@ def score_documents(docs: DataFrame) -> DataFrame:
     counts = docs.mapInArrow(_counted, "token long, c long").groupBy("token").agg(F.sum("c").alias("c"))
     counts = frames.stored(counts.filter("c > 0"), "token-counts")
     corpus = _corpus(counts)
-    _train(corpus, docs)
-    plain = {k: v for k, v in vars(corpus).items() if k != "model"} | {"weights": corpus.model.p}
-    shared = spark.sparkContext.broadcast(plain)  # arrays only; workers need not import this module
+    share = spark.sparkContext.broadcast
+    plain = {k: v for k, v in vars(corpus).items() if k != "model"}
+    _train(corpus, docs, share(plain | {"weights": corpus.model.p}))
+    shared = share(plain | {"weights": corpus.model.p})  # arrays only; workers need not import this module
     scored = frames.stored(docs.mapInArrow(lambda b: _scored(b, Corpus.of(shared.value)), _SCORED), "scored")
     rare = scored.select("row", F.explode(F.arrays_zip("tokens", "times")).alias("t")).select("row", "t.tokens", "t.times")
     joined = rare.join(counts.withColumnRenamed("token", "tokens"), "tokens", "left")
