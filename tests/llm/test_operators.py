@@ -159,6 +159,23 @@ def test_packing_in_several_shards(documents, monkeypatch):
     assert used <= 1.02 * total / 2048 + 1
 
 
+def test_packing_ends_when_no_bin_can_be_filled(spark, monkeypatch):
+    """More pieces of just over half the capacity than a shard holds: one to a bin, after few rounds."""
+    monkeypatch.setattr(packing, "SHARD_PIECES", 60)
+    stored, calls = packing.frames.stored, []
+
+    def counted(df, label):
+        calls.append(label)
+        assert len(calls) < 10
+        return stored(df, label)
+
+    monkeypatch.setattr(packing.frames, "stored", counted)
+    text = "one two three four five six"
+    docs = spark.createDataFrame([(k, text) for k in range(200)], "doc_id long, text string")
+    size = len(expected_ids(docs.limit(1))[0][1])
+    assert check_packing(docs, 2 * size - 1) == (200, 200 * size)
+
+
 def test_local_search_empties_bins():
     lengths = np.array([6, 4, 5, 5, 7, 3, 2, 8])
     bins = packing.local_search([[k] for k in range(8)], lengths, 10)

@@ -4,7 +4,8 @@ Pieces are dealt at random to shards of about ``SHARD_PIECES``. A shard packs by
 and then runs a local search: pieces of the emptiest bin move into other underfull bins, or one or two of
 them change places with a shorter one there, as long as the sum of squared fills grows; bins that empty
 are dropped. Loosely filled bins of all shards are taken apart and packed again in fewer shards, until one
-shard is left. Pieces of full length are sequences by themselves.
+shard is left or a round leaves nearly as many loose pieces as it was given: those have lengths that do not
+fill a bin together, and their bins stand. Pieces of full length are sequences by themselves.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ CAPACITY = 2048
 SHARD_PIECES = 8_000
 #: Bins filled below this share of the capacity are packed again with those of other shards.
 LOOSE = 0.98
+#: A round that leaves more than this share of its pieces loose is the last.
+STUCK = 0.9
 
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, lane long"
 _PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, lane long, bin int, offset long, fill long"
@@ -171,21 +174,25 @@ def pack(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         *made.columns, (-1 - F.col("lane")).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
     rest, level = made.filter(F.col("length") < capacity), 0
+    pieces = rest.count()
     while True:
-        shards = max(1, -(-rest.count() // SHARD_PIECES))
+        shards = max(1, -(-pieces // SHARD_PIECES))
         dealt = rest.withColumn("shard", F.pmod(F.xxhash64("lane", F.lit(level)), F.lit(shards)))
         packed = dealt.groupBy("shard").applyInArrow(
             lambda t: _pack_shard(t, capacity).append_column("shard", t["shard"]), _PACKED + ", shard long"
         )
         packed = frames.stored(packed, "packed")
-        tight = F.lit(True) if shards == 1 else F.col("fill") >= int(LOOSE * capacity)
+        tight = F.col("fill") >= int(LOOSE * capacity)
+        left = packed.filter(~tight).count() if shards > 1 else 0
+        last = shards == 1 or left > STUCK * pieces
+        tight = F.lit(True) if last else tight
         numbered = (F.lit(level) * F.lit(2**55)) + F.col("shard") * F.lit(2**24) + F.col("bin")
         out = out.unionByName(
             packed.filter(tight).select(*made.columns, numbered.cast("long").alias("sequence_id"), "offset")
         )
-        if shards == 1:
+        if last:
             return out.drop("lane")
-        rest, level = packed.filter(~tight).select(*made.columns), level + 1
+        rest, pieces, level = packed.filter(~tight).select(*made.columns), left, level + 1
 
 
 def sequences(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
