@@ -270,6 +270,18 @@ def test_random_strings_and_what_is_not():
         assert not secret_scan.scan(f"see {word} here")["random"], word
 
 
+@pytest.mark.parametrize("letters", ["A-Z2-7", "a-z2-7", "a-z0-9", "A-Z0-9", "a-z", "A-Z", "A-Za-z0-9"])
+def test_random_strings_of_any_alphabet_are_found(letters):
+    alphabet = re.findall(f"[{letters}]", "".join(map(chr, range(128))))
+    pick = random.Random(letters)
+    for size in (24, 32, 52):
+        keys = ["".join(pick.choice(alphabet) for _ in range(size)) for _ in range(200)]
+        found = sum(any(secret_scan.scan(f"see {k} here")[kind] for kind in ("random", "hex")) for k in keys)
+        assert found >= 198, (size, found)
+    for word in ("MAX_RETRY_COUNT_FOR_THE_JOB", "getHTTPResponseCodeFromURL2", "incomprehensibilities"):
+        assert not secret_scan.scan(f"see {word} here")["random"], word
+
+
 # --- 4 ----------------------------------------------------------------------------------------
 
 

@@ -33,8 +33,8 @@ _RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 _DIGEST = re.compile(r"(?i)[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}")
 _UUID = re.compile(r"(?i)[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
-#: Parts of an identifier are this long on average; those of a random string are shorter.
-PART_LENGTH = 3.5
+#: Parts of letters that are long enough to be told from chance, and characters per token that make one a word.
+PART_LENGTH, WORD = 3, 2.5
 
 _SCANNED = (
     "doc_id long, n_assign long, n_access long, n_hex long, n_random long, base_sha256 string, spans string, redacted string"
@@ -53,13 +53,16 @@ def _encoding() -> tiktoken.Encoding:
 
 
 def _identifier(run: str) -> bool:
-    """A digest, a number, or words joined by signs or capitals."""
+    """A digest, a number, or words joined by signs or capitals: half of its letters and digits or more are words."""
     if _DIGEST.fullmatch(run) or _UUID.fullmatch(run):
         return True
     parts = _PART.findall(run)
-    if all(p.isdigit() for p in parts) or not any(p.isdigit() for p in parts) and run.lower() == run:
+    if all(p.isdigit() for p in parts):
         return True
-    return sum(map(len, parts)) / len(parts) >= PART_LENGTH
+    long = [f" {p.lower()}" for p in parts if len(p) >= PART_LENGTH and p.isalpha()]
+    if 2 * sum(len(p) - 1 for p in long) < sum(map(len, parts)):
+        return False
+    return all(len(p) - 1 >= WORD * len(_encoding().encode_ordinary(p)) for p in long)
 
 
 def _random(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
