@@ -351,6 +351,27 @@ def test_runs_reach_the_target():
     assert jaccard.runs_for(0.9, 3) >= jaccard.runs_for(0.9, 1)
 
 
+def test_recall_of_pairs_in_a_family_split_six_times(spark, monkeypatch):
+    """Pairs at the threshold whose buckets stay large because all sets share a template."""
+    monkeypatch.setattr(jaccard, "LEAF", 8)
+    pick, size = np.random.Generator(np.random.PCG64(4)), 600
+    one = (pick.random((size, jaccard.COORDS)) < 0.25).astype(int)
+    unlike = np.argsort(pick.random(one.shape), axis=1) < 6
+    other = np.where(unlike, pick.integers(2, 1 << 30, one.shape), one)
+    rows = [(k, x.tolist()) for k, x in enumerate(np.concatenate([one, other]))]
+    sets = spark.createDataFrame(rows, "id long, sketch array<int>").cache()
+    assert jaccard._split(sets, 0, jaccard.runs_for(0.999, 2))[1] == jaccard.DEPTH
+    ends, split = [], jaccard._split
+    monkeypatch.setattr(jaccard, "_split", lambda s, a, b: ends.append(b) or split(s, a, b))
+    leaves = jaccard._leaves_for(sets, 0.999)
+    assert ends[-1] == jaccard.runs_for(0.999, jaccard.DEPTH)
+    paths = defaultdict(set)
+    for r in leaves.select("path", "id").collect():
+        paths[r.id].add(r.path)
+    met = sum(bool(paths[k] & paths[k + size]) for k in range(size))
+    assert met >= 0.99 * size, met
+
+
 # --- 5 ----------------------------------------------------------------------------------------
 
 QUESTION = "Alice bought 12 apples and 7 pears for 30 dollars then gave Bob 5 apples how many apples does Alice hold now"

@@ -8,7 +8,8 @@ Two texts are linked when the Jaccard similarity of their sets of five-word shin
   bucket is split on the values of each chosen coordinate. Splitting goes on while a bucket holds more than
   ``LEAF`` sets, for at most ``DEPTH`` levels. A *dense* bucket, which kept ``LAMBDA`` of the sets above it, is
   a leaf at any size: its sets are alike on average, so splitting repeats the same pairs on more paths.
-  ``runs_for`` gives the runs that reach the target recall.
+  ``runs_for`` gives the runs that reach the target recall; deeper splitting needs more, so runs are added
+  until they are enough for the deepest level that any of them used.
 * A leaf compares its sketches by brute force and leaves a star for each group it finds; a leaf too large
   for one task is compared block by block.
 * Stars are joined to candidate clusters. Inside a cluster *all* pairs are compared exactly, again block
@@ -131,7 +132,24 @@ def _chosen() -> F.Column:
 
 def _leaves(sets: DataFrame, runs: int) -> DataFrame:
     """(path, id, n): the leaf buckets of all runs that hold two sets or more."""
-    first = [F.xxhash64(F.lit(run), F.lit(k), F.col("sketch")[k]) for run, k in _at_root(runs)]
+    return _split(sets, 0, runs)[0]
+
+
+def _leaves_for(sets: DataFrame, target: float) -> DataFrame:
+    """(path, id, n): the leaf buckets of as many runs as the deepest level they use asks for."""
+    leaves, runs, deepest = None, 0, 2
+    while (wanted := runs_for(target, deepest)) > runs:
+        more, levels = _split(sets, runs, wanted)
+        leaves = more if leaves is None else leaves.unionByName(more)
+        runs, deepest = wanted, max(deepest, levels)
+    return leaves
+
+
+def _split(sets: DataFrame, begin: int, end: int) -> tuple[DataFrame, int]:
+    """(path, id, n): the leaf buckets of the runs from ``begin`` to ``end``; and the levels of splitting."""
+    first = [F.xxhash64(F.lit(run), F.lit(k), F.col("sketch")[k]) for run, k in _at_root(end) if run >= begin]
+    if not first:
+        return sets.select(F.lit(0).cast("long").alias("path"), "id", F.lit(0).cast("long").alias("n")).limit(0), 0
     rows = sets.select("id", F.lit(sets.count()).alias("above"), F.explode(F.array(*first)).alias("path"))
     done = None
     for level in range(DEPTH):
@@ -144,7 +162,7 @@ def _leaves(sets: DataFrame, runs: int) -> DataFrame:
         done = leaf if done is None else done.unionByName(leaf)
         rows = rows.filter(~ends)
         if last or rows.isEmpty():
-            return done
+            return done, level + 1
         rows = rows.select("id", "path", F.col("n").alias("above")).join(sets.select("id", "sketch"), "id")
         rows = rows.select("id", "above", F.explode(_chosen()).alias("path"))
 
@@ -322,7 +340,7 @@ def similarity_classes(docs: DataFrame, target: float = TARGET_RECALL) -> DataFr
         .dropDuplicates(["id"]),
         "sets",
     )
-    leaves = _in_blocks(_leaves(distinct, runs_for(target, 2)).join(distinct, "id"), LEAF)
+    leaves = _in_blocks(_leaves_for(distinct, target).join(distinct, "id"), LEAF)
     stars = _dealt(leaves, ["path", "i", "j"], SHARD_ROWS).applyInArrow(_compare_sketches, "a long, b long")
     roots = components(stars)
     roots = roots.unionByName(roots.select(F.col("root").alias("id"), "root").distinct())
