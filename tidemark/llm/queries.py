@@ -18,6 +18,7 @@ from tidemark.llm import (
     rules,
     secret_scan,
     substrings,
+    trie,
 )
 from tidemark.llm.frames import table
 from tidemark.session import scratch_path
@@ -77,6 +78,10 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_lm_scoring,
         op9_substring_dedup,
         op10_chat_formatting,
+        op11_prefix_trie,
     )
 }
 
@@ -145,4 +151,49 @@ select conv_id, perspective, turn, role, name, content, stop - length(content) a
   case when role = 'assistant' then stop - length(content) + length(header) else stop end as learn_start,
   stop as learn_stop
 from placed""",
+    "op11_prefix_trie": """
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as t from conversations
+  where conv_id is not null),
+digested as (select *, md5(length(role) || ':' || role || t) as digest, length(t) as chars from turns),
+numbered as (
+  select conv_id, digest, chars,
+    row_number() over (partition by conv_id order by turn nulls first, role, digest) as i from digested),
+convs as (
+  select conv_id as c, conv_id - conv_id % 100 as family,
+    4294967295 - list_reduce(
+      list_prepend(4294967295::bigint, list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint)),
+      lambda a, b: list_reduce(
+        list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]),
+        lambda x, y: xor(x >> 1, 3988292384::bigint * (x & 1)))) as crc
+  from (select distinct conv_id from turns)),
+shares as (select c, family, crc % 6 as h from convs),
+heads as (select c, h, i, digest, chars from shares join numbered on numbered.conv_id = family and i <= h),
+rebuilt as (
+  select c, i as d, digest, chars from heads
+  union all
+  select shares.c, i - h + coalesce(k, 0), digest, chars
+  from shares join numbered on numbered.conv_id = shares.c and i > h
+    left join (select c, count(*) as k from heads group by c) as n on n.c = shares.c),
+prefixes as (
+  select c, d, chars, string_agg(digest, '') over (partition by c order by d) as path from rebuilt
+  union all select c, 0, 0, '' from shares),
+nodes as (
+  select path, any_value(d) as d, any_value(chars) as chars, min(c) as conv_id, count(*) as n from prefixes group by path),
+placed as (select *, case when d > 0 then left(path, length(path) - 32) end as above from nodes),
+children as (select above as path, count(*) as k from placed where above is not null group by above),
+finals as (select c, arg_max(path, d) as path from prefixes group by c),
+ended as (select path, string_agg(c::varchar, ',' order by c) as ids from finals group by path),
+own as (
+  select placed.*, coalesce(k, 0) as k, (k is null)::bigint as leaf,
+    case when d > 0 then (n - 1) * chars else 0 end as saved
+  from placed left join children using (path)),
+subtrees as (
+  select p.path, sum(leaf) as leaves, sum(saved) as saved
+  from own join prefixes as p on p.c = own.conv_id and p.d <= own.d group by p.path)
+select own.conv_id, own.d::bigint as depth, up.conv_id as parent_conv_id, own.n as n_convs, own.k as n_children,
+  subtrees.leaves::bigint as n_leaves, subtrees.saved::bigint as saved_tokens,
+  sha256(coalesce(ids, '')) as ends_sha256
+from own join subtrees using (path) left join nodes as up on up.path = own.above
+  left join ended on ended.path = own.path""",
 }
