@@ -15,9 +15,11 @@ from tidemark.llm import (
     lm,
     packing,
     quality,
+    rtree,
     rules,
     secret_scan,
     substrings,
+    toxicity,
     trie,
 )
 from tidemark.llm.frames import table
@@ -82,6 +84,15 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return rows.withColumn("n_clauses", F.size("clauses")).drop("clauses")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rtree.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -96,6 +107,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_substring_dedup,
         op10_chat_formatting,
         op11_prefix_trie,
+        op12_toxicity,
+        op13_hard_negatives,
     )
 }
 
@@ -196,4 +209,26 @@ select own.conv_id, own.d::bigint as depth, up.conv_id as parent_conv_id, own.n
   sha256(coalesce(ids, '')) as ends_sha256
 from own join subtrees using (path) left join nodes as up on up.path = own.above
   left join ended on ended.path = own.path""",
+    "op13_hard_negatives": """
+with usable as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+items as (select vec_id, min(row(label, v)) as r from usable group by vec_id),
+plain as (select vec_id, r[1] as label, r[2] as v from items),
+scored as (
+  select a.vec_id as anchor_id, a.label as anchor_label, b.vec_id, b.label,
+    coalesce(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])), 0)::bigint as score
+  from plain as a join plain as b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scored where label = anchor_label
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select anchor_id, positive_id,
+  row_number() over (partition by anchor_id, positive_id order by score desc, vec_id)::int as rank,
+  vec_id as negative_id, positive_score, score as negative_score
+from positives join scored using (anchor_id)
+where label <> anchor_label and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score
+qualify rank <= 5""",
 }
