@@ -27,13 +27,15 @@ SHARD_ROWS, LEAST_SHARD, LEAF, FANOUT, BLOCK = 16_384, 2_048, 96, 12, 4_096
 SCALE = 256
 #: Positives per anchor, negatives per positive, and the window of scores in percent of the positive's.
 POSITIVES, NEGATIVES, LOW, HIGH = 5, 5, 80, 100
-LONG = np.iinfo(np.int64)
+#: Greatest whole-number component: products of up to 512 of them fit a long.
+MOST = 1 << 27
 
 
 def vectors(rows: DataFrame) -> DataFrame:
     """(vec_id, label, vec): usable rows with whole-number components and the contract's labels."""
     usable = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    whole = F.transform("embedding", lambda x: F.floor(F.lit(float(SCALE)) * x.cast("double")).cast("long"))
+    held = lambda x: F.least(F.greatest(F.lit(float(SCALE)) * x.cast("double"), F.lit(-float(MOST))), F.lit(float(MOST)))
+    whole = F.transform("embedding", lambda x: F.floor(held(x)).cast("long"))
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     kept = rows.filter(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("embedding").isNotNull() & usable)
     one = kept.groupBy(F.col("vec_id").cast("long").alias("vec_id")).agg(
@@ -197,10 +199,6 @@ def search(tree: Tree, anchor: np.ndarray, least: list, most: list, same: int |
 # --- the two searches ---------------------------------------------------------------------------
 
 
-def _clamped(score: int) -> int:
-    return min(max(score, LONG.min), LONG.max)
-
-
 def _blocks(anchors: DataFrame, leaves: DataFrame, count: int) -> tuple[DataFrame, DataFrame]:
     """Anchors dealt to every shard, leaves to every block of anchors."""
     blocks = max(1, -(-count // BLOCK))
@@ -226,7 +224,7 @@ def _positives(leaves: pa.Table, anchors: pa.Table, width: int, exact: bool, k:
         for i, (own, label) in enumerate(zip(anchors["anchor_id"].to_pylist(), anchors["label"].to_pylist(), strict=True)):
             best = Best(k, None, None)
             search(tree, points[i], least[i].tolist(), most[i].tolist(), label, None, own, [best])
-            out += [(own, found, _clamped(-score)) for score, found in best.rows]
+            out += [(own, found, -score) for score, found in best.rows]
     columns = zip(*out, strict=True) if out else [[]] * 3
     return pa.table([pa.array(c, pa.int64()) for c in columns], ["anchor_id", "found_id", "score"])
 
@@ -242,7 +240,7 @@ def _negatives(leaves: pa.Table, anchors: pa.Table, width: int, exact: bool, k:
             wanted = [Best(k, -(-low * p["score"] // 100), high * p["score"] // 100) for p in positives]
             search(tree, points[i], least[i].tolist(), most[i].tolist(), None, label, own, [b for b in wanted if b.low <= b.high])
             for p, best in zip(positives, wanted, strict=True):
-                out += [(own, p["found_id"], p["score"], found, _clamped(-score)) for score, found in best.rows]
+                out += [(own, p["found_id"], p["score"], found, -score) for score, found in best.rows]
     columns = zip(*out, strict=True) if out else [[]] * 5
     names = ["anchor_id", "positive_id", "positive_score", "negative_id", "negative_score"]
     return pa.table([pa.array(c, pa.int64()) for c in columns], names)
@@ -260,8 +258,8 @@ def hard_negatives(rows: DataFrame, is_anchor: Column | None = None) -> DataFram
     ``is_anchor``: a condition on vec_id, by default divisible by 100. Rows with a null id, label or vector, or
     a null or non-finite component take no part. Rows of one vec_id are one row, the one of smallest label, then
     vector. Missing components of shorter vectors are 0. Anchors without positives, and positives without a
-    negative in their window, have no rows; a negative score leaves an empty window. Scores beyond a long are
-    compared exactly and returned as its limit. An empty table has no rows. Extra columns are ignored.
+    negative in their window, have no rows; a negative score leaves an empty window. Whole-number components are
+    held within 2**27, so that scores fit a long. An empty table has no rows. Extra columns are ignored.
     """
     is_anchor = F.col("vec_id") % 100 == 0 if is_anchor is None else is_anchor
     items = frames.stored(vectors(rows), "rtree-items")
