@@ -28,7 +28,8 @@ class BronzeLoad:
 def verify_checksum(objects: DataFrame) -> DataFrame:
     """Adds ``actual_sha256`` and ``checksum_ok``, recomputed from the bytes."""
     checked = objects.withColumn("actual_sha256", keys.payload_sha256("payload"))
-    return checked.withColumn("checksum_ok", F.col("actual_sha256") == F.col("raw_sha256"))
+    matches = F.coalesce(F.col("actual_sha256") == F.col("raw_sha256"), F.lit(False))
+    return checked.withColumn("checksum_ok", matches)
 
 
 def checksum_rejects(checked: DataFrame) -> DataFrame:
@@ -36,9 +37,9 @@ def checksum_rejects(checked: DataFrame) -> DataFrame:
         "raw_object_key",
         "source_id",
         "dataset_id",
-        F.format_string(
-            f"{REJECT_MISMATCH}: expected %s, got %s", "raw_sha256", "actual_sha256"
-        ).alias("reason"),
+        F.when(F.col("actual_sha256").isNull(), REJECT_MISSING)
+        .otherwise(F.format_string(f"{REJECT_MISMATCH}: expected %s, got %s", "raw_sha256", "actual_sha256"))
+        .alias("reason"),
     )
 
 

@@ -184,6 +184,30 @@ EVENT = _table(
     ("metadata", S, True),
 )
 
+RETRIEVAL = _table(("raw_object_key", S), ("retrieved_at", TS))
+
+# Named columns of landed objects, without their bytes.
+OBJECT_NAME = _table(
+    ("raw_object_key", S),
+    ("path", S),
+    ("source_id", S),
+    ("dataset_id", S),
+    ("raw_sha256", S),
+    ("retrieved_at", TS),
+    ("length", T.LongType()),
+)
+
+BATCH_VERDICT = _table(
+    ("batch_id", S),
+    ("raw_object_key", S),
+    ("dataset_id", S),
+    ("failed_rules", T.ArrayType(S)),
+    ("flagged_rules", T.ArrayType(S)),
+    ("outcome", S),
+    ("attempt", I),
+    ("judged_at", TS),
+)
+
 ALERT = _table(
     ("alert_id", S),
     ("alert_type", S),

@@ -13,7 +13,9 @@ from pyspark.sql import SparkSession
 # hugeMethodLimit: the JIT leaves methods above 8000 bytes of bytecode uncompiled, so a stage whose
 # generated loop is larger runs faster as split per-operator code.
 # forceOptimizeSkewedJoin: AQE may split a hot join key even when that costs a later exchange.
+# maxConcurrentOutputFileWriters: rows written by partition stay unsorted, so payloads are not sorted.
 RUNTIME_CONF = {
+    "spark.sql.maxConcurrentOutputFileWriters": "64",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "false",
     "spark.sql.codegen.hugeMethodLimit": "8000",

@@ -5,17 +5,22 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark import schemas
 from tidemark.functions import keys
 from tidemark.sources import tables
 
 # ``land_files`` writes from Python workers, where the package need not be installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Bytes that one fetched batch holds before it is handed on, and that one task should fetch.
+BATCH_BYTES, TASK_BYTES = 32 << 20, 256 << 20
+
 
 def read_landed(
     spark: SparkSession,
@@ -59,6 +64,90 @@ def landed_keys(spark: SparkSession, root: str) -> DataFrame:
     return read_landed(spark, root).select("raw_object_key")
 
 
+def listed(spark: SparkSession, root: str, dates: Iterable[str] | None = None) -> DataFrame:
+    """Names, sizes and times of landed files; the content is not selected, so no file is opened."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.json")
+        .load(f"{root.rstrip('/')}/raw/*/*/date={_glob(dates)}")
+    )
+    part = keys.key_parts("path")
+    return files.where(F.col("path").rlike(keys.KEY_PATTERN + "$")).select(
+        F.regexp_extract("path", keys.KEY_PATTERN, 0).alias("raw_object_key"),
+        "path",
+        part["source_id"].alias("source_id"),
+        part["dataset_id"].alias("dataset_id"),
+        part["raw_sha256"].alias("raw_sha256"),
+        F.col("modificationTime").alias("retrieved_at"),
+        "length",
+    )
+
+
+def retrievals(manifest: DataFrame) -> DataFrame:
+    """When each object was first retrieved: the earliest row of the manifest wins."""
+    return manifest.groupBy("raw_object_key").agg(F.min("retrieved_at").alias("first_retrieved"))
+
+
+def winners(names: DataFrame, held: DataFrame, manifest: DataFrame | None = None) -> DataFrame:
+    """One name per key that is not ``held``, with the manifest's retrieval time where it has one.
+
+    Only names are compared and shuffled; files that are not new are never opened.
+    """
+    fresh = names.join(held.select("raw_object_key"), "raw_object_key", "left_anti")
+    if manifest is not None:
+        fresh = fresh.join(retrievals(manifest), "raw_object_key", "left").withColumn(
+            "retrieved_at", F.coalesce("first_retrieved", "retrieved_at")
+        )
+    return first_copy(fresh.select(*schemas.OBJECT_NAME.fieldNames())).select(*schemas.OBJECT_NAME.fieldNames())
+
+
+def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
+    """Arrow's file system of a Hadoop path, and the path inside it."""
+    if path.startswith(("/", "file:")):
+        return pafs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    scheme, _, rest = path.partition("://")
+    authority, _, inside = rest.partition("/")
+    filesystem, base = pafs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    return filesystem, f"{base.rstrip('/')}/{inside}"
+
+
+def _fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The named files' bytes, a bounded number of them at a time; a file that is gone gives null."""
+    for batch in batches:
+        paths, begin, held, size = batch.column("path").to_pylist(), 0, [], 0
+        for i, path in enumerate(paths):
+            filesystem, inside = _filesystem(path)
+            try:
+                with filesystem.open_input_stream(inside) as source:
+                    held.append(source.read())
+            except FileNotFoundError:
+                held.append(None)
+            size += len(held[-1] or b"")
+            if size >= BATCH_BYTES or i + 1 == len(paths):
+                part = batch.slice(begin, len(held))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(held, pa.binary())], [*batch.schema.names, "payload"]
+                )
+                begin, held, size = i + 1, [], 0
+
+
+def fetch(names: DataFrame) -> DataFrame:
+    """Read the named files in the executors, each once and where it is needed.
+
+    Names are dealt by source, dataset and as many parts as their sizes ask for, so bytes are neither
+    shuffled nor sorted, and one hot dataset is spread over many tasks.
+    """
+    sizes = names.groupBy("source_id", "dataset_id").agg(F.sum("length").alias("_bytes"))
+    parts = F.greatest(F.lit(1), F.ceil(F.col("_bytes") / TASK_BYTES))
+    dealt = names.join(sizes, ["source_id", "dataset_id"]).withColumn(
+        "_part", F.pmod(F.xxhash64("raw_object_key"), parts)
+    )
+    width = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = dealt.repartition(width, "source_id", "dataset_id", "_part").select(*names.columns)
+    schema = ", ".join(f"`{n}` {t}" for n, t in spread.dtypes) + ", payload binary"
+    return spread.mapInArrow(_fetched, schema)
+
+
 def address(payloads: DataFrame) -> DataFrame:
     """Give (source_id, dataset_id, retrieved_at, payload) rows their checksum and object key."""
     return payloads.withColumn("raw_sha256", keys.payload_sha256("payload")).withColumn(
@@ -108,6 +197,16 @@ def land_table(objects: DataFrame, landed: DataFrame, path: str) -> None:
     tables.append(fresh, path, ("source_id", "dataset_id"))
 
 
+def land(objects: DataFrame, root: str, manifest_path: str, label: str) -> None:
+    """Land files with a manifest of when each was retrieved.
+
+    The manifest is written first: a run that dies in between leaves rows without a file, which no
+    load reads, but never a file whose retrieval time is lost.
+    """
+    tables.append_slice(objects.select("raw_object_key", "retrieved_at"), manifest_path, label)
+    land_files(objects, root)
+
+
 def land_files(objects: DataFrame, root: str) -> None:
     """Write each payload to its key under ``root`` unless it is there.
 

@@ -8,6 +8,7 @@ so a lost executor or a retried task cannot leave half a table or a row twice.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,6 +46,92 @@ def _rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
 
 
+POINTER, VERSION = "_current", "version"
+
+
+def replace(df: DataFrame, path: str, partition_by: str, slices_only: bool = False) -> None:
+    """Replace a table, or with ``slices_only`` the slices present in ``df``, without a moment in which
+    readers find less than a whole table.
+
+    Rows go to a directory of their own, then a pointer file that lists the directories in force is
+    switched by one rename. A run that dies before the rename leaves the old table as it was. The version
+    before stays for readers that have begun; older directories are removed.
+    """
+    spark = df.sparkSession
+    fs, root = _hadoop(spark, path)
+    before = _pointed(spark, path)
+    version = f"{VERSION}={uuid.uuid4().hex}"
+    target = f"{path}/{version}"
+    _rebalanced(df, [partition_by]).write.partitionBy(partition_by).parquet(target)
+    if slices_only and before:
+        made = {d.rpartition("/")[2] for d in _slices(spark, path, [version])}
+        kept = [d for d in _slices(spark, path, before) if d.rpartition("/")[2] not in made]
+        current = [*kept, version]
+    else:
+        current = [version]
+    _point(spark, path, current)
+    used = {d.partition("/")[0] for d in (*current, *before)}
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith(f"{VERSION}=") and name not in used:
+            fs.delete(status.getPath(), True)
+
+
+def read_replaced(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table in force, or an empty frame of its schema before the first write."""
+    current = _pointed(spark, path)
+    paths = [f"{path}/{d}" for d in _slices(spark, path, current)]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*paths).select(*schema.fieldNames())
+
+
+def _hadoop(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def _slices(spark: SparkSession, path: str, directories: Sequence[str]) -> list[str]:
+    """Partition directories under the listed ones (a version, or one slice of a version)."""
+    out = []
+    for directory in directories:
+        if "/" in directory:
+            out.append(directory)
+            continue
+        fs, target = _hadoop(spark, f"{path}/{directory}")
+        names = sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory())
+        out += [f"{directory}/{n}" for n in names]
+    return out
+
+
+def _pointed(spark: SparkSession, path: str) -> list[str]:
+    """Directories that the pointer file lists."""
+    fs, target = _hadoop(spark, f"{path}/{POINTER}")
+    if not fs.exists(target):
+        return []
+    stream = fs.open(target)
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return text.split("\n")
+
+
+def _point(spark: SparkSession, path: str, directories: Sequence[str]) -> None:
+    """Write the pointer beside its place and move it there; the move replaces the old one at once."""
+    fs, part = _hadoop(spark, f"{path}/{POINTER}.{uuid.uuid4().hex}")
+    out = fs.create(part, True)
+    try:
+        out.write(bytearray("\n".join(directories).encode()))
+    finally:
+        out.close()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    context = hadoop.FileContext.getFileContext(part.toUri() if part.toUri().getScheme() else fs.getUri(), spark._jsc.hadoopConfiguration())
+    options = spark._sc._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    options[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+    context.rename(fs.makeQualified(part), fs.makeQualified(hadoop.Path(f"{path}/{POINTER}")), options)
+
+
 def staged(df: DataFrame, path: str) -> DataFrame:
     """Write an intermediate result to shared storage and go on from there.
 
@@ -55,12 +142,17 @@ def staged(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), rebalance: bool = True) -> None:
     """Audit append: one row per attempt, never keyed by content."""
-    writer = _rebalanced(df, partition_by).write.mode("append")
+    writer = (_rebalanced(df, partition_by) if rebalance else df).write.mode("append")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def append_slice(df: DataFrame, path: str, label: str) -> None:
+    """Append to a log that streaming queries write too: every row is in a slice, so readers see all."""
+    df.withColumn(BATCH_COLUMN, F.lit(label)).write.mode("append").partitionBy(BATCH_COLUMN).parquet(path)
+
+
 def write_batch(df: DataFrame, path: str, query: str, batch_id: int) -> None:
     """Write one micro-batch into its own slice; a retry of the batch replaces the same slice.
 
