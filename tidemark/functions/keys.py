@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -45,8 +47,14 @@ def bronze_id(key: Column | str) -> Column:
 
 def derived_id(*parts: Column | str) -> Column:
     """Id that a retried task recomputes identically, unlike a random uuid."""
-    texts = [F.coalesce(_col(p).cast("string"), F.lit("\u0000")) for p in parts]
-    return F.sha2(F.concat_ws("|", *texts), 256)
+    return F.sha2(_unambiguous(parts), 256)
+
+
+def _unambiguous(columns: Iterable[Column | str]) -> Column:
+    """Each value after its length, and null as a sign of its own: neither separators in the data nor
+    nulls make different rows look alike."""
+    texts = [_col(c).cast("string") for c in columns]
+    return F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts])
 
 
 def request_hash(
@@ -66,14 +74,8 @@ def request_hash(
 
 
 def row_fingerprint(*columns: Column | str) -> Column:
-    """First 15 hex digits of the row's md5 as a bigint, cast so that sums cannot overflow.
-
-    Each value is written after its length, and null as a sign of its own, so that neither separators in
-    the data nor nulls make different rows look alike.
-    """
-    texts = [_col(c).cast("string") for c in columns]
-    text = F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts])
-    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(38,0)")
+    """First 15 hex digits of the row's md5 as a bigint, cast so that sums cannot overflow."""
+    return F.conv(F.substring(F.md5(_unambiguous(columns)), 1, 15), 16, 10).cast("decimal(38,0)")
 
 
 def batch_checksum(*columns: Column | str) -> Column:

@@ -10,14 +10,42 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions import keys
 from tidemark.operators import alerts, dlq, events, runs
-from tidemark.plans.registry import DATASETS, ENVELOPES, RUNS, query
-from tidemark.sources import export, star as S
+from tidemark.plans.registry import DATASETS, ENVELOPES, RUNS, id_sql, query
+from tidemark.plans import pipeline
+from tidemark.session import scratch_path
+from tidemark.sources import export, star as S, tables
 from tidemark.sources.star import Star
 
 
+def _recorded(star: Star) -> pipeline.Layout:
+    """All runs recorded in a place of their own, in two parts; alerts follow from each."""
+    layout = pipeline.Layout(scratch_path(star.spark, "runs"))
+    early = F.col("started_at") < F.lit("2024-01-16").cast("timestamp")
+    everything = S.runs(star)
+    for part in (everything.where(early), everything.where(~early)):
+        pipeline.record_runs(star.spark, layout, part)
+    return layout
+
+
+@query(
+    "SNK-02 OPS-02",
+    f"""with {RUNS} select dataset_id, count(*) as runs, count(*) filter (status = 'failed') as failed,
+  max(case when status = 'failed' then run_id end) as greatest_failed from runs group by 1""",
+)
+def run_log(star: Star) -> DataFrame:
+    """What the stored run table holds per dataset after two recordings."""
+    failed = F.col("status") == "failed"
+    return pipeline.read_runs(star.spark, _recorded(star)).groupBy("dataset_id").agg(
+        F.count("*").alias("runs"),
+        F.count_if(failed).alias("failed"),
+        F.max(F.when(failed, F.col("run_id"))).alias("greatest_failed"),
+    )
+
+
 @query("OPS-01 SNK-02", f"with {RUNS} select * from runs where run_id = '17'")
 def run_lookup(star: Star) -> DataFrame:
-    found = runs.by_id(S.runs(star), "17")
+    """Runs are recorded first, failed ones too, and looked up in the stored table."""
+    found = runs.by_id(pipeline.read_runs(star.spark, _recorded(star)), "17")
     return found.select("run_id", "dataset_id", "started_at", "finished_at", "status", "retry_count", "error")
 
 
@@ -140,19 +168,24 @@ def alert_quality(star: Star) -> DataFrame:
 @query(
     "OPS-08",
     f"""with {_STREAKS}, {_TESTS} select 'consecutive_failures' as alert_type, dataset_id,
-  sha256('consecutive_failures|' || dataset_id || '|' || latest_run_id) as alert_id,
+  {id_sql("'consecutive_failures'", 'dataset_id', 'latest_run_id')} as alert_id,
   dataset_id || ' failed ' || consecutive_failures || ' times in a row' as message
 from streaks where consecutive_failures >= 2
 union all
 select 'data_quality_blocking_failure', table_name,
-  sha256('data_quality_blocking_failure|' || table_name || '|' || string_agg(test_id, ',' order by test_id)),
+  {id_sql("'data_quality_blocking_failure'", 'table_name', "string_agg(test_id, ',' order by test_id)")},
   count(*) || ' tests failing on ' || table_name
 from current_tests where status = 'fail' group by table_name""",
 )
 def alert_log(star: Star) -> DataFrame:
-    found = alerts.consecutive_failure_alerts(S.runs(star)).unionByName(
-        alerts.quality_alerts(_current_tests(star))
-    )
+    """Quality results and runs are stored, run by run recorded alerts are inserted first-wins, twice."""
+    layout = pipeline.Layout(scratch_path(star.spark, "alerts"))
+    label = "results"
+    tables.append_slice(_current_tests(star).select(*schemas.QUALITY_RESULT.fieldNames()), layout.path("data_quality_result"), label)
+    recorded = S.runs(star)
+    for part in (recorded, recorded.limit(0)):
+        pipeline.record_runs(star.spark, layout, part)
+    found = pipeline.read_alerts(star.spark, layout)
     return found.select("alert_type", "dataset_id", "alert_id", "message")
 
 
@@ -371,7 +404,7 @@ def dlq_mark_replayed(star: Star) -> DataFrame:
 
 @query(
     "DLQ-04",
-    f"""with {_CURRENT} select sha256('dlq.replay|' || event_id) as event_id, 'raw_data.received' as event_type,
+    f"""with {_CURRENT} select {id_sql("'dlq.replay'", 'event_id')} as event_id, 'raw_data.received' as event_type,
   timestamp '2024-01-31' as occurred_at, 'dlq.replay' as producer, '1.0.0' as schema_version, dataset_id,
   correlation_id, payload_reference, '{{"replayed_from_dlq_event_id":"' || event_id || '"}}' as metadata
 from dlq where status = 'pending'""",

@@ -132,20 +132,26 @@ def _ingest(
     Names are settled first; then the bytes of new objects alone are read, once, and stay where they
     are read: verdicts and admission compare ids.
     """
-    announce(spark, layout, run_at)  # what an earlier run wrote but did not get to log
+    under_way = layout.path("_ingest_under_way")
+    if tables.exists(spark, under_way):
+        announce(spark, layout, run_at)  # what an earlier run wrote but did not get to log
     manifest = tables.read_table(spark, layout.path("retrievals"), schemas.RETRIEVAL)
     names = landing.winners(landing.listed(spark, raw_root, dates), held_keys(spark, layout), manifest)
     names = tables.staged(names.withColumn("run_at", F.lit(run_at).cast("timestamp")), layout.path("run_names"))
-    fetched = landing.fetch(names.drop("run_at"))
-    checked = tables.staged(bronze.verify_checksum(fetched), layout.path("bronze_checked"))
-    good = checked.where("checksum_ok").drop("actual_sha256", "checksum_ok")
-    if gate is not None:
-        good = _admitted(spark, layout, good, names, gate, run_at)
-    rows = bronze.lineage(good, code_version, run_at)
-    tables.append(rows, layout.path("bronze_raw_records"), ("source_id", "dataset_id"), rebalance=False)
-    announce(spark, layout, run_at)
-    stored = tables.read_table(spark, layout.path("bronze_raw_records"), schemas.BRONZE)
+    bronze_path = layout.path("bronze_raw_records")
+    if not names.isEmpty():
+        tables.mark(spark, under_way)
+        fetched = landing.fetch(names.drop("run_at"))
+        checked = tables.staged(bronze.verify_checksum(fetched), layout.path("bronze_checked"))
+        good = checked.where("checksum_ok").drop("actual_sha256", "checksum_ok")
+        if gate is not None:
+            good = _admitted(spark, layout, good, names, gate, run_at)
+        rows = bronze.lineage(good, code_version, run_at)
+        tables.append(rows, bronze_path, ("source_id", "dataset_id"), rebalance=False)
+        announce(spark, layout, run_at)
+    stored = tables.read_table(spark, bronze_path, schemas.BRONZE)
     catch_up(spark, layout, stored, run_at)
+    tables.unmark(spark, under_way)
     return stored.where(F.col("ingested_at") == F.lit(run_at).cast("timestamp")).select("dataset_id").distinct()
 
 

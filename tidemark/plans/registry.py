@@ -36,6 +36,11 @@ def query(operators: str, sql: str | None):
     return register
 
 
+def id_sql(*parts: str) -> str:
+    """SQL of an id derived from text expressions: each after its length, null as '-'."""
+    return "sha256(" + " || ".join(f"coalesce(length({p}) || ':' || {p}, '-')" for p in parts) + ")"
+
+
 # Shared SQL: the tables in the shapes of the data model.
 MONTHLY = """monthly as (
   select c_mktsegment as indicator_id, r_name as geo_code,

@@ -15,7 +15,7 @@ from tidemark.plans.checks import _RESULTS, _VERDICTS
 from tidemark.plans.layers import _OBJECTS
 from tidemark.plans.operations import _STREAKS
 from tidemark.plans.pipeline import Layout
-from tidemark.plans.registry import query
+from tidemark.plans.registry import id_sql, query
 from tidemark.session import scratch_path
 from tidemark.sources import landing, star as S, tables
 from tidemark.sources.star import Star
@@ -102,7 +102,7 @@ def stream_validate(star: Star) -> DataFrame:
 @query(
     "STR-04 OPS-05 OPS-08",
     f"""with {_STREAKS} select dataset_id,
-  sha256('consecutive_failures|' || dataset_id || '|' || latest_run_id) as alert_id,
+  {id_sql("'consecutive_failures'", 'dataset_id', 'latest_run_id')} as alert_id,
   dataset_id || ' failed ' || consecutive_failures || ' times in a row' as message
 from streaks where consecutive_failures >= 2""",
 )

@@ -94,14 +94,24 @@ def retrieved_at() -> Column:
     return F.timestamp_micros(F.lit(1009843200000000) + F.col("digit").cast("bigint") * 86400000000)
 
 
-def sales_objects(star: Star) -> DataFrame:
+def delivered_objects(star: Star) -> DataFrame:
+    """Sales payloads as they might be delivered: those of machinery at the lowest priority come as credits
+    (negative values), and those of building at the lowest but one lack their last byte."""
+    credit = (F.col("indicator_id") == "MACHINERY") & (F.col("digit") == 5)
+    sold = sales_objects(star, F.when(credit, -F.col("value")).otherwise(F.col("value")))
+    cut = F.col("dataset_id").rlike("^sales_building_.*_4$")
+    shorter = F.expr("substring(payload, 1, octet_length(payload) - 1)")
+    return landing.address(sold.withColumn("payload", F.when(cut, shorter).otherwise(F.col("payload"))))
+
+
+def sales_objects(star: Star, value: Column | None = None) -> DataFrame:
     """Monthly sales as raw JSON payloads, one per segment, region and priority.
 
     The payload array holds one element per calendar month, which bounds it at any data size.
     """
     item = F.struct(
         F.date_format("period_start", "yyyy-MM-dd").alias("date"),
-        F.col("value").cast("string").alias("value"),
+        (F.col("value") if value is None else value).cast("string").alias("value"),
         F.date_format(F.date_add(F.last_day("period_start"), F.col("digit")), "yyyy-MM-dd").alias("realtime_start"),
     )
     payloads = (

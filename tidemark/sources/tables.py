@@ -24,6 +24,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def mark(spark: SparkSession, path: str) -> None:
+    """An empty file that says that something is under way."""
+    fs, target = _hadoop(spark, path)
+    fs.create(target, True).close()
+
+
+def unmark(spark: SparkSession, path: str) -> None:
+    fs, target = _hadoop(spark, path)
+    fs.delete(target, False)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table, or an empty frame of its schema before the first write."""
     if not exists(spark, path):
