@@ -408,7 +408,8 @@ def append_dead_letters(spark: SparkSession, entries: DataFrame, layout: Layout,
 
 
 def read_dlq(spark: SparkSession, layout: Layout) -> DataFrame:
-    entries = tables.read_table(spark, layout.path("dlq"), schemas.DLQ)
+    entries = tables.read_table(spark, layout.path("dlq"), schemas.DLQ).select(*dlq.COLUMNS)
+    entries = tables.first_by_key(entries, ("event_id",), ("quarantined_at",))
     replays = tables.read_table(spark, layout.path("dlq_replays"), schemas.DLQ_REPLAY)
     return dlq.current(entries, replays)
 

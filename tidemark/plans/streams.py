@@ -9,17 +9,19 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.plans.checks import _RESULTS, _VERDICTS
 from tidemark.plans.layers import _OBJECTS
 from tidemark.plans.operations import _STREAKS
 from tidemark.plans.pipeline import Layout
-from tidemark.plans.registry import id_sql, query
+from tidemark.plans import pipeline
+from tidemark.plans.registry import ENVELOPES, id_sql, query
 from tidemark.session import scratch_path
 from tidemark.sources import landing, star as S, tables
 from tidemark.sources.star import Star
-from tidemark.streaming import alerts, ingest, validate
+from tidemark.streaming import alerts, consumers, ingest, validate
 
 
 class _Streamed(Star):
@@ -99,6 +101,50 @@ def stream_validate(star: Star) -> DataFrame:
     )
 
 
+def _reference_number(batch: DataFrame) -> DataFrame:
+    return batch.select("event_id", "dataset_id", F.substring("payload_reference", 3, 9).cast("long").alias("n"))
+
+
+def _strict_number(batch: DataFrame) -> DataFrame:
+    """Raises while rows are computed: ids ending in 777 are taken for forged ones."""
+    forged = F.col("event_id").endswith("777")
+    return _reference_number(batch.withColumn("event_id", F.when(forged, F.raise_error(F.lit("forged id"))).otherwise(F.col("event_id"))))
+
+
+@query(
+    "EVT-03 EVT-02 DLQ-01",
+    f"""with {ENVELOPES}, received as (
+  select correlation_id as event_id, dataset_id, cast(substr(payload_reference, 3) as bigint) as n
+  from envelopes where event_type = 'raw_data.received')
+select 'plain' as consumer, event_id, dataset_id, n, cast(null as varchar) as reason from received
+union all select 'strict', event_id, dataset_id, n, null from received where event_id not like '%777'
+union all select 'dead letter', event_id, dataset_id, null, 'strict' from received where event_id like '%777'""",
+)
+def consumer_queries(star: Star) -> DataFrame:
+    """Two consumers of one event type over a log that grows between their runs; one of them raises on some
+    events as they are computed."""
+    layout = Layout(scratch_path(star.spark, "consumers"))
+    log = S.envelopes(star).withColumn("event_id", F.col("correlation_id"))
+    early = F.col("occurred_at") < F.lit("2024-01-16").cast("timestamp")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("event_id", "dataset_id")] + [T.StructField("n", T.LongType())])
+    made = {
+        name: consumers.Consumer("raw_data.received", handler, schema)
+        for name, handler in (("plain", _reference_number), ("strict", _strict_number))
+    }
+    for label, part in (("early", log.where(early)), ("late", log.where(~early))):
+        pipeline.append_events(part, layout, label)
+        consumers.run_all(star.spark, layout, made)
+    handled = [
+        consumers.read_consumed(star.spark, layout, name, c).withColumns({"consumer": F.lit(name), "reason": F.lit(None).cast("string")})
+        for name, c in made.items()
+    ]
+    letters = pipeline.read_dlq(star.spark, layout).select(
+        "event_id", "dataset_id", F.lit(None).cast("long").alias("n"), F.lit("dead letter").alias("consumer"),
+        F.substring_index("failure_reason", ":", 1).alias("reason"),
+    )
+    return handled[0].unionByName(handled[1]).unionByName(letters)
+
+
 @query(
     "STR-04 OPS-05 OPS-08",
     f"""with {_STREAKS} select dataset_id,
