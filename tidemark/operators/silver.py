@@ -159,6 +159,26 @@ def newest_retrieval(typed: DataFrame) -> DataFrame:
     )
 
 
+def described(reduced: DataFrame, dim_indicator: DataFrame, run_at: datetime) -> DataFrame:
+    """Rows of the observation table from reduced ones: period fields, unit, adjustment and run stamp."""
+    known = reduced.join(dim_indicator.select("indicator_id", "unit", "seasonal_adjustment"), "indicator_id")
+    return known.select(
+        "indicator_id",
+        "geo_code",
+        periods.period_label("period_start").alias("period"),
+        "period_start",
+        periods.period_end("period_start").alias("period_end"),
+        "vintage_date",
+        "value",
+        "unit",
+        "seasonal_adjustment",
+        F.lit(None).cast("timestamp").alias("published_at"),
+        "retrieved_at",
+        F.lit(run_at).cast("timestamp").alias("processed_at"),
+        "bronze_id",
+    )
+
+
 def conform(
     bronze: DataFrame,
     dataset_map: DataFrame,
@@ -180,25 +200,7 @@ def conform(
         & F.col("vintage_date").isNotNull()
         & F.col("value").isNotNull()
     )
-    reduced = newest_retrieval(usable)
-    described = reduced.join(
-        dim_indicator.select("indicator_id", "unit", "seasonal_adjustment"), "indicator_id"
-    )
-    rows = described.select(
-        "indicator_id",
-        "geo_code",
-        periods.period_label("period_start").alias("period"),
-        "period_start",
-        periods.period_end("period_start").alias("period_end"),
-        "vintage_date",
-        "value",
-        "unit",
-        "seasonal_adjustment",
-        F.lit(None).cast("timestamp").alias("published_at"),
-        "retrieved_at",
-        F.lit(run_at).cast("timestamp").alias("processed_at"),
-        "bronze_id",
-    )
+    rows = described(newest_retrieval(usable), dim_indicator, run_at)
     held = undated(typed).unionByName(unreadable(parsed)).unionByName(unparsed(mapped, parsers))
     return Conformed(rows, held)
 

@@ -9,7 +9,7 @@ from tidemark import schemas
 from tidemark.contracts import DataContract, typed_record
 from tidemark.functions import keys, periods
 from tidemark.functions import records as R
-from tidemark.operators import admission, bronze, gold, serve, silver
+from tidemark.operators import admission, bronze, coded, gold, serve, silver
 from tidemark.operators.quality import assertions, rows
 from tidemark.plans import pipeline
 from tidemark.plans.registry import KPI_SELECT, MONTHLY, OBSERVATIONS, query
@@ -530,6 +530,45 @@ def gated_observations(star: Star) -> DataFrame:
     return stored.select("indicator_id", "geo_code", "period", "vintage_date", "value", "retrieved_at")
 
 
+_CODED = f"""{OBSERVATIONS}, coded as (
+  select *, digit = 5 and indicator_id = (select max(c_mktsegment) from customer) as lost from observations)"""
+
+
+def _coded(star: Star) -> silver.Conformed:
+    regions = star.region.where("r_name <> 'ASIA'").select(F.col("r_name").alias("code"), F.initcap("r_name").alias("canonical"))
+    segments = S.indicators(star).select(F.col("indicator_id").alias("code"), F.col("indicator_id").alias("canonical"))
+    return coded.conform(
+        S.bronze_rows(S.coded_objects(star)),
+        {"REF_AREA": "geo_code", "SEGMENT": "indicator_id"},
+        {"REF_AREA": regions, "SEGMENT": segments},
+        S.indicators(star),
+        S.RUN_AT,
+    )
+
+
+@query(
+    "SLV-20 SLV-19 SLV-04",
+    f"""with {_CODED} select indicator_id,
+  case geo_code when 'MIDDLE EAST' then 'Middle East' else geo_code[1] || lower(geo_code[2:]) end as geo_code,
+  period, cast(timestamp '2002-01-01' + (digit - 1) * interval '1 day' as date) as vintage_date, value, unit
+from coded where not lost and geo_code <> 'ASIA'""",
+)
+def coded_observations(star: Star) -> DataFrame:
+    """Payloads of positions decoded through the lists they carry, regions resolved by a code list."""
+    return _coded(star).rows.select("indicator_id", "geo_code", "period", "vintage_date", "value", "unit")
+
+
+@query(
+    "SLV-20",
+    f"""with {_CODED} select 'coded_' || digit as dataset_id,
+  case when lost then 'no value at the position of SEGMENT' else 'unknown REF_AREA: ASIA' end as reason, count(*) as n
+from coded where lost or geo_code = 'ASIA' group by 1, 2""",
+)
+def coded_held_back(star: Star) -> DataFrame:
+    """Positions outside their list and codes outside the code list, counted by reason."""
+    return _coded(star).quarantined.groupBy("dataset_id", "reason").agg(F.count("*").alias("n"))
+
+
 @query(
     "PIPE-04 GLD-01",
     f"""with {OBSERVATIONS} select o.indicator_id, o.geo_code, o.period, count(*) as vintages,

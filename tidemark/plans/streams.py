@@ -21,7 +21,7 @@ from tidemark.plans.registry import ENVELOPES, id_sql, query
 from tidemark.session import scratch_path
 from tidemark.sources import landing, star as S, tables
 from tidemark.sources.star import Star
-from tidemark.streaming import alerts, consumers, ingest, validate
+from tidemark.streaming import alerts, consumers, ingest, streaks, validate
 
 
 class _Streamed(Star):
@@ -153,14 +153,11 @@ def consumer_queries(star: Star) -> DataFrame:
 from streaks where consecutive_failures >= 2""",
 )
 def stream_failure_streaks(star: Star) -> DataFrame:
+    """Streaks kept as state per dataset; what stands is read from the state store."""
     layout = Layout(scratch_path(star.spark, "streaks"))
     stream = S.runs(_Streamed(star.spark, star.sf_dir))
-    _finish(
-        alerts.failure_streaks(
-            stream, layout.path("state"), layout.path("alerts"), layout.path("checkpoint"), "streaks"
-        )
-    )
-    found = alerts.standing_alerts(star.spark, layout.path("state"), layout.path("alerts"))
+    _finish(streaks.failure_streaks(stream, layout.path("alerts"), layout.path("checkpoint"), "streaks"))
+    found = streaks.standing_alerts(star.spark, layout.path("checkpoint"), layout.path("alerts"))
     return found.select("dataset_id", "alert_id", "message")
 
 

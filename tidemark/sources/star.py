@@ -157,6 +157,50 @@ def shipment_objects(star: Star) -> DataFrame:
     return landing.address(payloads)
 
 
+def coded_objects(star: Star) -> DataFrame:
+    """Monthly sales as index-coded payloads, one per priority: regions and segments are positions in lists.
+
+    The list of segments of the lowest priority lacks its last entry. Lists and maps hold an element per region,
+    segment or calendar month, which bounds them at any data size.
+    """
+    sales = monthly_sales(star).withColumn("month", F.date_format("period_start", "yyyy-MM"))
+    lists = sales.groupBy("digit").agg(
+        *[F.array_sort(F.collect_set(c)).alias(f"{c}s") for c in ("geo_code", "indicator_id", "month")]
+    )
+    place = lambda c: (F.array_position(f"{c}s", F.col(c)) - 1).cast("string")
+    series = (
+        sales.join(lists, "digit")
+        .groupBy("digit", F.concat_ws(":", place("geo_code"), place("indicator_id")).alias("key"))
+        .agg(F.map_from_entries(F.collect_list(F.struct(place("month"), F.array(F.col("value").cast("string"))))).alias("observations"))
+    )
+    bodies = series.groupBy("digit").agg(
+        F.map_from_entries(F.collect_list(F.struct("key", F.struct("observations")))).alias("series")
+    )
+
+    def dimension(name: str, values: Column) -> Column:
+        return F.struct(F.lit(name).alias("id"), F.transform(values, lambda v: F.struct(v.alias("id"))).alias("values"))
+
+    segments = F.when(F.col("digit") == 5, F.slice("indicator_ids", 1, F.greatest(F.size("indicator_ids") - 1, F.lit(1)))).otherwise(F.col("indicator_ids"))
+    payload = F.struct(
+        F.struct(F.format_string("2002-01-%02d", "digit").alias("prepared")).alias("header"),
+        F.struct(
+            F.struct(
+                F.array(dimension("REF_AREA", F.col("geo_codes")), dimension("SEGMENT", segments)).alias("series"),
+                F.array(dimension("TIME_PERIOD", F.col("months"))).alias("observation"),
+            ).alias("dimensions")
+        ).alias("structure"),
+        F.array(F.struct("series")).alias("dataSets"),
+    )
+    return landing.address(
+        bodies.join(lists, "digit").select(
+            F.lit("coded_feed").alias("source_id"),
+            F.format_string("coded_%d", "digit").alias("dataset_id"),
+            retrieved_at().alias("retrieved_at"),
+            F.encode(F.to_json(payload), "UTF-8").alias("payload"),
+        )
+    )
+
+
 PARSERS = {
     SALES_SOURCE: silver.OBSERVATIONS_PARSER,
     SHIPMENTS_SOURCE: silver.json_parser("series", "obs_time", "obs_value", "released"),

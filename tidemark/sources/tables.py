@@ -164,16 +164,18 @@ def append_slice(df: DataFrame, path: str, label: str) -> None:
     df.withColumn(BATCH_COLUMN, F.lit(label)).write.mode("append").partitionBy(BATCH_COLUMN).parquet(path)
 
 
-def write_batch(df: DataFrame, path: str, query: str, batch_id: int) -> None:
+def write_batch(df: DataFrame, path: str, query: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
     """Write one micro-batch into its own slice; a retry of the batch replaces the same slice.
 
-    ``query`` names the streaming query (one name per checkpoint), so queries do not share slices.
+    ``query`` names the streaming query (one name per checkpoint), so queries do not share slices. With
+    ``partition_by`` the table is partitioned by those columns first, and the slice lies in each of them.
     """
     (
-        df.withColumn(BATCH_COLUMN, F.lit(slice_name(query, batch_id)))
+        _rebalanced(df, partition_by)
+        .withColumn(BATCH_COLUMN, F.lit(slice_name(query, batch_id)))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH_COLUMN)
+        .partitionBy(*partition_by, BATCH_COLUMN)
         .parquet(path)
     )
 

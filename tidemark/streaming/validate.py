@@ -59,9 +59,29 @@ def outcome_events(verdicts: DataFrame, dataset_id: str, at: datetime) -> DataFr
     return parts[0].unionByName(parts[1])
 
 
-def _sliced(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+#: Records are stored by this many buckets of their batch id; a trigger reads the buckets it touches.
+BUCKETS, BUCKET = 256, "bucket"
+
+
+def bucket_of(batch_id: F.Column) -> F.Column:
+    return F.pmod(F.xxhash64(batch_id), F.lit(BUCKETS)).cast("int")
+
+
+def _sliced(spark: SparkSession, path: str, schema: T.StructType, *partitions: T.StructField) -> DataFrame:
     slice_ = T.StructField(tables.BATCH_COLUMN, T.StringType())
-    return tables.read_table(spark, path, T.StructType([*schema.fields, slice_]))
+    return tables.read_table(spark, path, T.StructType([*schema.fields, *partitions, slice_]))
+
+
+def touched_batches(spark: SparkSession, path: str, schema: T.StructType, own: F.Column) -> DataFrame:
+    """All stored records of the batches that a slice has records of.
+
+    Their buckets, at most ``BUCKETS`` numbers, become a filter on the partition column, so the directories
+    of other buckets are not read; inside those read, a semi join keeps the batches.
+    """
+    received = _sliced(spark, path, schema, T.StructField(BUCKET, T.IntegerType()))
+    ids = received.where(own).select("batch_id", BUCKET).distinct()
+    buckets = sorted(r[BUCKET] for r in ids.select(BUCKET).distinct().collect())
+    return received.where(F.col(BUCKET).isin(buckets)).join(ids.select("batch_id"), "batch_id", "left_semi")
 
 
 def validate_and_route(
@@ -75,11 +95,11 @@ def validate_and_route(
     """Records (``batch_id``, ``line`` JSON text) to a verdict per batch, with an outcome event per
     verdict and a dead-letter entry per quarantine.
 
-    Arriving records are stored first. Then each batch they touch is judged over all its records,
-    those of earlier triggers too, which are read from the slices that earlier verdicts name. The
-    newest verdict of a batch replaces the older ones (see ``current_verdicts``), so neither the
-    number of triggers nor their order matters. Every table is written by slice, so repeating a
-    micro-batch changes nothing.
+    Arriving records are stored first, by bucket of their batch id. Then each batch they touch is judged
+    over all its records, those of earlier triggers too, which lie in the same buckets. The newest
+    verdict of a batch replaces the older ones (see ``current_verdicts``), so neither the number of
+    triggers nor their order matters. Every table is written by slice, so repeating a micro-batch
+    changes nothing.
     """
     spark = lines.sparkSession
     slice_column = tables.BATCH_COLUMN
@@ -87,13 +107,9 @@ def validate_and_route(
     def write(batch: DataFrame, batch_id: int) -> None:
         own = F.col(slice_column) == tables.slice_name(name, batch_id)
         received_path, verdict_path = layout.path("received"), layout.path("verdicts")
-        tables.write_batch(batch, received_path, name, batch_id)
-        received = _sliced(spark, received_path, batch.schema)
-        arrived = received.where(own)
-        before = _sliced(spark, verdict_path, VERDICT).where((F.col("batch_number") < batch_id) & ~own)
-        parts = before.join(arrived.select("batch_id").distinct(), "batch_id", "left_semi")
-        earlier = received.join(parts.select("batch_id", slice_column).distinct(), ["batch_id", slice_column], "left_semi")
-        whole = arrived.unionByName(earlier).drop(slice_column)
+        bucketed = batch.withColumn(BUCKET, bucket_of(F.col("batch_id")))
+        tables.write_batch(bucketed, received_path, name, batch_id, (BUCKET,))
+        whole = touched_batches(spark, received_path, batch.schema, own).drop(slice_column, BUCKET)
         records = rows.from_json_text(whole, "batch_id", "line")
         results = verdict.evaluate(whole.select("batch_id"), records, contract, **context)
         judged = (
