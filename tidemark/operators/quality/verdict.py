@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.contracts import DataContract
 from tidemark.functions import records as R
 from tidemark.operators import adjacency
-from tidemark.operators.quality import rows, sets
+from tidemark.operators.quality import reconcile, rows, sets
 
 # Rule identifiers.
 SCHEMA, COMPLETENESS, UNIQUENESS, FRESHNESS, RANGE = (f"FR-QUAL-00{n}" for n in range(1, 6))
@@ -56,13 +56,15 @@ def evaluate(
     ``batches`` lists every batch (``batch_id``), including ones without records.
     ``expected`` is a calendar (``batch_id``, ``expected_key`` text); batches not in it are skipped.
     ``known_keys`` maps a field to a one-column frame of valid values. ``source_control`` has
-    ``batch_id, source_count, source_checksum, local_checksum``. Context that is not given leaves
-    its rule skipped, never passed.
+    ``batch_id, source_count, source_checksum`` (see ``reconcile.checksums``); unless it brings a
+    ``local_checksum``, that is computed in the scan of the records. Context that is not given leaves its
+    rule skipped, never passed.
 
     ``stage`` stores the parsed form of the records between parsing and the rules (for example
     ``tables.staged``); without it each rule that needs its own grouping parses them again.
     """
-    shaped = _shape(records, contract, key_field, list(known_keys or ()))
+    summed = source_control is not None and "local_checksum" not in source_control.columns
+    shaped = _shape(records, contract, key_field, list(known_keys or ()), summed)
     if stage is not None:
         shaped = stage(shaped)
     wide = (
@@ -93,7 +95,9 @@ def evaluate(
     return wide.select("batch_id", F.inline(results))
 
 
-def _shape(records: DataFrame, contract: DataContract, key_field: str, known: list[str]) -> DataFrame:
+def _shape(
+    records: DataFrame, contract: DataContract, key_field: str, known: list[str], summed: bool = False
+) -> DataFrame:
     """What the rules need of each record, in narrow typed columns; the record itself stays behind."""
     names = [*contract.schema, *contract.primary_key, "observed_at", "value", key_field, *known]
     fields = R.unpack(records, names)
@@ -108,6 +112,7 @@ def _shape(records: DataFrame, contract: DataContract, key_field: str, known: li
         R.field("value").as_float().alias("value"),
         *[flag.alias(name) for name, flag in flags.items()],
         *[(F.size(found) > 0).alias(f"has_{name}") for name, found in findings.items()],
+        *([reconcile.fingerprint(contract).alias("fingerprint")] if summed else []),
     )
 
 
@@ -115,12 +120,14 @@ def _scan(shaped: DataFrame, contract: DataContract) -> DataFrame:
     key = [f"`key_{n}`" for n in contract.primary_key]
     flags = [c for c in ("value_bad", "ohlc_bad", "volume_bad") if c in shaped.columns]
     bad_range = sum((F.count_if(F.col(c)) for c in flags), F.lit(0))
+    summed = "fingerprint" in shaped.columns
     bad_schema = F.col("has_missing") | F.col("has_extra") | F.col("has_type_errors")
     per_key = shaped.groupBy("batch_id", *key).agg(
         F.count("*").alias("_n"),
         F.count_if(bad_schema).alias("_schema"),
         bad_range.cast("bigint").alias("_range"),
         F.max("at").alias("_at"),
+        *([F.sum("fingerprint").alias("_sum")] if summed else []),
     )
     return per_key.groupBy("batch_id").agg(
         F.sum("_n").alias("records"),
@@ -128,6 +135,7 @@ def _scan(shaped: DataFrame, contract: DataContract) -> DataFrame:
         F.sum("_range").alias("range_rows"),
         F.count_if(F.col("_n") > 1).alias("duplicate_keys"),
         F.max("_at").alias("latest"),
+        *([F.sum("_sum").cast("string").alias("local_checksum")] if summed else []),
     )
 
 

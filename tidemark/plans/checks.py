@@ -11,7 +11,7 @@ from tidemark.contracts import DataContract
 from tidemark.functions import keys
 from tidemark.functions import records as R
 from tidemark.operators import adjacency, runs, serve
-from tidemark.operators.quality import metadata, rows, sets, verdict
+from tidemark.operators.quality import metadata, reconcile, rows, sets, verdict
 from tidemark.plans.registry import RECORDS, query
 from tidemark.session import scratch_path
 from tidemark.sources import star as S, tables
@@ -319,6 +319,52 @@ def _results(star: Star) -> DataFrame:
     )
 
 
+def _delivering_side(star: Star, whole: bool) -> DataFrame:
+    """Records as their source has them: views with k = 50 read one more there. Unless ``whole``, it also lacks
+    signups with k = 60."""
+    other = Star(star.spark, star.sf_dir)
+    kind, k = F.col("event_type"), S.prop_k()
+    there = star.events if whole else star.events.where((kind != "signup") | (k != 60))
+    there = there.withColumn("value", F.when((kind == "view") & (k == 50), F.col("value") + 1).otherwise(F.col("value")))
+    other.events = there
+    return _event_records(other)
+
+
+@query(
+    "DQ-09",
+    f"""with {RECORDS} select batch_id, case when max(case when e.event_type = 'view'
+    and json_extract_string(props, '$.k') = '50' then 1 else 0 end) = 1 then 'failed' else 'passed' end as status
+from records join events e on e.event_id = records.event_id group by 1""",
+)
+def dq_checksum_verdict(star: Star) -> DataFrame:
+    """Counts agree everywhere, so the checksum alone decides; it is computed in the scan of the records."""
+    control = reconcile.checksums(_delivering_side(star, whole=True), S.EVENT_CONTRACT)
+    batches = star.events.select(S.event_batch().alias("batch_id"))
+    results = verdict.evaluate(batches, _event_records(star), S.EVENT_CONTRACT, source_control=control)
+    return results.where(F.col("rule_id") == verdict.RECONCILIATION).select("batch_id", "status")
+
+
+@query(
+    "DQ-09 QRY-13",
+    f"""with {RECORDS}, keyed as (
+  select batch_id, series_id, strftime(observed_at, '%Y-%m-%dT%H:%M:%SZ') as observed_at, count(*) as n_here,
+    count(*) filter (not (e.event_type = 'signup' and json_extract_string(props, '$.k') = '60')) as n_there,
+    max(case when e.event_type = 'view' and json_extract_string(props, '$.k') = '50' then 1 else 0 end) as changed
+  from records join events e on e.event_id = records.event_id group by 1, 2, 3)
+select batch_id, series_id, observed_at, case when n_there = 0 then 'missing there' else 'differs' end as problem,
+  n_here, nullif(n_there, 0) as n_there
+from keyed where n_there <> n_here or changed = 1""",
+)
+def dq_mismatch_keys(star: Star) -> DataFrame:
+    """The keys on which two deliveries differ, found from sums per batch and per bucket of keys."""
+    return reconcile.locate(
+        _event_records(star),
+        _delivering_side(star, whole=False),
+        S.EVENT_CONTRACT,
+        lambda x: tables.staged(x, scratch_path(star.spark, "sums")),
+    )
+
+
 _RESULTS = f"""{RECORDS}, per_key as (
   select batch_id, series_id, observed_at, count(*) as n from records group by 1, 2, 3),
 dups as (select batch_id, count(*) as n from per_key where n > 1 group by 1),
