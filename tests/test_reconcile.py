@@ -55,6 +55,6 @@ def test_located_keys_equal_a_comparison_of_all_rows(spark):
 
 
 def test_order_and_absent_fields(spark):
-    one = records(spark, [("a", row("x", 1, "1", value=None)), ("a", row("y", 1, "2"))])
+    one = records(spark, [("a", row("x", 1, None)), ("a", row("y", 1, "2"))])
     two = one.orderBy(F.col("record").cast("string").desc())
     assert reconcile.checksums(one, CONTRACT).collect() == reconcile.checksums(two, CONTRACT).collect()

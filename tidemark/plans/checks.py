@@ -7,6 +7,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark import schemas
 from tidemark.contracts import DataContract
 from tidemark.functions import keys
 from tidemark.functions import records as R
@@ -319,6 +320,27 @@ def _results(star: Star) -> DataFrame:
     )
 
 
+@query(
+    "DQ-11",
+    """select c_nationkey, min(c_acctbal) > -900 as published, count(o_orderkey) as orders
+from customer left join orders on o_custkey = c_custkey group by 1""",
+)
+def dq_publish_outcomes(star: Star) -> DataFrame:
+    """Orders per nation on both sides of the gate; the lowest balance decides whether a unit is known."""
+    contracts = star.customer.groupBy("c_nationkey").agg(
+        F.when(F.min("c_acctbal") > -900, "usd").alias("units"),
+        F.lit("nsa").alias("seasonal_adjustment"),
+        F.lit(False).alias("has_index_base"),
+        F.lit(None).cast("string").alias("index_base"),
+    )
+    placed = star.customer.join(star.orders, F.col("o_custkey") == F.col("c_custkey"), "left")
+    gated = metadata.publishable(placed, contracts, "c_nationkey").select("c_nationkey").distinct()
+    counts = placed.groupBy("c_nationkey").agg(F.count("o_orderkey").alias("orders"))
+    return counts.join(gated.withColumn("published", F.lit(True)), "c_nationkey", "left").select(
+        "c_nationkey", F.coalesce("published", F.lit(False)).alias("published"), "orders"
+    )
+
+
 def _delivering_side(star: Star, whole: bool) -> DataFrame:
     """Records as their source has them: views with k = 50 read one more there. Unless ``whole``, it also lacks
     signups with k = 60."""
@@ -470,7 +492,14 @@ def dq_routing(star: Star) -> DataFrame:
 from results where status <> 'skipped' group by rule_id""",
 )
 def dq_results_stored(star: Star) -> DataFrame:
-    return verdict.quality_results(_results(star), "events", "run-1", S.NOW)
+    """Outcomes of two evaluations appended to the result log; the latest per test stands."""
+    path = scratch_path(star.spark, "quality")
+    found = tables.staged(verdict.quality_results(_results(star), "events", "run-1", S.NOW), scratch_path(star.spark, "found"))
+    earlier = found.withColumns({"run_id": F.lit("run-0"), "status": F.lit("fail"), "evaluated_at": F.col("evaluated_at") - F.expr("interval 1 day")})
+    for label, rows_ in (("run-1", found), ("run-0", earlier)):
+        tables.append_slice(rows_, path, label)
+    stored = tables.read_table(star.spark, path, schemas.QUALITY_RESULT).select(*schemas.QUALITY_RESULT.fieldNames())
+    return tables.latest_by_key(stored, schemas.QUALITY_RESULT_KEY, ("evaluated_at",))
 
 
 @query(

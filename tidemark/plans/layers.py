@@ -456,6 +456,53 @@ def rebuild_differences(star: Star) -> DataFrame:
     return pipeline.differences(once, again)
 
 
+@query(
+    "PIPE-03 BRZ-08",
+    f"""with {OBSERVATIONS}, n as (select count(*) as n, sum(value) as total from observations)
+select 'once' as build, n, total from n union all select 'again', n, total from n
+union all select 'differences', 0, null""",
+)
+def rebuild_counts(star: Star) -> DataFrame:
+    """Rows and sums of two stored builds from the same landed payloads, and of what differs between them."""
+    spark, layout = star.spark, pipeline.Layout(scratch_path(star.spark, "rebuilt"))
+    objects = S.sales_objects(star)
+    columns = ["indicator_id", "geo_code", "period", "vintage_date", "value"]
+    builds = []
+    for name, arriving in (("once", objects), ("again", objects.unionByName(objects))):
+        loaded = bronze.load(arriving, _empty_bronze(star), S.CODE_VERSION, S.RUN_AT)
+        rows_ = silver.conform(loaded.rows, S.sales_map(star), S.indicators(star), S.RUN_AT, S.SALES_PARSERS).rows
+        tables.replace(rows_, layout.path(name), "indicator_id")
+        builds.append((name, tables.read_replaced(spark, layout.path(name), schemas.STORED_OBSERVATION).select(*columns)))
+    builds.append(("differences", pipeline.differences(builds[0][1], builds[1][1])))
+    counted = [
+        rows_.agg(F.count("*").alias("n"), F.sum("value").alias("total")).withColumn("build", F.lit(name)) for name, rows_ in builds
+    ]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2]).select("build", "n", "total")
+
+
+@query(
+    "SRC-01 SRC-06 BRZ-03",
+    f"""with {OBSERVATIONS}
+select lower('sales_' || indicator_id || '_' || replace(geo_code, ' ', '-') || '_' || digit) as dataset_id,
+  count(*) as observations, true as intact from observations group by 1""",
+)
+def landed_bytes(star: Star) -> DataFrame:
+    """Payloads landed as files and read back through the file source: all bytes, and what is in them."""
+    root = scratch_path(star.spark, "landed")
+    landing.land_files(S.sales_objects(star), root)
+    read = bronze.verify_checksum(landing.read_landed(star.spark, root))
+    counted = silver.observation_count("payload").cast("bigint").alias("observations")
+    return read.select("dataset_id", counted, F.col("checksum_ok").alias("intact"))
+
+
+@query("GLD-07 SNK-01", f"with {OBSERVATIONS}, kpi as ({KPI_SELECT}) select * from kpi where period = '1997-03'")
+def stored_point_lookup(star: Star) -> DataFrame:
+    """One period out of stored Gold."""
+    path = scratch_path(star.spark, "gold")
+    tables.replace(gold.kpi(gold.latest_vintage(S.observations(star))), path, "indicator_id")
+    return gold.at_period(tables.read_replaced(star.spark, path, schemas.KPI), "1997-03")
+
+
 @query(
     "PIPE-02",
     f"""with {OBSERVATIONS}, silver as (
@@ -606,6 +653,57 @@ def table_assertions(star: Star) -> DataFrame:
     )
 
 
+_MODEL_TESTS = f"""{OBSERVATIONS}, obs as (
+  select *, case when geo_code <> 'ASIA' then geo_code end as geo, case when indicator_id = 'BUILDING' then 'x' else 'sa' end as sa
+  from observations), maps as (
+  select dataset_id, geo_code from (select distinct indicator_id, lower('sales_' || indicator_id || '_' || replace(geo_code, ' ', '-')
+      || '_' || digit) as dataset_id, geo_code from (select distinct c_mktsegment as indicator_id, r_name as geo_code from customer
+      join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey) p
+    cross join (select unnest(range(1, 6)) as digit) d), (select unnest(range(0, 2)) as copy) where copy = 0 or indicator_id = 'BUILDING')"""
+
+
+@query(
+    "DQ-14 DQ-15 DQ-16",
+    f"""with {_MODEL_TESTS}
+select 'not_null_fact_economic_observation_' || c as test_id,
+  case when c = 'geo_code' then (select count(*) from obs where geo is null) else 0 end as failed_rows
+from (select unnest(['indicator_id', 'geo_code', 'period', 'period_start', 'period_end', 'vintage_date', 'value',
+  'retrieved_at', 'processed_at']) as c)
+union all select 'accepted_values_fact_economic_observation_seasonal_adjustment', count(*) from obs where sa = 'x'
+union all select 'not_null_fact_economic_kpi_' || c, case when c = 'value' then (
+    select count(*) from (select distinct indicator_id, geo_code from observations)) else 0 end
+from (select unnest(['indicator_id', 'geo_code', 'period', 'value']) as c)
+union all select 'not_null_dim_source_source_id', 0
+union all select 'accepted_values_dim_source_trust_tier', count(*) from nation where n_regionkey = 2
+union all select 'unique_dim_source_source_id', 0
+union all select 'not_null_dim_indicator_indicator_id', 0
+union all select 'accepted_values_dim_indicator_seasonal_adjustment', 0
+union all select 'unique_dim_indicator_indicator_id', 0
+union all select 'not_null_dataset_indicator_map_' || c, 0
+from (select unnest(['dataset_id', 'indicator_id', 'geo_code']) as c)
+union all select 'unique_dataset_indicator_map_dataset_id', count(*) from (
+  select dataset_id from maps group by 1 having count(*) > 1)""",
+)
+def model_tests(star: Star) -> DataFrame:
+    """The tests that the model declares, over its own tables with some fields spoilt."""
+    observations = S.observations(star)
+    spoilt = observations.withColumns(
+        {
+            "geo_code": F.when(F.col("geo_code") != "ASIA", F.col("geo_code")),
+            "seasonal_adjustment": F.when(F.col("indicator_id") == "BUILDING", "x").otherwise("sa"),
+        }
+    )
+    kpis = gold.kpi(gold.latest_vintage(observations))
+    kpis = kpis.withColumn("value", F.when(F.col("mom_pct_change").isNotNull(), F.col("value")))
+    sources = star.nation.select(
+        F.col("n_name").alias("source_id"), F.when(F.col("n_regionkey") == 2, "hearsay").otherwise("official").alias("trust_tier")
+    )
+    dataset_map = S.sales_map(star)
+    doubled = dataset_map.unionByName(dataset_map.where("indicator_id = 'BUILDING'"))
+    checks = assertions.observation_tests(spoilt).unionByName(assertions.kpi_tests(kpis))
+    return checks.unionByName(assertions.seed_tests(sources, S.indicators(star), doubled)).select("test_id", "failed_rows")
+
+
 @query(
     "DQ-17",
     """select indicator_id, geo_code, period, vintage_date, count(*) as n from (

@@ -476,7 +476,7 @@ def quality_pass_rate(star: Star) -> DataFrame:
 from documents left join part on source = 'src' || p_partkey""",
 )
 def export_attribution(star: Star) -> DataFrame:
-    """Documents with their source's attribution; parts play the sources."""
+    """Documents with their source's attribution, written as CSV and read back; parts play the sources."""
     brand = F.col("p_brand")
     sources = star.part.select(
         F.concat(F.lit("src"), F.col("p_partkey").cast("string")).alias("source_id"),
@@ -485,4 +485,8 @@ def export_attribution(star: Star) -> DataFrame:
         F.when(F.col("p_size") > 25, F.concat(F.lit("Licensed from "), brand)).alias("attribution_text"),
     )
     documents = star.documents.select("doc_id", F.col("source").alias("source_id"))
-    return export.with_attribution(documents, sources).select("doc_id", "source_id", "publisher", "attribution")
+    path = scratch_path(star.spark, "export")
+    export.export_csv(documents, sources, path)
+    schema = "source_id string, doc_id long, publisher string, license_url string, attribution string"
+    written = star.spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+    return written.select("doc_id", "source_id", "publisher", "attribution")
