@@ -9,22 +9,45 @@ from tidemark.llm import decontam, frames, jaccard, packing, quality, secret_sca
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier keeps."""
+    """Documents that the quality classifier keeps.
+
+    It judges text, source and language, so rows that share a doc_id, or have none, are judged each by their own.
+    """
     judged = quality.classify(docs, frames.table(spark, sf_dir, "labels"))
-    rejected = judged.filter(~F.col("kept"))
-    marked = docs.withColumn("copy", F.xxhash64("text"))
-    return frames.without(marked, rejected, ["doc_id", "copy"]).select(*docs.columns)
+    site = {"host": F.coalesce("source", F.lit("")), "path": F.coalesce("lang", F.lit(""))}
+    return frames.without(docs, judged.filter(~F.col("kept")), {"copy": F.xxhash64("text"), **site})
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, of smallest doc_id, of each group of near duplicates. Rows without doc_id stay."""
-    classes = jaccard.similarity_classes(docs)
-    return frames.without(docs, classes.filter("doc_id <> class_id"), ["doc_id"])
+    """One document, of smallest doc_id, of each group of near duplicates.
+
+    Classes are of texts: rows that share a doc_id with different texts are different documents, and rows
+    without doc_id come after those that have one. Of rows equal in doc_id and text one stays.
+    """
+    copy = F.xxhash64("text")
+    classes = jaccard.similarity_classes(docs.select(copy.alias("doc_id"), "text"))
+    classes = classes.select(F.col("doc_id").alias("copy"), "class_id").distinct()
+    slim = docs.select("doc_id", copy.alias("copy"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "copy")).alias("keep")
+    kept = slim.join(classes, "copy").groupBy("class_id").agg(first).select("keep.doc_id", "keep.copy")
+    rows = slim.groupBy("doc_id", "copy").agg(F.count("*").alias("rows"))
+    same = F.col("k.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("k.copy") == F.col("r.copy"))
+    names = {k: frames.free(docs, f"kept_{k}") for k in ("doc_id", "copy", "rows")}
+    kept = kept.alias("k").join(rows.alias("r"), same).select(
+        F.col("k.doc_id").alias(names["doc_id"]), F.col("k.copy").alias(names["copy"]), F.col("rows").alias(names["rows"])
+    )
+    kept = frames.stored(kept, "kept-documents")
+    stays = F.col("doc_id").eqNullSafe(F.col(names["doc_id"])) & (copy == F.col(names["copy"]))
+    single = docs.join(kept.filter(F.col(names["rows"]) == 1), stays, "left_semi")
+    repeated = docs.join(kept.filter(F.col(names["rows"]) > 1), stays, "left_semi")
+    return single.unionByName(repeated.dropDuplicates(["doc_id", "text"]))
 
 
 def clean_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark passage."""
-    return frames.without(docs, decontam.contaminated(docs, frames.table(spark, sf_dir, "benchmark")), ["doc_id"])
+    """Documents that hold no benchmark passage; each text is judged for itself, whatever its doc_id."""
+    texts = docs.select(F.xxhash64("text").alias("doc_id"), "text")
+    found = decontam.contaminated(texts, frames.table(spark, sf_dir, "benchmark"))
+    return frames.without(docs, found.select(F.col("doc_id").alias("copy")), {"copy": F.xxhash64("text")})
 
 
 def clean_of_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

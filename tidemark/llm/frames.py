@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path
@@ -33,10 +33,19 @@ def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def without(docs: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``docs`` whose keys are not among those of ``gone``; nulls are equal."""
-    named = stored(gone.select(*(F.col(k).alias(f"gone_{k}") for k in keys)).distinct(), "gone")
+def free(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
+def without(docs: DataFrame, gone: DataFrame, on: dict[str, Column]) -> DataFrame:
+    """Rows of ``docs`` whose values of the ``on`` expressions are not among the columns of ``gone`` that they
+    are named for; nulls are equal. Columns of ``docs`` stay as they are, whatever they are called."""
+    names = {k: free(docs, f"gone_{k}") for k in on}
+    named = stored(gone.select(*(F.col(k).alias(n) for k, n in names.items())).distinct(), "gone")
     same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"gone_{k}"))
+    for k, value in on.items():
+        same = same & value.eqNullSafe(F.col(names[k]))
     return docs.join(small(named), same, "left_anti")
