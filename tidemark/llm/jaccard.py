@@ -8,8 +8,10 @@ Two texts are linked when the Jaccard similarity of their sets of five-word shin
   bucket is split on the values of each chosen coordinate. Splitting goes on while a bucket holds more than
   ``LEAF`` sets, for at most ``DEPTH`` levels. A *dense* bucket, which kept ``LAMBDA`` of the sets above it, is
   a leaf at any size: its sets are alike on average, so splitting repeats the same pairs on more paths.
+  Of a bucket that is split, the ball around a pivot is settled first: its sets, and all that could be linked to
+  them, join the pivot's candidate cluster, and only sets outside the ball are split further.
   ``runs_for`` gives the runs that reach the target recall; deeper splitting needs more, so runs are added
-  until they are enough for the deepest level that any of them used.
+  until they are enough for the deepest level used, with the sets that were split below two levels.
 * A leaf compares its sketches by brute force and leaves a star for each group it finds; a leaf too large
   for one task is compared block by block.
 * Stars are joined to candidate clusters. Inside a cluster *all* pairs are compared exactly, again block
@@ -37,6 +39,10 @@ DEPTH = 6
 TARGET_RECALL = 0.999
 #: Equal coordinates that make two sets candidates: a pair at 0.8 has fewer once in 10**5 pairs.
 ALIKE = 16
+#: Coordinates that a set shares with the pivot of its bucket to be in its ball, and to be joined to it: by the
+#: triangle inequality what is alike to a set in the ball shares JOINED with the pivot.
+BALL = 24
+JOINED = BALL + ALIKE - COORDS
 #: Rows of small groups that one task compares, group after group.
 SHARD_ROWS = 20_000
 _EMPTY = -1
@@ -131,39 +137,73 @@ def _chosen() -> F.Column:
 
 
 def _leaves(sets: DataFrame, runs: int) -> DataFrame:
-    """(path, id, n): the leaf buckets of all runs that hold two sets or more."""
+    """(path, id, n, pivot): the buckets of all runs that hold two sets or more."""
     return _split(sets, 0, runs)[0]
 
 
 def _leaves_for(sets: DataFrame, target: float) -> DataFrame:
-    """(path, id, n): the leaf buckets of as many runs as the deepest level they use asks for."""
+    """(path, id, n, pivot): the buckets of as many runs as the deepest level they use asks for.
+
+    Two levels are what the first runs allow for. More runs are owed only to pairs that some run could part
+    below them, and both ends of such a pair were split there: so those sets alone take part in them.
+    """
     leaves, runs, deepest = None, 0, 2
     while (wanted := runs_for(target, deepest)) > runs:
-        more, levels = _split(sets, runs, wanted)
+        more, levels, deep = _split(sets, runs, wanted)
         leaves = more if leaves is None else leaves.unionByName(more)
         runs, deepest = wanted, max(deepest, levels)
+        if deep is None:
+            break
+        sets = frames.stored(sets.join(deep.distinct(), "id", "left_semi"), "deep-sets")
     return leaves
 
 
-def _split(sets: DataFrame, begin: int, end: int) -> tuple[DataFrame, int]:
-    """(path, id, n): the leaf buckets of the runs from ``begin`` to ``end``; and the levels of splitting."""
+def _equal(a: str, b: str) -> F.Column:
+    return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same))
+
+
+def _around_pivots(rows: DataFrame) -> DataFrame:
+    """Rows (path, id, above, sketch) with their bucket's pivot and the coordinates they share with it.
+
+    Sketches differ by a metric, the number of unequal coordinates. A set with ``BALL`` coordinates of the pivot
+    or more, and one that is alike to it (``ALIKE``), differ from the pivot by at most so many that the latter
+    shares ``JOINED`` with it. So when all sets that share ``JOINED`` are joined to the pivot, no link of a set
+    in the ball is lost, and the ball need not be split.
+    """
+    pivots = rows.groupBy("path").agg(F.min(F.struct("id", "sketch")).alias("p"))
+    pivots = frames.stored(pivots.select("path", F.col("p.id").alias("pivot"), F.col("p.sketch").alias("centre")), "pivots")
+    return rows.join(frames.small(pivots), "path").withColumn("shared", _equal("sketch", "centre")).drop("centre")
+
+
+def _split(sets: DataFrame, begin: int, end: int) -> tuple[DataFrame, int, DataFrame | None]:
+    """(path, id, n, pivot): the buckets of the runs from ``begin`` to ``end``: leaves, without pivot, and what
+    is joined to a pivot; the levels of splitting; the ids that were split below two levels."""
     first = [F.xxhash64(F.lit(run), F.lit(k), F.col("sketch")[k]) for run, k in _at_root(end) if run >= begin]
+    none = F.lit(None).cast("long").alias("pivot")
     if not first:
-        return sets.select(F.lit(0).cast("long").alias("path"), "id", F.lit(0).cast("long").alias("n")).limit(0), 0
+        return sets.select(F.lit(0).cast("long").alias("path"), "id", F.lit(0).cast("long").alias("n"), none).limit(0), 0, None
     rows = sets.select("id", F.lit(sets.count()).alias("above"), F.explode(F.array(*first)).alias("path"))
-    done = None
+    done, deep = None, None
     for level in range(DEPTH):
         rows = frames.stored(rows, "paths")
         held = rows.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1")
         rows = frames.stored(rows.join(held, "path"), "buckets")
         last = level + 1 == DEPTH
         ends = F.lit(last) | (F.col("n") <= LEAF) | (F.col("n") >= LAMBDA * F.col("above"))
-        leaf = rows.filter(ends).select("path", "id", "n")
+        leaf = rows.filter(ends).select("path", "id", "n", none)
         done = leaf if done is None else done.unionByName(leaf)
         rows = rows.filter(~ends)
         if last or rows.isEmpty():
-            return done, level + 1
+            return done, level + 1, deep
         rows = rows.select("id", "path", F.col("n").alias("above")).join(sets.select("id", "sketch"), "id")
+        rows = frames.stored(_around_pivots(rows), "around")
+        joined = F.xxhash64(F.col("path"), F.lit("pivot")).alias("path")
+        near = rows.filter(F.col("shared") >= JOINED).select(joined, "id", F.col("above").alias("n"), "pivot")
+        done = done.unionByName(near)
+        rows = rows.filter(F.col("shared") < BALL)
+        if level >= 1:
+            more = rows.select("id")
+            deep = more if deep is None else deep.unionByName(more)
         rows = rows.select("id", "above", F.explode(_chosen()).alias("path"))
 
 
@@ -340,8 +380,11 @@ def similarity_classes(docs: DataFrame, target: float = TARGET_RECALL) -> DataFr
         .dropDuplicates(["id"]),
         "sets",
     )
-    leaves = _in_blocks(_leaves_for(distinct, target).join(distinct, "id"), LEAF)
+    buckets = _leaves_for(distinct, target)
+    leaves = _in_blocks(buckets.filter("pivot is null").drop("pivot").join(distinct, "id"), LEAF)
     stars = _dealt(leaves, ["path", "i", "j"], SHARD_ROWS).applyInArrow(_compare_sketches, "a long, b long")
+    around = buckets.filter("pivot < id").select(F.col("id").alias("a"), F.col("pivot").alias("b"))
+    stars = stars.unionByName(around.distinct())
     roots = components(stars)
     roots = roots.unionByName(roots.select(F.col("root").alias("id"), "root").distinct())
     clusters = frames.stored(
