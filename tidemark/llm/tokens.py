@@ -7,7 +7,10 @@ encoded again.
 
 from __future__ import annotations
 
+import functools
 import re
+import string
+from array import array
 
 import numpy as np
 import public_tokenizers
@@ -21,7 +24,6 @@ END = 0
 REMEMBERED = 400_000
 _BREAK = re.compile(r"(?<=\S)\n(?=\S)")
 _WORD = re.compile(r" (?=\S)")
-_SIGNS = ".,;:!?"
 _LAST_PLAIN = "\u024f"  # up to here every version of Unicode agrees on what a letter is
 
 
@@ -38,19 +40,26 @@ class _Parts(dict):
     def __init__(self, tokenizer: Tokenizer, before: str) -> None:
         self.tokenizer, self.before, self.model = tokenizer, before, tokenizer.model
         self.letters, self.older = _byte_letters(), {}
-        self.signs = {sign: self._encoded(sign) for sign in _SIGNS}
+        self.before_ascii = before.translate(self.letters)
+        self.signs = functools.lru_cache(1 << 12)(self._encoded)  # a run of signs after a word is encoded by itself
 
     def _encoded(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _word(self, part: str) -> bytes:
+        """One word of plain letters: the model alone, without a regular expression."""
+        if part.isascii():
+            spelled = self.before_ascii + part
+        else:
+            spelled = (self.before + part).encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+
     def __missing__(self, part: str) -> bytes:
         made = self.older.pop(part, None)
         if made is None:
-            if part.isalpha() and max(part) <= _LAST_PLAIN:  # one word: the model alone
-                spelled = (self.before + part).encode().decode("latin-1").translate(self.letters)
-                made = np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
-            elif part[-1:] in self.signs and part[:-1].isalpha() and max(part) <= _LAST_PLAIN:
-                made = self[part[:-1]] + self.signs[part[-1]]
+            word = part.rstrip(string.punctuation)
+            if word.isalpha() and (word.isascii() or max(word) <= _LAST_PLAIN):
+                made = self._word(part) if len(word) == len(part) else self[word] + self.signs(part[len(word) :])
             else:
                 made = self._encoded(self.before + part)
         if len(self) >= REMEMBERED:
