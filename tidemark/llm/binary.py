@@ -8,7 +8,7 @@ A dataset is a folder with three Parquet tables, so any store Spark can write wi
   Each block names the dictionary by its hash;
 * ``parts``: tokens before each part of the writing job, which turn places in a part into global places.
 
-Ids are stored as little-endian unsigned 16-bit integers if the vocabulary allows it, else 32-bit.
+Ids are stored as little-endian unsigned integers of ``ID_TYPE``; an id that does not fit raises an error.
 """
 
 from __future__ import annotations
@@ -29,9 +29,11 @@ from tidemark.llm import frames, tokens
 ID_TYPE = "<u2"
 LEVEL = 3
 DICTIONARY_BYTES = 64 * 1024
-#: Documents (those of smallest hash) and characters of each that the dictionary is trained on.
+#: Documents (those of smallest hash) that the dictionary is trained on, and ids of each at most: a longer
+#: document gives slices spread evenly over its whole length.
 SAMPLE_DOCS = 1_000
-SAMPLE_CHARS = 20_000
+SAMPLE_IDS = 4_096
+SLICE_IDS = 256
 #: Compressed bytes after which a block is closed.
 BLOCK_BYTES = 1 << 20
 
@@ -43,21 +45,39 @@ _READ = "doc_id long, start_in_part long, n_tokens long, ids_crc32 long, ids arr
 
 
 def _ids(text: str | None) -> np.ndarray:
-    """Ids of a document with its end id."""
-    return np.append(np.frombuffer(tokens.encoder()(text or ""), "<u4"), tokens.END).astype(ID_TYPE)
+    """Ids of a document with its end id, in the type they are stored in."""
+    ids = np.append(np.frombuffer(tokens.encoder()(text or ""), "<u4"), np.uint32(tokens.END))
+    if ids.max() > np.iinfo(ID_TYPE).max:
+        raise OverflowError(f"id {ids.max()} does not fit {ID_TYPE}; set ID_TYPE to <u4")
+    return ids.astype(ID_TYPE)
+
+
+def _slices(ids: np.ndarray) -> list[bytes]:
+    """At most ``SAMPLE_IDS`` ids of a document in its stored form, in slices spread over all of it."""
+    if len(ids) <= SAMPLE_IDS:
+        return [ids.tobytes()]
+    starts = np.linspace(0, len(ids) - SLICE_IDS, SAMPLE_IDS // SLICE_IDS).astype(int)
+    return [ids[s : s + SLICE_IDS].tobytes() for s in starts]
+
+
+def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        made = [b"".join(_slices(_ids(text.as_py()))) for text in batch.column("text")]
+        yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["ids"])
 
 
 def train_dictionary(docs: DataFrame) -> bytes:
-    """A zstandard dictionary from serialized ids of a bounded sample; empty where there is too little text."""
+    """A zstandard dictionary from serialized ids of a bounded sample; empty where there is too little text.
+
+    Of rows that share a sampled doc_id the one with the least text hash is taken.
+    """
     picked = docs.select("doc_id").filter("doc_id is not null").distinct()
     picked = picked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-    sample = (
-        docs.join(F.broadcast(picked), "doc_id")
-        .select(F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-        .limit(4 * SAMPLE_DOCS)
-        .collect()
-    )
-    samples = sorted(_ids(row.text).tobytes() for row in sample)
+    held = docs.join(F.broadcast(picked), "doc_id").withColumn("tie", F.xxhash64("text"))
+    texts = held.groupBy("doc_id").agg(F.min_by("text", "tie").alias("text"))
+    sample = texts.select("text").mapInArrow(_sampled, "ids binary").collect()
+    width = SLICE_IDS * np.dtype(ID_TYPE).itemsize
+    samples = sorted(bytes(r.ids[k : k + width]) for r in sample for k in range(0, len(r.ids), width))
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:
