@@ -2,7 +2,8 @@
 
 Words of a language are a few characters to a token; random strings fall apart into tokens of one or two
 characters. A long run of key characters with few characters per token is reported as ``random`` unless it is
-a known digest, a number or an identifier made of words.
+a known digest, a number or an identifier made of words. Words at the ends of a run (``my-service-key-...``)
+do not count: what stands between them is judged.
 """
 
 from __future__ import annotations
@@ -33,8 +34,11 @@ _RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 _DIGEST = re.compile(r"(?i)[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}")
 _UUID = re.compile(r"(?i)[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+_SEGMENT = re.compile(r"[A-Za-z0-9]+")
 #: Parts of letters that are long enough to be told from chance, and characters per token that make one a word.
 PART_LENGTH, WORD = 3, 2.5
+#: What stands between the words at the ends of a run is judged by itself from this length on.
+CORE = 16
 
 _SCANNED = (
     "doc_id long, n_assign long, n_access long, n_hex long, n_random long, base_sha256 string, spans string, redacted string"
@@ -52,6 +56,23 @@ def _encoding() -> tiktoken.Encoding:
     return tables[VOCABULARY]
 
 
+def _is_word(part: str) -> bool:
+    return part.isalpha() and len(part) >= PART_LENGTH and len(part) >= WORD * len(_encoding().encode_ordinary(f" {part.lower()}"))
+
+
+def _core(run: str) -> str:
+    """The run without the words, and one or two letters, that it begins and ends with; all of it if too little
+    is left to judge."""
+
+    def plain(segment: str) -> bool:
+        return all(map(_is_word, _PART.findall(segment))) or (segment.isalpha() and len(segment) < PART_LENGTH)
+
+    odd = [m for m in _SEGMENT.finditer(run) if not plain(m[0])]
+    if not odd or odd[-1].end() - odd[0].start() < CORE:
+        return run
+    return run[odd[0].start() : odd[-1].end()]
+
+
 def _identifier(run: str) -> bool:
     """A digest, a number, or words joined by signs or capitals: half of its letters and digits or more are words."""
     if _DIGEST.fullmatch(run) or _UUID.fullmatch(run):
@@ -59,17 +80,17 @@ def _identifier(run: str) -> bool:
     parts = _PART.findall(run)
     if all(p.isdigit() for p in parts):
         return True
-    long = [f" {p.lower()}" for p in parts if len(p) >= PART_LENGTH and p.isalpha()]
-    if 2 * sum(len(p) - 1 for p in long) < sum(map(len, parts)):
-        return False
-    return all(len(p) - 1 >= WORD * len(_encoding().encode_ordinary(p)) for p in long)
+    long = [p for p in parts if len(p) >= PART_LENGTH and p.isalpha()]
+    return 2 * sum(map(len, long)) >= sum(map(len, parts)) and all(map(_is_word, long))
 
 
 def _random(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out = []
     for m in _RUN.finditer(text):
-        run = m.group()
-        if any(a < m.end() and m.start() < b for a, b in taken) or _identifier(run):
+        if any(a < m.end() and m.start() < b for a, b in taken):
+            continue
+        run = _core(m.group())
+        if _identifier(run):
             continue
         if len(run) / len(_encoding().encode_ordinary(run)) <= DENSE:
             out.append(m.span())
