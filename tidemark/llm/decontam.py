@@ -3,15 +3,20 @@
 Numbers, quantities, units and names become typed placeholders, so a question whose figures or persons were
 exchanged keeps its template. Windows of the template are joined by hash with those of the benchmark; the
 values behind the placeholders must then agree: along one alignment, equal values of the item stand against
-equal values in the document. Built from SQL functions only.
-
-Few documents get as far as windows: each benchmark window has pairs of neighbouring literal words (more
-than half of its words are literal, so two are neighbours). One pass over the texts finds the documents of
-all these pairs; then only documents that hold the rarest pair of some window are cut into windows.
+equal values in the document. Where they do not, the windows that hold the item's own values still count. Built
+from SQL functions only.
+
+Few documents get as far as windows: each benchmark window has pairs of neighbouring literal words, as more than
+half of its words are literal. Only an odd window that alternates literal and placeholder has none; it has pairs
+of literals with one word between, which are sought where the benchmark has such windows. One pass over the texts
+finds the documents of all these pairs; then only documents that hold the rarest pair of some window are cut into
+windows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,6 +61,11 @@ def _pair(first: Column, second: Column) -> Column:
     return F.xxhash64(F.lower(first), F.lower(second))
 
 
+def _wide_pair(first: Column, second: Column) -> Column:
+    """Of words with one between them; told from neighbours by the mark."""
+    return F.xxhash64(F.lower(first), F.lit(""), F.lower(second))
+
+
 def _windows(texts: DataFrame, key: list[str], lengths: list[int]) -> DataFrame:
     """Windows of ``v`` (words) and ``t`` (template) with place, hash and whether the template is specific."""
     none = F.array().cast("array<struct<i:int,n:int>>")
@@ -80,14 +90,22 @@ def _windows(texts: DataFrame, key: list[str], lengths: list[int]) -> DataFrame:
 
 
 def _pairs_of_windows(windows: DataFrame) -> DataFrame:
-    """(hash, pair): pairs of neighbours of each benchmark window, literal where the template is specific."""
-    places = F.sequence(F.lit(0), F.col("n") - 2)
-    usable = F.filter(
-        places,
-        lambda k: ~F.col("specific") | (~_is_slot(F.get("t", k)) & ~_is_slot(F.get("t", k + 1))),
-    )
-    pairs = F.transform(usable, lambda k: _pair(F.get("v", k), F.get("v", k + 1)))
-    return windows.select("hash", F.explode(pairs).alias("pair")).distinct()
+    """(hash, pair, wide): pairs of each benchmark window, literal where the template is specific. They are of
+    neighbours, or ``wide`` where no neighbours are literal."""
+
+    def pairs(gap: int, made: Callable[[Column, Column], Column]) -> Column:
+        # Not filter(sequence): a sequence to below its start would count down.
+        places = F.slice(F.sequence(F.lit(0), F.col("n")), F.lit(1), F.greatest(F.col("n") - gap, F.lit(0)))
+        usable = F.filter(
+            places,
+            lambda k: ~F.col("specific") | (~_is_slot(F.get("t", k)) & ~_is_slot(F.get("t", k + gap))),
+        )
+        return F.transform(usable, lambda k: made(F.get("v", k), F.get("v", k + gap)))
+
+    both = windows.select("hash", pairs(1, _pair).alias("near"), pairs(2, _wide_pair).alias("far"))
+    wide = F.size("near") == 0
+    both = both.select("hash", wide.alias("wide"), F.explode(F.when(wide, F.col("far")).otherwise(F.col("near"))).alias("pair"))
+    return both.distinct()
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -114,6 +132,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     neighbours = F.transform(
         F.slice("w", 2, F.greatest(F.size("w"), F.lit(1))), lambda x, k: F.xxhash64(F.get("w", k), x)
     )
+    if not pairs.filter("wide").isEmpty():
+        distant = F.transform(
+            F.slice("w", 3, F.greatest(F.size("w"), F.lit(1))), lambda x, k: F.xxhash64(F.get("w", k), F.lit(""), x)
+        )
+        neighbours = F.concat(neighbours, distant)
     hashed = lowered.select("doc_id", F.explode(F.array_distinct(neighbours)).alias("pair"))
     hits = frames.stored(hashed.join(frames.small(pairs.select("pair").distinct()), "pair", "left_semi"), "pair-hits")
     spread = hits.groupBy("pair").agg(F.count("*").alias("docs"))
@@ -146,8 +169,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     values = values.groupBy(*line).agg(
         F.bool_and(F.col("low") == F.col("high")).alias("agrees"), F.sum("changed").alias("n_changed")
     )
-    # Words covered: a window adds what lies beyond the one before it.
-    places = F.array_sort(F.collect_set(F.struct("item_i", "n")))  # bounded by the item's length
+    # Words covered: a window adds what lies beyond the one before it. Both sets are bounded by the item's length.
+    values_in = F.zip_with("t", "v", lambda t, v: F.when(_is_slot(t), v))
+    theirs_in = F.zip_with("t", "item_v", lambda t, v: F.when(_is_slot(t), v))
+    own = F.to_json(values_in) == F.to_json(theirs_in)
+    matched = matched.select(*line, F.struct("item_i", "n").alias("place"), own.alias("own"))
+    places = F.array_sort(F.collect_set("place"))
+    own_places = F.array_sort(F.collect_set(F.when(F.col("own"), F.col("place"))))
     covered = F.aggregate(
         "places",
         F.struct(F.lit(0).cast("long").alias("sum"), F.lit(0).alias("end")),
@@ -157,15 +185,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         ),
         lambda a: a["sum"],
     )
-    lines = matched.groupBy(*line).agg(places.alias("places")).withColumn("n_words", covered)
+    lines = matched.groupBy(*line).agg(places.alias("all"), own_places.alias("own"))
     null_safe = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in line]
+    agrees = F.coalesce("r.agrees", F.lit(True))
     joined = lines.alias("l").join(values.alias("r"), null_safe, "left").select(
-        *(F.col(f"l.{c}") for c in line), F.size("l.places").cast("long").alias("n_windows"), F.col("l.n_words").alias("n_words"),
-        F.coalesce("r.agrees", F.lit(True)).alias("agrees"), F.coalesce("r.n_changed", F.lit(0)).alias("n_changed"),
+        *(F.col(f"l.{c}") for c in line), F.when(agrees, F.col("l.all")).otherwise(F.col("l.own")).alias("places"),
+        F.when(agrees, F.coalesce("r.n_changed", F.lit(0))).otherwise(F.lit(0)).alias("n_changed"),
     )
+    joined = joined.withColumn("n_windows", F.size("places").cast("long")).withColumn("n_words", covered)
     best = F.max(F.struct("n_words", "n_windows", (-F.col("n_changed")).alias("less")))
     return (
-        joined.filter("agrees")
+        joined.filter("n_windows > 0")
         .groupBy("doc_id", "item_id")
         .agg(best.alias("b"))
         .select(
