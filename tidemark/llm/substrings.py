@@ -314,6 +314,7 @@ def _search_shard(rows: pa.Table) -> pa.Table:
             "seg": pa.array(seg[owner[hit]]),
             "lo": pa.array(doc[owner[hit]]),
             "place": pa.array((base[owner[hit]] + within[hit]).astype(np.int32)),
+            "least": pa.array(first[hit]),
         }
     )
 
@@ -346,9 +347,25 @@ def _covered(docs: DataFrame) -> DataFrame:
         whole.filter(F.col("k") > TOGETHER)
         .withColumn("base", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
         .withColumn("content", window)
-        .select(F.pmod(F.xxhash64("content"), F.lit(shards)).alias("shard"), "seg", "lo", "base", "content")
     )
-    earlier = together.unionByName(apart).groupBy("shard").applyInArrow(_search_shard, "seg long, lo long, place int")
+    # A window that many segments share enters an index twice at most: for its least and for its greatest document.
+    shared = apart.groupBy("content").agg(F.min("lo").alias("least"), F.max("lo").alias("most")).filter("least < most")
+    windows = shared.select(
+        F.pmod(F.xxhash64("content"), F.lit(shards)).alias("shard"),
+        F.xxhash64("content").alias("seg"),
+        F.explode(F.array("least", "most")).alias("lo"),
+        F.lit(-1).alias("base"),
+        "content",
+    )
+    earlier = together.unionByName(windows).groupBy("shard").applyInArrow(
+        _search_shard, "seg long, lo long, place int, least long"
+    )
+    earlier = frames.stored(earlier, "earlier-windows")
+    found = earlier.filter("place < 0").select(F.col("seg").alias("window"), "least")
+    places = apart.withColumn("window", F.xxhash64("content")).join(found, "window").filter("least < lo")
+    earlier = earlier.filter("place >= 0").select("seg", "lo", "place").unionByName(
+        places.select("seg", "lo", F.col("base").alias("place"))
+    )
     copies = (
         seen.join(owned.filter("lo < hi").select("m", "seg", "lo"), ["m", "seg"])
         .filter("lo < doc_id")
