@@ -112,7 +112,7 @@ def tokenizer():
 
 def test_encoder_equals_the_library():
     plain, encode, pick = tokenizer(), tokens.Encoder(), random.Random(5)
-    letters = "abcSs  \n\n\t'sé　 1.,\x1c\x85\r!世ßÿǅ"
+    letters = "abcSs  $*&\n\n\t'sé　 1.,\x1c\x85\r!世ßÿǅ"
     texts = ["".join(pick.choice(letters) for _ in range(pick.randint(0, 14))) for _ in range(4000)]
     for text in [*texts, *(t or "" for t in TEXTS), "a<|endoftext|>b"]:
         assert np.frombuffer(encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
@@ -351,6 +351,23 @@ def test_runs_reach_the_target():
     assert jaccard.runs_for(0.9, 3) >= jaccard.runs_for(0.9, 1)
 
 
+def test_keys_after_words_are_random():
+    pick, signs = random.Random(4), "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    for words_before in ("my-secret-service-account-key-", "github_production_deploy_token_", "customer-billing-service-"):
+        keys = [words_before + "".join(pick.choices(signs, k=24)) for _ in range(200)]
+        assert sum(bool(secret_scan.scan(f"see {k} here")["random"]) for k in keys) >= 198, words_before
+    for name in ("very-long-hyphenated-name-of-a-thing-2024-01-15", "MAX_CONNECTION_RETRY_COUNT_PER_HOST"):
+        assert not secret_scan.scan(f"see {name} here")["random"], name
+
+
+def test_dictionary_samples_span_whole_documents():
+    ids = np.arange(60_000).astype(binary.ID_TYPE)
+    slices = binary._slices(ids)
+    assert sum(map(len, slices)) == binary.SAMPLE_IDS * ids.itemsize
+    assert slices[0] == ids[: binary.SLICE_IDS].tobytes() and slices[-1] == ids[-binary.SLICE_IDS :].tobytes()
+    assert binary._slices(ids[:100]) == [ids[:100].tobytes()]
+
+
 def test_recall_of_pairs_in_a_family_split_six_times(spark, monkeypatch):
     """Pairs at the threshold whose buckets stay large because all sets share a template."""
     monkeypatch.setattr(jaccard, "LEAF", 8)
@@ -379,25 +396,36 @@ QUESTION = "Alice bought 12 apples and 7 pears for 30 dollars then gave Bob 5 ap
 
 def test_reparameterised_questions(spark):
     changed = QUESTION.replace("Alice", "Carol").replace("Bob", "Dave").replace("12", "45").replace("30", "99")
-    torn = QUESTION.replace("Alice", "Carol", 1)  # the second Alice stays: not one question with other values
+    torn = QUESTION.replace("Alice", "Carol", 1)  # the second Alice stays: only what follows the first is the item's
+    mixed = changed.replace("Carol", "Alice", 1).replace("45", "46").replace("Dave", "Alice")
     rows = [
         (1, f"some text before it. {QUESTION}? And after."),
         (2, f"other words {changed} more words"),
         (3, "nothing of that kind here but apples and pears for all of us to hold and count now"),
         (4, None),
         (5, torn),
+        (6, mixed),  # one value of the document for two of the item is allowed, two for one are not
         (None, QUESTION),
     ]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     bench = spark.createDataFrame([(7, QUESTION), (8, None), (9, "one two")], "item_id long, text string")
     got = {r.doc_id: r for r in decontam.contaminated(docs, bench).collect()}
-    assert set(got) == {1, 2, None} and all(r.item_id == 7 for r in got.values())
+    assert set(got) == {1, 2, 5, None} and all(r.item_id == 7 for r in got.values())
+    assert got[5].verbatim and got[5].n_changed == 0 and got[5].n_words == len(QUESTION.split()) - 1
     assert got[1].verbatim and not got[2].verbatim and got[2].n_changed > 0
     assert got[1].n_words == len(QUESTION.split())
     assert decontam.contaminated(docs, bench.limit(0)).count() == 0
     assert decontam.contaminated(docs.limit(0), bench).count() == 0
 
 
+def test_items_whose_literals_never_meet(spark):
+    rows = [(1, "we ask: does Alice like Bob more than tea"), (2, "does Carol like Dave more"), (3, "does it like us more"), (4, "does Alice")]
+    docs = spark.createDataFrame([(d, t, d) for d, t in rows], "doc_id long, text string, item_id long")
+    bench = spark.createDataFrame([(7, "does Alice like Bob more"), (8, QUESTION)], "item_id long, text string")
+    got = {r.doc_id: (r.item_id, r.verbatim) for r in decontam.contaminated(docs, bench).collect()}
+    assert got == {1: (7, True), 2: (7, False)}
+
+
 def test_decontamination_finds_all_benchmark_passages(spark, documents):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     grams = defaultdict(set)
