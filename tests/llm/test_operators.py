@@ -510,6 +510,26 @@ def test_network_learns_from_all_of_a_long_text(spark):
     assert scores[0].score > scores[1].score + 1
 
 
+def test_network_does_not_depend_on_the_number_of_tasks(documents):
+    """Shards of training are dealt by content; sums within a shard run in one order."""
+    one, many = (
+        {r.doc_id: r.score for r in lm.score_documents(documents.repartition(n)).collect()} for n in (1, 7)
+    )
+    assert one.keys() == many.keys()
+    assert np.allclose([one[k] for k in sorted(one)], [many[k] for k in sorted(one)], rtol=1e-6)
+
+
+def test_rows_that_repeat_are_dealt_apart_and_averages_branch():
+    dealt = lm._dealt([3, 3, 3, 4], [b"a", b"a", b"b", b"a"])
+    assert len(set(dealt)) == 4
+    assert dealt[0] == lm._dealt([3], [b"a"])[0]
+    row = lambda task, tokens, value: (0, task, tokens, 2.0, np.full(3, value, "<f4").tobytes())
+    rows = pa.Table.from_arrays([pa.array(x, f.type) for x, f in zip(zip(row(513, 1, 1.0), row(512, 3, 5.0), strict=True), lm._PART_SCHEMA, strict=True)], schema=lm._PART_SCHEMA)
+    mean = lm._averaged((pa.scalar(0), pa.scalar(1)), rows).to_pylist()[0]
+    assert (mean["task"], mean["tokens"], mean["updates"]) == (1, 4, 2.0)
+    assert np.frombuffer(mean["weights"], "<f4").tolist() == [4.0] * 3
+
+
 def test_windows_hold_every_token_after_the_one_before():
     pick = np.random.Generator(np.random.PCG64(5))
     texts = [pick.integers(1, 1024, n) for n in (1, 40, 0, 16, 17, 300, 5, 33)]

@@ -3,8 +3,9 @@
 Counts cover every training document. The most frequent words form the model's vocabulary; a GRU predicts
 the next of them, or that another word follows, through a softmax factored into classes. Other words are
 weighed by their corpus counts. The network is trained with truncated backpropagation in NumPy on the whole
-texts of all training documents: in each pass every task trains on its partition from the same weights, and
-their weights are averaged by the tokens they saw. The output biases start from the counts of the corpus. In
+texts of all training documents: they are dealt to shards of a set size by content, in each pass every shard
+trains from the same weights, and their weights are averaged by the tokens they saw, in branches where there
+are many. The output biases start from the counts of the corpus. In
 training and in scoring the state is carried from window to window, so the whole text counts.
 """
 
@@ -30,8 +31,12 @@ STEPS = 16
 FREQUENT = 1 << 18
 #: Passes over the training documents, and documents that a task trains on side by side.
 PASSES, LANES = 3, 256
-#: Weights in one row of those that tasks hand over.
-CHUNK = 1_024
+#: Ids of documents that wait for a lane.
+HELD = 1 << 20
+#: Training tokens of a shard, each the work of one task; documents of more tokens than LONG go first in it.
+SHARD_TOKENS, LONG = 8_000_000, 2_048
+#: Weights in one row of those that shards hand over, and shards that are averaged at once.
+CHUNK, BRANCH = 1_024, 512
 SMOOTH = 0.1
 FOLDS = 10
 END_WORD = np.int64(-1)  # hash of the end token; words with this hash would be taken for it
@@ -46,10 +51,6 @@ def held_out(doc_ids: list[int | None]) -> np.ndarray:
 # --- the network ------------------------------------------------------------------------------
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-
-
 class Gru:
     """GRU over word ids with a class-factored output; id = class * PER_CLASS + place in the class."""
 
@@ -70,138 +71,179 @@ class Gru:
             "bw": np.log(weight / weight.sum(1, keepdims=True)).astype(np.float32),
         }
 
+    def inputs(self) -> np.ndarray:
+        """What each id adds to the gates: ``emb @ wx + bx``, laid out feature by feature."""
+        return (self.p["wx"].T @ self.p["emb"].T + self.p["bx"][:, None]).T
+
     def step(self, inputs: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, ...]:
-        """New state and what backpropagation needs, from rows of ``emb @ wx + bx`` and the old state."""
-        h = HIDDEN
-        rec = state @ self.p["wh"]
-        gates = _sigmoid(inputs[:, : 2 * h] + rec[:, : 2 * h])
-        reset, keep = gates[:, :h], gates[:, h:]
-        fresh = 2 * _sigmoid(2 * (inputs[:, 2 * h :] + reset * rec[:, 2 * h :])) - 1
-        return fresh + keep * (state - fresh), reset, keep, fresh, rec[:, 2 * h :]
+        """New state and what backpropagation needs, from rows of ``inputs()`` and the old state.
 
-    def inputs(self) -> np.ndarray:
-        return self.p["emb"] @ self.p["wx"] + self.p["bx"]
+        Rows are views: in memory a feature of all lanes lies together, so that gates are whole blocks.
+        """
+        h, x, old = HIDDEN, inputs.T, state.T
+        rec = self.p["wh"].T @ old
+        gates = x[: 2 * h] + rec[: 2 * h]
+        gates *= 0.5
+        np.tanh(gates, out=gates)  # the logistic function is tanh of half its argument
+        gates += 1
+        gates *= 0.5
+        reset, keep = gates[:h], gates[h:]
+        fresh = reset * rec[2 * h :]
+        fresh += x[2 * h :]
+        np.tanh(fresh, out=fresh)
+        new = old - fresh
+        new *= keep
+        new += fresh
+        return new.T, reset.T, keep.T, fresh.T, rec[2 * h :].T
+
+    def _run(self, ids: np.ndarray, state: np.ndarray, table: np.ndarray, kept: np.ndarray | None = None) -> np.ndarray:
+        """States by (feature, step, lane), the one before the first step included; ``kept`` takes the inner values."""
+        inputs = np.take(table.T, ids, axis=1)
+        states = np.empty((HIDDEN, len(ids) + 1, ids.shape[1]), inputs.dtype)
+        states[:, 0] = state.T
+        for t in range(len(ids)):
+            new, *inner = self.step(inputs[:, t].T, states[:, t].T)
+            states[:, t + 1] = new.T
+            if kept is not None:
+                for place, value in zip(kept, inner, strict=True):
+                    place[:, t] = value.T
+        return states
 
-    @staticmethod
-    def _log_softmax(x: np.ndarray) -> np.ndarray:
-        x = x - x.max(axis=1, keepdims=True)
-        return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+    def _outputs(self, states: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Probabilities of classes and of places in the target's class, a column each for ``targets``, and their log.
+
+        Columns are in the order of their targets, so that each class is one slice; the slices come last.
+        """
+        p, column = self.p, np.arange(len(targets))
+        group, place = targets // PER_CLASS, targets % PER_CLASS
+        at = np.searchsorted(group, np.arange(CLASSES + 1))
+        slices = [(int(c), slice(at[c], at[c + 1])) for c in np.flatnonzero(np.diff(at))]
+        top = p["wc"].T @ states
+        top += p["bc"][:, None]
+        low = np.empty((PER_CLASS, len(targets)), top.dtype)
+        for c, part in slices:
+            np.add(p["ww"][c].T @ states[:, part], p["bw"][c][:, None], out=low[:, part])
+        logs = np.zeros(len(targets))
+        for scores, hit in ((top, group), (low, place)):
+            scores -= scores.max(axis=0)
+            logs += scores[hit, column]
+            np.exp(scores, out=scores)
+            total = scores.sum(axis=0)
+            logs -= np.log(total)
+            scores /= total
+        return top, low, logs, group, place, slices
 
     def log_probs(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural log probability of each target after each state."""
-        group, place = targets // PER_CLASS, targets % PER_CLASS
-        out = self._log_softmax(states @ self.p["wc"] + self.p["bc"])[np.arange(len(targets)), group]
-        order = np.argsort(group, kind="stable")
-        at = np.append(np.searchsorted(group[order], np.arange(CLASSES)), len(order))
-        for c in np.flatnonzero(np.diff(at)):
-            rows = order[at[c] : at[c + 1]]
-            scores = self._log_softmax(states[rows] @ self.p["ww"][c] + self.p["bw"][c])
-            out[rows] += scores[np.arange(len(rows)), place[rows]]
+        order = np.argsort(targets.astype(np.uint16), kind="stable")
+        out = np.empty(len(targets))
+        out[order] = self._outputs(np.take(states.T, order, axis=1), targets[order])[2]
         return out
 
     def gradients(self, ids: np.ndarray, targets: np.ndarray, live: np.ndarray, state: np.ndarray):
-        """Loss and gradients over one window (steps, lanes), truncated at its start; and the last state."""
-        p, h, table = self.p, HIDDEN, self.inputs()
-        grads = {k: np.zeros_like(v) for k, v in p.items()}
-        kept = []
-        for t in range(len(ids)):
-            new, *inner = self.step(table[ids[t]], state)
-            kept.append((state, *inner))
-            state = np.where(live[t][:, None], new, state)
-            kept[-1] += (state,)
+        """Loss and gradients over one window (steps, lanes), truncated at its start; and the last state.
+
+        A lane that ends inside the window is dead from there on: nothing flows back from its dead steps, and
+        its last state means nothing.
+        """
+        p, h, n = self.p, HIDDEN, int(live.sum())
+        grads, table = {}, self.inputs()
+        kept = np.empty((4, h, *ids.shape), table.dtype)
+        states = self._run(ids, state, table, kept)
+        before, (reset, keep, fresh, rec) = states[:, :-1], kept
+
         rows = np.flatnonzero(live.ravel())
-        states = np.concatenate([k[-1] for k in kept])[rows]
-        wanted = targets.ravel()[rows]
-        group, place, scale = wanted // PER_CLASS, wanted % PER_CLASS, 1 / max(len(rows), 1)
-        top = self._log_softmax(states @ p["wc"] + p["bc"])
-        loss = -top[np.arange(len(rows)), group].sum()
-        d = np.exp(top)
-        d[np.arange(len(rows)), group] -= 1
-        d *= scale
-        grads["wc"], grads["bc"], back = states.T @ d, d.sum(0), d @ p["wc"].T
-        for c in np.unique(group):
-            mine = np.flatnonzero(group == c)
-            low = self._log_softmax(states[mine] @ p["ww"][c] + p["bw"][c])
-            loss -= low[np.arange(len(mine)), place[mine]].sum()
-            d = np.exp(low)
-            d[np.arange(len(mine)), place[mine]] -= 1
-            d *= scale
-            grads["ww"][c], grads["bw"][c] = states[mine].T @ d, d.sum(0)
-            back[mine] += d @ p["ww"][c].T
-        spread = np.zeros((live.size, h), np.float32)
-        spread[rows] = back
-        spread = spread.reshape(*live.shape, h)
-        ahead = np.zeros_like(state)
-        d_inputs = np.zeros((*ids.shape, 3 * h), np.float32)
+        rows = rows[np.argsort(targets.ravel()[rows].astype(np.uint16), kind="stable")]
+        after = np.take(states[:, 1:].reshape(h, -1), rows, axis=1)
+        top, low, logs, group, place, slices = self._outputs(after, targets.ravel()[rows])
+        for d, hit in ((top, group), (low, place)):
+            d[hit, np.arange(n)] -= 1
+            d *= 1 / n
+        grads["wc"], grads["bc"], back = after @ top.T, top.sum(axis=1), np.zeros((h, n + 1), table.dtype)
+        back[:, :n] = p["wc"] @ top
+        grads["ww"], grads["bw"] = np.zeros_like(p["ww"]), np.zeros_like(p["bw"])
+        for c, part in slices:
+            grads["ww"][c], grads["bw"][c] = after[:, part] @ low[:, part].T, low[:, part].sum(axis=1)
+            back[:, part] += p["ww"][c] @ low[:, part]
+        column = np.full(live.size, n)  # the last column is zero, for dead steps
+        column[rows] = np.arange(n)
+        spread = np.take(back, column, axis=1).reshape(h, *live.shape)
+
+        ahead, d_inputs, d_rec = np.zeros_like(spread[:, 0]), np.empty((3 * h, *ids.shape), table.dtype), np.empty_like(spread)
+        taken, by_keep, by_reset, by_fresh = 1 - keep, before - fresh, 1 - reset, fresh * fresh
+        np.subtract(1, by_fresh, out=by_fresh)  # in place: large temporary arrays cost more than the arithmetic
+        by_fresh *= taken
+        by_keep *= keep
+        by_keep *= taken
+        by_reset *= reset
+        by_reset *= rec
         for t in reversed(range(len(ids))):
-            before, reset, keep, fresh, rec, _ = kept[t]
-            d = spread[t] + ahead
-            on = live[t][:, None]
-            d, passed = np.where(on, d, 0), np.where(on, 0, ahead)
-            d_fresh = d * (1 - keep) * (1 - fresh * fresh)
-            d_keep = d * (before - fresh) * keep * (1 - keep)
-            d_reset = d_fresh * rec * reset * (1 - reset)
-            d_inputs[t] = np.concatenate([d_reset, d_keep, d_fresh], axis=1)
-            d_rec = np.concatenate([d_reset, d_keep, d_fresh * reset], axis=1)
-            grads["wh"] += before.T @ d_rec
-            ahead = d * keep + d_rec @ p["wh"].T + passed
-        flat, which = d_inputs.reshape(-1, 3 * h), ids.ravel()
-        grads["bx"] = flat.sum(0)
-        order = np.argsort(which, kind="stable")
-        used, at = np.unique(which[order], return_index=True)
-        by_id = np.add.reduceat(flat[order], at)
-        grads["wx"] = p["emb"][used].T @ by_id
-        grads["emb"][used] = by_id @ p["wx"].T
-        return loss, len(rows), grads, state
+            ahead += spread[:, t]
+            d_fresh = np.multiply(ahead, by_fresh[:, t], out=d_inputs[2 * h :, t])
+            np.multiply(ahead, by_keep[:, t], out=d_inputs[h : 2 * h, t])
+            np.multiply(d_fresh, by_reset[:, t], out=d_inputs[:h, t])
+            np.multiply(d_fresh, reset[:, t], out=d_rec[:, t])
+            ahead *= keep[:, t]
+            ahead += p["wh"][:, : 2 * h] @ d_inputs[: 2 * h, t]
+            ahead += p["wh"][:, 2 * h :] @ d_rec[:, t]
+        flat, old, which = d_inputs.reshape(3 * h, -1), before.reshape(h, -1), ids.ravel()
+        grads["wh"] = np.concatenate([old @ flat[: 2 * h].T, old @ d_rec.reshape(h, -1).T], axis=1)
+        grads["bx"] = flat.sum(axis=1)
+        grads["wx"] = p["emb"][which].T @ flat.T
+        order = np.argsort(which.astype(np.uint16), kind="stable")
+        starts = np.flatnonzero(np.diff(which[order], prepend=-1))
+        grads["emb"] = np.zeros_like(p["emb"])
+        grads["emb"][which[order[starts]]] = np.add.reduceat(np.take((p["wx"] @ flat).T, order, axis=0), starts, axis=0)
+        return -logs.sum(), n, grads, states[:, -1].T
 
     def train(self, texts: Iterator[np.ndarray], updates: float = 0, lanes: int = LANES, rate: float = 0.01) -> tuple[float, int, int]:
         """Adam over the windows of a stream of documents; ``updates`` were made before. Loss, tokens, updates.
 
         A window moves the weights by its share of the tokens of a full one.
         """
-        first = {k: np.zeros_like(v) for k, v in self.p.items()}
-        second = {k: np.zeros_like(v) for k, v in self.p.items()}
+        weights = np.concatenate([v.ravel() for v in self.p.values()])
+        cuts = np.cumsum([v.size for v in self.p.values()])[:-1]
+        self.p = {k: x.reshape(v.shape) for (k, v), x in zip(self.p.items(), np.split(weights, cuts), strict=True)}  # views
+        first, second = np.zeros_like(weights), np.zeros_like(weights)
         states, total, seen, n, full = np.zeros((lanes, HIDDEN), np.float32), 0.0, 0, 0, 1
         for lane, fresh, before, target, live in _windows(texts, lanes):
             state = np.where(fresh[:, None], np.float32(0), states[lane])
             loss, rows, grads, states[lane] = self.gradients(before, target, live, state)
             total, seen, n, full = total + float(loss), seen + rows, n + 1, max(full, rows)
-            norm = math.sqrt(sum(float((g * g).sum()) for g in grads.values()))
+            g = np.concatenate([grads[k].ravel() for k in self.p])
+            g *= min(1.0, 1.0 / (math.sqrt(float(g @ g)) + 1e-9))
             pace = rate * rows / full / math.sqrt(1 + (updates + n) / 300) / (1 - 0.9**n)
-            for k, g in grads.items():
-                g = g * min(1.0, 1.0 / (norm + 1e-9))
-                first[k] = 0.9 * first[k] + 0.1 * g
-                second[k] = 0.999 * second[k] + 0.001 * g * g
-                step = pace * first[k] / (np.sqrt(second[k] / (1 - 0.999**n)) + 1e-6)
-                self.p[k] = (self.p[k] - step).astype(np.float32)
+            first *= 0.9
+            first += np.float32(0.1) * g
+            g *= g
+            second *= 0.999
+            second += np.float32(0.001) * g
+            weights -= pace * first / (np.sqrt(second / (1 - 0.999**n)) + 1e-6)
         return total, seen, n
 
     def score(self, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Natural log probability of each document ids[bounds[k]:bounds[k+1]], none of them empty.
 
-        Documents run side by side, longest first; the state of each goes on from window to window.
+        Documents run side by side, those of like length together; the state of each goes on from window to window.
         """
         sizes = np.diff(bounds)
         order = np.argsort(-sizes, kind="stable")
-        begin, sizes = bounds[:-1][order], sizes[order]
-        out, state = np.zeros(len(order)), np.zeros((len(order), HIDDEN), np.float32)
-        last, table = np.full(len(order), _END), self.inputs()
-        for t in range(0, int(sizes.max(initial=0)), STEPS):
-            states, targets, lanes = [], [], []
-            for k in range(t, t + STEPS):
-                n = int(np.searchsorted(-sizes, -k, "left"))  # documents longer than k
-                if not n:
-                    break
-                state[:n] = self.step(table[last[:n]], state[:n])[0]
-                last[:n] = ids[begin[:n] + k]
-                states.append(state[:n].copy())
-                targets.append(last[:n].copy())
-                lanes.append(np.arange(n))
-            logs = self.log_probs(np.concatenate(states), np.concatenate(targets))
-            n = len(lanes[0])
-            out[:n] += np.bincount(np.concatenate(lanes), weights=logs, minlength=n)
-        scores = np.empty(len(order))
-        scores[order] = out
+        scores, table = np.zeros(len(order)), self.inputs()
+        for docs in np.split(order, range(LANES, len(order), LANES)):
+            size, state = sizes[docs], np.zeros((len(docs), HIDDEN), table.dtype)
+            for t in range(0, int(size.max(initial=0)), STEPS):
+                n = int(np.searchsorted(-size, -t, "left"))  # documents longer than t
+                steps = np.arange(t, min(t + STEPS, int(size[0])))[:, None]
+                live, at = steps < size[:n], bounds[docs[:n]] + np.minimum(steps, size[:n] - 1)
+                before = ids[at - 1]
+                if not t:
+                    before[0] = _END
+                states = self._run(before, state[:n], table)
+                state = states[:, -1].T
+                rows = np.flatnonzero(live.ravel())
+                after = np.take(states[:, 1:].reshape(HIDDEN, -1), rows, axis=1)
+                logs = self.log_probs(after.T, ids[at].ravel()[rows])
+                scores[docs[:n]] += np.bincount(rows % n, weights=logs, minlength=n)
         return scores
 
 
@@ -209,27 +251,51 @@ def _windows(texts: Iterator[np.ndarray], lanes: int) -> Iterator[tuple[np.ndarr
     """Lanes in use, which of them begin a document, and ids before, targets and presence by (step, lane).
 
     A lane goes through one document after the other, each of them from the begin of a window to its end.
+    What lies beyond the end of a document is not present, whatever its ids. Documents are held in one array,
+    those under way from the id before their place on, and some that wait.
     """
     texts = (t for t in texts if len(t))
-    docs, at = [np.zeros(0, np.int64)] * lanes, [0] * lanes
+    held, at, end = np.zeros(0, np.int64), np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+    waiting = np.zeros((0, 2), np.int64)  # begin and end of each
     while True:
-        target, before = np.zeros((lanes, STEPS), np.int64), np.full((lanes, STEPS), _END, np.int64)
-        sizes, fresh = np.zeros(lanes, np.int64), np.zeros(lanes, bool)
-        for k in range(lanes):
-            if at[k] >= len(docs[k]):
-                docs[k], at[k] = next(texts, docs[k][:0]), 0
-                fresh[k] = True
-            part = docs[k][at[k] : at[k] + STEPS]
-            sizes[k] = len(part)
-            target[k, : len(part)], before[k, 1 : len(part)] = part, part[:-1]
-            if at[k]:
-                before[k, 0] = docs[k][at[k] - 1]
-            at[k] += STEPS
-        lane = np.flatnonzero(sizes)
+        free = np.flatnonzero(at >= end)
+        if len(free) > len(waiting):
+            more = _some(texts, len(free) - len(waiting), lanes)
+            if more:
+                busy = np.flatnonzero(at < end)
+                parts = [held[a - 1 : b] for a, b in zip(at[busy], end[busy], strict=True)]
+                parts += [held[a:b] for a, b in waiting] + more
+                bounds = np.cumsum([0, *map(len, parts)])
+                held = np.concatenate(parts)
+                at[busy], end[busy] = bounds[: len(busy)] + 1, bounds[1 : len(busy) + 1]
+                waiting = np.column_stack([bounds[:-1], bounds[1:]])[len(busy) :]
+                at[free] = end[free] = 0
+        free = free[: len(waiting)]
+        at[free], end[free] = waiting[: len(free)].T
+        waiting = waiting[len(free) :]
+        lane = np.flatnonzero(at < end)
         if not len(lane):
             return
-        live = np.arange(STEPS)[:, None] < sizes[lane]
-        yield lane, fresh[lane], before[lane].T, target[lane].T, live
+        steps = at[lane] + np.arange(STEPS)[:, None]
+        live, steps = steps < end[lane], np.minimum(steps, end[lane] - 1)
+        fresh = np.zeros(lanes, bool)
+        fresh[free] = True
+        fresh = fresh[lane]
+        before = held[steps - 1]
+        before[0, fresh] = _END
+        at[lane] += STEPS
+        yield lane, fresh, before, held[steps], live
+
+
+def _some(texts: Iterator[np.ndarray], least: int, many: int) -> list[np.ndarray]:
+    """The next ``least`` documents, and up to ``many`` more as long as all are below ``HELD`` ids."""
+    got, size = [], 0
+    for text in texts:
+        got.append(text)
+        size += len(text)
+        if len(got) >= least and (size >= HELD or len(got) >= least + many):
+            break
+    return got
 
 
 # --- counting ---------------------------------------------------------------------------------
@@ -315,98 +381,44 @@ def _model_ids(corpus: Corpus, found: words.Words) -> tuple[np.ndarray, np.ndarr
     return ids, found.bounds + np.arange(len(found.bounds)), place, frequent
 
 
-# --- training ---------------------------------------------------------------------------------
-
-_PART = "chunk int, task int, tokens long, updates long, weights binary"
-_MEAN = "chunk int, updates double, weights binary"
-
-
-def _encoded(batches: Iterator[pa.RecordBatch], corpus: Corpus) -> Iterator[pa.RecordBatch]:
-    """Model ids of each training document, two bytes each."""
-    for batch in batches:
-        batch = batch.filter(pa.array(~held_out(batch.column("doc_id").to_pylist())))
-        for _, _, data, offsets in words.chunks(batch.column("text")):
-            ids, bounds, _, _ = _model_ids(corpus, words.split(data, offsets, lower=True))
-            raw = ids.astype("<u2").tobytes()
-            rows = [raw[2 * a : 2 * b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["ids"])
-
-
-def _trained(batches: Iterator[pa.RecordBatch], weights: dict[str, np.ndarray], updates: float) -> Iterator[pa.RecordBatch]:
-    """The weights after the documents of a task, in rows of ``CHUNK``."""
-    model = Gru.__new__(Gru)
-    model.p = dict(weights)
-    texts = (np.frombuffer(x.as_py(), "<u2").astype(np.int64) for batch in batches for x in batch.column("ids"))
-    _, tokens, n = model.train(texts, updates)
-    if not tokens:
-        return
-    raw = np.concatenate([model.p[k].ravel() for k in sorted(model.p)]).astype("<f4").tobytes()
-    parts = [raw[k : k + 4 * CHUNK] for k in range(0, len(raw), 4 * CHUNK)]
-    size, task = len(parts), TaskContext.get().partitionId()
-    columns = [range(size), [task] * size, [tokens] * size, [n] * size, parts]
-    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [x.split()[0] for x in _PART.split(", ")]
-    )
-
-
-def _averaged(rows: pa.Table) -> pa.Table:
-    """One chunk of weights, and the updates behind it, averaged over the tasks by their tokens."""
-    rows = rows.sort_by("task")  # the order of a sum shows in its last digits
-    tokens = rows["tokens"].to_numpy().astype(float)
-    weights = np.stack([np.frombuffer(x, "<f4") for x in rows["weights"].to_pylist()])
-    mean = np.average(weights, axis=0, weights=tokens).astype("<f4").tobytes()
-    updates = float(np.average(rows["updates"].to_numpy(), weights=tokens))
-    return pa.table(
-        {"chunk": rows["chunk"][:1], "updates": pa.array([updates]), "weights": pa.array([mean], pa.binary())}
-    )
-
-
-def _train(corpus: Corpus, docs: DataFrame, shared: Broadcast) -> None:
-    share = docs.sparkSession.sparkContext.broadcast
-    ids = frames.stored(docs.mapInArrow(lambda b: _encoded(b, Corpus.of(shared.value)), "ids binary"), "training-ids")
-    updates = 0.0
-    for _ in range(PASSES):
-        start = share((corpus.model.p, updates))
-        parts = ids.mapInArrow(lambda b, start=start: _trained(b, *start.value), _PART)
-        mean = frames.stored(parts.groupBy("chunk").applyInArrow(_averaged, _MEAN), "weights").collect()
-        if not mean:
-            return
-        flat = np.frombuffer(b"".join(bytes(r.weights) for r in sorted(mean, key=lambda r: r.chunk)), "<f4")
-        names = sorted(corpus.model.p)
-        cuts = np.cumsum([corpus.model.p[k].size for k in names])[:-1]
-        corpus.model.p = {
-            k: x.reshape(corpus.model.p[k].shape) for k, x in zip(names, np.split(flat, cuts), strict=True)
-        }
-        updates += mean[0].updates
-
-
-# --- scoring ----------------------------------------------------------------------------------
+# --- reading ----------------------------------------------------------------------------------
 
-_SCORED = (
+_READ = (
     "row long, doc_id long, held_out boolean, n_tokens long, n_known long, n_other long, counted double, other double, "
-    "neural double, tokens array<long>, times array<int>"
+    "deal long, tokens array<long>, times array<int>, ids binary"
 )
 
 
-def _scored(batches: Iterator[pa.RecordBatch], corpus: Corpus) -> Iterator[pa.RecordBatch]:
-    """Per document: what the frequent tokens give, and the others with their numbers of occurrences."""
+def _dealt(doc_ids: list[int | None], ids: list[bytes]) -> list[int]:
+    """What deals documents to the shards of training: id, content, and a number for rows that repeat both."""
+    seen: dict[tuple[int | None, int], int] = {}
+    out = []
+    for key in zip(doc_ids, map(zlib.crc32, ids), strict=True):
+        seen[key] = seen.get(key, 0) + 1
+        out.append(zlib.crc32(b"%d %d" % (key[0] or 0, seen[key])) << 31 ^ key[1])
+    return out
+
+
+def _read(batches: Iterator[pa.RecordBatch], corpus: Corpus) -> Iterator[pa.RecordBatch]:
+    """Per document: its model ids, two bytes each, what the frequent tokens give, and the others with their numbers."""
     row = TaskContext.get().partitionId() << 33
     logs = np.log10(corpus.counts + SMOOTH)
     end_log = logs[corpus.tokens == END_WORD]
     end_log, end_known = (float(end_log[0]), int(corpus.counts[corpus.tokens == END_WORD][0] > 0)) if len(end_log) else (math.log10(SMOOTH), 0)
     for batch in batches:
         docs = batch.column("doc_id").to_pylist()
-        parts: list[list[np.ndarray]] = [[] for _ in range(6)]
-        rare_tokens, rare_times, rare_sizes = [], [], []
+        parts: list[list[np.ndarray]] = [[] for _ in range(5)]
+        raws, rare_tokens, rare_times, rare_sizes = [], [], [], []
         for _, _, data, offsets in words.chunks(batch.column("text")):
             found = words.split(data, offsets, lower=True)
             ids, bounds, place, frequent = _model_ids(corpus, found)
             owner, size = found.owners(), len(found.counts)
+            raw = ids.astype("<u2").tobytes()
+            raws += [raw[2 * a : 2 * b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
             other = frequent & (corpus.ids[place] == _OTHER)
             add = lambda mark, weights=None: np.bincount(owner[mark], weights=weights, minlength=size)
             values = [
-                ids, np.diff(bounds), add(frequent), add(corpus.ids[place] == _OTHER) + add(~frequent & (corpus.ids[place] != _OTHER)),
+                np.diff(bounds), add(frequent), add(corpus.ids[place] == _OTHER) + add(~frequent & (corpus.ids[place] != _OTHER)),
                 add(frequent, logs[place[frequent]]), add(other, logs[place[other]]),
             ]
             for kept, value in zip(parts, values, strict=True):
@@ -421,8 +433,7 @@ def _scored(batches: Iterator[pa.RecordBatch], corpus: Corpus) -> Iterator[pa.Re
             rare_sizes.append(np.bincount(docs_of[fresh], minlength=size))
         if not docs:
             continue
-        ids, n_tokens, n_known, n_other, counted, other = (np.concatenate(x) for x in parts)
-        neural = corpus.model.score(ids, np.concatenate([[0], np.cumsum(n_tokens)])) / math.log(10)
+        n_tokens, n_known, n_other, counted, other = (np.concatenate(x) for x in parts)
         at = pa.array(np.concatenate([[0], np.cumsum(np.concatenate(rare_sizes))]).astype(np.int32))
         yield pa.RecordBatch.from_arrays(
             [
@@ -434,15 +445,98 @@ def _scored(batches: Iterator[pa.RecordBatch], corpus: Corpus) -> Iterator[pa.Re
                 pa.array(n_other.astype(np.int64)),
                 pa.array(counted + end_log),
                 pa.array(other.astype(float)),
-                pa.array(neural),
+                pa.array(_dealt(docs, raws), pa.int64()),
                 pa.ListArray.from_arrays(at, pa.array(np.concatenate(rare_tokens))),
                 pa.ListArray.from_arrays(at, pa.array(np.concatenate(rare_times).astype(np.int32))),
+                pa.array(raws, pa.binary()),
             ],
-            [x.split()[0] for x in _SCORED.split(", ")],
+            [x.split()[0] for x in _READ.split(", ")],
         )
         row += len(docs)
 
 
+# --- training ---------------------------------------------------------------------------------
+
+_PART = "chunk int, task int, tokens long, updates double, weights binary"
+
+
+def _trained(batches: Iterator[pa.RecordBatch], weights: dict[str, np.ndarray], updates: float) -> Iterator[pa.RecordBatch]:
+    """The weights after the documents of a shard, in rows of ``CHUNK``."""
+    model = Gru.__new__(Gru)
+    model.p = dict(weights)
+    texts = (np.frombuffer(x.as_buffer(), "<u2").astype(np.int64) for batch in batches for x in batch.column("ids"))
+    _, tokens, n = model.train(texts, updates)
+    if not tokens:
+        return
+    raw = np.concatenate([model.p[k].ravel() for k in sorted(model.p)]).astype("<f4").tobytes()
+    parts = [raw[k : k + 4 * CHUNK] for k in range(0, len(raw), 4 * CHUNK)]
+    size, task = len(parts), TaskContext.get().partitionId()
+    columns = [range(size), [task] * size, [tokens] * size, [float(n)] * size, parts]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(c, f.type) for c, f in zip(columns, _PART_SCHEMA, strict=True)], schema=_PART_SCHEMA
+    )
+
+
+_PART_SCHEMA = pa.schema(
+    [("chunk", pa.int32()), ("task", pa.int32()), ("tokens", pa.int64()), ("updates", pa.float64()), ("weights", pa.binary())]
+)
+
+
+def _averaged(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+    """One chunk of weights, and the updates behind it, averaged over the tasks of a branch by their tokens."""
+    chunk, branch = (k.as_py() for k in key)
+    rows = rows.sort_by("task")  # the order of a sum shows in its last digits
+    tokens = rows["tokens"].to_numpy()
+    weights = np.stack([np.frombuffer(x, "<f4") for x in rows["weights"].to_pylist()])
+    mean = np.average(weights, axis=0, weights=tokens.astype(float)).astype("<f4").tobytes()
+    updates = float(np.average(rows["updates"].to_numpy(), weights=tokens.astype(float)))
+    return pa.table([[chunk], [branch], [int(tokens.sum())], [updates], [mean]], schema=_PART_SCHEMA)
+
+
+def _train(corpus: Corpus, read: DataFrame) -> None:
+    """``PASSES`` passes, each from the average of the one before.
+
+    Shards are dealt by content and of a set size, so that neither the number of tasks nor that of machines
+    tells in the model. In a shard the longest documents go first, or a few lanes would be left with them.
+    """
+    share = read.sparkSession.sparkContext.broadcast
+    shards = max(1, math.ceil(corpus.total / SHARD_TOKENS))
+    ids = read.filter("not held_out").select("ids", "deal", "n_tokens").repartition(shards, "deal")
+    ids = ids.sortWithinPartitions(F.greatest("n_tokens", F.lit(LONG)).desc(), "deal").select("ids")
+    updates = 0.0
+    for _ in range(PASSES):
+        start = share((corpus.model.p, updates))
+        mean = ids.mapInArrow(lambda b, start=start: _trained(b, *start.value), _PART)
+        left = shards
+        while left:
+            mean = mean.groupBy("chunk", F.floor(F.col("task") / BRANCH).cast("int").alias("branch")).applyInArrow(_averaged, _PART)
+            left = math.ceil(left / BRANCH) if left > BRANCH else 0
+        mean = frames.stored(mean, "weights").collect()
+        if not mean:
+            return
+        flat = np.frombuffer(b"".join(bytes(r.weights) for r in sorted(mean, key=lambda r: r.chunk)), "<f4")
+        names = sorted(corpus.model.p)
+        cuts = np.cumsum([corpus.model.p[k].size for k in names])[:-1]
+        corpus.model.p = {
+            k: x.reshape(corpus.model.p[k].shape) for k, x in zip(names, np.split(flat, cuts), strict=True)
+        }
+        updates += mean[0].updates
+
+
+# --- scoring ----------------------------------------------------------------------------------
+
+_PLAIN = ["row", "doc_id", "held_out", "n_tokens", "n_known", "n_other", "counted", "other"]
+
+
+def _scored(batches: Iterator[pa.RecordBatch], corpus: Corpus) -> Iterator[pa.RecordBatch]:
+    """The plain columns, and what the network gives each document."""
+    for batch in batches:
+        raw = batch.column("ids").to_pylist()
+        bounds = np.concatenate([[0], np.cumsum([len(x) // 2 for x in raw])]).astype(np.int64)
+        neural = corpus.model.score(np.frombuffer(b"".join(raw), "<u2").astype(np.int64), bounds) / math.log(10)
+        yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in _PLAIN), pa.array(neural)], [*_PLAIN, "neural"])
+
+
 def score_documents(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of ``docs``.
 
@@ -456,16 +550,21 @@ def score_documents(docs: DataFrame) -> DataFrame:
     corpus = _corpus(counts)
     share = spark.sparkContext.broadcast
     plain = {k: v for k, v in vars(corpus).items() if k != "model"}
-    _train(corpus, docs, share(plain | {"weights": corpus.model.p}))
-    shared = share(plain | {"weights": corpus.model.p})  # arrays only; workers need not import this module
-    scored = frames.stored(docs.mapInArrow(lambda b: _scored(b, Corpus.of(shared.value)), _SCORED), "scored")
-    rare = scored.select("row", F.explode(F.arrays_zip("tokens", "times")).alias("t")).select("row", "t.tokens", "t.times")
+    known = share(plain | {"weights": {}})  # arrays only; workers need not import this module
+    read = frames.stored(docs.mapInArrow(lambda b: _read(b, Corpus.of(known.value)), _READ), "read")
+    _train(corpus, read)
+    shared = share(plain | {"weights": corpus.model.p})
+    kinds = {f.name: f.dataType.simpleString() for f in read.schema}
+    scored = read.select(*_PLAIN, "ids").mapInArrow(
+        lambda b: _scored(b, Corpus.of(shared.value)), ", ".join(f"{k} {kinds[k]}" for k in _PLAIN) + ", neural double"
+    )
+    rare = read.select("row", F.explode(F.arrays_zip("tokens", "times")).alias("t")).select("row", "t.tokens", "t.times")
     joined = rare.join(counts.withColumnRenamed("token", "tokens"), "tokens", "left")
     log = F.log10(F.coalesce("c", F.lit(0)) + SMOOTH)
     sums = joined.groupBy("row").agg(
         F.sum(F.col("times") * log).alias("rare"), F.sum(F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0)).alias("rare_known")
     )
-    out = scored.drop("tokens", "times").join(sums, "row", "left").fillna({"rare": 0.0, "rare_known": 0})
+    out = scored.join(sums, "row", "left").fillna({"rare": 0.0, "rare_known": 0})
     return out.select(
         "doc_id",
         "held_out",
