@@ -88,3 +88,37 @@ def test_batch_and_streaming_writers_share_log_and_dead_letters(spark, layout):
     pipeline.replay_pending(spark, layout, NOW)
     assert not dead(spark, layout)
     assert pipeline.read_events(spark, layout).count() == 4
+
+
+def one_number(event):
+    """A row for each digit; what does not fit the schema is the event's own failure."""
+    if event["event_id"] == "loose":
+        yield {"event_id": "loose", "n": "no number"}
+    elif not event["event_id"].isdigit():
+        raise KeyError("no digits")
+    else:
+        yield from ({"event_id": event["event_id"], "n": int(x)} for x in event["event_id"])
+
+
+def test_events_tried_one_by_one_take_one_pass_however_many_fail(spark, layout):
+    consumer = consumers.Consumer("raw_data.received", one_number, OUT, per_event=True)
+    good, bad = {str(i) for i in range(100)}, {f"x{i}" for i in range(300)} | {"loose"}
+    log(spark, layout, "a", [*good, *bad])
+    before = spark.sparkContext._jsc.sc().dagScheduler().nextJobId()
+    assert consumers.run_all(spark, layout, {"c": consumer}) == {"c": None}
+    assert spark.sparkContext._jsc.sc().dagScheduler().nextJobId() - before < 20
+    rows = consumers.read_consumed(spark, layout, "c", consumer).collect()
+    assert sorted((r.event_id, r.n) for r in rows) == sorted((i, int(x)) for i in good for x in i)
+    letters = dead(spark, layout)
+    assert set(letters) == bad and letters["x7"] == "c: KeyError: 'no digits'"
+    assert letters["loose"].startswith("c: Arrow")
+
+
+def test_parts_of_a_failing_batch_are_of_like_size(spark):
+    """Every digit of the hash splits: a good event never stays with a failing one for want of digits."""
+    ids = spark.range(1600).select(F.col("id").cast("string").alias("event_id")).cache()
+    for above in ((), (3,), (3, 5)):
+        sizes = [ids.where(consumers._share((*above, n))).count() for n in range(consumers.FAN)]
+        whole = ids.where(consumers._share(above)).count() if above else 1600
+        assert sum(sizes) == whole and max(sizes) < max(3, whole / 4)
+    assert consumers.BITS * consumers.DEEPEST == 64

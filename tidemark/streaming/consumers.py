@@ -3,19 +3,26 @@
 What a consumer raises while its rows are computed is its own failure: the micro-batch is split by event id and
 its parts are tried again, until the events that fail stand alone. They become dead letters with the error as the
 reason, all others are handled, and the stream goes on.
+
+Splitting takes some dozens of jobs for each event that fails. A handler of single events (``per_event``) is tried
+event by event inside the tasks instead, one pass over the batch however many events fail.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Mapping
+import sys
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schemas
@@ -25,19 +32,29 @@ from tidemark.session import scratch_path
 from tidemark.sources import tables
 from tidemark.streaming.ingest import run_batches
 
-#: Parts that a failing part is split into, parts tried at a time, and how often a part is split.
-FAN, AT_ONCE, DEEPEST = 16, 4, 8
+#: Bits of the id's hash that split a failing part, parts tried at a time, and how often a part is split: until
+#: all bits of the hash are used.
+BITS, AT_ONCE, DEEPEST = 4, 4, 16
+FAN = 1 << BITS
+
+#: Functions of this module run in tasks and are shipped by value, so executors need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 Handler = Callable[[DataFrame], DataFrame]
+EventHandler = Callable[[Mapping], Iterable[Mapping]]
 
 
 @dataclass(frozen=True)
 class Consumer:
-    """Handles the events of one type; ``schema`` is that of the rows it makes of them."""
+    """Handles the events of one type; ``schema`` is that of the rows it makes of them.
+
+    ``handler`` makes rows of a batch of events, or with ``per_event`` rows of one event, both as mappings.
+    """
 
     event_type: str
-    handler: Handler
+    handler: Handler | EventHandler
     schema: T.StructType
+    per_event: bool = False
 
 
 def event_stream(spark: SparkSession, layout: Layout, max_files: int = 1000) -> DataFrame:
@@ -56,25 +73,68 @@ def error_text(error: Exception) -> str:
     return f"{type(error).__name__}: {lines[0] if lines else ''}"
 
 
-def _share(depth: int, numbers: tuple[int, ...]) -> Column:
+def _share(numbers: tuple[int, ...]) -> Column:
     """Events of one part: the digits of the id's hash, taken to base FAN, from the last on."""
     digest, chosen = F.xxhash64("event_id"), F.lit(True)
     for level, number in enumerate(numbers):
-        chosen = chosen & (F.pmod(F.floor(digest / F.lit(FAN**level)).cast("long"), F.lit(FAN)) == number)
+        chosen = chosen & (F.shiftrightunsigned(digest, BITS * level).bitwiseAND(FAN - 1) == number)
     return chosen
 
 
+def _tried(events: list[Mapping], handler: EventHandler, made: pa.DataType) -> tuple[pa.Array, list[str | None]]:
+    """Lists of the rows of each event, and what it raised; rows that do not fit the schema are a failure too."""
+    rows: list[list[Mapping]] = []
+    reasons: list[str | None] = []
+    for event in events:
+        try:
+            rows.append([dict(x) for x in handler(event)])
+            reasons.append(None)
+        except Exception as error:  # whatever a consumer does wrong is its own failure
+            rows.append([])
+            reasons.append(error_text(error))
+    try:
+        return pa.array(rows, made), reasons
+    except Exception:  # some event's rows, found one by one
+        for k, one in enumerate(rows):
+            try:
+                pa.array([one], made)
+            except Exception as error:
+                rows[k], reasons[k] = [], error_text(error)
+        return pa.array(rows, made), reasons
+
+
+def _handle_each(batch: DataFrame, consumer: Consumer) -> tuple[DataFrame, DataFrame]:
+    """As ``handle``, with every event tried for itself in one pass, which is stored before it is read."""
+    handler, kind = consumer.handler, T.ArrayType(consumer.schema)
+    made = to_arrow_type(kind)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            rows, reasons = _tried(part.to_pylist(), handler, made)
+            yield pa.RecordBatch.from_arrays([*part.columns, rows, pa.array(reasons, pa.string())], [*part.schema.names, "rows", "failure_reason"])
+
+    # Of an event that was handled only its rows are written, one that failed stays whole.
+    tried = batch.mapInArrow(each, T.StructType([*batch.schema.fields, T.StructField("rows", kind), T.StructField("failure_reason", T.StringType())]))
+    kept = {c: F.when(F.col("failure_reason").isNotNull(), F.col(c)).alias(c) for c in batch.columns}
+    place = scratch_path(batch.sparkSession, "consumer")
+    stored = tables.staged(tried.select(*kept.values(), "rows", "failure_reason"), place)
+    rows = stored.where("failure_reason is null").select(F.inline("rows"))
+    return rows, stored.where("failure_reason is not null").drop("rows")
+
+
 def handle(batch: DataFrame, consumer: Consumer) -> tuple[DataFrame | None, DataFrame | None]:
     """(handled rows, failed events with ``failure_reason``) of a stored batch; None where there are none.
 
     Rows of a part are written before they count as handled, so errors of planning and of computing both
     show here. Storage that fails for good fails the query, which starts again from its checkpoint.
     """
+    if consumer.per_event:
+        return _handle_each(batch, consumer)
     spark = batch.sparkSession
     place = scratch_path(spark, "consumer")
 
     def attempt(numbers: tuple[int, ...]) -> tuple[tuple[int, ...], str | None]:
-        part = batch.where(_share(len(numbers), numbers)) if numbers else batch
+        part = batch.where(_share(numbers)) if numbers else batch
         path = f"{place}/" + "-".join(map(str, (len(numbers), *numbers)))
         try:
             rows = consumer.handler(part)
@@ -93,7 +153,7 @@ def handle(batch: DataFrame, consumer: Consumer) -> tuple[DataFrame | None, Data
             for numbers, reason in results:
                 if reason is None:
                     continue
-                part = batch.where(_share(len(numbers), numbers)) if numbers else batch
+                part = batch.where(_share(numbers)) if numbers else batch
                 alone = len(numbers) >= DEEPEST or part.select("event_id").distinct().limit(2).count() < 2
                 if alone:
                     failed.append(part.withColumn("failure_reason", F.lit(reason)))
