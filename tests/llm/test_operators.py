@@ -118,6 +118,24 @@ def test_encoder_equals_the_library():
         assert np.frombuffer(encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_encoder_forgets_at_the_end_of_a_task():
+    """A worker that packed documents does not keep their parts beside later steps; ids stay the same."""
+    encode = tokens.encoder()
+    texts = pa.RecordBatch.from_pydict({"text": ["one two, three\nfour", "five two!"]})
+    made = [[encode(t.as_py()) for t in batch.column("text")] for batch in tokens.forgotten_after(iter([texts]))]
+    held = [encode.first, encode.first.older, encode.rest, encode.rest.older]
+    assert not any(held) and encode.rest.signs.cache_info().currsize == 0
+    assert [encode(t.as_py()) for t in texts.column("text")] == made[0]
+
+
+@pytest.mark.parametrize("step", [lambda b: packing._pieces(b, 2048, False), binary._sampled])
+def test_steps_that_encode_forget(step, monkeypatch):
+    monkeypatch.setattr(packing.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["some words of a text"]})
+    assert sum(b.num_rows for b in step(iter([batch]))) == 1
+    assert not tokens.encoder().first and not tokens.encoder().rest
+
+
 def expected_ids(df):
     plain = tokenizer()
     return [(d, np.array([*plain.encode(t, add_special_tokens=False).ids, 0], "<u4")) for d, t in pairs(df)]

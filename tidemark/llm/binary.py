@@ -61,7 +61,7 @@ def _slices(ids: np.ndarray) -> list[bytes]:
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in tokens.forgotten_after(batches):
         made = [b"".join(_slices(_ids(text.as_py()))) for text in batch.column("text")]
         yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["ids"])
 
@@ -90,7 +90,7 @@ def _dictionary(raw: bytes) -> zstandard.ZstdCompressionDict | None:
 
 def _compressed(batches: Iterator[pa.RecordBatch], dictionary: bytes) -> Iterator[pa.RecordBatch]:
     squeeze = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(dictionary), write_content_size=True)
-    for batch in batches:
+    for batch in tokens.forgotten_after(batches):
         counts, packed = [], []
         for text in batch.column("text"):
             ids = _ids(text.as_py())

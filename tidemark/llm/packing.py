@@ -42,7 +42,7 @@ def cut(count: int, capacity: int) -> list[tuple[int, int]]:
 def _pieces(batches: Iterator[pa.RecordBatch], capacity: int, keep_ids: bool) -> Iterator[pa.RecordBatch]:
     encode, end = tokens.encoder(), np.array([tokens.END], "<u4").tobytes()
     lane = TaskContext.get().partitionId() << 33
-    for batch in batches:
+    for batch in tokens.forgotten_after(batches):
         rows = []
         for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
             ids = encode(text.as_py() or "") + end

@@ -1,4 +1,4 @@
-"""Token ids of whole texts by a public tokenizer, encoding each distinct word once per worker.
+"""Token ids of whole texts by a public tokenizer, encoding each distinct word once per task.
 
 Byte-level BPE never merges across a space that precedes a word, nor across a single line break between
 two words. Texts are cut there, the tokenizers library encodes the parts, and parts it has seen are not
@@ -11,16 +11,18 @@ import functools
 import re
 import string
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from tidemark.llm.words import process_tables
 
 VOCABULARY = "byte_bpe_50k.json"
 END = 0
-#: Parts a worker remembers at least; twice as many at most.
+#: Parts a task remembers at least; twice as many at most.
 REMEMBERED = 400_000
 _BREAK = re.compile(r"(?<=\S)\n(?=\S)")
 _WORD = re.compile(r" (?=\S)")
@@ -43,6 +45,11 @@ class _Parts(dict):
         self.before_ascii = before.translate(self.letters)
         self.signs = functools.lru_cache(1 << 12)(self._encoded)  # a run of signs after a word is encoded by itself
 
+    def forget(self) -> None:
+        self.clear()
+        self.older = {}
+        self.signs.cache_clear()
+
     def _encoded(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
@@ -96,3 +103,18 @@ def encoder(vocabulary: str = VOCABULARY) -> Encoder:
     if ("encoder", vocabulary) not in tables:
         tables["encoder", vocabulary] = Encoder(vocabulary)
     return tables["encoder", vocabulary]
+
+
+def forgotten_after(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a task, at whose end the worker's encoders forget the parts they have seen.
+
+    A worker lives on and runs tasks of other steps, which share its executor's memory; a task of a few thousand
+    documents gains nothing from what tasks before it remembered.
+    """
+    try:
+        yield from batches
+    finally:
+        for key, kept in process_tables().items():
+            if isinstance(key, tuple) and key[0] == "encoder":
+                kept.first.forget()
+                kept.rest.forget()
