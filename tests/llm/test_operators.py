@@ -118,6 +118,21 @@ def test_encoder_equals_the_library():
         assert np.frombuffer(encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_encoder_looks_up_each_distinct_part_once(monkeypatch):
+    """Many texts at once, null among them: ids are the library's, and a sign behind a word makes no other word."""
+    plain, encode, asked = tokenizer(), tokens.Encoder(), []
+    texts = ["a word, a word. a word!", None, "", "trailing  ", " word\nword\n", "a word,été; été", "\xa0 \u2003a \u2019s", *(t or "" for t in TEXTS)]
+    want = [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for size in (1, 64, tokens.CHUNK_BYTES):
+        monkeypatch.setattr(tokens, "CHUNK_BYTES", size)
+        assert [x.tolist() for x in encode.many(pa.array(texts))] == want
+    missing = tokens._Parts.__missing__
+    monkeypatch.setattr(tokens._Parts, "__missing__", lambda self, part: (asked.append(part), missing(self, part))[1])
+    encode = tokens.Encoder()
+    list(encode.many(pa.array(["x word, y word.", "x word! word"])))
+    assert asked.count("word") == 1 and not any(x.startswith("word") and x != "word" for x in asked)
+
+
 def test_encoder_forgets_at_the_end_of_a_task():
     """A worker that packed documents does not keep their parts beside later steps; ids stay the same."""
     encode = tokens.encoder()

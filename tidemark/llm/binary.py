@@ -44,12 +44,13 @@ _BLOCKS = (
 _READ = "doc_id long, start_in_part long, n_tokens long, ids_crc32 long, ids array<long>, part int"
 
 
-def _ids(text: str | None) -> np.ndarray:
-    """Ids of a document with its end id, in the type they are stored in."""
-    ids = np.append(np.frombuffer(tokens.encoder()(text or ""), "<u4"), np.uint32(tokens.END))
-    if ids.max() > np.iinfo(ID_TYPE).max:
-        raise OverflowError(f"id {ids.max()} does not fit {ID_TYPE}; set ID_TYPE to <u4")
-    return ids.astype(ID_TYPE)
+def _ids(texts: pa.Array) -> Iterator[np.ndarray]:
+    """Ids of each document with its end id, in the type they are stored in."""
+    for ids in tokens.encoder().many(texts):
+        ids = np.append(ids, np.uint32(tokens.END))
+        if ids.max() > np.iinfo(ID_TYPE).max:
+            raise OverflowError(f"id {ids.max()} does not fit {ID_TYPE}; set ID_TYPE to <u4")
+        yield ids.astype(ID_TYPE)
 
 
 def _slices(ids: np.ndarray) -> list[bytes]:
@@ -62,7 +63,7 @@ def _slices(ids: np.ndarray) -> list[bytes]:
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in tokens.forgotten_after(batches):
-        made = [b"".join(_slices(_ids(text.as_py()))) for text in batch.column("text")]
+        made = [b"".join(_slices(ids)) for ids in _ids(batch.column("text"))]
         yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["ids"])
 
 
@@ -92,8 +93,7 @@ def _compressed(batches: Iterator[pa.RecordBatch], dictionary: bytes) -> Iterato
     squeeze = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(dictionary), write_content_size=True)
     for batch in tokens.forgotten_after(batches):
         counts, packed = [], []
-        for text in batch.column("text"):
-            ids = _ids(text.as_py())
+        for ids in _ids(batch.column("text")):
             counts.append(len(ids))
             packed.append(squeeze.compress(ids.tobytes()))
         yield pa.RecordBatch.from_arrays(

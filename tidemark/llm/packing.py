@@ -40,12 +40,12 @@ def cut(count: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], capacity: int, keep_ids: bool) -> Iterator[pa.RecordBatch]:
-    encode, end = tokens.encoder(), np.array([tokens.END], "<u4").tobytes()
+    encode, end = tokens.encoder().many, np.array([tokens.END], "<u4").tobytes()
     lane = TaskContext.get().partitionId() << 33
     for batch in tokens.forgotten_after(batches):
         rows = []
-        for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-            ids = encode(text.as_py() or "") + end
+        for doc, made in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text")), strict=True):
+            ids = made.tobytes() + end
             for piece, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                 part = ids[4 * start : 4 * (start + length)]
                 rows.append((doc, piece, start, length, zlib.crc32(part), lane, part))

@@ -1,14 +1,13 @@
 """Token ids of whole texts by a public tokenizer, encoding each distinct word once per task.
 
 Byte-level BPE never merges across a space that precedes a word, nor across a single line break between
-two words. Texts are cut there, the tokenizers library encodes the parts, and parts it has seen are not
-encoded again.
+two words, nor from a letter to a sign. Texts are cut there on Arrow's buffers, the tokenizers library encodes
+the distinct parts, and parts it has seen are not encoded again.
 """
 
 from __future__ import annotations
 
 import functools
-import re
 import string
 from array import array
 from collections.abc import Iterator
@@ -18,14 +17,15 @@ import public_tokenizers
 import pyarrow as pa
 from tokenizers import Tokenizer
 
+from tidemark.llm import words
 from tidemark.llm.words import process_tables
 
 VOCABULARY = "byte_bpe_50k.json"
 END = 0
 #: Parts a task remembers at least; twice as many at most.
 REMEMBERED = 400_000
-_BREAK = re.compile(r"(?<=\S)\n(?=\S)")
-_WORD = re.compile(r" (?=\S)")
+#: Bytes of whole texts that are cut and looked up together.
+CHUNK_BYTES = 1 << 23
 _LAST_PLAIN = "\u024f"  # up to here every version of Unicode agrees on what a letter is
 
 
@@ -36,6 +36,51 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
+#: For each byte, whether it is an ASCII sign.
+_SIGN = bytes(chr(b) in string.punctuation for b in range(256))
+#: White space beyond ASCII, by the bytes of UTF-8.
+_WIDE = [chr(c).encode() for c in range(128, 0x3001) if chr(c).isspace()]
+_TWO, _THREE = (np.array([int.from_bytes(x) for x in _WIDE if len(x) == n]) for n in (2, 3))
+
+
+def _cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Places where a part begins in the bytes of texts that begin at ``offsets``; each text begins a part.
+
+    A part begins at a space before what is no white space; at a line break between two such characters, and after
+    it; and at an ASCII sign after an ASCII or a Latin-1 letter. Where in doubt, nothing is cut.
+    """
+    size = len(data)
+    begins = np.zeros(size + 1, bool)
+    begins[offsets] = True
+    pad = np.concatenate([np.zeros(2, np.uint8), data, np.zeros(3, np.uint8)])
+
+    def solid(places: np.ndarray, last: bool) -> np.ndarray:
+        """Whether the character that begins (or has its last byte) at each place of a text is no white space."""
+        out = data[places] > 32
+        doubt = np.flatnonzero(data[places] >= 128)
+        at = places[doubt] + 2
+        byte = [pad[at + k].astype(np.uint32) for k in ((-2, -1, 0) if last else (0, 1, 2))]
+        two = byte[1] << 8 | byte[2] if last else byte[0] << 8 | byte[1]
+        three = byte[0] << 16 | byte[1] << 8 | byte[2]
+        out[doubt] = ~(np.isin(two, _TWO) | np.isin(three, _THREE))
+        return out
+
+    cut = begins[:size].copy()
+    spaces = np.flatnonzero(data == 32)
+    spaces = spaces[~begins[spaces + 1]]
+    cut[spaces[solid(spaces + 1, False)]] = True
+    breaks = np.flatnonzero(data == 10)
+    breaks = breaks[~begins[breaks] & ~begins[breaks + 1]]
+    breaks = breaks[solid(breaks - 1, True) & solid(breaks + 1, False)]
+    cut[breaks] = cut[breaks + 1] = True
+    letter = (data | 32) - np.uint8(97) < 26
+    wide = np.flatnonzero(data == 0xC3) + 1
+    wide = wide[wide < size]
+    letter[wide] = (data[wide] != 0x97) & (data[wide] != 0xB7)  # the signs of multiplication and division
+    cut[1:] |= letter[:-1] & np.frombuffer(data.tobytes().translate(_SIGN), bool)[1:]
+    return np.flatnonzero(cut)
+
+
 class _Parts(dict):
     """Ids of parts of texts; those not used since the last change of generation are forgotten."""
 
@@ -64,7 +109,7 @@ class _Parts(dict):
     def __missing__(self, part: str) -> bytes:
         made = self.older.pop(part, None)
         if made is None:
-            word = part.rstrip(string.punctuation)
+            word = part if part.isalpha() else part.rstrip(string.punctuation)
             if word.isalpha() and (word.isascii() or max(word) <= _LAST_PLAIN):
                 made = self._word(part) if len(word) == len(part) else self[word] + self.signs(part[len(word) :])
             else:
@@ -77,7 +122,7 @@ class _Parts(dict):
 
 
 class Encoder:
-    """Ids of a text as little-endian unsigned 32-bit integers, without an end id."""
+    """Ids of texts as unsigned 32-bit integers, without an end id."""
 
     def __init__(self, vocabulary: str = VOCABULARY) -> None:
         tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
@@ -85,16 +130,27 @@ class Encoder:
         self.first, self.rest = _Parts(tokenizer, ""), _Parts(tokenizer, " ")
 
     def __call__(self, text: str) -> bytes:
-        lines = text.split("\n")
-        if not all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
-            lines = _BREAK.split(text)
-        first, rest, out = self.first.__getitem__, self.rest.__getitem__, []
-        for line in lines:
-            parts = line.split()
-            if not parts or " ".join(parts) != line:
-                parts = _WORD.split(line)
-            out.append(first(parts[0]) + b"".join(map(rest, parts[1:])))
-        return first("\n").join(out)
+        """Ids of one text, little-endian."""
+        return next(self.many(pa.array([text], pa.string()))).tobytes()
+
+    def many(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of each text; null is empty. Within a run of texts each distinct part is looked up once."""
+        for _, _, data, offsets in words.chunks(texts, CHUNK_BYTES):
+            cuts = _cuts(data, offsets)
+            ends = pa.py_buffer(np.append(cuts, len(data)).astype(np.int32))
+            parts = pa.StringArray.from_buffers(len(cuts), ends, pa.py_buffer(data)).dictionary_encode()
+            first, rest = self.first, self.rest
+            found = [rest[x[1:]] if x[0] == " " else first[x] for x in parts.dictionary.to_numpy(zero_copy_only=False)]
+            flat = np.frombuffer(b"".join(found), "<u4")
+            sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+            which = parts.indices.to_numpy()
+            counts, stops = sizes[which], np.zeros(len(which) + 1, np.int64)
+            np.cumsum(counts, out=stops[1:])
+            ids = np.repeat((np.cumsum(sizes) - sizes)[which] - stops[:-1], counts)
+            ids += np.arange(len(ids))
+            ids = flat[ids]
+            bounds = stops[np.searchsorted(cuts, offsets)]
+            yield from (ids[k:n] for k, n in zip(bounds[:-1], bounds[1:], strict=True))
 
 
 def encoder(vocabulary: str = VOCABULARY) -> Encoder:
