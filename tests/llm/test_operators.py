@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -600,6 +601,22 @@ def test_gru_gradients_and_probabilities():
     assert np.isclose(np.exp(every).sum(), 1)
 
 
+def test_windows_of_training_keep_their_memory():
+    """A second window takes no new large arrays, and gradients that were handed out stay as they are."""
+    model, pick = lm.Gru(np.ones(lm.CLASSES * lm.PER_CLASS)), np.random.Generator(np.random.PCG64(4))
+    one, two = ([*pick.integers(0, 1024, (2, lm.STEPS, 64)), np.ones((lm.STEPS, 64), bool), np.zeros((64, lm.HIDDEN), np.float32)] for _ in range(2))
+    loss, _, grads, last = model.gradients(*one)
+    kept = {k: v.copy() for k, v in grads.items()}, last.copy()
+    tracemalloc.start()
+    model.gradients(*two)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * lm.STEPS * 64 * 4 * lm.HIDDEN * 4, peak
+    assert all((grads[k] == v).all() for k, v in kept[0].items()) and (last == kept[1]).all()
+    again = model.gradients(*one)
+    assert again[0] == loss and all((again[2][k] == v).all() for k, v in kept[0].items())
+
+
 def test_state_is_carried_across_windows():
     model = lm.Gru(np.ones(lm.CLASSES * lm.PER_CLASS))
     ids = np.random.Generator(np.random.PCG64(2)).integers(0, 1024, 50)

@@ -37,6 +37,8 @@ HELD = 1 << 20
 SHARD_TOKENS, LONG = 8_000_000, 2_048
 #: Weights in one row of those that shards hand over, and shards that are averaged at once.
 CHUNK, BRANCH = 1_024, 512
+#: Columns that end each row of large arrays in memory: rows a power of two apart share their place in a cache.
+SPARE = 16
 SMOOTH = 0.1
 FOLDS = 10
 END_WORD = np.int64(-1)  # hash of the end token; words with this hash would be taken for it
@@ -96,105 +98,160 @@ class Gru:
         new += fresh
         return new.T, reset.T, keep.T, fresh.T, rec[2 * h :].T
 
-    def _run(self, ids: np.ndarray, state: np.ndarray, table: np.ndarray, kept: np.ndarray | None = None) -> np.ndarray:
-        """States by (feature, step, lane), the one before the first step included; ``kept`` takes the inner values."""
-        inputs = np.take(table.T, ids, axis=1)
-        states = np.empty((HIDDEN, len(ids) + 1, ids.shape[1]), inputs.dtype)
-        states[:, 0] = state.T
-        for t in range(len(ids)):
-            new, *inner = self.step(inputs[:, t].T, states[:, t].T)
-            states[:, t + 1] = new.T
-            if kept is not None:
-                for place, value in zip(kept, inner, strict=True):
-                    place[:, t] = value.T
-        return states
-
-    def _outputs(self, states: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Probabilities of classes and of places in the target's class, a column each for ``targets``, and their log.
-
-        Columns are in the order of their targets, so that each class is one slice; the slices come last.
+    def _room(self, name: str, *shape: int) -> np.ndarray:
+        """Memory of that name and shape that is kept from call to call; fresh pages cost more than the arithmetic."""
+        held, size, kind = self.__dict__.setdefault("held", {}), math.prod(shape), self.p["wh"].dtype
+        if name not in held or held[name].size < size or held[name].dtype != kind:
+            held[name] = np.empty(size, kind)
+        return held[name][:size].reshape(shape)
+
+    def _joint(self) -> np.ndarray:
+        """From state, embedding and 1 to the new state's recurrent part, the gates and its input part."""
+        p, h, e = self.p, HIDDEN, EMBEDDED
+        joint = self._room("joint", h + e + 1, 4 * h)
+        joint[:h, :h], joint[:h, h : 3 * h], joint[:h, 3 * h :] = p["wh"][:, 2 * h :], p["wh"][:, : 2 * h], 0
+        joint[h:, :h], joint[h:-1, h:], joint[-1, h:] = 0, p["wx"], p["bx"]
+        return joint
+
+    def _heads(self) -> np.ndarray:
+        """By class, from state and 1 to the scores of all classes and of the places in the class."""
+        p, h = self.p, HIDDEN
+        heads = self._room("heads", CLASSES, h + 1, CLASSES + PER_CLASS)
+        heads[:, :h, :CLASSES], heads[:, h, :CLASSES] = p["wc"], p["bc"]
+        heads[:, :h, CLASSES:], heads[:, h, CLASSES:] = p["ww"], p["bw"]
+        return heads
+
+    def _run(self, ids: np.ndarray, state: np.ndarray, joint: np.ndarray) -> tuple[np.ndarray, ...]:
+        """By step: state, embedding and 1 before it; what ``joint`` makes of the state; gates and fresh state.
+
+        A step's values lie together, a feature of all lanes after the other.
         """
-        p, column = self.p, np.arange(len(targets))
-        group, place = targets // PER_CLASS, targets % PER_CLASS
+        h, (steps, lanes) = HIDDEN, ids.shape
+        met, recs = self._room("met", steps + 1, h + EMBEDDED + 1, lanes), self._room("recs", steps, 3 * h, lanes)
+        made, part = self._room("made", steps, 3 * h, lanes), self._room("part", h, lanes)
+        table, ahead = np.ascontiguousarray(self.p["emb"].T), np.ascontiguousarray(joint.T)
+        ahead[h : 3 * h] *= 0.5  # the logistic function is tanh of half its argument
+        met[0, :h], met[:, -1] = state.T, 1
+        for t in range(steps):
+            np.take(table, ids[t], axis=1, out=met[t, h:-1], mode="clip")
+        np.matmul(ahead[h:, h:], met[:-1, h:], out=made)
+        ahead = np.ascontiguousarray(ahead[: 3 * h, :h])
+        for t in range(steps):
+            old, new, gates, fresh = met[t, :h], met[t + 1, :h], made[t, : 2 * h], made[t, 2 * h :]
+            rec = np.matmul(ahead, old, out=recs[t])
+            gates += rec[h:]
+            np.tanh(gates, out=gates)
+            gates += 1
+            gates *= 0.5
+            fresh += np.multiply(gates[:h], rec[:h], out=part)
+            np.tanh(fresh, out=fresh)
+            np.subtract(old, fresh, out=new)
+            new *= gates[h:]
+            new += fresh
+        return met, recs, made
+
+    def _after(self, met: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """States, and 1, after the chosen cells (step * lanes + lane) of a run, a column each."""
+        steps, _, lanes = met.shape
+        states = self._room("states", HIDDEN, steps - 1, lanes)
+        states[:] = met[1:, :HIDDEN].transpose(1, 0, 2)
+        after = self._room("after", HIDDEN + 1, len(rows))
+        np.take(states.reshape(HIDDEN, -1), rows, axis=1, out=after[:HIDDEN], mode="clip")
+        after[HIDDEN] = 1
+        return after
+
+    def _outputs(self, after: np.ndarray, targets: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Probabilities of classes and then of places in the target's class, a column each for ``targets``; their log.
+
+        ``SPARE`` columns more, without meaning, end each row. Columns are in the order of their targets, so that each class is one slice; places of the targets and the
+        slices come last.
+        """
+        n = len(targets)
+        group = targets // PER_CLASS
         at = np.searchsorted(group, np.arange(CLASSES + 1))
         slices = [(int(c), slice(at[c], at[c + 1])) for c in np.flatnonzero(np.diff(at))]
-        top = p["wc"].T @ states
-        top += p["bc"][:, None]
-        low = np.empty((PER_CLASS, len(targets)), top.dtype)
+        both, logs = self._room("both", CLASSES + PER_CLASS, n + SPARE), np.zeros(n)
+        both[:, n:] = 0
         for c, part in slices:
-            np.add(p["ww"][c].T @ states[:, part], p["bw"][c][:, None], out=low[:, part])
-        logs = np.zeros(len(targets))
-        for scores, hit in ((top, group), (low, place)):
+            np.matmul(heads[c].T, after[:, part], out=both[:, part])
+        hits = np.stack([group, CLASSES + targets % PER_CLASS]) * both.shape[1] + np.arange(n)
+        for scores, hit in ((both[:CLASSES], hits[0]), (both[CLASSES:], hits[1])):
             scores -= scores.max(axis=0)
-            logs += scores[hit, column]
+            logs += both.reshape(-1)[hit]
             np.exp(scores, out=scores)
             total = scores.sum(axis=0)
-            logs -= np.log(total)
-            scores /= total
-        return top, low, logs, group, place, slices
+            logs -= np.log(total[:n])
+            scores *= 1 / total
+        return both, logs, hits, slices
 
     def log_probs(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural log probability of each target after each state."""
         order = np.argsort(targets.astype(np.uint16), kind="stable")
+        after = np.concatenate([states[order].T, np.ones((1, len(order)), states.dtype)])
         out = np.empty(len(targets))
-        out[order] = self._outputs(np.take(states.T, order, axis=1), targets[order])[2]
+        out[order] = self._outputs(after, targets[order], self._heads())[1]
         return out
 
-    def gradients(self, ids: np.ndarray, targets: np.ndarray, live: np.ndarray, state: np.ndarray):
+    def gradients(self, ids: np.ndarray, targets: np.ndarray, live: np.ndarray, state: np.ndarray, flat: np.ndarray | None = None):
         """Loss and gradients over one window (steps, lanes), truncated at its start; and the last state.
 
         A lane that ends inside the window is dead from there on: nothing flows back from its dead steps, and
-        its last state means nothing.
+        its last state means nothing. ``flat`` takes the gradients, one after the other.
         """
-        p, h, n = self.p, HIDDEN, int(live.sum())
-        grads, table = {}, self.inputs()
-        kept = np.empty((4, h, *ids.shape), table.dtype)
-        states = self._run(ids, state, table, kept)
-        before, (reset, keep, fresh, rec) = states[:, :-1], kept
+        p, h, (steps, lanes) = self.p, HIDDEN, ids.shape
+        flat = np.empty(sum(v.size for v in p.values()), p["wh"].dtype) if flat is None else flat
+        cuts = np.cumsum([v.size for v in p.values()])[:-1]
+        grads = {k: x.reshape(v.shape) for (k, v), x in zip(p.items(), np.split(flat, cuts), strict=True)}
+        joint, heads = self._joint(), self._heads()
+        met, recs, made = self._run(ids, state, joint)
 
         rows = np.flatnonzero(live.ravel())
         rows = rows[np.argsort(targets.ravel()[rows].astype(np.uint16), kind="stable")]
-        after = np.take(states[:, 1:].reshape(h, -1), rows, axis=1)
-        top, low, logs, group, place, slices = self._outputs(after, targets.ravel()[rows])
-        for d, hit in ((top, group), (low, place)):
-            d[hit, np.arange(n)] -= 1
-            d *= 1 / n
-        grads["wc"], grads["bc"], back = after @ top.T, top.sum(axis=1), np.zeros((h, n + 1), table.dtype)
-        back[:, :n] = p["wc"] @ top
-        grads["ww"], grads["bw"] = np.zeros_like(p["ww"]), np.zeros_like(p["bw"])
+        n = len(rows)
+        after = self._after(met, rows)
+        both, logs, hits, slices = self._outputs(after, targets.ravel()[rows], heads)
+        both.reshape(-1)[hits] -= 1
+        by_head, back = self._room("by_head", *heads.shape), self._room("back", h, n + SPARE)
+        by_head[:] = 0
         for c, part in slices:
-            grads["ww"][c], grads["bw"][c] = after[:, part] @ low[:, part].T, low[:, part].sum(axis=1)
-            back[:, part] += p["ww"][c] @ low[:, part]
-        column = np.full(live.size, n)  # the last column is zero, for dead steps
+            np.matmul(after[:, part], both[:, part].T, out=by_head[c])
+            np.matmul(heads[c, :h], both[:, part], out=back[:, part])
+        back[:, n:] = 0  # for dead steps
+        grads["wc"][:], grads["bc"][:] = by_head[:, :h, :CLASSES].sum(axis=0), by_head[:, h, :CLASSES].sum(axis=0)
+        grads["ww"][:], grads["bw"][:] = by_head[:, :h, CLASSES:], by_head[:, h, CLASSES:]
+        column = np.full(live.size, n)
         column[rows] = np.arange(n)
-        spread = np.take(back, column, axis=1).reshape(h, *live.shape)
-
-        ahead, d_inputs, d_rec = np.zeros_like(spread[:, 0]), np.empty((3 * h, *ids.shape), table.dtype), np.empty_like(spread)
-        taken, by_keep, by_reset, by_fresh = 1 - keep, before - fresh, 1 - reset, fresh * fresh
-        np.subtract(1, by_fresh, out=by_fresh)  # in place: large temporary arrays cost more than the arithmetic
-        by_fresh *= taken
-        by_keep *= keep
-        by_keep *= taken
-        by_reset *= reset
-        by_reset *= rec
-        for t in reversed(range(len(ids))):
-            ahead += spread[:, t]
-            d_fresh = np.multiply(ahead, by_fresh[:, t], out=d_inputs[2 * h :, t])
-            np.multiply(ahead, by_keep[:, t], out=d_inputs[h : 2 * h, t])
-            np.multiply(d_fresh, by_reset[:, t], out=d_inputs[:h, t])
-            np.multiply(d_fresh, reset[:, t], out=d_rec[:, t])
-            ahead *= keep[:, t]
-            ahead += p["wh"][:, : 2 * h] @ d_inputs[: 2 * h, t]
-            ahead += p["wh"][:, 2 * h :] @ d_rec[:, t]
-        flat, old, which = d_inputs.reshape(3 * h, -1), before.reshape(h, -1), ids.ravel()
-        grads["wh"] = np.concatenate([old @ flat[: 2 * h].T, old @ d_rec.reshape(h, -1).T], axis=1)
-        grads["bx"] = flat.sum(axis=1)
-        grads["wx"] = p["emb"][which].T @ flat.T
-        order = np.argsort(which.astype(np.uint16), kind="stable")
-        starts = np.flatnonzero(np.diff(which[order], prepend=-1))
-        grads["emb"] = np.zeros_like(p["emb"])
-        grads["emb"][which[order[starts]]] = np.add.reduceat(np.take((p["wx"] @ flat).T, order, axis=0), starts, axis=0)
-        return -logs.sum(), n, grads, states[:, -1].T
+        column = column.reshape(live.shape)
+
+        ahead, part, taken = (self._room(k, h, lanes) for k in ("ahead", "part", "taken"))
+        by_made, by_id = self._room("by_made", steps, 4 * h, lanes), self._room("by_id", steps, EMBEDDED, lanes)
+        ahead[:] = 0
+        for t in reversed(range(steps)):
+            old, rec, (reset, keep, fresh) = met[t, :h], recs[t, :h], made[t].reshape(3, h, lanes)
+            d_rec, d_reset, d_keep, d_fresh = by_made[t].reshape(4, h, lanes)
+            ahead += np.take(back, column[t], axis=1, out=part, mode="clip")
+            np.subtract(1, keep, out=taken)
+            taken *= ahead
+            np.multiply(fresh, fresh, out=d_fresh)
+            np.subtract(1, d_fresh, out=d_fresh)
+            d_fresh *= taken
+            np.subtract(old, fresh, out=d_keep)
+            d_keep *= keep
+            d_keep *= taken
+            np.multiply(d_fresh, reset, out=d_rec)
+            np.subtract(1, reset, out=d_reset)
+            d_reset *= rec
+            d_reset *= d_rec
+            ahead *= keep
+            ahead += np.matmul(joint[:h, : 3 * h], by_made[t, : 3 * h], out=part)
+        by_joint = np.matmul(met[:-1], by_made.transpose(0, 2, 1)).sum(axis=0)
+        grads["wh"][:, : 2 * h], grads["wh"][:, 2 * h :] = by_joint[:h, h : 3 * h], by_joint[:h, :h]
+        grads["wx"][:], grads["bx"][:] = by_joint[h:-1, h:], by_joint[-1, h:]
+        np.matmul(joint[h:-1, h:], by_made[:, h:], out=by_id)
+        for k in range(EMBEDDED):
+            grads["emb"][:, k] = np.bincount(ids.ravel(), weights=by_id[:, k].ravel(), minlength=len(p["emb"]))
+        flat *= 1 / n
+        return -logs.sum(), n, grads, met[steps, :h].T.copy()
 
     def train(self, texts: Iterator[np.ndarray], updates: float = 0, lanes: int = LANES, rate: float = 0.01) -> tuple[float, int, int]:
         """Adam over the windows of a stream of documents; ``updates`` were made before. Loss, tokens, updates.
@@ -204,21 +261,25 @@ class Gru:
         weights = np.concatenate([v.ravel() for v in self.p.values()])
         cuts = np.cumsum([v.size for v in self.p.values()])[:-1]
         self.p = {k: x.reshape(v.shape) for (k, v), x in zip(self.p.items(), np.split(weights, cuts), strict=True)}  # views
-        first, second = np.zeros_like(weights), np.zeros_like(weights)
+        first, second, g, part = (np.zeros_like(weights) for _ in range(4))
         states, total, seen, n, full = np.zeros((lanes, HIDDEN), np.float32), 0.0, 0, 0, 1
         for lane, fresh, before, target, live in _windows(texts, lanes):
             state = np.where(fresh[:, None], np.float32(0), states[lane])
-            loss, rows, grads, states[lane] = self.gradients(before, target, live, state)
+            loss, rows, _, states[lane] = self.gradients(before, target, live, state, g)
             total, seen, n, full = total + float(loss), seen + rows, n + 1, max(full, rows)
-            g = np.concatenate([grads[k].ravel() for k in self.p])
             g *= min(1.0, 1.0 / (math.sqrt(float(g @ g)) + 1e-9))
             pace = rate * rows / full / math.sqrt(1 + (updates + n) / 300) / (1 - 0.9**n)
             first *= 0.9
-            first += np.float32(0.1) * g
+            first += np.multiply(g, np.float32(0.1), out=part)
             g *= g
+            g *= np.float32(0.001)
             second *= 0.999
-            second += np.float32(0.001) * g
-            weights -= pace * first / (np.sqrt(second / (1 - 0.999**n)) + 1e-6)
+            second += g
+            np.sqrt(np.divide(second, 1 - 0.999**n, out=g), out=g)
+            g += 1e-6
+            np.multiply(first, pace, out=part)
+            part /= g
+            weights -= part
         return total, seen, n
 
     def score(self, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -228,9 +289,9 @@ class Gru:
         """
         sizes = np.diff(bounds)
         order = np.argsort(-sizes, kind="stable")
-        scores, table = np.zeros(len(order)), self.inputs()
+        scores, joint, heads = np.zeros(len(order)), self._joint(), self._heads()
         for docs in np.split(order, range(LANES, len(order), LANES)):
-            size, state = sizes[docs], np.zeros((len(docs), HIDDEN), table.dtype)
+            size, state = sizes[docs], np.zeros((len(docs), HIDDEN), joint.dtype)
             for t in range(0, int(size.max(initial=0)), STEPS):
                 n = int(np.searchsorted(-size, -t, "left"))  # documents longer than t
                 steps = np.arange(t, min(t + STEPS, int(size[0])))[:, None]
@@ -238,11 +299,11 @@ class Gru:
                 before = ids[at - 1]
                 if not t:
                     before[0] = _END
-                states = self._run(before, state[:n], table)
-                state = states[:, -1].T
-                rows = np.flatnonzero(live.ravel())
-                after = np.take(states[:, 1:].reshape(HIDDEN, -1), rows, axis=1)
-                logs = self.log_probs(after.T, ids[at].ravel()[rows])
+                met = self._run(before, state[:n], joint)[0]
+                state = met[-1, :HIDDEN].T.copy()
+                rows, targets = np.flatnonzero(live.ravel()), ids[at].ravel()
+                rows = rows[np.argsort(targets[rows].astype(np.uint16), kind="stable")]
+                logs = self._outputs(self._after(met, rows), targets[rows], heads)[1]
                 scores[docs[:n]] += np.bincount(rows % n, weights=logs, minlength=n)
         return scores
 
