@@ -25,7 +25,7 @@ END = 0
 #: Parts a task remembers at least; twice as many at most.
 REMEMBERED = 400_000
 #: Bytes of whole texts that are cut and looked up together.
-CHUNK_BYTES = 1 << 23
+CHUNK_BYTES = 1 << 22
 _LAST_PLAIN = "\u024f"  # up to here every version of Unicode agrees on what a letter is
 
 
