@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -152,6 +153,41 @@ def test_steps_that_encode_forget(step, monkeypatch):
     assert not tokens.encoder().first and not tokens.encoder().rest
 
 
+@pytest.mark.parametrize(
+    ("step", "table"),
+    [
+        (lambda b: packing._pieces(b, 2048, False), {"doc_id": [1], "text": ["some words of a text"]}),
+        (secret_scan._redacted, {"text": ["some words of a text"]}),
+        (jaccard._sketches, {"doc_id": [1], "text": ["some words of a text"]}),
+        (lambda b: quality._scored(b, None), {"doc_id": [1], "copy": [1], "host": [""], "path": [""], "text": ["some words"]}),
+    ],
+)
+def test_steps_give_memory_back(step, table, monkeypatch):
+    """What a task has freed goes back to the system at its end, once, when its rows are out."""
+    monkeypatch.setattr(packing.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+    given, real = [], words.give_back
+    monkeypatch.setattr(words, "give_back", lambda: (given.append(1), real()))
+    batch = pa.RecordBatch.from_pydict(table)
+    assert [b.num_rows for b in step(iter([batch, batch]))] == [1, 1]
+    assert given == [1]
+
+
+def test_stages_read_small_batches(spark):
+    """A worker of the pipeline does not get ten thousand whole texts at once."""
+    texts = spark.range(400, numPartitions=1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 10_000).alias("text"))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    kept = spark.conf.get(key)
+    spark.conf.unset(key)
+    try:
+        docs = corpus_pipeline.clean_of_secrets(spark, texts, SF)
+        sizes = docs.mapInArrow(lambda b: (pa.RecordBatch.from_pydict({"n": [x.num_rows], "size": [x.nbytes]}) for x in b), "n long, size long")
+        sizes = sizes.collect()
+    finally:
+        spark.conf.set(key, kept)
+    assert sum(r.n for r in sizes) == 400
+    assert max(r.size for r in sizes) < 5_000_000
+
+
 def expected_ids(df):
     plain = tokenizer()
     return [(d, np.array([*plain.encode(t, add_special_tokens=False).ids, 0], "<u4")) for d, t in pairs(df)]

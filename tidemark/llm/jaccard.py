@@ -96,6 +96,7 @@ def _digests(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
+@words.frugal
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     factors = _multipliers()
     for batch in batches:
@@ -255,6 +256,7 @@ def _labels(linked: np.ndarray) -> np.ndarray:
 _STAR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
+@words.frugal
 def _compare_sketches(shard: pa.Table) -> pa.Table:
     """Stars of the groups of like sketches in each bucket: id, smallest id of its group."""
     stars = []
@@ -302,6 +304,7 @@ def components(edges: DataFrame) -> DataFrame:
 # --- exact comparison inside clusters ---------------------------------------------------------
 
 
+@words.frugal
 def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Shingle sets of the texts whose digest is the id asked for."""
     for batch in batches:
@@ -335,6 +338,7 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
 _LINKS = pa.schema([("id", pa.int64()), ("links", pa.int64()), ("low", pa.int64())])
 
 
+@words.frugal
 def _exact_blocks(shard: pa.Table) -> pa.Table:
     """For each pair of blocks: link counts of the ids, and the smallest id that links join each to."""
     parts = [np.zeros((3, 0), np.int64)]

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm import frames, tokens
+from tidemark.llm import frames, tokens, words
 
 CAPACITY = 2048
 SHARD_PIECES = 8_000
@@ -39,6 +39,7 @@ def cut(count: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first), *((s, capacity) for s in range(first, count, capacity))]
 
 
+@words.frugal
 def _pieces(batches: Iterator[pa.RecordBatch], capacity: int, keep_ids: bool) -> Iterator[pa.RecordBatch]:
     encode, end = tokens.encoder().many, np.array([tokens.END], "<u4").tobytes()
     lane = TaskContext.get().partitionId() << 33
@@ -48,7 +49,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], capacity: int, keep_ids: bool) ->
             ids = made.tobytes() + end
             for piece, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                 part = ids[4 * start : 4 * (start + length)]
-                rows.append((doc, piece, start, length, zlib.crc32(part), lane, part))
+                rows.append((doc, piece, start, length, zlib.crc32(part), lane, part if keep_ids else None))
                 lane += 1
         columns = list(zip(*rows, strict=True)) or [()] * 7
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
@@ -140,6 +141,7 @@ def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> l
     return kept + [x.tolist() for x in np.split(items[order], at[1:])]
 
 
+@words.frugal
 def _pack_shard(shard: pa.Table, capacity: int) -> pa.Table:
     shard = shard.sort_by("lane")
     lengths = shard["length"].to_numpy()

@@ -74,6 +74,7 @@ def features(found: words.Words) -> np.ndarray:
     )
 
 
+@words.frugal
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for begin, end, data, offsets in words.chunks(batch.column("text")):
@@ -130,6 +131,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> Logist
 _EVIDENCE = "doc_id long, copy long, host string, path string, n_words long, logit double"
 
 
+@words.frugal
 def _scored(batches: Iterator[pa.RecordBatch], model: Logistic | None) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for begin, end, data, offsets in words.chunks(batch.column("text")):

@@ -18,6 +18,7 @@ import public_tokenizers
 import tiktoken
 from pyspark.sql import DataFrame
 
+from tidemark.llm import words
 from tidemark.llm.words import process_tables
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -151,6 +152,7 @@ def secrets(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(_scanned, _SCANNED)
 
 
+@words.frugal
 def _redacted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
