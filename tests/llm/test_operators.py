@@ -188,6 +188,22 @@ def test_stages_read_small_batches(spark):
     assert max(r.size for r in sizes) < 5_000_000
 
 
+def test_narrow_tables_are_written_to_few_files(spark):
+    """Files of what the join keeps between its steps go by rows and cores, not by partitions of a shuffle."""
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    kept = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        edges = spark.range(1, 200).select(F.col("id").alias("a"), (F.col("id") - F.col("id") % 10).alias("b")).filter("a > b")
+        roots = jaccard.components(edges, 200)
+        assert len(roots.inputFiles()) <= spark.sparkContext.defaultParallelism
+        assert {(r.id, r.root) for r in roots.collect()} == {(k, k - k % 10) for k in range(1, 200) if k % 10}
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
 def expected_ids(df):
     plain = tokenizer()
     return [(d, np.array([*plain.encode(t, add_special_tokens=False).ids, 0], "<u4")) for d, t in pairs(df)]

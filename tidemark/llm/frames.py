@@ -9,14 +9,22 @@ from tidemark.session import scratch_path
 
 # Rows of a few plain columns that may be broadcast; above it the join is shuffled.
 BROADCAST_ROWS = 200_000
+# Rows of a few plain columns in one file of a stored table.
+FILE_ROWS = 50_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: computed once, no lineage behind it."""
+def stored(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: computed once, no lineage behind it.
+
+    ``rows``: about how many narrow rows there are at most. Their files then go by it, with one for each core at
+    least, and not by the partitions of the shuffle before: on a local disk Hadoop starts a process for each file.
+    """
+    if rows is not None:
+        df = df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // FILE_ROWS)))
     path = scratch_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

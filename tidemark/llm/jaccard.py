@@ -163,8 +163,8 @@ def _equal(a: str, b: str) -> F.Column:
     return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same))
 
 
-def _around_pivots(rows: DataFrame) -> DataFrame:
-    """Rows (path, id, above, sketch) with their bucket's pivot and the coordinates they share with it.
+def _around_pivots(rows: DataFrame, size: int) -> DataFrame:
+    """Rows (path, id, above, sketch), ``size`` at most, with their bucket's pivot and the coordinates they share with it.
 
     Sketches differ by a metric, the number of unequal coordinates. A set with ``BALL`` coordinates of the pivot
     or more, and one that is alike to it (``ALIKE``), differ from the pivot by at most so many that the latter
@@ -172,7 +172,7 @@ def _around_pivots(rows: DataFrame) -> DataFrame:
     in the ball is lost, and the ball need not be split.
     """
     pivots = rows.groupBy("path").agg(F.min(F.struct("id", "sketch")).alias("p"))
-    pivots = frames.stored(pivots.select("path", F.col("p.id").alias("pivot"), F.col("p.sketch").alias("centre")), "pivots")
+    pivots = frames.stored(pivots.select("path", F.col("p.id").alias("pivot"), F.col("p.sketch").alias("centre")), "pivots", size)
     return rows.join(frames.small(pivots), "path").withColumn("shared", _equal("sketch", "centre")).drop("centre")
 
 
@@ -183,12 +183,14 @@ def _split(sets: DataFrame, begin: int, end: int) -> tuple[DataFrame, int, DataF
     none = F.lit(None).cast("long").alias("pivot")
     if not first:
         return sets.select(F.lit(0).cast("long").alias("path"), "id", F.lit(0).cast("long").alias("n"), none).limit(0), 0, None
-    rows = sets.select("id", F.lit(sets.count()).alias("above"), F.explode(F.array(*first)).alias("path"))
+    held = sets.count()
+    size = held * len(first)  # what a level begins with; the next ones have as many in the mean, or fewer
+    rows = sets.select("id", F.lit(held).alias("above"), F.explode(F.array(*first)).alias("path"))
     done, deep = None, None
     for level in range(DEPTH):
-        rows = frames.stored(rows, "paths")
+        rows = frames.stored(rows, "paths", size)
         held = rows.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1")
-        rows = frames.stored(rows.join(held, "path"), "buckets")
+        rows = frames.stored(rows.join(held, "path"), "buckets", size)
         last = level + 1 == DEPTH
         ends = F.lit(last) | (F.col("n") <= LEAF) | (F.col("n") >= LAMBDA * F.col("above"))
         leaf = rows.filter(ends).select("path", "id", "n", none)
@@ -197,7 +199,7 @@ def _split(sets: DataFrame, begin: int, end: int) -> tuple[DataFrame, int, DataF
         if last or rows.isEmpty():
             return done, level + 1, deep
         rows = rows.select("id", "path", F.col("n").alias("above")).join(sets.select("id", "sketch"), "id")
-        rows = frames.stored(_around_pivots(rows), "around")
+        rows = frames.stored(_around_pivots(rows, size), "around", size)
         joined = F.xxhash64(F.col("path"), F.lit("pivot")).alias("path")
         near = rows.filter(F.col("shared") >= JOINED).select(joined, "id", F.col("above").alias("n"), "pivot")
         done = done.unionByName(near)
@@ -278,13 +280,13 @@ def _compare_sketches(shard: pa.Table) -> pa.Table:
 # --- connected components ---------------------------------------------------------------------
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(id, root): the smallest id of the component of every id in ``edges`` (a, b), a > b.
+def components(edges: DataFrame, size: int | None = None) -> DataFrame:
+    """(id, root): the smallest id of the component of every id in ``edges`` (a, b), a > b; about ``size`` at most.
 
     Every round points each id at the smallest neighbour of its neighbours, written out in between; a
     round is an aggregate with map-side combine and a join, whatever the size of a component.
     """
-    edges = frames.stored(edges.distinct(), "edges")
+    edges = frames.stored(edges.distinct(), "edges", size)
     while True:
         down = edges.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("k"))
         inner = edges.join(down.select(F.col("a").alias("b")), "b", "left_semi")
@@ -294,11 +296,11 @@ def components(edges: DataFrame) -> DataFrame:
         met = edges.join(down.select("a", "low"), "a").select(
             F.explode(F.array("a", "b")).alias("a"), F.col("low").alias("b")
         )
-        met = frames.stored(met.filter("a > b").distinct(), "edges")
+        met = frames.stored(met.filter("a > b").distinct(), "edges", size)
         # ... and neighbours above a are handed to the smallest of a's neighbourhood.
         low = met.groupBy("a").agg(F.min("b").alias("low")).withColumnRenamed("a", "b")
         handed = met.join(low, "b", "left").select("a", F.coalesce("low", "b").alias("b"))
-        edges = frames.stored(handed.distinct(), "edges")
+        edges = frames.stored(handed.distinct(), "edges", size)
 
 
 # --- exact comparison inside clusters ---------------------------------------------------------
@@ -374,8 +376,9 @@ def similarity_classes(docs: DataFrame, target: float = TARGET_RECALL) -> DataFr
         ),
         "sketches",
     )
+    size = sets.count()
     reps = frames.stored(
-        sets.groupBy("digest").agg(F.min("doc_id").alias("id")), "representatives"
+        sets.groupBy("digest").agg(F.min("doc_id").alias("id")), "representatives", size
     )
     distinct = frames.stored(
         sets.filter(F.col("digest") != _EMPTY)
@@ -383,24 +386,26 @@ def similarity_classes(docs: DataFrame, target: float = TARGET_RECALL) -> DataFr
         .select(F.col("digest").alias("id"), "sketch")
         .dropDuplicates(["id"]),
         "sets",
+        size,
     )
     buckets = _leaves_for(distinct, target)
     leaves = _in_blocks(buckets.filter("pivot is null").drop("pivot").join(distinct, "id"), LEAF)
     stars = _dealt(leaves, ["path", "i", "j"], SHARD_ROWS).applyInArrow(_compare_sketches, "a long, b long")
     around = buckets.filter("pivot < id").select(F.col("id").alias("a"), F.col("pivot").alias("b"))
     stars = stars.unionByName(around.distinct())
-    roots = components(stars)
+    roots = components(stars, size)
     roots = roots.unionByName(roots.select(F.col("root").alias("id"), "root").distinct())
     clusters = frames.stored(
         roots.join(roots.groupBy("root").agg(F.count("*").alias("n")), "root")
         .join(reps.select(F.col("digest").alias("id"), F.col("id").alias("doc_id")), "id"),
         "clusters",
+        size,
     )
     members = docs.join(frames.small(clusters), "doc_id").select("id", "root", "n", "text")
     exact = members.mapInArrow(_sets_of, "id long, root long, n long, shingles binary").dropDuplicates(["id"])
     blocks = _dealt(_in_blocks(exact, LEAF), ["root", "i", "j"], SHARD_ROWS // 4)
     found = frames.stored(blocks.applyInArrow(_exact_blocks, "id long, links long, low long"), "links")
-    joined = components(found.filter("low < id").select(F.col("id").alias("a"), F.col("low").alias("b")))
+    joined = components(found.filter("low < id").select(F.col("id").alias("a"), F.col("low").alias("b")), size)
     counted = found.groupBy("id").agg(F.sum("links").alias("n_links"))
     numbered = (
         counted.join(joined, "id", "left")
@@ -408,7 +413,7 @@ def similarity_classes(docs: DataFrame, target: float = TARGET_RECALL) -> DataFr
         .join(reps.withColumnRenamed("id", "rep_id"), "digest")
     )
     least = numbered.groupBy("root").agg(F.min("rep_id").alias("class_id"))
-    numbered = frames.stored(numbered.join(least, "root").select("digest", "class_id", "n_links"), "classes")
+    numbered = frames.stored(numbered.join(least, "root").select("digest", "class_id", "n_links"), "classes", size)
     by_set = reps.withColumnRenamed("id", "rep_id").join(numbered, "digest", "left")
     out = sets.select("doc_id", "digest").join(by_set, "digest").select(
         "doc_id",
