@@ -669,6 +669,47 @@ def test_windows_of_training_keep_their_memory():
     assert again[0] == loss and all((again[2][k] == v).all() for k, v in kept[0].items())
 
 
+def test_a_window_of_training_is_small():
+    """Backpropagation works in the memory that the forward run left, so that most of a window stays in a cache."""
+    model, pick = lm.Gru(np.ones(lm.CLASSES * lm.PER_CLASS)), np.random.Generator(np.random.PCG64(6))
+    shape = lm.STEPS, lm.LANES
+    model.gradients(*pick.integers(0, 1024, (2, *shape)), np.ones(shape, bool), np.zeros((lm.LANES, lm.HIDDEN), np.float32))
+    assert sum(v.nbytes for v in model.held.values()) < 1_700 * lm.STEPS * lm.LANES
+
+
+def test_softmax_of_large_scores():
+    """Scores beyond the range of an exponent are shifted, to the same probabilities."""
+    model = lm.Gru(np.ones(lm.CLASSES * lm.PER_CLASS))
+    states, targets = np.full((1024, lm.HIDDEN), 0.1, np.float32), np.arange(1024)
+    before = model.log_probs(states, targets)
+    model.p |= {"bc": model.p["bc"] + np.float32(300), "bw": model.p["bw"] - np.float32(300)}
+    assert np.allclose(model.log_probs(states, targets), before, atol=1e-3)
+
+
+def test_frequent_tokens_are_found_by_their_slot():
+    pick = np.random.Generator(np.random.PCG64(7))
+    wide = pick.integers(-(1 << 63), (1 << 63) - 1, 3_000)
+    crowded = np.concatenate([wide, 2 * np.arange(40), [lm.END_WORD, -(1 << 63), (1 << 63) - 1]])
+    for tokens in (np.array([lm.END_WORD]), np.array([5]), np.unique(wide), np.unique(crowded)):
+        asked = np.concatenate([tokens, tokens[1:] - 1, tokens[:-1] + 1, wide[:9] + 1, [0, 7]])
+        none = np.zeros(len(tokens), np.int64)
+        corpus = lm.Corpus(tokens, none, none, 0, 0, 0, 0)
+        place, found = corpus.look_up(asked)
+        assert corpus.slots[0] > 0
+        assert (found == np.isin(asked, tokens)).all() and (tokens[place[found]] == asked[found]).all()
+
+
+def test_frequent_words_are_the_most_frequent(spark, monkeypatch):
+    """Counts too small to be among the frequent ones are left out before the sort, and ties go by token."""
+    counts = [(k, c) for k, c in enumerate([1, 9, 1, 4, 4, 4, 2, 2, 17, 1, 1])]
+    for many in (1, 2, 3, 5, 6, 100):
+        monkeypatch.setattr(lm, "FREQUENT", many)
+        corpus = lm._corpus(spark.createDataFrame(counts, "token long, c long"))
+        want = sorted(sorted(counts, key=lambda x: (-x[1], x[0]))[:many])
+        assert list(zip(corpus.tokens.tolist(), corpus.counts.tolist(), strict=True)) == want
+        assert (corpus.total, corpus.distinct) == (46, 11)
+
+
 def test_state_is_carried_across_windows():
     model = lm.Gru(np.ones(lm.CLASSES * lm.PER_CLASS))
     ids = np.random.Generator(np.random.PCG64(2)).integers(0, 1024, 50)

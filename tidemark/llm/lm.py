@@ -11,14 +11,15 @@ training and in scoring the state is carried from window to window, so the whole
 
 from __future__ import annotations
 
+import functools
 import math
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast, TaskContext
+from pyspark import Broadcast, StorageLevel, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +40,8 @@ SHARD_TOKENS, LONG = 8_000_000, 2_048
 CHUNK, BRANCH = 1_024, 512
 #: Columns that end each row of large arrays in memory: rows a power of two apart share their place in a cache.
 SPARE = 16
+#: Scores of a softmax that lie within this need no shift before they are exponents.
+SAFE = 60
 SMOOTH = 0.1
 FOLDS = 10
 END_WORD = np.int64(-1)  # hash of the end token; words with this hash would be taken for it
@@ -106,11 +109,16 @@ class Gru:
         return held[name][:size].reshape(shape)
 
     def _joint(self) -> np.ndarray:
-        """From state, embedding and 1 to the new state's recurrent part, the gates and its input part."""
+        """From state, embedding and 1 to the new state's recurrent part, the gates and its input part.
+
+        The recurrent part and the first gate come out halved: the logistic function is tanh of half its argument,
+        plus 1, halved, and the last halving of the first gate is left to what it multiplies.
+        """
         p, h, e = self.p, HIDDEN, EMBEDDED
         joint = self._room("joint", h + e + 1, 4 * h)
         joint[:h, :h], joint[:h, h : 3 * h], joint[:h, 3 * h :] = p["wh"][:, 2 * h :], p["wh"][:, : 2 * h], 0
         joint[h:, :h], joint[h:-1, h:], joint[-1, h:] = 0, p["wx"], p["bx"]
+        joint[:, : 2 * h] *= 0.5
         return joint
 
     def _heads(self) -> np.ndarray:
@@ -121,75 +129,97 @@ class Gru:
         heads[:, :h, CLASSES:], heads[:, h, CLASSES:] = p["ww"], p["bw"]
         return heads
 
-    def _run(self, ids: np.ndarray, state: np.ndarray, joint: np.ndarray) -> tuple[np.ndarray, ...]:
-        """By step: state, embedding and 1 before it; what ``joint`` makes of the state; gates and fresh state.
+    def _run(self, ids: np.ndarray, state: np.ndarray, joint: np.ndarray, learn: bool = False) -> tuple[np.ndarray, ...]:
+        """By step: state, embedding and 1 before it; and what backpropagation multiplies by, if it is to ``learn``.
 
-        A step's values lie together, a feature of all lanes after the other.
+        That is what leads to the recurrent part, the gates and the fresh state, and the share of the state that is
+        kept. A step's values lie together, a feature of all lanes after the other.
         """
         h, (steps, lanes) = HIDDEN, ids.shape
-        met, recs = self._room("met", steps + 1, h + EMBEDDED + 1, lanes), self._room("recs", steps, 3 * h, lanes)
-        made, part = self._room("made", steps, 3 * h, lanes), self._room("part", h, lanes)
+        met, held = self._room("met", steps + 1, h + EMBEDDED + 1, lanes), steps if learn else 1
+        ways, keeps = self._room("ways", held, 4 * h, lanes), self._room("keeps", held, h, lanes)
+        rec, fresh, part = (self._room(k, h, lanes) for k in ("rec", "fresh", "part"))
         table, ahead = np.ascontiguousarray(self.p["emb"].T), np.ascontiguousarray(joint.T)
-        ahead[h : 3 * h] *= 0.5  # the logistic function is tanh of half its argument
+        ahead[2 * h : 3 * h] *= 0.5
+        to_rec, to_gates, to_fresh = ahead[:h, :h], ahead[h : 3 * h], ahead[3 * h :, h:]
         met[0, :h], met[:, -1] = state.T, 1
         for t in range(steps):
-            np.take(table, ids[t], axis=1, out=met[t, h:-1], mode="clip")
-        np.matmul(ahead[h:, h:], met[:-1, h:], out=made)
-        ahead = np.ascontiguousarray(ahead[: 3 * h, :h])
-        for t in range(steps):
-            old, new, gates, fresh = met[t, :h], met[t + 1, :h], made[t, : 2 * h], made[t, 2 * h :]
-            rec = np.matmul(ahead, old, out=recs[t])
-            gates += rec[h:]
+            now, new, way, keep = met[t], met[t + 1, :h], ways[t % held], keeps[t % held]
+            np.take(table, ids[t], axis=1, out=now[h:-1], mode="clip")
+            old, gates, reset = now[:h], way[: 2 * h], way[:h]
+            np.dot(to_gates, now, out=gates)
+            np.dot(to_rec, old, out=rec)
+            np.dot(to_fresh, now[h:], out=fresh)
             np.tanh(gates, out=gates)
             gates += 1
-            gates *= 0.5
-            fresh += np.multiply(gates[:h], rec[:h], out=part)
+            np.multiply(gates[h:], 0.5, out=keep)
+            fresh += np.multiply(reset, rec, out=rec)
             np.tanh(fresh, out=fresh)
             np.subtract(old, fresh, out=new)
-            new *= gates[h:]
+            new *= keep
+            if learn:
+                by_reset, by_keep, by_fresh = way[h : 2 * h], way[2 * h : 3 * h], way[3 * h :]
+                np.subtract(1, keep, out=by_fresh)
+                np.multiply(new, by_fresh, out=by_keep)
+                np.subtract(1, np.multiply(fresh, fresh, out=part), out=part)
+                by_fresh *= part
+                np.subtract(2, reset, out=by_reset)
+                by_reset *= rec
             new += fresh
-        return met, recs, made
+        return met, ways, keeps
 
     def _after(self, met: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """States, and 1, after the chosen cells (step * lanes + lane) of a run, a column each."""
+        """States, and 1, after the chosen cells (step * lanes + lane) of a run, a row each."""
         steps, _, lanes = met.shape
-        states = self._room("states", HIDDEN, steps - 1, lanes)
-        states[:] = met[1:, :HIDDEN].transpose(1, 0, 2)
-        after = self._room("after", HIDDEN + 1, len(rows))
-        np.take(states.reshape(HIDDEN, -1), rows, axis=1, out=after[:HIDDEN], mode="clip")
-        after[HIDDEN] = 1
-        return after
-
-    def _outputs(self, after: np.ndarray, targets: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Probabilities of classes and then of places in the target's class, a column each for ``targets``; their log.
-
-        ``SPARE`` columns more, without meaning, end each row. Columns are in the order of their targets, so that each class is one slice; places of the targets and the
-        slices come last.
+        states = self._room("states", steps - 1, lanes, HIDDEN + 1)
+        states[..., :HIDDEN], states[..., HIDDEN] = met[1:, :HIDDEN].transpose(0, 2, 1), 1
+        return np.take(states.reshape(-1, HIDDEN + 1), rows, axis=0, out=self._room("after", len(rows), HIDDEN + 1), mode="clip")
+
+    def _outputs(
+        self, after: np.ndarray, targets: np.ndarray, heads: np.ndarray, by_head: np.ndarray | None = None, back: np.ndarray | None = None
+    ) -> np.ndarray:
+        """The log probability of each target, which are in order, after its row of ``after``.
+
+        ``by_head`` takes the gradients of ``heads`` and ``back`` those of the states, if given. Scores of classes and
+        then of places in the target's class are a row. Rows of a class are one slice.
         """
-        n = len(targets)
-        group = targets // PER_CLASS
-        at = np.searchsorted(group, np.arange(CLASSES + 1))
-        slices = [(int(c), slice(at[c], at[c + 1])) for c in np.flatnonzero(np.diff(at))]
-        both, logs = self._room("both", CLASSES + PER_CLASS, n + SPARE), np.zeros(n)
-        both[:, n:] = 0
-        for c, part in slices:
-            np.matmul(heads[c].T, after[:, part], out=both[:, part])
-        hits = np.stack([group, CLASSES + targets % PER_CLASS]) * both.shape[1] + np.arange(n)
-        for scores, hit in ((both[:CLASSES], hits[0]), (both[CLASSES:], hits[1])):
-            scores -= scores.max(axis=0)
-            logs += both.reshape(-1)[hit]
-            np.exp(scores, out=scores)
-            total = scores.sum(axis=0)
-            logs -= np.log(total[:n])
-            scores *= 1 / total
-        return both, logs, hits, slices
+        n, width = len(targets), CLASSES + PER_CLASS
+        at = np.searchsorted(targets, np.arange(0, CLASSES * PER_CLASS + 1, PER_CLASS)).tolist()
+        slices = [(c, i, j) for c, (i, j) in enumerate(zip(at[:-1], at[1:], strict=True)) if i < j]
+        both, sums = self._room("both", n, width), self._room("sums", width, 2)
+        sums[:CLASSES], sums[CLASSES:] = (1, 0), (0, 1)
+        for c, i, j in slices:
+            np.dot(after[i:j], heads[c], out=both[i:j])
+        halves, cells = both.reshape(n, 2, PER_CLASS), both.reshape(-1)
+        if n and not -SAFE < both.min() <= both.max() < SAFE:
+            halves -= halves.max(axis=2, keepdims=True)
+        group, start = targets // PER_CLASS, np.arange(0, n * width, width)
+        of_class = start + group
+        start += CLASSES
+        start += targets
+        group *= PER_CLASS
+        start -= group  # places
+        logs = cells.take(of_class).astype(float)
+        logs += cells.take(start)
+        np.exp(both, out=both)
+        total = both @ sums
+        logs -= np.log(np.multiply(total[:, 0], total[:, 1], dtype=float))
+        if by_head is not None:
+            np.divide(1, total, out=total)
+            halves *= total[:, :, None]
+            for hits in (of_class, start):
+                cells[hits] -= 1
+            for c, i, j in slices:
+                np.dot(both[i:j], heads[c, :HIDDEN].T, out=back[i:j])
+                np.dot(after[i:j].T, both[i:j], out=by_head[c])
+        return logs
 
     def log_probs(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural log probability of each target after each state."""
         order = np.argsort(targets.astype(np.uint16), kind="stable")
-        after = np.concatenate([states[order].T, np.ones((1, len(order)), states.dtype)])
+        after = np.concatenate([states[order], np.ones((len(order), 1), states.dtype)], axis=1)
         out = np.empty(len(targets))
-        out[order] = self._outputs(after, targets[order], self._heads())[1]
+        out[order] = self._outputs(after, targets[order], self._heads())
         return out
 
     def gradients(self, ids: np.ndarray, targets: np.ndarray, live: np.ndarray, state: np.ndarray, flat: np.ndarray | None = None):
@@ -200,56 +230,50 @@ class Gru:
         """
         p, h, (steps, lanes) = self.p, HIDDEN, ids.shape
         flat = np.empty(sum(v.size for v in p.values()), p["wh"].dtype) if flat is None else flat
-        cuts = np.cumsum([v.size for v in p.values()])[:-1]
-        grads = {k: x.reshape(v.shape) for (k, v), x in zip(p.items(), np.split(flat, cuts), strict=True)}
+        grads, cut = {}, 0
+        for k, v in p.items():
+            grads[k], cut = flat[cut : cut + v.size].reshape(v.shape), cut + v.size
         joint, heads = self._joint(), self._heads()
-        met, recs, made = self._run(ids, state, joint)
+        met, ways, keeps = self._run(ids, state, joint, learn=True)
 
-        rows = np.flatnonzero(live.ravel())
-        rows = rows[np.argsort(targets.ravel()[rows].astype(np.uint16), kind="stable")]
-        n = len(rows)
+        rows = np.flatnonzero(live)
+        named = targets.ravel()[rows]
+        order = np.argsort(named.astype(np.uint16), kind="stable")
+        rows, named, n = rows[order], named[order], len(rows)
         after = self._after(met, rows)
-        both, logs, hits, slices = self._outputs(after, targets.ravel()[rows], heads)
-        both.reshape(-1)[hits] -= 1
-        by_head, back = self._room("by_head", *heads.shape), self._room("back", h, n + SPARE)
+        by_head, back = self._room("by_head", *heads.shape), self._room("back", n + 1, h)
         by_head[:] = 0
-        for c, part in slices:
-            np.matmul(after[:, part], both[:, part].T, out=by_head[c])
-            np.matmul(heads[c, :h], both[:, part], out=back[:, part])
-        back[:, n:] = 0  # for dead steps
+        logs = self._outputs(after, named, heads, by_head, back)
+        back[n] = 0  # for dead steps
         grads["wc"][:], grads["bc"][:] = by_head[:, :h, :CLASSES].sum(axis=0), by_head[:, h, :CLASSES].sum(axis=0)
         grads["ww"][:], grads["bw"][:] = by_head[:, :h, CLASSES:], by_head[:, h, CLASSES:]
         column = np.full(live.size, n)
         column[rows] = np.arange(n)
-        column = column.reshape(live.shape)
+        spread = np.take(back, column, axis=0, out=self._room("states", live.size, h), mode="clip").reshape(steps, lanes, h)
 
-        ahead, part, taken = (self._room(k, h, lanes) for k in ("ahead", "part", "taken"))
-        by_made, by_id = self._room("by_made", steps, 4 * h, lanes), self._room("by_id", steps, EMBEDDED, lanes)
+        ahead, part, by_joint = self._room("ahead", h, lanes), self._room("part", h, lanes), self._room("by_joint", steps, 4 * h, len(joint))
+        by_id = self._room("by_id", EMBEDDED, live.size + SPARE)[:, : live.size].reshape(EMBEDDED, steps, lanes)
+        to_state, to_id = joint[:h, : 3 * h], joint[h:-1, h:]
         ahead[:] = 0
         for t in reversed(range(steps)):
-            old, rec, (reset, keep, fresh) = met[t, :h], recs[t, :h], made[t].reshape(3, h, lanes)
-            d_rec, d_reset, d_keep, d_fresh = by_made[t].reshape(4, h, lanes)
-            ahead += np.take(back, column[t], axis=1, out=part, mode="clip")
-            np.subtract(1, keep, out=taken)
-            taken *= ahead
-            np.multiply(fresh, fresh, out=d_fresh)
-            np.subtract(1, d_fresh, out=d_fresh)
-            d_fresh *= taken
-            np.subtract(old, fresh, out=d_keep)
-            d_keep *= keep
-            d_keep *= taken
-            np.multiply(d_fresh, reset, out=d_rec)
-            np.subtract(1, reset, out=d_reset)
-            d_reset *= rec
-            d_reset *= d_rec
-            ahead *= keep
-            ahead += np.matmul(joint[:h, : 3 * h], by_made[t, : 3 * h], out=part)
-        by_joint = np.matmul(met[:-1], by_made.transpose(0, 2, 1)).sum(axis=0)
-        grads["wh"][:, : 2 * h], grads["wh"][:, 2 * h :] = by_joint[:h, h : 3 * h], by_joint[:h, :h]
-        grads["wx"][:], grads["bx"][:] = by_joint[h:-1, h:], by_joint[-1, h:]
-        np.matmul(joint[h:-1, h:], by_made[:, h:], out=by_id)
-        for k in range(EMBEDDED):
-            grads["emb"][:, k] = np.bincount(ids.ravel(), weights=by_id[:, k].ravel(), minlength=len(p["emb"]))
+            way = ways[t]
+            four = way.reshape(4, h, lanes)
+            ahead += spread[t].T
+            four[2:] *= ahead
+            four[:2] *= four[3]
+            ahead *= keeps[t]
+            ahead += np.dot(to_state, way[: 3 * h], out=part)
+            np.dot(way, met[t].T, out=by_joint[t])
+            np.matmul(to_id, way[h:], out=by_id[:, t])
+        by_joint = by_joint.sum(axis=0)
+        by_joint[: 2 * h] *= 0.5
+        grads["wh"][:, : 2 * h], grads["wh"][:, 2 * h :] = by_joint[h : 3 * h, :h].T, by_joint[:h, :h].T
+        grads["wx"][:], grads["bx"][:] = by_joint[h:, h:-1].T, by_joint[h:, -1]
+        before, by_emb = ids.ravel(), self._room("by_emb", EMBEDDED, len(p["emb"]))
+        by_emb[:] = 0
+        for into, values in zip(by_emb, by_id, strict=True):
+            np.add.at(into, before, values.ravel())
+        grads["emb"][:] = by_emb.T
         flat *= 1 / n
         return -logs.sum(), n, grads, met[steps, :h].T.copy()
 
@@ -261,25 +285,27 @@ class Gru:
         weights = np.concatenate([v.ravel() for v in self.p.values()])
         cuts = np.cumsum([v.size for v in self.p.values()])[:-1]
         self.p = {k: x.reshape(v.shape) for (k, v), x in zip(self.p.items(), np.split(weights, cuts), strict=True)}  # views
-        first, second, g, part = (np.zeros_like(weights) for _ in range(4))
+        first, second, g = (np.zeros_like(weights) for _ in range(3))
         states, total, seen, n, full = np.zeros((lanes, HIDDEN), np.float32), 0.0, 0, 0, 1
         for lane, fresh, before, target, live in _windows(texts, lanes):
             state = np.where(fresh[:, None], np.float32(0), states[lane])
             loss, rows, _, states[lane] = self.gradients(before, target, live, state, g)
             total, seen, n, full = total + float(loss), seen + rows, n + 1, max(full, rows)
-            g *= min(1.0, 1.0 / (math.sqrt(float(g @ g)) + 1e-9))
+            length = math.sqrt(float(g @ g)) + 1e-9
+            if length > 1:
+                g *= 1 / length
             pace = rate * rows / full / math.sqrt(1 + (updates + n) / 300) / (1 - 0.9**n)
+            root = math.sqrt((1 - 0.999**n) / 0.001)  # the moments are sums: 10 and 1000 times the averages
             first *= 0.9
-            first += np.multiply(g, np.float32(0.1), out=part)
+            first += g
             g *= g
-            g *= np.float32(0.001)
             second *= 0.999
             second += g
-            np.sqrt(np.divide(second, 1 - 0.999**n, out=g), out=g)
-            g += 1e-6
-            np.multiply(first, pace, out=part)
-            part /= g
-            weights -= part
+            np.sqrt(second, out=g)
+            g += 1e-6 * root
+            np.divide(first, g, out=g)
+            g *= 0.1 * pace * root
+            weights -= g
         return total, seen, n
 
     def score(self, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -301,9 +327,9 @@ class Gru:
                     before[0] = _END
                 met = self._run(before, state[:n], joint)[0]
                 state = met[-1, :HIDDEN].T.copy()
-                rows, targets = np.flatnonzero(live.ravel()), ids[at].ravel()
+                rows, targets = np.flatnonzero(live), ids[at].ravel()
                 rows = rows[np.argsort(targets[rows].astype(np.uint16), kind="stable")]
-                logs = self._outputs(self._after(met, rows), targets[rows], heads)[1]
+                logs = self._outputs(self._after(met, rows), targets[rows], heads)
                 scores[docs[:n]] += np.bincount(rows % n, weights=logs, minlength=n)
         return scores
 
@@ -375,6 +401,11 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(counts)], ["token", "c"])
 
 
+def _slot(tokens: np.ndarray, bits: int) -> np.ndarray:
+    """The leading bits of each token, in the order of tokens."""
+    return (tokens >> (64 - bits)) + (1 << (bits - 1))
+
+
 @dataclass
 class Corpus:
     """What every task knows: frequent tokens by hash, their counts and model ids, totals, the network."""
@@ -396,8 +427,29 @@ class Corpus:
 
     def look_up(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Index of each token among the frequent ones, and whether it is one."""
-        place = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
-        return place, self.tokens[place] == tokens
+        bits, first = self.slots
+        last = len(self.tokens) - 1
+        place = first[_slot(tokens, bits)]
+        there = self.tokens[place]
+        found = there == tokens
+        left = np.flatnonzero(there < tokens)  # the token may be a later one of its slot
+        for _ in range(8):
+            place[left] = np.minimum(place[left] + 1, last)
+            there = self.tokens[place[left]]
+            found[left] = there == tokens[left]
+            left = left[(there < tokens[left]) & (place[left] < last)]
+            if not len(left):
+                return place, found
+        place[left] = np.minimum(np.searchsorted(self.tokens, tokens[left]), last)
+        found[left] = self.tokens[place[left]] == tokens[left]
+        return place, found
+
+    @functools.cached_property
+    def slots(self) -> tuple[int, np.ndarray]:
+        """How many leading bits of a token tell its slot, and the index of the first token of each slot or after it."""
+        bits = len(self.tokens).bit_length() + 2
+        many = np.bincount(_slot(self.tokens, bits), minlength=1 << bits)
+        return bits, np.minimum(np.cumsum(many) - many, len(self.tokens) - 1).astype(np.int32)
 
     @property
     def base_norm(self) -> float:
@@ -409,23 +461,28 @@ class Corpus:
 
 
 def _corpus(counts: DataFrame) -> Corpus:
-    total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    frequent = counts.orderBy(F.desc("c"), "token").limit(FREQUENT).toArrow()
+    sizes = counts.groupBy(F.length(F.bin("c")).alias("bits")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()
+    n, v, many, least = sum(r.n for r in sizes), sum(r.v for r in sizes), 0, 0
+    for r in sorted(sizes, key=lambda r: -r.bits):  # counts below ``least`` need no sorting
+        many, least = many + r.v, 1 << (r.bits - 1)
+        if many >= FREQUENT:
+            break
+    frequent = counts.filter(F.col("c") >= least).orderBy(F.desc("c"), "token").limit(FREQUENT).toArrow()
     tokens, c = frequent["token"].to_numpy(), frequent["c"].to_numpy()
     size = CLASSES * PER_CLASS
     model_words = [k for k in np.lexsort((tokens, -c)) if tokens[k] != END_WORD][: size - 2]
     ids = np.full(len(tokens), _OTHER, np.int32)
     ids[model_words] = np.arange(2, 2 + len(model_words))
     ids[tokens == END_WORD] = _END
-    n, v = int(total.n or 0), int(total.v)
     known = ids != _OTHER
     order = np.argsort(tokens)
+    distinct = v
     if not len(tokens):
         tokens, c, ids, order = np.array([END_WORD]), np.array([0]), np.array([_END], np.int32), np.array([0])
         known = np.array([True])
         v = 1  # so that the count of other words is not negative
     out = Corpus(
-        tokens[order], c[order], ids[order], n, int(total.v), n - int(c[known].sum()), v - int(known.sum())
+        tokens[order], c[order], ids[order], n, distinct, n - int(c[known].sum()), v - int(known.sum())
     )
     weights = np.zeros(size)
     np.add.at(weights, ids, c)
@@ -560,11 +617,18 @@ def _train(corpus: Corpus, read: DataFrame) -> None:
     Shards are dealt by content and of a set size, so that neither the number of tasks nor that of machines
     tells in the model. In a shard the longest documents go first, or a few lanes would be left with them.
     """
-    share = read.sparkSession.sparkContext.broadcast
     shards = max(1, math.ceil(corpus.total / SHARD_TOKENS))
     ids = read.filter("not held_out").select("ids", "deal", "n_tokens").repartition(shards, "deal")
     ids = ids.sortWithinPartitions(F.greatest("n_tokens", F.lit(LONG)).desc(), "deal").select("ids")
-    updates = 0.0
+    ids = ids.persist(StorageLevel.DISK_ONLY)  # dealt and sorted once; a lost shard is dealt again
+    try:
+        _passes(corpus, ids, shards)
+    finally:
+        ids.unpersist()
+
+
+def _passes(corpus: Corpus, ids: DataFrame, shards: int) -> None:
+    share, updates = ids.sparkSession.sparkContext.broadcast, 0.0
     for _ in range(PASSES):
         start = share((corpus.model.p, updates))
         mean = ids.mapInArrow(lambda b, start=start: _trained(b, *start.value), _PART)
@@ -610,7 +674,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     counts = frames.stored(counts.filter("c > 0"), "token-counts")
     corpus = _corpus(counts)
     share = spark.sparkContext.broadcast
-    plain = {k: v for k, v in vars(corpus).items() if k != "model"}
+    plain = {f.name: getattr(corpus, f.name) for f in fields(corpus) if f.name != "model"}
     known = share(plain | {"weights": {}})  # arrays only; workers need not import this module
     read = frames.stored(docs.mapInArrow(lambda b: _read(b, Corpus.of(known.value)), _READ), "read")
     _train(corpus, read)

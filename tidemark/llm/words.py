@@ -106,8 +106,11 @@ def split(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
     after[offsets[1:] - 1] = True  # an empty first document marks the spare last place
     start = np.flatnonzero(before[:size] & ~space)
     stop = np.flatnonzero(after[:size] & ~space) + 1
-    sums = np.zeros(size + 1, np.uint64)
-    np.cumsum(_byte_values(lower)[data] * _powers(_BASE, size), out=sums[1:])
+    sums = np.empty(size + 1, np.uint64)  # one array for all steps: fresh memory costs more than the arithmetic
+    sums[0] = 0
+    np.take(_byte_values(lower), data, out=sums[1:], mode="clip")
+    sums[1:] *= _powers(_BASE, size)
+    np.cumsum(sums, out=sums)
     hashes = mix((sums[stop] - sums[start]) * _powers(_INVERSE, size + 1)[start])
     return Words(data, hashes, start, stop, np.searchsorted(start, offsets))
 
