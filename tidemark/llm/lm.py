@@ -628,6 +628,7 @@ def _train(corpus: Corpus, read: DataFrame) -> None:
 
 
 def _passes(corpus: Corpus, ids: DataFrame, shards: int) -> None:
+    """Train the model of ``corpus`` on the shards that partition ``ids``."""
     share, updates = ids.sparkSession.sparkContext.broadcast, 0.0
     for _ in range(PASSES):
         start = share((corpus.model.p, updates))
