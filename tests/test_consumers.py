@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import events
-from tidemark.plans import pipeline
+from tidemark.plans import pipeline, streams
 from tidemark.sources import tables
+from tidemark.sources.star import Star
 from tidemark.streaming import consumers
 
 OUT = T.StructType([T.StructField("event_id", T.StringType()), T.StructField("n", T.LongType())])
@@ -122,3 +123,69 @@ def test_parts_of_a_failing_batch_are_of_like_size(spark):
         whole = ids.where(consumers._share(above)).count() if above else 1600
         assert sum(sizes) == whole and max(sizes) < max(3, whole / 4)
     assert consumers.BITS * consumers.DEEPEST == 64
+
+
+def failing(monkeypatch, end):
+    """Writing to a table whose path ends so raises; all other tables are as ever."""
+    real = tables.write_batch
+
+    def write(df, path, *rest):
+        if path.endswith(end):
+            raise OSError("store is gone")
+        real(df, path, *rest)
+
+    monkeypatch.setattr(tables, "write_batch", write)
+
+
+def test_a_query_that_fails_as_a_whole_raises_once_all_have_ended(spark, layout, monkeypatch):
+    made = {name: consumers.Consumer("raw_data.received", numbers, OUT) for name in ("a", "b", "c")}
+    log(spark, layout, "a", ["1", "2"])
+    with monkeypatch.context() as patch:
+        failing(patch, "consumed/a")
+        with pytest.raises(consumers.ConsumersFailed, match="^a: StreamingQueryException") as caught:
+            consumers.run_all(spark, layout, made)
+    assert {name for name, reason in caught.value.outcome.items() if reason is None} == {"b", "c"}
+    assert "store is gone" in str(caught.value.__cause__)
+    assert [consumers.read_consumed(spark, layout, name, c).count() for name, c in made.items()] == [0, 2, 2]
+    assert consumers.run_all(spark, layout, made) == {"a": None, "b": None, "c": None}
+    assert [consumers.read_consumed(spark, layout, name, c).count() for name, c in made.items()] == [2, 2, 2]
+
+
+def test_a_query_that_cannot_start_keeps_none_from_its_end(spark, layout):
+    made = {name: consumers.Consumer("raw_data.received", numbers, OUT) for name in ("a", "b", "c")}
+    log(spark, layout, "a", ["1", "2"])
+    tables.mark(spark, layout.path("checkpoints/consumer-b"))  # a file where a folder should be
+    with pytest.raises(consumers.ConsumersFailed) as caught:
+        consumers.run_all(spark, layout, made)
+    assert {name for name, reason in caught.value.outcome.items() if reason is not None} == {"b"}
+    assert not spark.streams.active
+    assert [consumers.read_consumed(spark, layout, name, c).count() for name, c in made.items()] == [2, 0, 2]
+
+
+def test_storage_that_fails_makes_no_dead_letters(spark, layout, monkeypatch, tmp_path):
+    consumer = consumers.Consumer("raw_data.received", numbers, OUT)
+    log(spark, layout, "a", ["1", "2", "poison"])
+    (tmp_path / "file").touch()
+    with monkeypatch.context() as patch:
+        patch.setattr(consumers, "scratch_path", lambda *_: str(tmp_path / "file" / "below"))
+        with pytest.raises(consumers.ConsumersFailed):
+            consumers.run_all(spark, layout, {"c": consumer})
+    assert not dead(spark, layout)
+    assert consumers.run_all(spark, layout, {"c": consumer}) == {"c": None}
+    assert consumers.read_consumed(spark, layout, "c", consumer).count() == 2
+    assert set(dead(spark, layout)) == {"poison"}
+
+
+@pytest.mark.parametrize("end", ["consumed/plain", "consumed/strict", "dlq"])
+def test_the_registered_query_is_whole_or_fails(spark, monkeypatch, tmp_path, end):
+    days = [datetime(2024, 1, day, tzinfo=timezone.utc) for day in (2, 30)]
+    rows = [(i + k, at, 7, "view", 1.0, '{"k": 9}') for k, at in enumerate(days) for i in (10, 776)]
+    schema = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "events.parquet"))
+    star = Star(spark, str(tmp_path))
+    found = {(r.consumer, r.event_id, r.n, r.reason) for r in streams.consumer_queries(star).collect()}
+    handled = {("plain", i, 9, None) for i in ("10", "776", "11", "777")} | {("strict", i, 9, None) for i in ("10", "776", "11")}
+    assert found == handled | {("dead letter", "777", None, "strict")}
+    failing(monkeypatch, end)
+    with pytest.raises(consumers.ConsumersFailed):
+        streams.consumer_queries(star)

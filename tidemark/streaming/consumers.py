@@ -126,7 +126,8 @@ def handle(batch: DataFrame, consumer: Consumer) -> tuple[DataFrame | None, Data
     """(handled rows, failed events with ``failure_reason``) of a stored batch; None where there are none.
 
     Rows of a part are written before they count as handled, so errors of planning and of computing both
-    show here. Storage that fails for good fails the query, which starts again from its checkpoint.
+    show here. Storage that fails for good fails the query, which starts again from its checkpoint: when parts
+    failed, one event is stored without the consumer, and if that fails too, it was not the consumer.
     """
     if consumer.per_event:
         return _handle_each(batch, consumer)
@@ -150,6 +151,8 @@ def handle(batch: DataFrame, consumer: Consumer) -> tuple[DataFrame | None, Data
     with ThreadPoolExecutor(AT_ONCE) as pool:
         while todo:
             results, todo = list(pool.map(attempt, todo)), []
+            if any(reason is not None for _, reason in results):
+                tables.staged(batch.limit(1), f"{place}/unhandled")
             for numbers, reason in results:
                 if reason is None:
                     continue
@@ -184,19 +187,41 @@ def start(spark: SparkSession, layout: Layout, name: str, consumer: Consumer, ma
     return run_batches(known, write, layout.path(f"checkpoints/consumer-{name}"), f"consumer-{name}")
 
 
+class ConsumersFailed(RuntimeError):
+    """Queries failed as a whole; ``outcome`` has the reason of each consumer, None of those that came to their end."""
+
+    def __init__(self, outcome: Mapping[str, str | None]) -> None:
+        super().__init__(outcome)
+        self.outcome = dict(outcome)
+
+    def __str__(self) -> str:
+        return "; ".join(f"{name}: {reason}" for name, reason in self.outcome.items() if reason is not None)
+
+
 def run_all(
     spark: SparkSession, layout: Layout, consumers: Mapping[str, Consumer], max_files: int = 1000
-) -> dict[str, str | None]:
-    """Start every consumer, wait for all, and say which query failed as a whole, and why."""
-    queries = {name: start(spark, layout, name, c, max_files) for name, c in consumers.items()}
-    outcome: dict[str, str | None] = {}
+) -> dict[str, None]:
+    """Start every consumer and wait for all; the names of the consumers, each with None for no failure.
+
+    If a query fails as a whole, the others still come to their end, then ``ConsumersFailed`` is raised: what
+    the failed one has consumed lacks events, and is whole only when it was started again and has ended.
+    """
+    queries: dict[str, StreamingQuery] = {}
+    errors: dict[str, Exception] = {}
+    for name, consumer in consumers.items():
+        try:
+            queries[name] = start(spark, layout, name, consumer, max_files)
+        except Exception as error:  # one query's start is not another's
+            errors[name] = error
     for name, query in queries.items():
         try:
             query.awaitTermination()
-            outcome[name] = None
         except Exception as error:  # one query's end is not another's
-            outcome[name] = error_text(error)
-    return outcome
+            errors[name] = error
+    if errors:
+        outcome = {name: error_text(errors[name]) if name in errors else None for name in consumers}
+        raise ConsumersFailed(outcome) from next(iter(errors.values()))
+    return dict.fromkeys(consumers)
 
 
 def read_consumed(spark: SparkSession, layout: Layout, name: str, consumer: Consumer) -> DataFrame:
